@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyforge.session import reach
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -16,7 +18,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Registers a query, with its SQL twin if it has one."""
 
     def add(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(reach(spark), sf_dir)
         if sql is not None:
             SQL[name] = sql
         return fn
