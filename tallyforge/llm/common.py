@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyforge.session import reach
+
 #: Bytes that end a word of the contracts "everything but white space" (0x20, 0x09-0x0D); bytes.split() uses the same.
 #: A-Z are lower-cased by bytes.lower(), which leaves all other bytes as they are.
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return reach(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch(spark: SparkSession) -> str:
@@ -34,15 +35,6 @@ def settled(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def partitions(df: DataFrame, rows_each: int = 0, least: int = 1) -> int:
-    """How many partitions a shuffle of df's size should have: the session's, or more with rows_each."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), least)
-
-
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def raw(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The UTF-8 bytes of a string column; null is empty."""
     col = batch.column(batch.schema.get_field_index(name))

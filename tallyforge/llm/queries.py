@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import secrets
+from tallyforge.llm import decontam, packing, secrets
 
 QUERIES = {
+    "op3_decontaminate": decontam.op3,
+    "op7_pack_sequences": packing.op7,
     "op8_secret_scan": secrets.op8,
 }
 
