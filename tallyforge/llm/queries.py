@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import decontam, packing, secrets
+from tallyforge.llm import counts, decontam, language, packing, secrets, store
 
 QUERIES = {
+    "op2_language": language.op2,
     "op3_decontaminate": decontam.op3,
+    "op4_token_store": store.op4,
+    "op5_token_counts": counts.op5,
     "op7_pack_sequences": packing.op7,
     "op8_secret_scan": secrets.op8,
 }
