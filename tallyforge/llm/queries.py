@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import counts, decontam, language, packing, secrets, store
+from tallyforge.llm import counts, decontam, language, packing, secrets, store, toxicity
 
 QUERIES = {
     "op2_language": language.op2,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_token_counts": counts.op5,
     "op7_pack_sequences": packing.op7,
     "op8_secret_scan": secrets.op8,
+    "op9_toxicity": toxicity.op9,
 }
 
 SQL: dict[str, str] = {}
