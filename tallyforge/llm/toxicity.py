@@ -6,12 +6,14 @@ training rows.  In a toxic document the suspect words are tagged 1, all else 0;
 
 The field has two tags and the weights of a word's features (the word, its first letters, its last letters, its shape)
 and of tag pairs, fitted by stochastic gradient steps on the likelihood, whose expectations come from forward-backward.
-It is fitted on a bounded sample of labelled documents (`SAMPLE_DOCS` of each label, in the order of a hash of the id);
-the document counts of words cover all labelled training rows.
+It is fitted on a bounded sample of labelled documents (`SAMPLE_DOCS`, in the order of a hash of the id, so that both
+labels keep their shares); the document counts of words cover all labelled training rows.
 
-Scoring runs forward-backward over every whole text (side by side over many texts) and aggregates the marginals: a
-document is toxic unless all its words are not, so score = 1 - exp(sum log(1 - p)), with each p first passed through a
-threshold that keeps many small doubts from adding up.  Words with p >= 0.5 are the offending offsets.
+Scoring runs forward-backward over every whole text (side by side over many texts) and aggregates the marginals p: how
+likely it is that some word is toxic (one minus the product of 1 - p), how many are expected, how many have p >= 0.5,
+and how many are expected in a hundred words.  A logistic function of the four gives the score; it is fitted on every third sampled document, which the
+field isn't fitted on.  Small p count as none, so that many doubts don't add up.  Words with p >= 0.5 are the offending
+offsets.
 
 Defined results: null and empty texts have no words and get score 0; without labels of both kinds all scores are 0;
 labelled rows of unknown documents, and labels that are null, are not learnt from; repeated document rows are scored each.
@@ -31,8 +33,8 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import table
 from tallyforge.llm.language import bucket
 
-#: Bounds of what is fitted: documents of each label, hashed feature weights, suspects kept.
-SAMPLE_DOCS, SPACE, SUSPECTS = 400, 1 << 18, 4096
+#: Bounds of what is fitted: sampled documents, hashed feature weights, suspects kept.
+SAMPLE_DOCS, SPACE, SUSPECTS = 6000, 1 << 18, 4096
 #: A suspect has so much smoothed log-odds, and so large a likelihood ratio statistic that chance among millions of features is out.
 LOG_ODDS, RATIO = 2.0, 30.0
 EPOCHS, RATE, DECAY, FLOOR = 4, 0.3, 1e-5, 0.3
@@ -73,31 +75,11 @@ def features(words: list[str]) -> np.ndarray:
     return np.array([_FEATURES[w] for w in words], np.int32).reshape(-1, WIDTH)
 
 
-def forward_backward(emit: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of tag 1 and expected tag pairs of one text.  emit: log weight of tag 1 against tag 0 at each word."""
-    n = len(emit)
-    a, b = np.zeros((n, 2)), np.zeros((n, 2))
-    w = np.exp(pair)
-    e = np.stack([np.ones(n), np.exp(np.clip(emit, -30, 30))], axis=1)
-    a[0] = e[0] / e[0].sum()
-    for k in range(1, n):
-        x = (a[k - 1] @ w) * e[k]
-        a[k] = x / x.sum()
-    b[-1] = 1
-    for k in range(n - 2, -1, -1):
-        x = w @ (e[k + 1] * b[k + 1])
-        b[k] = x / x.sum()
-    p = a * b
-    p /= p.sum(axis=1, keepdims=True)
-    if n > 1:
-        j = a[:-1, :, None] * w * (e[1:] * b[1:])[:, None, :]
-        j /= j.sum(axis=(1, 2), keepdims=True)
-        return p[:, 1], j.sum(axis=0)
-    return p[:, 1], np.zeros((2, 2))
-
-
-def marginals(emit: np.ndarray, lengths: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    """The same marginals for many texts side by side: emit is (longest x texts), texts longest first."""
+def marginals(emit: np.ndarray, lengths: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward of many texts side by side: each word's share of tag 1, and the expected number of tag pairs.
+
+    emit is (longest x texts), texts longest first: the log weight of tag 1 against tag 0.
+    """
     steps, texts = emit.shape
     w = np.exp(pair)
     odds = np.exp(np.clip(emit, -30, 30))
@@ -120,7 +102,10 @@ def marginals(emit: np.ndarray, lengths: np.ndarray, pair: np.ndarray) -> np.nda
         to_one, to_nil = w[1, 0] * nil + w[1, 1] * one, w[0, 0] * nil + w[0, 1] * one
         ratio[:n] = to_one / (to_one + to_nil)
     top = ahead * back
-    return top / (top + (1 - ahead) * (1 - back) + 1e-300)
+    a, b, o = ahead[:-1], back[1:], odds[1:]
+    joint = np.stack([(1 - a) * w[0, 0] * (1 - b), (1 - a) * w[0, 1] * o * b, a * w[1, 0] * (1 - b), a * w[1, 1] * o * b])
+    joint *= (np.arange(1, steps)[:, None] < lengths) / (joint.sum(axis=0) + 1e-300)
+    return top / (top + (1 - ahead) * (1 - back) + 1e-300), joint.sum(axis=(1, 2)).reshape(2, 2)
 
 
 class Field:
@@ -128,41 +113,56 @@ class Field:
 
     def __init__(self):
         self.weight, self.pair, self.known = np.zeros(SPACE, np.float32), np.zeros((2, 2)), False
+        self.link = np.array([-3.0, 6.0, 0.0, 0.0, 0.0])
 
-    def fit(self, texts: list[tuple[list[str], np.ndarray]]) -> Field:
+    def fit(self, texts: list[tuple[list[str], np.ndarray]], batch: int = 48) -> Field:
         """texts: words and their tags."""
-        if not texts:
+        ready = [(features(w), t) for w, t in texts if w]
+        if not ready:
             return self
         self.known = True
-        bias = float(np.log((sum(t.sum() for _, t in texts) + 1) / (sum(len(t) for _, t in texts) + 2)))
-        self.bias = bias
-        rng = np.random.default_rng(7)
-        ready = [(features(w), t) for w, t in texts if w]
-        square = np.full(SPACE, 1e-6)
+        self.bias = float(np.log((sum(t.sum() for _, t in ready) + 1) / (sum(len(t) for _, t in ready) + 2)))
+        rng, square = np.random.default_rng(7), np.full(SPACE, 1e-6)
         for _ in range(EPOCHS):
-            for k in rng.permutation(len(ready)):
-                x, tags = ready[k]
-                emit = self.weight[x].sum(axis=1) + bias
-                p, pairs = forward_backward(emit, self.pair)
-                at, slope = x.ravel(), np.repeat(tags - p, WIDTH)
-                sums = np.bincount(at, weights=slope, minlength=0)
-                own = np.unique(at)
+            order = rng.permutation(len(ready))
+            for lo in range(0, len(order), batch):
+                part = sorted((ready[k] for k in order[lo : lo + batch]), key=lambda x: -len(x[1]))
+                x, tags = np.concatenate([p[0] for p in part]), np.concatenate([p[1] for p in part])
+                lengths = np.array([len(p[1]) for p in part])
+                emit, row, col = self.grid(x, lengths)
+                p, pairs = marginals(emit, lengths, self.pair)
+                sums = np.bincount(x.ravel(), weights=np.repeat(tags - p[row, col], WIDTH))
+                own = np.unique(x)
                 own = own[own > 0]
                 g = sums[own] - DECAY * self.weight[own]
                 square[own] += g * g
                 self.weight[own] += RATE * g / np.sqrt(square[own])
                 seen = np.zeros((2, 2))
-                np.add.at(seen, (tags[:-1].astype(int), tags[1:].astype(int)), 1)
-                self.pair += 0.02 * (seen - pairs) / max(1, len(tags))
+                for _, t in part:
+                    np.add.at(seen, (t[:-1].astype(int), t[1:].astype(int)), 1)
+                self.pair += (seen - pairs) / lengths.sum()
         return self
 
-    def tag(self, texts: list[str]) -> tuple[list[float], list[list[tuple[int, int]]]]:
+    def grid(self, x: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log weights of tag 1 as (longest x texts), and where each word stands there."""
+        col = np.repeat(np.arange(len(lengths)), lengths)
+        row = np.arange(len(x)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        emit = np.zeros((int(lengths.max()), len(lengths)))
+        emit[row, col] = self.weight[x].sum(axis=1) + self.bias
+        return emit, row, col
+
+    def tag(self, texts: list[str]) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
         """Scores, and the offending stretches, of whole texts."""
         if not self.known:
-            return [0.0] * len(texts), [[] for _ in texts]
+            return np.zeros(len(texts)), [[] for _ in texts]
+        evidence, hits = self.read(texts)
+        return self.logistic(evidence), hits
+
+    def read(self, texts: list[str]) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
+        """What the marginals say of each text, and the offending stretches."""
         low = [t.lower() for t in texts]
         words = [_WORD.findall(t) for t in low]
-        score, hits = [0.0] * len(texts), [[] for _ in texts]
+        evidence, hits = np.zeros((len(texts), 4)), [[] for _ in texts]
         order = sorted((k for k in range(len(texts)) if words[k]), key=lambda k: -len(words[k]))
         lo = 0
         while lo < len(order):  # texts of like length go together, about 4 million words at once
@@ -170,18 +170,13 @@ class Field:
             hi = min(len(order), lo + max(1, 2_000_000 // longest))
             part = order[lo:hi]
             lengths = np.array([len(words[k]) for k in part])
-            emit = np.zeros((longest, len(part)))
-            flat = self.weight[features([w for k in part for w in words[k]])].sum(axis=1) + self.bias
-            col = np.repeat(np.arange(len(part)), lengths)
-            row = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            emit[row, col] = flat
-            p = marginals(emit, lengths, self.pair)[row, col]
+            emit, row, col = self.grid(features([w for k in part for w in words[k]]), lengths)
+            p = marginals(emit, lengths, self.pair)[0][row, col]
             sure = np.where(p >= FLOOR, np.minimum(p, 1 - 1e-9), 0.0)
             total = np.bincount(col, weights=np.log1p(-sure), minlength=len(part))
-            worst = np.zeros(len(part))
-            np.maximum.at(worst, col, p)
-            for k, s, m in zip(part, -np.expm1(total), worst, strict=True):
-                score[k] = float(max(s, m))
+            some = [-np.expm1(total), np.log1p(np.bincount(col, weights=sure, minlength=len(part))), np.log1p(np.bincount(col, weights=p >= 0.5, minlength=len(part)))]
+            some.append(np.log1p(100 * np.bincount(col, weights=sure, minlength=len(part)) / lengths))
+            evidence[part] = np.stack(some, axis=1)
             for c, r in {*zip(col[p >= 0.5].tolist(), row[p >= 0.5].tolist(), strict=True)}:
                 hits[part[c]].append(r)
             lo = hi
@@ -189,7 +184,28 @@ class Field:
             if rows:
                 at = spans(texts[k]) if len(low[k]) == len(texts[k]) else spans(low[k])
                 hits[k] = [at[r] for r in sorted(rows) if r < len(at)]
-        return score, hits
+        return evidence, hits
+
+    def logistic(self, evidence: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.link[0] + evidence @ self.link[1:], -30, 30)))
+
+    def calibrate(self, texts: list[str], toxic: np.ndarray) -> Field:
+        """Fits the logistic function by penalised Newton steps; evidence never lowers a score."""
+        if self.known and len(texts):
+            evidence = self.read(texts)[0]
+            x, link, on = np.column_stack([np.ones(len(texts)), evidence]), np.zeros(5), np.ones(5, bool)
+            for _ in range(3):
+                for _ in range(25):
+                    p = 1 / (1 + np.exp(-np.clip(x[:, on] @ link[on], -30, 30)))
+                    h = (x[:, on] * (p * (1 - p))[:, None]).T @ x[:, on] + 0.1 * np.eye(on.sum())
+                    link[on] += np.linalg.solve(h, x[:, on].T @ (toxic - p) - 0.1 * link[on])
+                bad = on & (link < 0) & (np.arange(5) > 0)
+                if not bad.any():
+                    break
+                on &= ~bad
+                link[:] = 0
+            self.link = link
+        return self
 
 
 def suspects(labelled: DataFrame, text: str = "text", toxic: str = "toxic") -> dict[str, float]:
@@ -230,18 +246,19 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", doc: str
     suspect = suspects(rows, text, toxic)
     if not suspect:
         return Field()
-    sizes = {r[toxic]: r["n"] for r in rows.groupBy(toxic).agg(F.count("*").alias("n")).collect()}
+    fits = rows.where(F.length(text) <= 8_000)
     order = F.xxhash64(F.col(doc), F.lit(9))
-    share = F.when(F.col(toxic) == 1, F.lit(2.0 * SAMPLE_DOCS / sizes[1])).otherwise(F.lit(2.0 * SAMPLE_DOCS / sizes[0]))
-    thin = rows.where((order.bitwiseAND(F.lit(0xFFFFFF)) / 0x1000000 < share) & (F.length(text) <= 8_000))
-    texts, taken = [], Counter()
-    for r in thin.select(text, toxic, order.alias("o")).sort("o", text).collect():  # about 4 * SAMPLE_DOCS short rows
-        if taken[r[toxic]] < SAMPLE_DOCS:
-            taken[r[toxic]] += 1
-            words = _WORD.findall(r[text].lower())
-            tags = np.array([float(r[toxic] and any(f in suspect for f in traits(w))) for w in words])
-            texts.append((words, tags))
-    return Field().fit(texts)
+    share = min(1.0, 1.5 * SAMPLE_DOCS / max(1, fits.count()))
+    thin = fits.where(order.bitwiseAND(F.lit(0xFFFFFF)) / 0x1000000 < share)
+    texts, held, marks = [], [], []
+    for k, r in enumerate(thin.select(text, toxic, order.alias("o")).sort("o", text).limit(SAMPLE_DOCS).collect()):
+        if k % 3 == 2:
+            held.append(r[text])
+            marks.append(r[toxic])
+            continue
+        words = _WORD.findall(r[text].lower())
+        texts.append((words, np.array([float(r[toxic] and any(f in suspect for f in traits(w))) for w in words])))
+    return Field().fit(texts).calibrate(held, np.array(marks, float))
 
 
 STRETCHES = "array<struct<start:int,end:int>>"
