@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import counts, decontam, language, packing, secrets, store, toxicity
+from tallyforge.llm import counts, decontam, embeddings, language, packing, secrets, store, toxicity
 
 QUERIES = {
     "op2_language": language.op2,
     "op3_decontaminate": decontam.op3,
     "op4_token_store": store.op4,
     "op5_token_counts": counts.op5,
+    "op6_embedding_links": embeddings.op6,
     "op7_pack_sequences": packing.op7,
     "op8_secret_scan": secrets.op8,
     "op9_toxicity": toxicity.op9,
