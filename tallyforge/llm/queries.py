@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import counts, decontam, embeddings, language, packing, secrets, store, toxicity
+from tallyforge.llm import counts, decontam, embeddings, jaccard, language, packing, secrets, store, toxicity
 
 QUERIES = {
     "op2_language": language.op2,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_pack_sequences": packing.op7,
     "op8_secret_scan": secrets.op8,
     "op9_toxicity": toxicity.op9,
+    "op10_shingle_join": jaccard.op10,
 }
 
 SQL: dict[str, str] = {}
