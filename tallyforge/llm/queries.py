@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import counts, decontam, embeddings, jaccard, language, packing, secrets, store, toxicity
+from tallyforge.llm import counts, decontam, embeddings, jaccard, language, packing, scoring, secrets, store, toxicity
 
 QUERIES = {
+    "op1_suffix_tree_score": scoring.op1,
     "op2_language": language.op2,
     "op3_decontaminate": decontam.op3,
     "op4_token_store": store.op4,
