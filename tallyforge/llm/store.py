@@ -21,10 +21,12 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,24 +38,30 @@ WINDOW, LEAST, MASK, MOST = 16, 128, 0x1FF, 4096
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def cuts(ids: np.ndarray) -> list[int]:
-    """Where chunks end.  The rolling hash of a place is the weighted sum of the last WINDOW mixed ids."""
-    n = len(ids)
-    if n <= LEAST:
-        return [n]
-    mixed = (ids.astype(np.uint64) + np.uint64(1)) * _ODD
-    mixed ^= mixed >> np.uint64(29)
-    roll = np.zeros(n, np.uint64)
-    for k in range(WINDOW):
-        roll[k:] += mixed[: n - k] * np.uint64(pow(int(_ODD), k + 1, 1 << 64))
-    marks, out, last = np.flatnonzero((roll >> np.uint64(40)) & np.uint64(MASK) == 0) + 1, [], 0
-    while n - last > LEAST:
-        at = np.searchsorted(marks, last + LEAST)
-        end = min(int(marks[at]) if at < len(marks) else n, last + MOST, n)
+def marks(ids: np.ndarray) -> np.ndarray:
+    """Places of a stream behind which a chunk may end.
+
+    The rolling hash of a place is the weighted sum of the last WINDOW mixed ids, built by doubling the window.
+    """
+    roll = (ids.astype(np.uint64) + np.uint64(1)) * _ODD
+    roll ^= roll >> np.uint64(29)
+    width, weight = 1, int(_ODD)
+    while width < WINDOW:
+        roll[width:] += roll[:-width] * np.uint64(weight)
+        width, weight = 2 * width, weight * weight % (1 << 64)
+    return np.flatnonzero((roll >> np.uint64(40)) & np.uint64(MASK) == 0) + 1
+
+
+def cuts(at: list[int], first: int, end: int) -> list[int]:
+    """Where the chunks of the document at first:end of a stream end.  As a chunk has more than WINDOW ids, no hash that counts reaches over the document's start."""
+    out, last, k = [], first, bisect_left(at, first + LEAST)
+    while end - last > LEAST:
+        while k < len(at) and at[k] < last + LEAST:
+            k += 1
+        last = min(at[k] if k < len(at) else end, last + MOST, end)
+        out.append(last)
+    if last < end or not out:
         out.append(end)
-        last = end
-    if last < n:
-        out.append(n)
     return out
 
 
@@ -110,34 +118,45 @@ def write(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text", v
         ids_of = encoder(source).ids
         end = np.array([end_id], "<u2").tobytes()
         for b in batches:
-            names = b.column(b.schema.get_field_index(doc)).to_pylist()
-            keys = b.column(b.schema.get_field_index("_part")).to_pylist()
-            seats = b.column(b.schema.get_field_index("_seat")).to_pylist()
-            sent, rows = set(), []
-            for name, key, seat, t in zip(names, keys, seats, b.column(b.schema.get_field_index(text)).to_pylist(), strict=True):
-                ids, last = np.frombuffer(ids_of(t or "") + end, "<u2"), 0
-                for k, to in enumerate(cuts(ids)):
-                    payload = ids[last:to].tobytes()
+            column = lambda c: b.column(b.schema.get_field_index(c))  # noqa: B023, E731
+            streams = [ids_of(t or "") + end for t in column(text).to_pylist()]
+            ends = np.cumsum([len(x) // 2 for x in streams]).tolist()
+            stream = b"".join(streams)
+            at = marks(np.frombuffer(stream, "<u2")).tolist() if stream else []
+            digests, sizes, of, place, first = [], [], [], [], 0
+            unique: dict[bytes, bytes] = {}
+            for d, to in enumerate(ends):
+                for k, c in enumerate(cuts(at, first, to)):
+                    payload = stream[2 * first : 2 * c]
                     digest = hashlib.sha256(payload).digest()
-                    if digest not in sent:
-                        sent.add(digest)
-                        rows.append(("chunk", int.from_bytes(digest[:7], "little"), None, None, None, digest, to - last, payload))
-                    rows.append(("recipe", seat, name, key, k, digest, to - last, None))
-                    last = to
-            cols = list(zip(*rows, strict=True)) or [[]] * 8
-            types = [pa.string(), pa.int64(), b.schema.field(b.schema.get_field_index(doc)).type, pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["kind", "seat", doc, "part", "place", "digest", "n", "payload"])
+                    unique.setdefault(digest, payload)
+                    digests.append(digest)
+                    sizes.append(c - first)
+                    of.append(d)
+                    place.append(k)
+                    first = c
+            own, n = pa.array(of, pa.int64()), len(of)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(["recipe"] * n, pa.string()), column("_seat").take(own), column(doc).take(own), column("_part").take(own), pa.array(place, pa.int32()), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.nulls(n, pa.binary())], names_
+            )
+            n = len(unique)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(["chunk"] * n, pa.string()), pa.array([int.from_bytes(x[:7], "little") for x in unique], pa.int64()), pa.nulls(n, column(doc).type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(list(unique), pa.binary()), pa.array([len(x) // 2 for x in unique.values()], pa.int32()), pa.array(list(unique.values()), pa.binary())], names_
+            )
 
     def once(batches):
         seen: set[bytes] = set()
         for b in batches:
+            chunk = pc.equal(b.column(0), "chunk")
+            yield b.filter(pc.invert(chunk))
+            b = b.filter(chunk)
             keep = []
-            for k, d in zip(b.column(0).to_pylist(), b.column(5).to_pylist(), strict=True):
-                keep.append(k == "recipe" or d not in seen)
-                if k == "chunk":
-                    seen.add(d)
-            yield b.filter(pa.array(keep))
+            for d in b.column(5).to_pylist():
+                keep.append(d not in seen)
+                seen.add(d)
+            yield b.filter(pa.array(keep, pa.bool_()))
 
+    names_ = ["kind", "seat", doc, "part", "place", "digest", "n", "payload"]
     schema = STORED.format(doc=f"`{doc}`", type=kind)
     rows = docs.select(doc, text, F.xxhash64(text).alias("_part"), F.xxhash64(doc, text).alias("_seat")).mapInArrow(chunks, schema)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
