@@ -44,3 +44,64 @@ def raw(batch: pa.RecordBatch, name: str) -> list[bytes]:
 def words(text: bytes) -> list[bytes]:
     """Words `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased."""
     return text.lower().split()
+
+
+def parcel(batch: pa.RecordBatch) -> bytes:
+    """Many small rows as one compressed value: they cost no row each in a shuffle."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def unparcel(value: bytes) -> pa.RecordBatch:
+    with pa.ipc.open_stream(value) as r:
+        return r.read_next_batch()
+
+
+#: A batch's questions to a table dealt by hash, and what stays of the batch until they are answered.
+ASKED = "home long, kind int, batch long, bucket int, rows binary"
+TABLE, QUESTION, REST = 0, 1, 2
+
+
+def asked(home: list[int], kind: int, batch: int, values: list[bytes]) -> pa.RecordBatch:
+    n = len(home)
+    return pa.RecordBatch.from_arrays([pa.array(home, pa.int64()), pa.array([kind] * n, pa.int32()), pa.array([batch] * n, pa.int64()), pa.array(home, pa.int32()), pa.array(values, pa.binary())], ["home", "kind", "batch", "bucket", "rows"])
+
+
+def answered(rows: DataFrame, answer, finish, schema: str, parts: int) -> DataFrame:
+    """Questions meet the table's rows by home, their answers return to their batch.
+
+    answer(tables) gives a function from a question's batch to the answer's array; finish(rest, answers by bucket in
+    order) gives the batch's rows.  An entry travels once for each batch that asks it, however many documents hold it, so
+    frequent words make no hot key.
+    """
+
+    def first(batches):
+        waiting, tables = [], []
+        for b in batches:
+            for kind, batch, bucket, value in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
+                if kind == TABLE:
+                    tables.append(value)
+                elif kind == QUESTION:
+                    waiting.append((batch, bucket, value))
+                else:
+                    yield asked([bucket], REST, batch, [value])
+        reply = answer(unparcel(v) for v in tables)
+        for batch, bucket, value in waiting:
+            yield asked([bucket], QUESTION, batch, [parcel(pa.RecordBatch.from_arrays([reply(unparcel(value))], ["answer"]))])
+
+    def second(batches):
+        rest, answers = {}, {}
+        for b in batches:
+            for kind, batch, bucket, value in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
+                if kind == REST:
+                    rest[batch] = value
+                else:
+                    answers.setdefault(batch, []).append((bucket, value))
+        for batch, value in rest.items():
+            own = [unparcel(v).column(0) for _, v in sorted(answers.pop(batch, []))]
+            yield finish(unparcel(value), own)
+
+    met = rows.repartition(parts, "home").mapInArrow(first, ASKED)
+    return met.repartition(parts, "batch").mapInArrow(second, schema)
