@@ -39,6 +39,8 @@ SAMPLE_DOCS, SPACE, SUSPECTS = 6000, 1 << 18, 4096
 LOG_ODDS, RATIO = 2.0, 30.0
 EPOCHS, RATE, DECAY, FLOOR = 4, 0.3, 1e-5, 0.3
 THRESHOLD = 0.3
+#: Labels (12 bytes each) that may be broadcast.
+SMALL = 1_000_000
 #: Letters of a word's beginning and end.
 HEADS, TAILS = (4, 5, 6), (4,)
 
@@ -285,6 +287,8 @@ def scored(docs: DataFrame, field: Field, text: str = "text", keep: tuple[str, .
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where((bucket(4) != 2) & F.col("toxic").isNotNull()).select("doc_id", "toxic")
+    if labels.count() <= SMALL:
+        labels = F.broadcast(labels)  # else both sides are shuffled by doc_id
     field = fit(docs.where(bucket(4) != 2).join(labels, "doc_id"))
     found = scored(docs, field)
     return found.select("doc_id", (bucket(4) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), F.size("toxic_spans").cast("long").alias("n_spans"))
