@@ -1,0 +1,95 @@
+"""Decision ladders over one row's facts: each is one CASE over named boolean or numeric columns, first match wins."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from tallyforge.operators.rules import first_match
+
+#: Capacity by offices, staff and website quality, in order of precedence.
+OFFICE_STEPS = ((20, 750), (15, 500), (10, 350), (7, 225))
+#: Thresholds of website binding.
+STRONG_NAME, LOOKALIKE_NAME, WEAK_NAME, STRONG_SCORE, FAIR_SCORE = 0.82, 0.97, 0.25, 0.86, 0.68
+
+
+def binding(f: dict[str, Column]) -> Column:
+    """`status/confidence` of an account's website from facts: site, registrable, directory, generic, hygiene_bad, country_conflict,
+    state_conflict, geo_phone_conflict, adjacent_site, crm_core, corroborated, core_site, adjacent_crm, name, score, proofs, conflict, names_present, member, any_evidence."""
+    name, score, proofs = f["name"], f["score"], f["proofs"]
+    return first_match(
+        [
+            ("no_website/Low", ~f["site"]), ("insufficient_evidence/Low", ~f["registrable"]), ("mismatch/High", f["directory"]), ("hygiene_review/Low", f["generic"]),
+            ("mismatch/High", f["hygiene_bad"] | f["country_conflict"] | ((name >= STRONG_NAME) & (f["state_conflict"] | f["geo_phone_conflict"]))),
+            ("mismatch/High", f["adjacent_site"] & f["crm_core"] & ~((name >= LOOKALIKE_NAME) & f["corroborated"])),
+            ("ambiguous/Medium", f["core_site"] & f["adjacent_crm"]), ("bound/High", (name >= STRONG_NAME) & (proofs >= 2) & (score >= STRONG_SCORE)),
+            ("mismatch/High", f["names_present"] & (name < WEAK_NAME) & f["conflict"]), ("ambiguous/Medium", (score >= FAIR_SCORE) | ((name >= STRONG_NAME) & (proofs >= 1))),
+            ("insufficient_evidence/Low", f["member"] | ~f["any_evidence"]),
+        ],
+        "ambiguous/Low",
+    )
+
+
+def identity_score(name: Column, domain: Column, phone: Column, address: Column, geo: Column, registry: Column) -> Column:
+    """Weighted evidence that two records are one entity, between 0 and 1."""
+    total = F.lit(0.58) * name + F.lit(0.18) * domain + F.lit(0.20) * phone.cast("int") + F.lit(0.16) * address.cast("int") + F.lit(0.12) * geo.cast("int") + F.lit(0.16) * registry.cast("int")
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), total))
+
+
+def lifecycle(kind: Column, active: Column, churned: Column, inactive: Column) -> Column:
+    """`state/confidence` of an account: active and won-back ones by facts first, then by its type."""
+    k = F.lower(F.trim(F.coalesce(kind, F.lit(""))))
+    return first_match(
+        [
+            ("active/High", active), ("winback/High", churned), ("active/Medium", k.isin("customer", "client")), ("partner/High", k == "partner"),
+            ("excluded/High", k.isin("vendor", "competitor", "government", "education")), ("net_new/High", k.isin("prospect", "target", "lead") & inactive), ("net_new/Medium", k.isin("prospect", "target", "lead")),
+        ],
+        "unknown/Low",
+    )
+
+
+def evidence_confidence(strong: Column, offices: Column, staff: Column, signals: Column, well_cited: Column, sophisticated: Column, citations: Column) -> Column:
+    points = offices + staff + signals + well_cited + F.when(sophisticated, 1).otherwise(0)
+    return first_match([("Low", ~strong), ("High", (points >= 5) & (citations >= 3)), ("Medium", points >= 2)], "Low")
+
+
+def sophistication(links: Column, paths: Column) -> Column:
+    return first_match([("high", (links >= 20) | (paths >= 6)), ("medium", (links >= 6) | (paths >= 3))], "low")
+
+
+def capacity(offices: Column, staff: Column, quality: Column, services: Column, national: Column, tools: Column) -> Column:
+    """Estimated volume from offices, staff, website quality and services; tools and national segments raise it, in this order."""
+    out = F.when(services >= 2, 40).otherwise(25)
+    out = F.when(quality >= 4, 62).otherwise(out)
+    out = F.when(staff >= 20, 100).otherwise(out)
+    out = F.when(national & (quality >= 3), 125).otherwise(out)
+    big = (staff >= 20) | (quality >= 4)
+    out = F.when(offices == 1, F.when(big | national, 75).otherwise(40)).otherwise(out)
+    out = F.when(offices >= 2, F.when(big, 125).otherwise(75)).otherwise(out)
+    out = F.when(offices >= 4, F.when(big, 175).otherwise(125)).otherwise(out)
+    for least, value in reversed(OFFICE_STEPS):
+        out = F.when(offices >= least, value).otherwise(out)
+    out = F.when(tools, F.greatest(out, F.lit(62))).otherwise(out)
+    return F.when(national, F.greatest(out, F.lit(100))).otherwise(out)
+
+
+def legal_route(title_name: Column, evidence: Column, broad: Column, operational: Column, closing: Column, general: Column, title_service: Column, market: Column) -> Column:
+    return first_match(
+        [
+            ("affiliated", title_name & evidence), ("affiliated", ~broad & ((operational >= 2) | ((operational >= 1) & title_service))), ("unclear", broad & evidence), ("low_fit", broad),
+            ("closing_focused", (operational >= 1) & market), ("closing_focused", (closing >= 3) & (general <= 2) & title_service), ("unclear", evidence), ("low_fit", general >= 1), ("market_review", market),
+        ],
+        "low_fit",
+    )
+
+
+def cohort_ceiling(p90: Column, legal: Column) -> Column:
+    """Three times the cohort's 90 % point, within the lane's limits."""
+    limit = lambda low, high: F.least(F.greatest(3 * p90, F.lit(low)), F.lit(high))
+    return F.when(legal, limit(250.0, 1000.0)).otherwise(limit(750.0, 2500.0))
+
+
+def acceptance(conditions: dict[str, Column]) -> tuple[Column, Column]:
+    """Whether all conditions hold, and the names of those that don't."""
+    failed = F.array_compact(F.array(*(F.when(~F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in conditions.items())))
+    return F.size(failed) == 0, failed

@@ -1,0 +1,22 @@
+"""Decision ladders on literals."""
+
+from pyspark.sql import functions as F
+
+from tallyforge.operators import stages as S
+
+
+def one(spark, *columns):
+    return tuple(spark.range(1).select(*(c.alias(f"c{k}") for k, c in enumerate(columns))).first())
+
+
+def test_ladders(spark):
+    yes, no, n = F.lit(True), F.lit(False), F.lit
+    facts = dict.fromkeys(("directory", "generic", "hygiene_bad", "country_conflict", "state_conflict", "geo_phone_conflict", "adjacent_site", "crm_core", "corroborated", "core_site", "adjacent_crm", "conflict", "member"), no)
+    facts |= {"site": yes, "registrable": yes, "names_present": yes, "any_evidence": yes, "name": n(0.9), "score": n(0.9), "proofs": n(2)}
+    assert one(spark, S.binding(facts), S.binding(facts | {"site": no}), S.binding(facts | {"proofs": n(1)}), S.binding(facts | {"state_conflict": yes})) == ("bound/High", "no_website/Low", "ambiguous/Medium", "mismatch/High")
+    assert one(spark, S.lifecycle(n("Prospect"), no, no, yes), S.lifecycle(n("Client"), no, no, no), S.lifecycle(n(None).cast("string"), no, no, no)) == ("net_new/High", "active/Medium", "unknown/Low")
+    cap = lambda *a: S.capacity(*map(n, a))
+    assert one(spark, cap(20, 0, 0, 0, False, False), cap(4, 20, 0, 0, False, False), cap(1, 0, 0, 0, False, True), cap(0, 0, 0, 2, True, False), cap(0, 0, 0, 0, False, False)) == (750, 175, 62, 100, 25)
+    assert one(spark, S.evidence_confidence(yes, n(3), n(1), n(1), n(0), no, n(3)), S.evidence_confidence(no, n(9), n(9), n(9), n(9), yes, n(9)), S.sophistication(n(6), n(0))) == ("High", "Low", "medium")
+    assert one(spark, S.cohort_ceiling(n(50.0), yes), S.cohort_ceiling(n(5000.0), no), S.legal_route(no, no, no, n(2), n(0), n(0), no, no)) == (250.0, 2500.0, "affiliated")
+    assert one(spark, *S.acceptance({"a": yes, "b": no, "c": F.lit(None).cast("boolean")})) == (False, ["b", "c"])
