@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,12 @@ def parcel(batch: pa.RecordBatch) -> bytes:
     return out.getvalue().to_pybytes()
 
 
+def stretches(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
+    """First and end of each run of equal keys (0 and above)."""
+    first = np.flatnonzero(np.diff(sorted_keys, prepend=-1)).tolist()
+    return list(zip(first, [*first[1:], len(sorted_keys)], strict=True)) if first else []
+
+
 def unparcel(value: bytes) -> pa.RecordBatch:
     with pa.ipc.open_stream(value) as r:
         return r.read_next_batch()
