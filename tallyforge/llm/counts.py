@@ -2,32 +2,30 @@
 
 This vocabulary has no piece that goes on from a letter into white space (checked when it is opened), so a text's pieces
 are those of its pre-tokens: a run of spaces and the characters up to the next one, the text's first with the space that
-the library puts in front.  A batch of documents becomes one row per distinct pre-token with the documents that hold it
-(repeated as often as they do).  Rows meet by pre-token, where the library counts its pieces once, and the sums return
-by document.  A pre-token that many documents of a batch hold would bring a third of all rows to one task; such a row
-is salted with its batch, so that at most one batch's documents are in it.
+the library puts in front.  Each distinct pre-token of a batch of documents is sent, once,
+to the task of its hash, where the library counts its pieces once; the counts return to the batch, where the documents'
+frequencies wait, and are summed.
 
-Defined results: null and empty texts have 0 bytes and 0 tokens; rows that repeat a doc_id are parts of one document,
-whose counts add up; extra columns are ignored; an empty table gives no rows.
+Defined results: null and empty texts have 0 bytes and 0 tokens; repeated rows are counted each; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import table
+from tallyforge.llm.common import ASKED, QUESTION, REST, answered, asked, parcel, stretches, table
 from tallyforge.llm.encoding import vocabulary
 
 VOCABULARY, LIMIT = "piece_bpe_32k.model", 4096
-#: A pre-token held by more documents of one batch than this is salted.
-HOT = 256
 SPACE = "▁"
 
 
@@ -67,9 +65,13 @@ def token_counts(docs: DataFrame, doc: str = "doc_id", text: str = "text", path:
     path = path or vocabulary(VOCABULARY)
     kind = next(f.dataType.simpleString() for f in docs.schema if f.name == doc)
 
-    def postings(batches):
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * parts
+
+    def ask(batches):
+        part = TaskContext.get().partitionId()
         for k, b in enumerate(batches):
-            names = b.column(b.schema.get_field_index(doc))
+            names, batch = b.column(b.schema.get_field_index(doc)), part << 32 | k
             number: dict[str, int] = {}
             codes, of, times, size = [], [], [], []
             for i, t in enumerate(b.column(b.schema.get_field_index(text)).to_pylist()):
@@ -78,46 +80,42 @@ def token_counts(docs: DataFrame, doc: str = "doc_id", text: str = "text", path:
                     codes.append(number.setdefault(p, len(number)))
                     of.append(i)
                     times.append(n)
-            codes, of, times = (np.array(x, np.int64) for x in (codes, of, times))
-            order = np.argsort(codes, kind="stable")
-            ends = np.searchsorted(codes[order], np.arange(len(number) + 1)).astype(np.int32)
-            salt = np.where(np.diff(ends) > HOT, (hash((names[0].as_py() if len(names) else 0, k)) & 0x3FFFFFFF) + 1, 0)
-            lists = lambda x: pa.ListArray.from_arrays(pa.array(ends), x)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(number), pa.string()), pa.array(salt, pa.int64()), lists(names.take(pa.array(of[order]))), lists(pa.array(times[order], pa.int32())), pa.nulls(len(number), pa.int64())],
-                ["token", "salt", "docs", "times", "n_bytes"],
-            )
-            one = pa.array(np.arange(len(names) + 1, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(names), pa.string()), pa.array(np.arange(len(names))), pa.ListArray.from_arrays(one, names), pa.nulls(len(names), pa.list_(pa.int32())), pa.array(size, pa.int64())],
-                ["token", "salt", "docs", "times", "n_bytes"],
-            )
-
-    def sums(batches):
+            home = np.fromiter((zlib.crc32(p.encode("utf-8", "surrogatepass")) for p in number), np.int64, len(number)) % buckets
+            order = np.argsort(home, kind="stable")  # the answers' order: by bucket
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            tokens, home = np.array(list(number), object)[order], home[order]
+            runs = stretches(home)
+            values = [parcel(pa.RecordBatch.from_arrays([pa.array(tokens[a:z].tolist(), pa.string())], ["token"])) for a, z in runs]
+            yield asked([int(home[a]) for a, _ in runs], QUESTION, batch, values)
+            entries = pa.StructArray.from_arrays([pa.array(place[np.array(codes, np.int64)] if codes else np.empty(0), pa.int32()), pa.array(times, pa.int32())], ["place", "times"])
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(np.array(of, np.int64), np.arange(len(names) + 1)), pa.int32()), entries)
+            rest = pa.RecordBatch.from_arrays([names, pa.array(size, pa.int64()), lists], ["doc", "n_bytes", "entries"])
+            yield asked([batch % buckets], REST, batch, [parcel(rest)])
+
+    def answer(_):
         memo: dict[str, int] = {}
-        for b in batches:
-            token, docs_of = b.column(0), b.column(2)
-            flat = docs_of.flatten()
-            own = token.is_valid().to_numpy(zero_copy_only=False)
-            tokens = token.to_pylist()
-            new = list({t for t in tokens if t is not None and t not in memo})
+
+        def reply(rows):
+            tokens = rows.column(0).to_pylist()
             if len(memo) > 500_000:
                 memo.clear()
-                new = list({t for t in tokens if t is not None})
+            new = [t for t in tokens if t not in memo]
             memo.update(zip(new, piece_counts(new, path).tolist(), strict=True))
-            pieces = np.array([memo[t] if t is not None else 0 for t in tokens], np.int64)
-            many = pc.fill_null(pc.list_value_length(docs_of), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            weight = np.ones(len(flat), np.int64)
-            weight[np.repeat(own, many)] = b.column(3).flatten().to_numpy(zero_copy_only=False)
-            size = pc.fill_null(b.column(4), 0).to_numpy(zero_copy_only=False)
-            out = pa.table({"d": flat, "n": np.repeat(pieces, many) * weight, "b": np.repeat(size, many)}).group_by("d").aggregate([("n", "sum"), ("b", "sum")])
-            for x in out.select(["d", "b_sum", "n_sum"]).rename_columns([doc, "n_bytes", "n_tokens"]).to_batches():
-                yield x
-
-    rows = docs.select(doc, text).mapInArrow(postings, f"token string, salt long, docs array<{kind}>, times array<int>, n_bytes long")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = rows.repartition(parts, "token", "salt").mapInArrow(sums, f"`{doc}` {kind}, n_bytes long, n_tokens long")
-    return met.groupBy(doc).agg(F.sum("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"))
+            return pa.array([memo[t] for t in tokens], pa.int32())
+
+        return reply
+
+    def finish(rest, answers):
+        pieces = np.concatenate([np.empty(0, np.int64), *(x.to_numpy() for x in answers)])
+        lists = rest.column(2)
+        flat = lists.flatten()
+        place, times = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
+        own = np.repeat(np.arange(rest.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        total = np.bincount(own, weights=pieces[place] * times, minlength=rest.num_rows).astype(np.int64)
+        return pa.RecordBatch.from_arrays([rest.column(0), rest.column(1), pa.array(total)], [doc, "n_bytes", "n_tokens"])
+
+    return answered(docs.select(doc, text).mapInArrow(ask, ASKED), answer, finish, f"`{doc}` {kind}, n_bytes long, n_tokens long", parts)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
