@@ -7,9 +7,10 @@ least k + 1 are the same in both sets.  Signatures (band, segment, sum of the se
 1. Plain allocation for all sets.  Keys that many sets share (hot: empty segments, shared passages) cost most and say
    least, so up to k of them may be left out for each set: a pair of which one set has at most k hot segments still meets
    elsewhere.
-2. Sets with more than k hot segments (near-copies by the thousand, shared passages) get the other allocation: half as many
-   segments, so twice as long and rarer, each with its one-deletion neighbourhood.  Pairs of such sets meet there, first
-   each set with the least of a group only, then, once components are known, all that are still in different ones.
+2. Sets of a hot key are first paired with the least of them only, and what verifies gives components.
+3. Sets with more than k hot segments (near-copies by the thousand, shared passages) get the other allocation: half as many
+   segments, so twice as long and rarer, each with its one-deletion neighbourhood.  Pairs of such sets meet there, if they
+   are still in different components.
 
 Every candidate pair is verified on whole sets; links of verified pairs become components.  Equal sets are one set from
 the start (their digest), so copies cost nothing.  No group is gathered: keys are compared in sorted arrays, candidates
@@ -147,7 +148,7 @@ def _send(buckets: int, keys: np.ndarray, **columns: np.ndarray):
     at, values = [], []
     for lo, hi in zip(starts, [*starts[1:], len(bucket)], strict=True):
         at.append(int(bucket[lo]))
-        values.append(parcel(pa.RecordBatch.from_arrays([pa.array(c[lo:hi]) for c in cols], names)))
+        values.append(parcel(pa.RecordBatch.from_arrays([pa.array(cols[0][lo:hi]), *(pa.array(c[lo:hi]).dictionary_encode() for c in cols[1:])], names)))
     return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(values, pa.binary())], ["bucket", "rows"])
 
 
@@ -158,12 +159,14 @@ def _received(batches) -> dict[str, np.ndarray]:
         for home, value in zip(b.column(0).to_pylist(), b.column(1), strict=True):
             rows = unparcel(value.as_buffer())
             for name, col in zip(rows.schema.names, rows.columns, strict=True):
-                x = col.to_numpy(zero_copy_only=False)
+                x = (col.dictionary_decode() if pa.types.is_dictionary(col.type) else col).to_numpy(zero_copy_only=False)
                 cols.setdefault(name, []).append(x.astype(np.uint64) | np.uint64(home) << np.uint64(32) if name == "key" else x)
     return {k: np.concatenate(v) for k, v in cols.items()}
 
 
 _SHORT = 6
+#: Marks a pair of a hot group, in the bits above a tag.
+_STAR = np.int64(64 << 48)
 
 
 def short(digest: bytes) -> int:
@@ -212,7 +215,8 @@ def links(docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int =
         tags, begin, many = _grouped(got["key"], got["tag"] | level_of << 48)
         cold = many <= HOT
         x, y = _all_pairs(tags, begin[cold], many[cold])
-        pair = np.unique(np.stack([x, y], axis=1), axis=0) if len(x) else np.empty((0, 2), np.int64)
+        star, mates = _stars(tags, begin[~cold], many[~cold])
+        pair = np.unique(np.stack([np.append(x, star | _STAR), np.append(y, mates)], axis=1), axis=0)
         hot = np.concatenate([np.empty(0, np.int64), *(tags[b : b + n] for b, n in zip(begin[~cold], many[~cold], strict=True))])
         for block in (pair, np.stack([hot, np.full(len(hot), -1)], axis=1)):
             for lo in range(0, len(block), 100_000):
@@ -231,27 +235,26 @@ def links(docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int =
     base = one.where("n is not null").select("d", "n", "digest")
     reps = base.where("n > 0").groupBy("digest", "n").agg(F.min("d").alias("rep"))
     reps = settled(_tagged(reps))
-    pairs = one.where("y is not null").select("x", "y").distinct()
     slack = F.expr("CASE " + " ".join(f"WHEN level = {k} THEN {band(k, percent).slack}" for k in range(40)) + " END")
     heavy = one.where("x is not null and y is null").groupBy("x", "level").agg(F.count("*").alias("hot")).where(F.col("hot") > slack).select("x").distinct()
     heavy = settled(heavy)
-    pairs = settled(_named(pairs, reps))
+    # hot groups' pairs matter for sets that have too many hot segments only
+    star = one.where("y is not null and level >= 64").select("x", "y").distinct().join(heavy, "x", "left_semi").join(heavy.withColumnRenamed("x", "y"), "y", "left_semi")
+    pairs = one.where("y is not null and level < 64").select("x", "y").union(star.select("x", "y"))
+    pairs = settled(_named(pairs, reps, percent))
     wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(heavy.join(reps, heavy["x"] == reps["tag"]).select("rep")).distinct()
     sets = _sets(docs, settled(wanted), doc, text, width, kind)
     edges = _verified(pairs, sets, percent)
-    n_heavy = heavy.count()
-    if n_heavy:
-        own = sets.join(reps.select("rep", "tag").join(heavy.withColumnRenamed("x", "tag"), "tag", "left_semi"), "rep")
-        own = settled(own.select("rep", "tag", "s"))
-        star = settled(_named(_second(own.select("tag", "s", F.col("tag").alias("c")), parts, percent, True), reps).join(pairs, ["a", "b"], "left_anti"))
-        edges = settled(edges.union(_verified(star, sets, percent)))
-        joined = components(edges)
-        labelled = own.join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left").join(reps.select(F.col("rep").alias("component"), F.col("tag").alias("ctag")).groupBy("component").agg(F.max("ctag").alias("ctag")), "component", "left")
-        rest = _named(_second(labelled.select("tag", "s", F.coalesce("ctag", "tag").alias("c")), parts, percent, False), reps)
-        rest = settled(rest.join(pairs.union(star), ["a", "b"], "left_anti"))
-        if rest.limit(1).count():
-            edges = edges.union(_verified(rest, sets, percent))
     joined = components(edges)
+    if heavy.limit(1).count():
+        own = sets.select("rep", "s").join(reps.select("rep", "tag").join(heavy.withColumnRenamed("x", "tag"), "tag", "left_semi"), "rep")
+        # a component goes by the tag of its least representative
+        names = reps.select(F.col("rep").alias("component"), F.col("tag").alias("c")).join(joined.select("component").distinct(), "component", "left_semi")
+        labelled = own.join(joined.join(names, "component").select(F.col("node").alias("rep"), "c"), "rep", "left")
+        rest = _named(_second(labelled.select("tag", "s", F.coalesce("c", "tag").alias("c")), parts, percent), reps, percent)
+        rest = settled(rest.join(pairs, ["a", "b"], "left_anti"))
+        if rest.limit(1).count():
+            joined = components(edges.union(_verified(rest, sets, percent)))
     named = base.join(reps.select("digest", "n", "rep"), ["digest", "n"], "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     out = named.select(F.col("d").alias(doc), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "d").alias("component_id"))
     return out
@@ -276,41 +279,59 @@ def _all_pairs(tags: np.ndarray, begin: np.ndarray, many: np.ndarray) -> tuple[n
     return np.concatenate(x), np.concatenate(y)
 
 
-def _named(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of tags as pairs of representatives (a < b); a tag that two sets share stands for both."""
-    left, right = reps.select(F.col("tag").alias("x"), F.col("rep").alias("r1")), reps.select(F.col("tag").alias("y"), F.col("rep").alias("r2"))
-    both = pairs.select("x", "y").join(left, "x").join(right, "y")
-    return both.where("r1 <> r2").select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
+def _stars(tags: np.ndarray, begin: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each group's least tag with each of its others."""
+    rows = many - 1
+    at = np.repeat(begin + 1, rows) + np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows)
+    return tags[np.repeat(begin, rows)], tags[at]
+
+
+def _named(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs of tags as pairs of representatives (a < b) whose sizes fit; a tag that two sets share stands for both."""
+    left, right = (reps.select(F.col("tag").alias(t), F.col("rep").alias(f"r{k}"), F.col("n").alias(f"n{k}")) for k, t in enumerate("xy"))
+    both = pairs.select("x", "y").join(left, "x").join(right, "y").where(f"r0 <> r1 AND 100 * least(n0, n1) >= {percent} * greatest(n0, n1)")
+    return both.select(F.least("r0", "r1").alias("a"), F.greatest("r0", "r1").alias("b")).distinct()
+
+
+def _shipped(ids: DataFrame) -> DataFrame:
+    """One column of ids, to be broadcast if there are few; beyond that the join shuffles."""
+    ids = settled(ids)
+    return F.broadcast(ids) if ids.count() <= SMALL else ids
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, doc: str, text: str, width: int, kind: str) -> DataFrame:
-    """The whole shingle sets of the wanted documents."""
-    ids = wanted.select(F.col("rep").alias(doc))
-    if ids.count() <= SMALL:
-        ids = F.broadcast(ids)
+    """The whole shingle sets (s, n of them) of the wanted documents, and those in a fixed quarter of the universe (q).
+
+    q holds 32 bits of each hash: sets seem more alike by that, never less.
+    """
+    ids = _shipped(wanted.select(F.col("rep").alias(doc)))
 
     def run(batches):
         for b in batches:
-            sets = [shingles(t, width).view(np.int64) for t in raw(b, text)]
-            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(doc)), pa.array(sets, pa.list_(pa.int64()))], ["rep", "s"])
+            sets = [shingles(t, width) for t in raw(b, text)]
+            parts = [np.unique((s[mix(s ^ _B) & np.uint64(3) == 0] >> np.uint64(32)).astype(np.uint32)).view(np.int32) for s in sets]
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(doc)), pa.array([len(s) for s in sets], pa.int64()), pa.array(parts, pa.list_(pa.int32())), pa.array([s.view(np.int64) for s in sets], kind)], ["rep", "n", "q", "s"])
 
-    found = docs.select(doc, text).join(ids, doc, "left_semi").mapInArrow(run, f"rep {kind}, s array<long>")
+    found = docs.select(doc, text).join(ids, doc, "left_semi").mapInArrow(run, f"rep {kind}, n long, q array<int>, s array<long>")
     return settled(found)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are similar enough, on whole sets."""
-    left, right = sets.select(F.col("rep").alias("a"), F.col("s").alias("s1")), sets.select(F.col("rep").alias("b"), F.col("s").alias("s2"))
-    fits = pairs.join(left, "a").join(right, "b").where(f"100 * least(size(s1), size(s2)) >= {percent} * greatest(size(s1), size(s2))")
-    both = fits.select("a", "b", (F.size("s1") + F.size("s2")).alias("n"), F.size(F.array_intersect("s1", "s2")).alias("i"))
-    return settled(both.where(f"100 * i >= {percent} * (n - i)").select("a", "b").distinct())
+    """The pairs that are similar enough, on whole sets; pairs that differ too much in a quarter of the universe already need no more."""
 
+    def met(pairs: DataFrame, column: str) -> DataFrame:
+        own = sets.join(_shipped(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()), "rep", "left_semi")
+        left, right = (own.select(F.col("rep").alias(r), F.col("n").alias(f"n{k}"), F.col(column).alias(f"s{k}")) for k, r in enumerate("ab"))
+        sizes = pairs.join(left, "a").join(right, "b")
+        return sizes.select("a", "b", (F.col("n0") + F.col("n1")).alias("n"), (F.size("s0") + F.size("s1")).alias("m"), F.size(F.array_intersect("s0", "s1")).alias("i"))
 
-def _second(own: DataFrame, parts: int, percent: int, star: bool) -> DataFrame:
-    """Candidates (x, y) of sets with many hot segments, by longer segments and their one-deletion neighbourhoods.
+    near = settled(met(pairs, "q").where(f"({100 + percent}) * (m - 2 * i) <= {100 - percent} * n").select("a", "b"))
+    return settled(met(near, "s").where(f"100 * i >= {percent} * (n - i)").select("a", "b").distinct())
 
-    star: each set with the least of its group only; else all pairs of different components (column c).
-    """
+
+def _second(own: DataFrame, parts: int, percent: int) -> DataFrame:
+    """Candidates (x, y) among sets with many hot segments, of different components (column c)."""
     buckets = 4 * parts
 
     def send(batches):
@@ -326,41 +347,37 @@ def _second(own: DataFrame, parts: int, percent: int, star: bool) -> DataFrame:
         got = _received(batches)
         if not got:
             return
-        comp = dict(zip(got["tag"].tolist(), got["comp"].tolist(), strict=True)) if not star else {}
-        tags, begin, many = _grouped(got["key"], got["tag"])
-        if star:
-            group = np.repeat(begin, many)
-            at = group + np.arange(len(group)) - np.repeat(np.cumsum(many) - many, many)
-            pair = np.stack([tags[group], tags[at]], axis=1)
-            pair = np.unique(pair[pair[:, 0] != pair[:, 1]], axis=0)
-            blocks = [pair]
-        else:
-            blocks = _across(tags, begin, many, np.array([comp[t] for t in tags.tolist()], np.int64))
-        for block in blocks:
+        comp = dict(zip(got["tag"].tolist(), got["comp"].tolist(), strict=True))
+        tags, begin, many = _grouped(got.pop("key"), got.pop("tag"))
+        known, where = np.unique(tags, return_inverse=True)
+        label = np.array([comp[t] for t in known.tolist()], np.int64)[where]
+        for block in _across(tags, begin, many, label):
             for lo in range(0, len(block), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(block[lo : lo + 100_000, k]) for k in (0, 1)], ["x", "y"])
 
     return own.mapInArrow(send, "bucket long, rows binary").repartition(parts, "bucket").mapInArrow(meet, "x long, y long").distinct()
 
 
-def _across(tags: np.ndarray, begin: np.ndarray, many: np.ndarray, comp: np.ndarray):
-    """Pairs of each group whose components differ."""
+def _across(tags: np.ndarray, begin: np.ndarray, many: np.ndarray, label: np.ndarray):
+    """Pairs of each group whose labels differ; each pair of a task about once."""
+    done: set[bytes] = set()
     for b, n in zip(begin.tolist(), many.tolist(), strict=True):
-        t, c = tags[b : b + n], comp[b : b + n]
+        t, c = tags[b : b + n], label[b : b + n]
+        same = hashlib.blake2b(t.tobytes(), digest_size=16).digest()
+        if c.min() == c.max() or same in done:
+            continue
+        done.add(same)
         order = np.argsort(c, kind="stable")
         t, c = t[order], c[order]
-        if c[0] == c[-1]:
-            continue
         end = np.searchsorted(c, c, side="right")
-        out = [np.stack([np.full(n - e, t[k]), t[e:]], axis=1) for k, e in enumerate(end.tolist()) if e < n]
-        pair = np.concatenate(out)
+        pair = np.concatenate([np.stack([np.full(n - e, t[k]), t[e:]], axis=1) for k, e in enumerate(end.tolist()) if e < n])
         yield np.sort(pair, axis=1)
 
 
 def distinct(docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document, the one of the least id, of each component."""
     found = links(docs, doc, text, width, percent).where(~F.col(doc).eqNullSafe(F.col("component_id"))).select(doc)
-    return docs.join(F.broadcast(found) if (found := settled(found)).count() <= SMALL else found, doc, "left_anti")
+    return docs.join(_shipped(found), doc, "left_anti")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
