@@ -1,16 +1,20 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 Training counts every word of every training document.  The root holds all words: P(w) = (c + 0.1) / (N + 0.1 (V + 1)).
-Deeper states are contexts of one or two words before the next one, the document's start among them; all rare words are one
-context symbol.  Candidates are those of Ron, Singer and Tishby: a context's words must have a share of at least
-`CONTEXT` of all tokens (`DEEP` each for two words), so there are at most 1 / CONTEXT of them whatever the corpus; next
-symbols with a share of at least `NEXT` keep a probability of their own.  A candidate is retained if its next-symbol
+Deeper states are contexts of 1 to `DEPTH` words before the next one, the document's start among them.  Absolute counts
+and the test alone decide: every context seen `LEAST` times is a candidate, and every next symbol it has `OWN` times keeps
+a probability of its own, whatever the corpus' size and the words' frequency.  A candidate is retained if its next-symbol
 distribution diverges from its parent's by more than chance explains: twice its count times the divergence beats
 `CHANCE` for each own next symbol.  Retained symbols get (n + M * P_parent) / (c + M), all others share the rest in
 proportion to the parent.  Each token is scored in the longest retained suffix of what stands before it.
 
-Words travel in compressed parcels by their hash.  Frequent words are scored where the document lies; the rest of a
-batch's words meet the whole word table by hash and their counts return to the batch, so the vocabulary is never shipped or collected.
+Words, pairs (a word and the next one) and longer contexts are three tables dealt by hash; none is collected or shipped.
+A batch asks each of them once for every distinct entry, and the answers return to the batch.  Words of a share of
+`NUMBERED` have short numbers, others the hash of their bytes (62 bits), contexts a hash of 64 bits: two contexts would
+have to share it to be taken for one.
+
+Filters of a fixed size spare questions: they know all words seen `OWN` and `LEAST` times and all first words of states, and
+say yes to some others, which then are counted or asked for nothing.
 
 Defined results: null and empty texts have their end as the only token; repeated rows are learnt from
 and scored each; without training documents every score is that of V = N = 0; extra columns are ignored.
@@ -18,8 +22,10 @@ and scored each; without training documents every score is that of V = N = 0; ex
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
+from functools import cached_property
+from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +37,21 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import ASKED, QUESTION, REST, TABLE, answered, asked, parcel, raw, settled, stretches, table, unparcel, words
 from tallyforge.llm.language import bucket
 
-#: Least shares of tokens, and the test's and smoothing's constants; see above.
-CONTEXT, DEEP, NEXT = 5e-5, 1e-3, 1e-6
+#: Longest contexts, least counts of a context and of its own next symbols, the test's and smoothing's constants; see above.
+DEPTH, LEAST, OWN = 4, 8, 2
 CHANCE, M = 3.84, 4.0
 END = b""
 ADD = 0.1
+#: Share of tokens from which words have a number below RARE (at most 1 / NUMBERED words); the start, no symbol, and words too few to be told apart.
+NUMBERED, RARE, START, NONE, LOW = 5e-5, 1 << 20, 0, -1, -2
+#: Bits of a filter.
+BITS = 1 << 25
+#: Answers from here on are added to the suffix's log10 probability, those below replace it.
+ADDED = 1000.0
 
 
 def _home(word: bytes) -> int:
-    return zlib.crc32(word)
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little") >> 2 | RARE
 
 
 def _parcels(buckets: int, home: np.ndarray, columns: dict[str, pa.Array], kind: int) -> pa.RecordBatch:
@@ -82,118 +94,398 @@ def word_counts(training: DataFrame, text: str, buckets: int) -> DataFrame:
     return settled(sent.repartition(buckets // 4, "bucket").mapInArrow(merge, _PARCEL + ", tokens long, distinct long"))
 
 
-class Tree:
-    """The retained states; words are numbers: 0 rare, 1 to H frequent (by falling count), H + 1 the document's start."""
+class _Rare(dict):
+    """Words' hashes."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        out = self[word] = _home(word)
+        return out
+
+
+def _mix(h: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    h = (h ^ symbol.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def _chain(columns: list[np.ndarray]) -> np.ndarray:
+    h = np.full(len(columns[0]), 0x1234567, np.uint64)
+    for c in columns:
+        h = _mix(h, c)
+    return h
+
+
+def _pack(columns: list[np.ndarray], *more: np.ndarray) -> bytes:
+    """Symbols in two bytes, hashes apart; then other arrays."""
+    parts = []
+    for c in columns:
+        parts += [np.where(c >= RARE, 65535, np.where(c < 0, c + 65535, c)).astype(np.uint16), c[c >= RARE]]
+    return parcel(pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in (*parts, *more)], pa.binary())], ["packed"]))
+
+
+def _unpack(rows: pa.RecordBatch, columns: int, *kinds) -> list[np.ndarray]:
+    parts, out = rows.column(0), []
+    for k in range(columns):
+        small = np.frombuffer(parts[2 * k].as_buffer(), np.uint16)
+        c = small.astype(np.int64)
+        c[small >= 65000] -= 65535
+        c[small == 65535] = np.frombuffer(parts[2 * k + 1].as_buffer(), np.int64)
+        out.append(c)
+    return out + [np.frombuffer(parts[2 * columns + k].as_buffer(), kind) for k, kind in enumerate(kinds)]
+
+
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and length of each run of equal keys."""
+    if not len(key):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    first = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+    return first, np.diff(np.append(first, len(key)))
+
+
+def _distinct(columns: list[np.ndarray], buckets: int):
+    """Distinct windows (next symbol, then the words before it) by home: where one stands, its count, home, and each window's place."""
+    head = _chain(columns[1:3])
+    key = _mix(_chain(columns[1:]), columns[0])
+    _, at, place, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    order = np.argsort(head[at], kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    at = at[order]
+    return at, n[order], _deal(head[at], buckets), rank[place]
+
+
+def _deal(head: np.ndarray, buckets: int) -> np.ndarray:
+    return ((head >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+class Filter:
+    """Hashes marked in BITS bits, by home: says yes to all of them."""
+
+    def __init__(self, buckets: int, rows: list):
+        self.bits = np.zeros((buckets, BITS // buckets // 8 + 1), np.uint8)
+        for home, marks in rows:
+            self.bits[home] = np.frombuffer(marks, np.uint8)
+
+    @staticmethod
+    def place(buckets: int, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) // np.uint64(buckets) % np.uint64(BITS // buckets // 8 * 8 + 8)).astype(np.int64)
+
+    @classmethod
+    def marks(cls, buckets: int, key: np.ndarray) -> bytes:
+        out = np.zeros(BITS // buckets // 8 * 8 + 8, np.uint8)
+        out[cls.place(buckets, key)] = 1
+        return np.packbits(out).tobytes()
+
+    def __call__(self, home: np.ndarray, key: np.ndarray) -> np.ndarray:
+        at = self.place(len(self.bits), key)
+        return (self.bits[home, at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _filters(parcels: DataFrame, buckets: int, keys) -> list[Filter]:
+    """Filters of what keys(parcel) gives as arrays; at most BITS bits each come to the driver."""
+
+    def run(batches):
+        for b in batches:
+            for home, value in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                marks = [Filter.marks(buckets, k) for k in keys(unparcel(value.as_buffer()))]
+                yield pa.RecordBatch.from_arrays([pa.array([home]), pa.array([marks], pa.list_(pa.binary()))], ["home", "marks"])
+
+    rows = parcels.select("bucket", "rows").mapInArrow(run, "home long, marks array<binary>").collect()
+    return [Filter(buckets, [(r.home, r.marks[k]) for r in rows]) for k in range(len(rows[0].marks) if rows else 0)]
+
+
+def _held(table: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of keys in a sorted table, and whether they are there."""
+    if not len(table):
+        return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+    k = np.minimum(np.searchsorted(table, key), len(table) - 1)
+    return k, table[k] == key
+
+
+def retained(context: np.ndarray, n: np.ndarray, total: np.ndarray, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tests contexts by their rows (context, count of a next symbol, of the context, the parent's probability), by context.
+
+    Per row whether its context is retained and the own probability; per context the log10 of the others' factor.
+    """
+    first, many = _runs(context)
+    fold = lambda x: np.add.reduceat(x, first) if len(first) else np.empty(0)
+    c = total[first].astype(float)
+    own = (n + M * parent) / (total + M)
+    q, p = np.minimum(fold(parent), 1 - 1e-9), np.minimum(fold(own), 1 - 1e-9)
+    kl = fold(own * np.log(own / parent)) + (1 - p) * np.log((1 - p) / (1 - q))
+    return np.repeat(2 * c * kl > CHANCE * (many + 1), many), own, np.log10((1 - p) / (1 - q))
+
+
+class Words:
+    """Symbols of words: 0 a document's start, 1 to H frequent (by falling count), from RARE on hashes of others."""
 
     def __init__(self, tokens: int, distinct: int, frequent: list[tuple[bytes, int]]):
-        self.tokens, self.distinct = tokens, distinct
         self.floor = float(np.log10(max(ADD, tokens + ADD * (distinct + 1))))
         self.number = {w: k + 1 for k, (w, _) in enumerate(frequent)}
         self.radix = len(frequent) + 2
-        counts = np.array([c for _, c in frequent], float)
-        self.deep = int((counts >= DEEP * tokens).sum()) if tokens else 0
         #: log10 of the root's probabilities; rare words count 0 here and are added where they meet their counts.
         self.root = np.zeros(self.radix)
-        self.root[1:-1] = np.log10(counts + ADD) - self.floor
-        self.state, self.rest = [np.empty(0, np.int64)] * 2, [np.empty(0)] * 2
-        self.code, self.prob = [np.empty(0, np.int64)] * 2, [np.empty(0)] * 2
+        self.root[1:-1] = np.log10(np.array([c for _, c in frequent], float) + ADD) - self.floor
+        self.rare = _Rare()
+        #: Of words seen OWN and LEAST times; of states' words before, of one word and of two.
+        self.own = self.least = self.one = self.two = None
 
     def numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-        """Word numbers of all texts, each behind two starts, where each text begins, and the words (with the end)."""
+        """Symbols of all texts, each behind DEPTH starts, where each text begins, and the words (with the end)."""
         ws = [[*words(t), END] for t in texts]
-        get, start, flat = self.number.get, self.radix - 1, []
+        get, rare, start, flat = self.number.get, self.rare, (START,) * DEPTH, []
         for w in ws:
-            flat += (start, start)
-            flat += [get(x, 0) for x in w]
-        size = np.array([len(w) + 2 for w in ws], np.int64)
+            flat += start
+            flat += [get(x) or rare[x] for x in w]
+        size = np.array([len(w) + DEPTH for w in ws], np.int64)
         return np.array(flat, np.int64), np.cumsum(size) - size, ws
 
-    def codes(self, ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Places of tokens, and for each the code of its context of one word and of two (-1: none)."""
-        real = np.ones(len(ids), bool)
-        real[begin], real[begin + 1] = False, False
-        at = np.flatnonzero(real)
-        one, two = ids[at - 1], ids[at - 2]
-        fits = (one > 0) & (two > 0) & ((one <= self.deep) | (one == self.radix - 1)) & ((two <= self.deep) | (two == self.radix - 1))
-        return at, [one, np.where(fits, two * self.radix + one, -1)]
-
-    def retain(self, depth: int, context: np.ndarray, nxt: np.ndarray, n: np.ndarray, total: np.ndarray) -> None:
-        """Tests the contexts of one depth.  Rows (context, next symbol, count, count of the context), by context."""
-        first = np.flatnonzero(np.diff(context, prepend=-1)) if len(context) else np.empty(0, np.int64)
-        many = np.diff(np.append(first, len(context)))
-        parent = 10 ** (self.root[nxt] if depth == 0 else self.lookup(0, context % self.radix, nxt))
-        fold = lambda x: np.add.reduceat(x, first) if len(first) else np.empty(0)
-        c = total[first].astype(float)
-        own = (n + M * parent) / (total + M)
-        q, p = np.minimum(fold(parent), 1 - 1e-9), np.minimum(fold(own), 1 - 1e-9)
-        kl = fold(own * np.log(own / parent)) + (1 - p) * np.log((1 - p) / (1 - q))
-        keep = 2 * c * kl > CHANCE * (many + 1)
-        self.state[depth], self.rest[depth] = context[first][keep], np.log10((1 - p) / (1 - q))[keep]
-        rows = np.repeat(keep, many)
-        code = context[rows] * self.radix + nxt[rows]
-        order = np.argsort(code)
-        self.code[depth], self.prob[depth] = code[order], np.log10(own[rows])[order]
-
-    def lookup(self, depth: int, context: np.ndarray, nxt: np.ndarray) -> np.ndarray:
-        """log10 probabilities in contexts of up to depth + 1 words; a context without state is left to its suffix."""
-        out = self.root[nxt] if depth == 0 else self.lookup(0, np.where(context >= 0, context % self.radix, 0), nxt)
-        return self.refine(depth, context, nxt, out)
-
-    def refine(self, depth: int, context: np.ndarray, nxt: np.ndarray, out: np.ndarray) -> np.ndarray:
-        states, codes = self.state[depth], self.code[depth]
-        if not len(states):
-            return out
-        k = np.minimum(np.searchsorted(states, context), len(states) - 1)
-        held = states[k] == context
-        out = np.where(held, out + self.rest[depth][k], out)
-        if len(codes):
-            code = context * self.radix + nxt
-            j = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            out = np.where(held & (codes[j] == code), self.prob[depth][j], out)
+    def lowered(self, ids: np.ndarray, sieve: Filter | None, other: int) -> np.ndarray:
+        """Rare words that the filter doesn't know become the other symbol."""
+        rare = np.flatnonzero(ids >= RARE)
+        out = ids.copy()
+        if len(rare):
+            key = ids[rare]
+            out[rare[~sieve(key % len(sieve.bits), key)]] = other
         return out
 
-    def score(self, ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at, (one, two) = self.codes(ids, begin)
-        out = self.refine(0, one, ids[at], self.root[ids[at]])
-        return at, self.refine(1, two, ids[at], out)
+    def known(self, ids: np.ndarray) -> np.ndarray:
+        return self.root[np.where(ids < RARE, ids, 0)]
+
 
+def windows(t: Words, ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Places of tokens; their symbols (of those seen OWN times), and those of 1 to DEPTH words before (NONE beyond a start or a word seen less than LEAST times)."""
+    real = np.ones(len(ids), bool)
+    for k in range(DEPTH):
+        real[begin + k] = False
+    at, before = np.flatnonzero(real), np.where(ids == LOW, NONE, t.lowered(ids, t.least, NONE))
+    out = [ids[at], before[at - 1]]
+    for k in range(2, DEPTH + 1):
+        out.append(np.where(out[-1] <= START, NONE, before[at - k]))
+    return at, out
 
-def _context_counts(training: DataFrame, tree, text: str, buckets: int) -> DataFrame:
-    """(depth, context, next symbol, n) over all training documents; symbol 0 stands for all rare words."""
+
+def _candidates(training: DataFrame, ship, text: str, buckets: int) -> DataFrame:
+    """Parcels of candidates by home; kind 1: pairs (next symbol, word; count, count of the word), kind 2: longer contexts."""
 
     def send(batches):
-        t = tree.value
+        t = ship.value
         for b in batches:
             for lo in range(0, b.num_rows, 2000):
                 ids, begin, _ = t.numbers(raw(b.slice(lo, 2000), text))
-                at, contexts = t.codes(ids, begin)
-                for depth, c in enumerate(contexts):
-                    ok = c >= 0
-                    code, n = np.unique(c[ok] * t.radix + ids[at][ok], return_counts=True)
-                    if len(code):
-                        home = (code // t.radix * 2654435761 % (1 << 32)) % buckets
-                        yield _parcels(buckets, home, {"code": pa.array(code), "n": pa.array(n.astype(np.int64))}, depth)
+                every = windows(t, t.lowered(ids, t.own, LOW), begin)[1]
+                for kind in (1, 2):
+                    ok = every[kind] != NONE
+                    cols = [c[ok] for c in (every[:2] if kind == 1 else every)]
+                    at, n, home, _ = _distinct(cols, buckets)
+                    cols = [c[at] for c in cols]
+                    runs = stretches(home)
+                    values = [_pack([c[a:z] for c in cols], n[a:z].astype(np.int32)) for a, z in runs]
+                    yield pa.RecordBatch.from_arrays([pa.array(home[[a for a, _ in runs]], pa.int64()), pa.array([kind] * len(runs), pa.int32()), pa.array(values, pa.binary())], ["bucket", "kind", "rows"])
 
     def merge(batches):
-        t = tree.value
-        got: dict[int, list] = {0: [], 1: []}
+        got: dict[tuple[int, int], list[bytes]] = {}
         for b in batches:
-            for depth, value in zip(b.column(1).to_pylist(), b.column(2), strict=True):
-                rows = unparcel(value.as_buffer())
-                got[depth].append((rows.column(0).to_numpy(), rows.column(1).to_numpy()))
-        for depth, parts in got.items():
-            if parts:
-                code, inverse = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-                n = np.bincount(inverse, weights=np.concatenate([x for _, x in parts])).astype(np.int64)
-                context, nxt = code // t.radix, code % t.radix
-                first = np.flatnonzero(np.diff(context, prepend=-1))
-                total = np.repeat(np.add.reduceat(n, first), np.diff(np.append(first, len(code))))
-                keep = (nxt > 0) & (n >= np.maximum(2, NEXT * t.tokens)) & (total >= np.maximum(8, CONTEXT * t.tokens))
-                if keep.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(keep.sum(), depth, np.int32)), *(pa.array(x[keep]) for x in (context, nxt, n, total))], ["depth", "context", "next", "n", "total"])
+            for key, value in zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True), b.column(2).to_pylist(), strict=True):
+                got.setdefault(key, []).append(value)
+        for home, kind in list(got):
+            width = 2 if kind == 1 else DEPTH + 1
+            parts = [_unpack(unparcel(v), width, np.int32) for v in got.pop((home, kind))]
+            *cols, n = [np.concatenate(x) for x in zip(*parts, strict=True)]
+            out = []
+            for depth in (1,) if kind == 1 else range(2, DEPTH + 1):
+                ok = cols[depth] != NONE
+                cols, n = [c[ok] for c in cols], n[ok]
+                context = _chain(cols[1 : depth + 1])
+                order = np.argsort(context, kind="stable")
+                first, many = _runs(context[order])
+                total = np.repeat(np.add.reduceat(n[order].astype(np.int64), first) if len(first) else first, many)
+                order, total = order[total >= LEAST], total[total >= LEAST]  # longer contexts are seen no more often
+                cols, n, context = [c[order] for c in cols], n[order], context[order]
+                key = _mix(context, cols[0])
+                _, at, place = np.unique(key, return_index=True, return_inverse=True)
+                sums = np.bincount(place, weights=n, minlength=len(at)).astype(np.int64)
+                apart = (sums >= OWN) & (cols[0][at] != LOW)
+                at, sums = at[apart], sums[apart]
+                by = np.argsort(context[at], kind="stable")
+                at, sums = at[by], sums[by]
+                parent = _chain(cols[1:depth]) if depth > 1 else context
+                out += [cols[0][at], cols[1][at], sums, total[at], context[at], parent[at]]
+            kinds = len(out) // 6
+            value = _pack([out[6 * k + j] for k in range(kinds) for j in (0, 1)], *(out[6 * k + j] for k in range(kinds) for j in (2, 3, 4, 5)))
+            yield pa.RecordBatch.from_arrays([pa.array([home]), pa.array([kind], pa.int32()), pa.array([value], pa.binary())], ["bucket", "kind", "rows"])
 
     sent = training.select(text).mapInArrow(send, _PARCEL)
-    return sent.repartition(buckets // 4, "bucket").mapInArrow(merge, "depth int, context long, next long, n long, total long")
+    return settled(sent.repartition(buckets // 4, "bucket").mapInArrow(merge, _PARCEL))
+
+
+def _levels(rows: pa.RecordBatch, kinds: int) -> list[tuple[np.ndarray, ...]]:
+    """Of each depth: next symbol, word before, count, context's count, context, parent."""
+    got = _unpack(rows, 2 * kinds, *[np.int64, np.int64, np.uint64, np.uint64] * kinds)
+    return [(*got[2 * k : 2 * k + 2], *got[2 * kinds + 4 * k : 2 * kinds + 4 * k + 4]) for k in range(kinds)]
+
+
+def _states(heads: np.ndarray, buckets: int, key: np.ndarray, value: np.ndarray, state: np.ndarray, rest: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+    """A parcel of states, all of the heads' home: own entries and contexts, each by its hash, and the contexts' nearest one or two words."""
+    a, b, home = np.argsort(key), np.argsort(state), int(_deal(heads[:1], buckets)[0]) if len(heads) else 0
+    packed = _pack([], key[a], value[a].astype(np.float64), state[b], rest[b].astype(np.float64), np.unique(first))
+    return pa.RecordBatch.from_arrays([pa.array([home]), pa.array([0], pa.int32()), pa.array([packed], pa.binary())], ["bucket", "kind", "rows"])
+
+
+_STATE = (np.uint64, np.float64, np.uint64, np.float64, np.uint64)
+
+
+class _Tables:
+    """Answers questions to word counts and states."""
+
+    def __init__(self, tables):
+        self.count: dict[bytes, int] = {}
+        states: list = []
+        for rows in tables:
+            if rows.schema.names[0] == "word":
+                self.count.update(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True))
+            else:
+                states.append(_unpack(rows, 0, *_STATE))
+        self.key, self.value, self.state, self.rest, _ = [np.concatenate(x) for x in zip(*states, strict=True)] if states else [np.empty(0, k) for k in _STATE]
+        for key, value in (("key", "value"), ("state", "rest")):
+            order = np.argsort(getattr(self, key))
+            for name in (key, value):
+                setattr(self, name, getattr(self, name)[order])
+        self.hashed = None
+
+    def __call__(self, rows: pa.RecordBatch) -> pa.Array:
+        name = rows.schema.names[0]
+        if name == "word":
+            return pa.array([self.count.get(w, 0) for w in rows.column(0).to_pylist()], pa.float64())
+        if name == "hash":
+            if self.hashed is None:
+                self.hashed = {_home(w): n for w, n in self.count.items()}
+            return pa.array([self.hashed.get(h, 0) for h in rows.column(0).to_pylist()], pa.float64())
+        width = 2 if len(rows.column(0)) == 4 else DEPTH + 1
+        cols = _unpack(rows, width)
+        out = np.full(len(cols[0]), ADDED)
+        context = _chain(cols[1:2])
+        for depth in range(1, width):
+            if depth > 1:
+                context = _mix(context, cols[depth])
+            if depth == 1 and width > 2:
+                continue
+            k, is_state = _held(self.state, context)
+            if len(self.rest):
+                out = np.where(is_state & (cols[depth] != NONE), out + self.rest[k], out)
+            k, own = _held(self.key, _mix(context, cols[0]))
+            if len(self.value):
+                out = np.where(own & (cols[depth] != NONE), self.value[k], out)
+        return pa.array(out)
+
+
+def _asked_table(counts: DataFrame, shift: int) -> DataFrame:
+    """A table's parcels as those who ask meet them."""
+    return counts.select((F.col("bucket") + shift).alias("home"), F.lit(TABLE).alias("kind"), F.lit(0).cast("long").alias("batch"), F.col("bucket").cast("int").alias("bucket"), "rows")
+
+
+def _pairs(candidates: DataFrame, counts: DataFrame, ship, buckets: int) -> DataFrame:
+    """States of one word; an entry of a context that isn't retained has the root's probability."""
+
+    def ask(batches):
+        for b in batches:
+            for home, value in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                nxt = _levels(unparcel(value), 1)[0][0]
+                rare = np.unique(nxt[nxt >= RARE])
+                at = rare % buckets
+                order = np.argsort(at, kind="stable")
+                rare, at = rare[order], at[order]
+                runs = stretches(at)
+                yield asked([int(at[a]) for a, _ in runs], QUESTION, home, [parcel(pa.RecordBatch.from_arrays([pa.array(rare[a:z])], ["hash"])) for a, z in runs])
+                yield asked([home], REST, home, [value])
+
+    def finish(rest, answers):
+        t = ship.value
+        nxt, word, n, total, context, _ = _levels(rest, 1)[0]
+        rare = np.unique(nxt[nxt >= RARE])
+        rare = rare[np.argsort(rare % buckets, kind="stable")]
+        root = t.known(nxt)
+        many = nxt >= RARE
+        by = np.argsort(rare)
+        count = np.concatenate([np.empty(0), *(x.to_numpy() for x in answers)])[by]
+        root[many] = np.log10(count[np.searchsorted(rare[by], nxt[many])] + ADD) - t.floor
+        parent = 10**root
+        keep, own, share = retained(context, n, total, parent)
+        first, _ = _runs(context)
+        held = keep[first] if len(first) else np.empty(0, bool)
+        return _states(context, buckets, _mix(context, nxt), np.log10(np.where(keep, own, parent)), context[first][held], share[held], context[first][held])
+
+    own = candidates.where("kind = 1").mapInArrow(ask, ASKED).unionAll(_asked_table(counts, 0))
+    return settled(answered(own, _Tables, finish, _PARCEL, buckets // 4))
+
+
+def _longer(candidates: DataFrame, pairs: DataFrame, buckets: int) -> DataFrame:
+    """States of two words and more."""
+
+    def questions(nxt, word):
+        at, _, home, place = _distinct([nxt, word], buckets)
+        return at, home, place
+
+    def ask(batches):
+        for b in batches:
+            for home, value in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                nxt, word = _levels(unparcel(value), DEPTH - 1)[0][:2]
+                at, to, _ = questions(nxt, word)
+                runs = stretches(to)
+                yield asked([int(to[a]) for a, _ in runs], QUESTION, home, [_pack([nxt[at[a:z]], word[at[a:z]]]) for a, z in runs])
+                yield asked([home], REST, home, [value])
+
+    def finish(rest, answers):
+        levels = _levels(rest, DEPTH - 1)
+        key, value, state, shares, heads = [], [], [], [], []
+        before = None
+        for nxt, word, n, total, context, parent in levels:
+            if before is None:
+                p = 10 ** np.concatenate([np.empty(0), *(x.to_numpy() for x in answers)])[questions(nxt, word)[2]]
+            else:
+                p = before[1][_held(before[0], _mix(parent, nxt))[0]] if len(nxt) else np.empty(0)
+            keep, own, share = retained(context, n, total, p)
+            first, _ = _runs(context)
+            held = keep[first] if len(first) else np.empty(0, bool)
+            code = _mix(context, nxt)
+            head = context if before is None else before[3][_held(before[2], parent)[0]] if len(nxt) else context
+            for out, x in ((key, code[keep]), (value, np.log10(own[keep])), (state, context[first][held]), (shares, share[held]), (heads, head[first][held])):
+                out.append(x)
+            order = np.argsort(code)
+            before = code[order], np.where(keep, own, p)[order], context, head
+        return _states(levels[0][4], buckets, *map(np.concatenate, (key, value, state, shares, heads)))
+
+    own = candidates.where("kind = 2").mapInArrow(ask, ASKED).unionAll(_asked_table(pairs, 0))
+    return settled(answered(own, _Tables, finish, _PARCEL, buckets // 4))
+
+
+class Tree:
+    """The root, the states of one word (`pairs`) and of more (`longer`)."""
+
+    def __init__(self, tokens: int, words: Words, pairs: DataFrame, longer: DataFrame):
+        self.tokens, self.words, self.pairs, self.longer = tokens, words, pairs, longer
+        self.radix, self.root = words.radix, words.root
+
+    @cached_property
+    def _seen(self) -> _Tables:
+        """To look at small trees: collects the states of one word."""
+        return _Tables(unparcel(r.rows) for r in self.pairs.select("rows").collect())
+
+    @property
+    def state(self) -> list[np.ndarray]:
+        every = np.arange(self.radix - 1)
+        return [every[_held(self._seen.state, _chain([every]))[1]]]
+
+    @property
+    def rest(self) -> list[np.ndarray]:
+        return [self._seen.rest[_held(self._seen.state, _chain(self.state))[0]]]
+
+    def lookup(self, depth: int, context: np.ndarray, nxt: np.ndarray) -> np.ndarray:
+        """log10 probabilities of numbered words behind numbered words (depth 0)."""
+        out = self._seen(unparcel(_pack([nxt, context]))).to_numpy()
+        return np.where(out >= ADDED / 2, self.root[nxt] + out - ADDED, out)
 
 
 def fit(training: DataFrame, text: str = "text") -> tuple[Tree, DataFrame]:
@@ -203,7 +495,7 @@ def fit(training: DataFrame, text: str = "text") -> tuple[Tree, DataFrame]:
     counts = word_counts(training, text, buckets)
     sums = counts.agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
     tokens, distinct = sums.n or 0, sums.v or 0
-    least = max(2, CONTEXT * tokens)
+    least = max(2, NUMBERED * tokens)
 
     def often(batches):
         for b in batches:
@@ -211,14 +503,16 @@ def fit(training: DataFrame, text: str = "text") -> tuple[Tree, DataFrame]:
                 rows = unparcel(value.as_buffer())
                 yield rows.filter(pc.greater_equal(rows.column(1), pa.scalar(int(np.ceil(least)), pa.int64())))
 
-    found = counts.select("rows").mapInArrow(often, "word binary, n long").collect()  # at most 1 / CONTEXT rows
-    tree = Tree(tokens, distinct, sorted(((bytes(r.word), r.n) for r in found), key=lambda x: (-x[1], x[0])))
-    ship = spark.sparkContext.broadcast(tree)
-    rows = _context_counts(training, ship, text, buckets).toPandas()  # at most 1 / NEXT rows for each depth
-    for depth in (0, 1):
-        own = rows[rows["depth"] == depth].sort_values(["context", "next"])
-        tree.retain(depth, *(own[c].to_numpy(np.int64) for c in ("context", "next", "n", "total")))
-    return tree, counts
+    found = counts.select("rows").mapInArrow(often, "word binary, n long").collect()  # at most 1 / NUMBERED rows
+    words = Words(tokens, distinct, sorted(((bytes(r.word), r.n) for r in found), key=lambda x: (-x[1], x[0])))
+    hashes = lambda rows, least: np.array([_home(w) for w, n in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True) if n >= least], np.int64)
+    words.own, words.least = _filters(counts, buckets, lambda rows: [hashes(rows, OWN), hashes(rows, LEAST)]) or [Filter(buckets, [])] * 2
+    ship = spark.sparkContext.broadcast(words)
+    candidates = _candidates(training, ship, text, buckets)
+    pairs = _pairs(candidates, counts, ship, buckets)
+    longer, heads = _longer(candidates, pairs, buckets), lambda rows: [_unpack(rows, 0, *_STATE)[4]]
+    words.one, words.two = [(_filters(x, buckets, heads) or [Filter(buckets, [])])[0] for x in (pairs, longer)]
+    return Tree(tokens, words, pairs, longer), counts
 
 
 def scored(docs: DataFrame, tree: Tree, counts: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -227,57 +521,70 @@ def scored(docs: DataFrame, tree: Tree, counts: DataFrame, doc: str = "doc_id",
     kind = next(f.dataType.simpleString() for f in docs.schema if f.name == doc)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = 4 * parts
-    ship, names = spark.sparkContext.broadcast(tree), [doc, "n_tokens", "n_known", "base_score", "score"]
+    ship, names = spark.sparkContext.broadcast(tree.words), [doc, "n_tokens", "n_known", "base_score", "score"]
 
     def ask(batches):
         t, own_part, serial = ship.value, TaskContext.get().partitionId(), 0
         for b in batches:
-            for lo in range(0, b.num_rows, 4000):
-                part, batch = b.slice(lo, 4000), own_part << 32 | serial
+            for lo in range(0, b.num_rows, 2000):
+                part, batch = b.slice(lo, 2000), own_part << 32 | serial
                 serial += 1
                 ids, begin, ws = t.numbers(raw(part, text))
-                at, prob = t.score(ids, begin)
-                own = np.searchsorted(begin, at, side="right") - 1
-                fold = lambda w: np.bincount(own, weights=w, minlength=len(begin))  # noqa: B023, E731
-                number: dict[bytes, int] = {}
-                codes, of, get = [], [], t.number.get
-                for k, w in enumerate(ws):
-                    for x in w:
-                        if not get(x):
-                            codes.append(number.setdefault(x, len(number)))
-                            of.append(k)
-                home = np.fromiter((_home(w) for w in number), np.int64, len(number)) % buckets
-                order = np.argsort(home, kind="stable")
-                place = np.empty(len(order), np.int64)
-                place[order] = np.arange(len(order))
-                rare, home = np.array([*number, None], object)[:-1][order], home[order]
+                low = t.lowered(ids, t.own, LOW)
+                at, every = windows(t, low, begin)
+                rare = {_home(w): w for w in set(chain.from_iterable(ws)) - t.number.keys()}
+                number = np.array(sorted(rare, key=lambda h: (h % buckets, h)), np.int64)
+                home = number % buckets
                 runs = stretches(home)
-                values = [parcel(pa.RecordBatch.from_arrays([pa.array(rare[a:z].tolist(), pa.binary())], ["word"])) for a, z in runs]
-                yield asked([int(home[a]) for a, _ in runs], QUESTION, batch, values)
-                places = pa.ListArray.from_arrays(pa.array(np.searchsorted(np.array(of, np.int64), np.arange(len(begin) + 1)), pa.int32()), pa.array(place[np.array(codes, np.int64)] if codes else np.empty(0), pa.int32()))
-                sums = [fold(np.ones(len(at))).astype(np.int64), fold(ids[at] > 0).astype(np.int64), fold(t.root[ids[at]]), fold(prob)]
-                rest = pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(doc)), *map(pa.array, sums), places], [*names, "places"])
+                rare_words = [rare[h] for h in number.tolist()]
+                yield asked([int(home[a]) for a, _ in runs], QUESTION, batch, [parcel(pa.RecordBatch.from_arrays([pa.array(rare_words[a:z], pa.binary())], ["word"])) for a, z in runs])
+                for kind, (cols, _) in enumerate(questions(t, every)):
+                    place, _, home, _ = _distinct(cols, buckets)
+                    cols, runs = [c[place] for c in cols], stretches(home)
+                    yield asked([int(home[a]) + (kind + 1) * buckets for a, _ in runs], QUESTION, batch, [_pack([c[a:z] for c in cols]) for a, z in runs])
+                size = np.diff(np.append(begin, len(ids))) - DEPTH
+                many, by = ids[at] >= RARE, np.argsort(number)
+                place = by[np.searchsorted(number[by], ids[at][many])].astype(np.int32)
+                packed = _pack([np.where(many, NONE, ids[at])], place, np.where(t.lowered(number, t.own, LOW) == LOW, LOW, number))
+                held = pa.array([packed, *[None] * (len(begin) - 1)], pa.binary())
+                rest = pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(doc)), pa.array(size), held], [doc, "n_tokens", "ids"])
                 yield asked([batch % buckets], REST, batch, [parcel(rest)])
 
-    def answer(tables):
-        count: dict[bytes, int] = {}
-        for rows in tables:
-            count.update(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True))
-        return lambda rows: pa.array([count.get(w, 0) for w in rows.column(0).to_pylist()], pa.int64())
+    def questions(t, every):
+        """The windows asked of the tables of pairs and of longer contexts, and whose they are."""
+        for kind, sieve in ((1, t.one), (2, t.two)):
+            head = _chain(every[1 : kind + 1])
+            ok = (every[kind] != NONE) & sieve(_deal(head, buckets), head)
+            yield [c[ok] for c in (every[:2] if kind == 1 else every)], ok
 
     def finish(rest, answers):
-        c = np.concatenate([np.empty(0), *(x.to_numpy() for x in answers)]).astype(float)
-        root, known, lists = np.log10(c + ADD) - ship.value.floor, c > 0, rest.column(5)
-        place = lists.flatten().to_numpy(zero_copy_only=False)
-        own = np.repeat(np.arange(rest.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        more = np.bincount(own, weights=root[place], minlength=rest.num_rows)
-        seen = np.bincount(own, weights=known[place], minlength=rest.num_rows).astype(np.int64)
-        col = lambda k: rest.column(k).to_numpy(zero_copy_only=False)
-        return pa.RecordBatch.from_arrays([rest.column(0), rest.column(1), pa.array(col(2) + seen), pa.array(col(3) + more), pa.array(col(4) + more)], names)
-
-    table_rows = counts.select(F.col("bucket").alias("home"), F.lit(TABLE).alias("kind"), F.lit(0).cast("long").alias("batch"), F.col("bucket").cast("int").alias("bucket"), "rows")
-    sent = docs.select(doc, text).mapInArrow(ask, ASKED).unionAll(table_rows)
-    return answered(sent, answer, finish, f"`{doc}` {kind}, n_tokens long, n_known long, base_score double, score double", parts)
+        t = ship.value
+        got = np.concatenate([np.empty(0), *(x.to_numpy() for x in answers)])
+        size = rest.column(1).to_numpy()
+        own = np.repeat(np.arange(len(size)), size)
+        begin = np.cumsum(size + DEPTH) - size - DEPTH
+        ids = np.full(len(own) + DEPTH * len(size), START, np.int64)
+        token, place, number = _unpack(unparcel(rest.column(2)[0].as_buffer()), 1, np.int32, np.int64)
+        many, root = token == NONE, t.known(token.clip(START))
+        count, lo, known = got[: len(number)][place], len(number), token != NONE
+        root[many], known[many] = np.log10(count + ADD) - t.floor, count > 0
+        token[many] = number[place]
+        ids[np.arange(len(own)) + DEPTH * (own + 1)] = token
+        _, every = windows(t, ids, begin)
+        out = root.copy()
+        for cols, ok in questions(t, every):
+            place = _distinct(cols, buckets)[3]
+            hi = lo + (int(place.max()) + 1 if len(place) else 0)
+            reply = got[lo:hi][place]
+            out[ok] = np.where(reply >= ADDED / 2, out[ok] + (reply - ADDED), reply)
+            lo = hi
+        fold = lambda w: np.bincount(own, weights=w, minlength=len(size))
+        return pa.RecordBatch.from_arrays([rest.column(0), rest.column(1), pa.array(fold(known).astype(np.int64)), pa.array(fold(root)), pa.array(fold(out))], names)
+
+    sent = docs.select(doc, text).mapInArrow(ask, ASKED)
+    for k, rows in enumerate((counts, tree.pairs, tree.longer)):
+        sent = sent.unionAll(_asked_table(rows, k * buckets))
+    return answered(sent, _Tables, finish, f"`{doc}` {kind}, n_tokens long, n_known long, base_score double, score double", parts)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

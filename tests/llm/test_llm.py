@@ -130,6 +130,49 @@ def test_scoring(docs):
         assert abs(p.sum() + rest * share - 1) < 1e-6
 
 
+def test_scoring_whole_tree(spark):
+    rng = random.Random(9)
+    names = [f"n{k}" for k in range(30)]
+    rows = [" ".join(rng.choices(names, k=rng.randrange(40))) for _ in range(400)]
+    rows += [f"{rng.choice(names)} far off {rng.choice(['red', 'blue'])} near by {w}" for w in ("here", "there") for _ in range(12)]
+    rows += [f"{a} {b} stays {c}" for a, b, c in (("one", "two", "up"), ("one", "six", "down"), ("ten", "two", "down")) for _ in range(10)]
+    rows += ["the " * 200_000, None, ""]  # by shares of all tokens the contexts above are rare
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    tree, counts = scoring.fit(docs)
+    got = {r.doc_id: r.score for r in scoring.scored(docs, tree, counts).collect()}
+    ws = [[*(t or "").split(), ""] for t in rows]
+    c = Counter(w for x in ws for w in x)
+    n, v = sum(c.values()), len(c)
+    grams = Counter((tuple(x[max(0, k - d) : k] if k >= d else ["<s>", *x[:k]]), x[k]) for x in ws for k in range(len(x)) for d in range(1, min(scoring.DEPTH, k + 1) + 1))
+    total, own = Counter(), {}
+    for (h, w), m in grams.items():
+        total[h] += m
+        if m >= scoring.OWN:
+            own.setdefault(h, {})[w] = m
+    states = {}
+
+    def p(h, w):
+        if not h:
+            return (c[w] + 0.1) / (n + 0.1 * (v + 1))
+        if h not in states:
+            return p(h[1:], w)
+        return states[h][0][w] if w in states[h][0] else states[h][1] * p(h[1:], w)
+
+    for h in sorted(own, key=len):
+        if total[h] >= scoring.LEAST:
+            up = {w: p(h[1:], w) for w in own[h]}
+            mine = {w: (m + scoring.M * up[w]) / (total[h] + scoring.M) for w, m in own[h].items()}
+            q, s = min(sum(up.values()), 1 - 1e-9), min(sum(mine.values()), 1 - 1e-9)
+            kl = sum(mine[w] * np.log(mine[w] / up[w]) for w in up) + (1 - s) * np.log((1 - s) / (1 - q))
+            if 2 * total[h] * kl > scoring.CHANCE * (len(up) + 1):
+                states[h] = mine, (1 - s) / (1 - q)
+    assert {len(h) for h in states} >= {1, 2, 3}
+    for d, x in enumerate(ws):
+        y = ["<s>", *x]
+        want = sum(np.log10(p(tuple(y[max(0, k + 1 - scoring.DEPTH) : k + 1]), x[k])) for k in range(len(x)))
+        assert got[d] == pytest.approx(want, rel=1e-6)
+
+
 def test_language(docs, spark):
     rng = random.Random(5)
     for _ in range(50):
