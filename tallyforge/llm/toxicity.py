@@ -7,7 +7,8 @@ training rows.  In a toxic document the suspect words are tagged 1, all else 0;
 The field has two tags and the weights of a word's features (the word, its first letters, its last letters, its shape)
 and of tag pairs, fitted by stochastic gradient steps on the likelihood, whose expectations come from forward-backward.
 It is fitted on a bounded sample of labelled documents (`SAMPLE_DOCS`, in the order of a hash of the id, so that both
-labels keep their shares); the document counts of words cover all labelled training rows.
+labels keep their shares); the document counts of words cover all labelled training rows, and every suspect feature of a
+sampled toxic document counts.
 
 Scoring runs forward-backward over every whole text (side by side over many texts) and aggregates the marginals p: how
 likely it is that some word is toxic (one minus the product of 1 - p), how many are expected, how many have p >= 0.5,
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import table
 from tallyforge.llm.language import bucket
 
-#: Bounds of what is fitted: sampled documents, hashed feature weights, suspects kept.
-SAMPLE_DOCS, SPACE, SUSPECTS = 6000, 1 << 18, 4096
+#: Bounds of what is fitted: sampled documents, hashed feature weights.
+SAMPLE_DOCS, SPACE = 6000, 1 << 18
 #: A suspect has so much smoothed log-odds, and so large a likelihood ratio statistic that chance among millions of features is out.
 LOG_ODDS, RATIO = 2.0, 30.0
 EPOCHS, RATE, DECAY, FLOOR = 4, 0.3, 1e-5, 0.3
@@ -210,8 +211,8 @@ class Field:
         return self
 
 
-def suspects(labelled: DataFrame, text: str = "text", toxic: str = "toxic") -> dict[str, float]:
-    """Features with their log-odds; document counts over all labelled rows, at most SUSPECTS come to the driver."""
+def suspects(labelled: DataFrame, asked: set[str], text: str = "text", toxic: str = "toxic") -> dict[str, float]:
+    """The suspect ones of the asked features with their log-odds; document counts over all labelled rows."""
 
     def count(batches):
         total: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -239,27 +240,33 @@ def suspects(labelled: DataFrame, text: str = "text", toxic: str = "toxic") -> d
     part = lambda x, expected: F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
     ratio = 2 * (part(F.col("bad"), seen * base) + part(F.col("good"), seen * (1 - base)))
     top = counts.withColumn("odds", odds).where((F.col("odds") >= LOG_ODDS) & (ratio >= RATIO))
-    return {r.f: r.odds for r in top.orderBy(F.desc("bad"), "f").limit(SUSPECTS).collect()}
+    ship = labelled.sparkSession.sparkContext.broadcast(asked)
+
+    def known(batches):
+        for b in batches:
+            yield b.filter(pa.array([f in ship.value for f in b.column(0).to_pylist()], pa.bool_()))
+
+    return {r.f: r.odds for r in top.select("f", "odds").mapInArrow(known, "f string, odds double").collect()}
 
 
 def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", doc: str = "doc_id") -> Field:
     """A field from rows with a document label (0 or 1)."""
     rows = labelled.where(F.col(toxic).isin(0, 1) & F.col(text).isNotNull())
-    suspect = suspects(rows, text, toxic)
-    if not suspect:
-        return Field()
     fits = rows.where(F.length(text) <= 8_000)
     order = F.xxhash64(F.col(doc), F.lit(9))
     share = min(1.0, 1.5 * SAMPLE_DOCS / max(1, fits.count()))
     thin = fits.where(order.bitwiseAND(F.lit(0xFFFFFF)) / 0x1000000 < share)
-    texts, held, marks = [], [], []
+    learnt, held, marks = [], [], []
     for k, r in enumerate(thin.select(text, toxic, order.alias("o")).sort("o", text).limit(SAMPLE_DOCS).collect()):
         if k % 3 == 2:
             held.append(r[text])
             marks.append(r[toxic])
             continue
-        words = _WORD.findall(r[text].lower())
-        texts.append((words, np.array([float(r[toxic] and any(f in suspect for f in traits(w))) for w in words])))
+        learnt.append((_WORD.findall(r[text].lower()), r[toxic]))
+    suspect = suspects(rows, {f for words, y in learnt if y for w in set(words) for f in traits(w)}, text, toxic)
+    if not suspect:
+        return Field()
+    texts = [(words, np.array([float(y and any(f in suspect for f in traits(w))) for w in words])) for words, y in learnt]
     return Field().fit(texts).calibrate(held, np.array(marks, float))
 
 

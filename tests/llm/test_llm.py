@@ -220,6 +220,17 @@ def test_toxicity(docs):
     assert score[0] > 0.3 > score[1] and spans == [[(2, 7)], [], []]
 
 
+def test_toxicity_all_suspects(spark, monkeypatch):
+    rng = random.Random(6)
+    bad = [["".join(rng.choices("bcdfghjklmnpqrstvwxz", k=7)) for _ in range(980)] for _ in range(3)]
+    texts = [w for w, n in zip(bad, (40, 40, 25), strict=True) for _ in range(n)]
+    rows = [(k, "fine day " + " ".join(w), 1) for k, w in enumerate(texts)] + [(200 + k, "fine day", 0) for k in range(len(texts))]
+    seen = []
+    monkeypatch.setattr(toxicity.Field, "fit", lambda self, texts: seen.extend(texts) or self)
+    toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert {(len(w), t.sum()) for w, t in seen} == {(2, 0), (982, 980)}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(40, 16))
