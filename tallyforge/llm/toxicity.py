@@ -6,8 +6,9 @@ training rows.  In a toxic document the suspect words are tagged 1, all else 0;
 
 The field has two tags and the weights of a word's features (the word, its first letters, its last letters, its shape)
 and of tag pairs, fitted by stochastic gradient steps on the likelihood, whose expectations come from forward-backward.
-It is fitted on a bounded sample of labelled documents (`SAMPLE_DOCS`, in the order of a hash of the id, so that both
-labels keep their shares); the document counts of words cover all labelled training rows, and every suspect feature of a
+It is fitted on a bounded sample of labelled documents of any length (`SAMPLE_DOCS` or `SAMPLE_CHARS`, in the order of a
+hash of the id, so that both labels keep their shares; in pieces of `PIECE` words, while scores are calibrated on whole
+documents); the document counts of words cover all labelled training rows, and every suspect feature of a
 sampled toxic document counts.
 
 Scoring runs forward-backward over every whole text (side by side over many texts) and aggregates the marginals p: how
@@ -34,8 +35,10 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import table
 from tallyforge.llm.language import bucket
 
-#: Bounds of what is fitted: sampled documents, hashed feature weights.
-SAMPLE_DOCS, SPACE = 6000, 1 << 18
+#: Bounds of what is fitted: sampled documents and their characters, hashed feature weights.
+SAMPLE_DOCS, SAMPLE_CHARS, SPACE = 6000, 48_000_000, 1 << 18
+#: Words of a piece in which the field learns from a long document.
+PIECE = 1000
 #: A suspect has so much smoothed log-odds, and so large a likelihood ratio statistic that chance among millions of features is out.
 LOG_ODDS, RATIO = 2.0, 30.0
 EPOCHS, RATE, DECAY, FLOOR = 4, 0.3, 1e-5, 0.3
@@ -252,10 +255,18 @@ def suspects(labelled: DataFrame, asked: set[str], text: str = "text", toxic: st
 def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", doc: str = "doc_id") -> Field:
     """A field from rows with a document label (0 or 1)."""
     rows = labelled.where(F.col(toxic).isin(0, 1) & F.col(text).isNotNull())
-    fits = rows.where(F.length(text) <= 8_000)
     order = F.xxhash64(F.col(doc), F.lit(9))
-    share = min(1.0, 1.5 * SAMPLE_DOCS / max(1, fits.count()))
-    thin = fits.where(order.bitwiseAND(F.lit(0xFFFFFF)) / 0x1000000 < share)
+    share = min(1.0, 1.5 * SAMPLE_DOCS / max(1, rows.count()))
+    thin = rows.where(order.bitwiseAND(F.lit(0xFFFFFF)) / 0x1000000 < share)
+    last, chars = None, 0
+    for r in thin.select(order.alias("o"), F.length(text).alias("n")).sort("o").limit(SAMPLE_DOCS).collect():
+        chars += r.n
+        if last is not None and chars > SAMPLE_CHARS:
+            break
+        last = r.o
+    if last is None:
+        return Field()
+    thin = thin.where(order <= F.lit(last))
     learnt, held, marks = [], [], []
     for k, r in enumerate(thin.select(text, toxic, order.alias("o")).sort("o", text).limit(SAMPLE_DOCS).collect()):
         if k % 3 == 2:
@@ -267,6 +278,7 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", doc: str
     if not suspect:
         return Field()
     texts = [(words, np.array([float(y and any(f in suspect for f in traits(w))) for w in words])) for words, y in learnt]
+    texts = [(words[k : k + PIECE], tags[k : k + PIECE]) for words, tags in texts for k in range(0, len(words), PIECE)]
     return Field().fit(texts).calibrate(held, np.array(marks, float))
 
 

@@ -231,6 +231,14 @@ def test_toxicity_all_suspects(spark, monkeypatch):
     assert {(len(w), t.sum()) for w, t in seen} == {(2, 0), (982, 980)}
 
 
+def test_toxicity_long_documents(spark):
+    rows = [(k, "fine day " * 1000 + ("a NASTY day " if k % 2 else "a fine day ") * 200, k % 2) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = {r.doc_id: r for r in toxicity.scored(docs, toxicity.fit(docs)).collect()}
+    assert min(got[k].score for k in range(1, 120, 2)) > 0.5 > max(got[k].score for k in range(0, 120, 2))
+    assert all(len(got[k].toxic_spans) == k % 2 * 200 for k in range(120))
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(40, 16))
