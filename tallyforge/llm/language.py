@@ -9,7 +9,7 @@ symbol for any run of anything else.  Texts are parsed in blocks of `BLOCK` symb
 block, and the phrases of a text's blocks add up, so whole texts count whatever their length.
 
 The labelled text is a bounded sample: per language, whole labelled documents of `SHORT` to `LONG` characters in the
-order of a hash of their id, until `SAMPLE` symbols are there.  Rows are thinned by that hash before they are sorted, so
+order of a hash of their id (of any length if it has fewer than `FEW` of these), until `SAMPLE` symbols are there.  Rows are thinned by that hash before they are sorted, so
 the sample's cost doesn't grow with the corpus.
 
 Defined results: null texts and texts without a letter are `und` with score 0; nothing labelled makes all texts `und`;
@@ -30,6 +30,8 @@ from tallyforge.llm.common import table
 
 #: Labelled symbols and documents of a language's sample, and the sizes of its documents.
 SAMPLE, SAMPLE_DOCS, SHORT, LONG = 60_000, 400, 60, 8_000
+#: Documents of these sizes without which a language's others are taken too, up to SAMPLE characters of each.
+FEW = 20
 #: Distinct letters with a symbol of their own; symbols of one block.
 LETTERS, BLOCK = 62, 2048
 UNKNOWN = "und"
@@ -165,8 +167,12 @@ class Languages:
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc: str = "doc_id") -> Languages:
     """A model from labelled rows; see SAMPLE for the bound."""
-    fits = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.length(text).between(SHORT, LONG))
-    sizes = {r[lang]: r["n"] for r in fits.groupBy(lang).agg(F.count("*").alias("n")).collect()}  # a row for each language
+    within = F.length(text).between(SHORT, LONG)
+    fits = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    found = fits.groupBy(lang).agg(F.count("*").alias("n"), F.count_if(within).alias("within")).collect()  # a row for each language
+    few = [r[lang] for r in found if r["within"] < FEW]
+    fits = fits.where(within | F.col(lang).isin(few)).withColumn(text, F.when(within, F.col(text)).otherwise(F.substring(text, 1, SAMPLE)))
+    sizes = {r[lang]: r["n"] if r[lang] in few else r["within"] for r in found}
     order = F.xxhash64(F.col(doc), F.lit(7))
     share = F.lit(0.0)
     for name, n in sizes.items():
@@ -205,6 +211,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The pipeline's stage: documents in some language stay (null and letterless ones go)."""
+    """The pipeline's stage: documents in some language stay (null and letterless ones go, also if nothing is labelled)."""
     model = fit(docs.where(bucket(3) != 1))
+    if not model.names:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return predicted(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)

@@ -202,6 +202,14 @@ def test_language(docs, spark):
     assert language.fit(docs.limit(0)).predict(["abc"])[0] == ["und"]
 
 
+def test_language_of_short_or_long_texts(spark):
+    rows = [(k, "der garten", "de") for k in range(30)] + [(40 + k, "the house " * 2000, "en") for k in range(3)] + [(50 + k, "une maison " * 9, "fr") for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert all(r.lang == r.lang_pred for r in language.predicted(docs, language.fit(docs)).collect())
+    bare = spark.createDataFrame([(1, "été", None), (2, "12", None), (3, None, None)], docs.schema)
+    assert [r.doc_id for r in language.accepted(bare).collect()] == [1]
+
+
 def test_toxicity(docs):
     rng = np.random.default_rng(1)
     emit, pair = rng.normal(size=(7, 1)) * 2, rng.normal(size=(2, 2))
