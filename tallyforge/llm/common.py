@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyforge.session import reach
 
@@ -20,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the shared folder of the session; a temporary folder where none is set, as in tests."""
+    """A new path in the shared folder of the session.  Only a local session, as in tests, may do without one and gets a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tallyforge-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tallyforge/{uuid.uuid4().hex}"
@@ -33,7 +36,29 @@ def settled(df: DataFrame, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark)
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._settled_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes settled tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._settled_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def partitions(df: DataFrame, size: int = 32 << 20) -> int:
+    """Shuffle partitions for work on df's texts: the session's number, or more if a share of df's files were larger than size."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    known = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    stored = sum(x for x in known if x < 1 << 60)  # a table of unknown size says the greatest number
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(stored // size, 1 << 20))
+
+
+def by_home(df: DataFrame, home, parts: int) -> DataFrame:
+    """Rows dealt evenly: home is a number, its remainder the partition."""
+    return df.repartitionById(parts, F.pmod(home, F.lit(parts)).cast("int"))
 
 
 def raw(batch: pa.RecordBatch, name: str) -> list[bytes]:
@@ -110,5 +135,5 @@ def answered(rows: DataFrame, answer, finish, schema: str, parts: int) -> DataFr
             own = [unparcel(v).column(0) for _, v in sorted(answers.pop(batch, []))]
             yield finish(unparcel(value), own)
 
-    met = rows.repartition(parts, "home").mapInArrow(first, ASKED)
-    return met.repartition(parts, "batch").mapInArrow(second, schema)
+    met = by_home(rows, F.col("home"), parts).mapInArrow(first, ASKED)
+    return by_home(met, F.col("batch"), parts).mapInArrow(second, schema)

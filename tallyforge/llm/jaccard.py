@@ -1,47 +1,54 @@
 """Near-copies by n-gram Jaccard similarity: universe-partition pigeonhole with one-deletion neighbourhoods.
 
 A document is the set of its distinct word shingles (64-bit hashes).  Sets of a size band that are similar enough differ
-in at most H shingles.  Their universe is cut by a hash into m segments; whatever the cut, among H + 1 + k segments at
-least k + 1 are the same in both sets.  Signatures (band, segment, sum of the segment's mixed hashes) meet by key:
-
-1. Plain allocation for all sets.  Keys that many sets share (hot: empty segments, shared passages) cost most and say
-   least, so up to k of them may be left out for each set: a pair of which one set has at most k hot segments still meets
-   elsewhere.
-2. Sets of a hot key are first paired with the least of them only, and what verifies gives components.
-3. Sets with more than k hot segments (near-copies by the thousand, shared passages) get the other allocation: half as many
-   segments, so twice as long and rarer, each with its one-deletion neighbourhood.  Pairs of such sets meet there, if they
-   are still in different components.
-
-Every candidate pair is verified on whole sets; links of verified pairs become components.  Equal sets are one set from
-the start (their digest), so copies cost nothing.  No group is gathered: keys are compared in sorted arrays, candidates
-are pairs of digests, components come from aggregates.
+in at most H shingles.  Their universe is cut by a hash into m segments; among m = H + 1 + k segments at least k + 1 are
+the same in both sets.  What a segment is allotted decides how it is indexed: nothing, its own key (band, segment, sum of
+its mixed hashes), or its key and its one-deletion neighbourhood.  By the pigeonhole a set finds all its partners if its
+allotments (0, 1 and 2) sum to H + 1 or more.
+
+1. All sets index every segment's key.  A key that few sets share (`HOT`) gives all its pairs; a key that many share is
+   too dear and gives none.  A set with k hot segments at most still meets all its partners, at k + 1 keys less the hot
+   ones: pairs that meet less often go.
+2. Sets with more hot segments, the heavy ones, index one-deletion neighbourhoods too.  The cost of each key, how many
+   heavy sets hold it, allots each segment the most that it can afford.
+3. Sets whose affordable allotments don't sum to H + 1 (near-copies by the hundred) are left.  Two of them that are similar
+   share a hot key.  Each hot key has a centre, the member that holds the most hot keys; members are rewritten as their
+   differences to it, which leaves the distance of any two of them as it is but takes away all that makes them alike.
+   Two members linked to their centre are one component already.  For any other pair more than about half of one's
+   differences are the other's too, so the rarest of them meet in a prefix-filtered join.
+
+Candidates must pass a parity sketch (a lower bound of the difference), then every one is verified on whole sets; links of
+verified pairs become components.  Equal sets are one set from the start (their digest), so copies cost nothing.  No
+group is gathered and no group's pairs are made: what leaves a key is bounded by `HOT` times its sets.
 
 Defined results: null, empty and wordless texts have no shingles and link with nothing; texts of fewer words than a
-shingle have one, all their words; rows that repeat a doc_id share a result; an empty table gives no rows.
+shingle have one, all their words; a doc_id's rows with different texts are one node of the graph, as the doc_id is what
+results name (a null doc_id ties nothing); an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyforge.llm.common import parcel, raw, settled, table, unparcel, words
+from tallyforge.llm.common import by_home, forget, parcel, partitions, raw, settled, table, unparcel, words
 from tallyforge.llm.graph import components
 
 WIDTH, PERCENT = 4, 85
 #: A key that more sets share is hot.
 HOT = 8
-#: Rows of a table that may be broadcast (at most 16 bytes each), beyond it a shuffle join does the same.
+#: Rows of a table of 64-bit or 128-bit keys that may be broadcast (16 MB at most), beyond it a shuffle join does the same.
 SMALL = 1_000_000
+#: Each band's largest set has this share more shingles than its least.
+SPREAD = 1.19
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -66,80 +73,101 @@ def shingles(text: bytes, width: int = WIDTH) -> np.ndarray:
     return np.unique(out)
 
 
+def digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else b""
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """Parities of the set's shingles in 2 to 4 bits for each: sets whose sketches differ in d bits differ in d shingles or more."""
+    if not len(s):
+        return b""
+    bits = max(64, 1 << (2 * len(s) - 1).bit_length())
+    seats = (mix(s ^ _B) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(seats, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ; the longer one is folded to the other's length."""
+    short, long = sorted((a, b), key=len)
+    x, bits = int.from_bytes(long, "little"), 8 * len(long)
+    while bits > 8 * len(short):
+        bits //= 2
+        x = (x & ((1 << bits) - 1)) ^ (x >> bits)
+    return (x ^ int.from_bytes(short, "little")).bit_count()
+
+
 @dataclass(frozen=True)
 class Band:
-    """Sets whose larger partner has between low and high shingles."""
+    """Pairs whose larger set has between low and high shingles, low included."""
 
     level: int
+    low: int
     high: int
     differ: int
-    slack: int
 
     @property
-    def plain(self) -> int:
+    def slack(self) -> int:
+        return max(1, (self.differ + 1) // 8)
+
+    @property
+    def segments(self) -> int:
         return self.differ + 1 + self.slack
 
     @property
-    def halved(self) -> int:
-        return -(-(self.differ + 1) // 2)
+    def spare(self) -> int:
+        """Hot segments that a set may leave out; one less where two of a set's keys might fall together by chance."""
+        return self.slack - (self.slack > 1)
 
 
-@lru_cache(maxsize=512)
-def band(level: int, percent: int = PERCENT) -> Band:
-    """Band of sizes 2^level to 2^(level + 1) - 1."""
-    high = 2 ** (level + 1) - 1
-    differ = 2 * high * (100 - percent) // (100 + percent)
-    return Band(level, high, differ, 0 if differ == 0 else max(1, (differ + 1) // 12))
+@lru_cache(maxsize=8)
+def all_bands(percent: int = PERCENT) -> tuple[Band, ...]:
+    out, low = [], 1
+    while low < 1 << 40:
+        high = max(low, int(low * SPREAD))
+        out.append(Band(len(out), low, high, 2 * high * (100 - percent) // (100 + percent)))
+        low = high + 1
+    return tuple(out)
 
 
-def bands(n: int, percent: int = PERCENT) -> list[Band]:
-    """The bands of all partners that a set of n shingles can have as the smaller or the larger one."""
-    top = n * 100 // percent
-    return [b for b in (band(k, percent) for k in range(n.bit_length() - 1, top.bit_length())) if b.differ]
+@lru_cache(maxsize=1 << 16)
+def bands(n: int, percent: int = PERCENT) -> tuple[Band, ...]:
+    """The bands of all partners that a set of n shingles can have as the smaller or the larger one; sets that may not differ have none."""
+    return tuple(b for b in all_bands(percent) if b.high >= n and b.low <= n * 100 // percent and b.differ)
 
 
-def signatures(sets: list[np.ndarray], percent: int, deletions: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, which set, band level) of all signatures."""
-    entry = [(k, b) for k, s in enumerate(sets) for b in bands(len(s), percent)]
-    if not entry:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    of, level = np.array([k for k, _ in entry]), np.array([b.level for _, b in entry])
-    m = np.array([b.halved if deletions else b.plain for _, b in entry], np.int64)
+def signatures(sets: list[np.ndarray], own: list[Band], deletions: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, which set, segment, 1 for a deletion) of each set's segments in its band, with one-deletion neighbourhoods or without."""
+    m = np.array([b.segments for b in own], np.int64)
+    level = np.array([b.level for b in own], np.uint64)
     base = np.cumsum(m) - m
-    sizes = np.array([len(sets[k]) for k in of])
-    element = np.concatenate([sets[k] for k in of])
-    owner = np.repeat(np.arange(len(entry)), sizes)
+    element = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     seat = (mix(element + _A) >> np.uint64(20)).astype(np.int64) % m[owner] + base[owner]
     value = mix(element ^ _C)
     low, high = (value & np.uint64(0xFFFFFFFF)).astype(np.float64), (value >> np.uint64(32)).astype(np.float64)
     total = int(m.sum())
     add = lambda w: np.bincount(seat, weights=w, minlength=total).astype(np.uint64)
     sums = add(low) + (add(high) << np.uint64(32))
-    holder = np.repeat(np.arange(len(entry)), m)
-    place = (np.arange(total) - base[holder]).astype(np.uint64)
-    label = mix(place * _A + level[holder].astype(np.uint64) * _B + np.uint64(2 if deletions else 1))
+    holder = np.repeat(np.arange(len(sets)), m)
+    place = np.arange(total) - base[holder]
+    label = mix(place.astype(np.uint64) * _A + level[holder] * _B)
+    keys, of, segment, role = mix(label + sums), holder, place, np.zeros(total, np.int8)
     if deletions:
-        keys = np.concatenate([mix(label + sums), mix(label[seat] + sums[seat] - value)])
-        entries = np.concatenate([holder, owner])
-    else:
-        keys, entries = mix(label + sums), holder
-    return keys, of[entries], level[entries]
-
-
-def _grouped(keys: np.ndarray, tags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (key, tag) by key: tags, where each key's tags begin, how many there are (2 at least)."""
-    order = np.lexsort((tags, keys))
-    keys, tags = keys[order], tags[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (tags[1:] != tags[:-1])
-    keys, tags = keys[new], tags[new]
-    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ np.uint64(1)) != 0) if len(keys) else np.empty(0, np.int64)
-    many = np.diff(np.append(first, len(keys)))
-    return tags, first[many > 1], many[many > 1]
-
-
-def _send(buckets: int, keys: np.ndarray, **columns: np.ndarray):
-    """Parcels of (key, columns), one for each bucket of keys."""
+        keys = np.concatenate([keys, mix(label[seat] + sums[seat] - value)])
+        of, segment, role = np.concatenate([of, owner]), np.concatenate([segment, place[seat]]), np.concatenate([role, np.ones(len(seat), np.int8)])
+    return keys, of, segment, role
+
+
+_LOW = np.int64((1 << 48) - 1)
+
+
+def tag(d: bytes) -> int:
+    """A digest's first six bytes as a number; digests that share it are kept apart when pairs get their digests back."""
+    return int.from_bytes(d[:6], "big")
+
+
+def _send(buckets: int, keys: np.ndarray, **columns: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Parcels of (key, columns), one for each bucket of keys, in the order of their keys."""
     bucket = ((keys >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     bucket, names = bucket[order], ["key", *columns]
@@ -149,235 +177,360 @@ def _send(buckets: int, keys: np.ndarray, **columns: np.ndarray):
     for lo, hi in zip(starts, [*starts[1:], len(bucket)], strict=True):
         at.append(int(bucket[lo]))
         values.append(parcel(pa.RecordBatch.from_arrays([pa.array(cols[0][lo:hi]), *(pa.array(c[lo:hi]).dictionary_encode() for c in cols[1:])], names)))
-    return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(values, pa.binary())], ["bucket", "rows"])
+    return at, values
 
 
-def _received(batches) -> dict[str, np.ndarray]:
-    """All parcels of a task, as arrays; keys hold their bucket."""
+def _opened(values: list[bytes], bucket: int) -> dict[str, np.ndarray]:
     cols: dict[str, list] = {}
+    for value in values:
+        rows = unparcel(value)
+        for name, col in zip(rows.schema.names, rows.columns, strict=True):
+            cols.setdefault(name, []).append((col.dictionary_decode() if pa.types.is_dictionary(col.type) else col).to_numpy(zero_copy_only=False))
+    out = {k: np.concatenate(v) for k, v in cols.items()}
+    out["key"] = out["key"].astype(np.int64) | np.int64(bucket) << np.int64(32)
+    return out
+
+
+def _by_bucket(batches, skip=None) -> Iterator[dict[str, np.ndarray]]:
+    """The postings of one bucket after the other, from rows (bucket, rows, ...) sorted by bucket; skip gets batches of rows without one."""
+    now, values = None, []
     for b in batches:
-        for home, value in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            rows = unparcel(value.as_buffer())
-            for name, col in zip(rows.schema.names, rows.columns, strict=True):
-                x = (col.dictionary_decode() if pa.types.is_dictionary(col.type) else col).to_numpy(zero_copy_only=False)
-                cols.setdefault(name, []).append(x.astype(np.uint64) | np.uint64(home) << np.uint64(32) if name == "key" else x)
-    return {k: np.concatenate(v) for k, v in cols.items()}
+        at, rows = b.column(0), b.column(1)
+        for bucket, value in zip(at.to_pylist(), rows.to_pylist(), strict=True):
+            if bucket is None:
+                continue
+            if bucket != now and values:
+                yield _opened(values, now)
+                values = []
+            now = bucket
+            values.append(value)
+        if skip and at.null_count:
+            skip(b.filter(at.is_null()))
+    if values:
+        yield _opened(values, now)
+
+
+def _groups(order: list[np.ndarray]) -> np.ndarray:
+    """Where runs of equal rows of sorted columns begin."""
+    new = np.zeros(len(order[0]), bool)
+    new[:1] = True
+    for c in order:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _all_pairs(tags: np.ndarray, begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """All pairs of each group of `HOT` members at most."""
+    out = [np.empty((0, 2), np.int64)]
+    for n in np.unique(many[many > 1]).tolist():
+        rows = begin[many == n][:, None] + np.arange(n)
+        i, j = np.triu_indices(n, 1)
+        out.append(np.stack([tags[rows[:, i]].ravel(), tags[rows[:, j]].ravel()], axis=1))
+    return np.concatenate(out)
 
 
-_SHORT = 6
-#: Marks a pair of a hot group, in the bits above a tag.
-_STAR = np.int64(64 << 48)
+_BASE, _PAIR, _HEAT = 0, 1, 2
 
 
-def short(digest: bytes) -> int:
-    return int.from_bytes(digest[:_SHORT], "little")
+def _blocks(rows: np.ndarray, size: int = 50_000):
+    return (rows[lo : lo + size] for lo in range(0, len(rows), size))
 
 
-def links(docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Per document: doc, n_shingles, component_id."""
-    spark = docs.sparkSession
+def _met(postings: Iterator[dict[str, np.ndarray]], slack: np.ndarray):
+    """Pairs (x, y, level, times they met, slack) of cold keys and (x, level, hot keys, slack) of sets at hot ones, for a task."""
+    pairs, heat = [np.empty((0, 3), np.int64)], [np.empty((0, 2), np.int64)]
+
+    def counted(parts):
+        rows = np.concatenate(parts)
+        return np.unique(rows[:, :-1], axis=0, return_inverse=True), rows[:, -1]
+
+    def added(parts):
+        (rows, where), n = counted(parts)
+        return np.column_stack([rows, np.bincount(where.ravel(), weights=n, minlength=len(rows)).astype(np.int64)]) if len(rows) else np.concatenate(parts)
+
+    for got in postings:
+        order = np.lexsort((got["tag"], got["key"]))
+        key, who = got["key"][order], got["tag"][order]
+        one = _groups([key, who])
+        key, who = key[one], who[one]
+        begin = _groups([key])
+        many = np.diff(np.append(begin, len(key)))
+        cold = many <= HOT
+        met = _all_pairs(who, begin[cold], many[cold])
+        pairs.append(np.column_stack([met, np.ones(len(met), np.int64)]))
+        hot = who[np.repeat(~cold, many)]
+        heat.append(np.column_stack([hot, np.ones(len(hot), np.int64)]))
+        # counted again now and then, so that what a task holds is its distinct pairs
+        if sum(map(len, pairs)) > 2_000_000:
+            pairs = [added(pairs)]
+        if sum(map(len, heat)) > 2_000_000:
+            heat = [added(heat)]
+    for rows in _blocks(added(pairs)):
+        level = rows[:, 0] >> 48
+        yield _PAIR, rows[:, 0] & _LOW, rows[:, 1] & _LOW, level, rows[:, 2], slack[level]
+    for rows in _blocks(added(heat)):
+        level = rows[:, 0] >> 48
+        yield _HEAT, rows[:, 0] & _LOW, None, level, rows[:, 1], slack[level]
+
+
+def _first(docs: DataFrame, doc: str, text: str, width: int, percent: int) -> DataFrame:
+    """Each row's set (kind 0: d, h, n, digest, sketch), candidates (kind 1: x, y, level, times, slack), hot keys (kind 2: x, level, times, slack)."""
     kind = next(f.dataType.simpleString() for f in docs.schema if f.name == doc)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 4 * parts
+    parts = partitions(docs)
+    buckets = 16 * parts
 
-    def first(batches):
+    def send(batches):
         for b in batches:
-            names = b.column(b.schema.get_field_index(doc))
+            rows = b.num_rows
             sets = [shingles(t, width) for t in raw(b, text)]
-            digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else b"" for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.nulls(b.num_rows, pa.int64()), pa.nulls(b.num_rows, pa.binary()), names, pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary())], ["bucket", "rows", "d", "n", "digest"])
+            digests = [digest(s) for s in sets]
+            own = [pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()), b.column(b.schema.get_field_index(doc)), b.column(b.schema.get_field_index("_h")), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array([sketch(s) for s in sets], pa.binary())]
+            names = ["bucket", "rows", "d", "h", "n", "digest", "sketch"]
+            yield pa.RecordBatch.from_arrays(own, names)
             unique = {d: s for d, s in zip(digests, sets, strict=True) if d}
-            tags = np.array([short(d) for d in unique], np.int64)
-            chosen = list(unique.values())
-            for lo in range(0, len(chosen), 2000):
-                keys, of, level = signatures(chosen[lo : lo + 2000], percent, False)
-                if len(keys):
-                    sent = _send(buckets, keys, tag=tags[lo + of], level=level.astype(np.int8))
-                    n = sent.num_rows
-                    yield pa.RecordBatch.from_arrays([*sent.columns, pa.nulls(n, names.type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], ["bucket", "rows", "d", "n", "digest"])
-
-    def met(batches):
-        """Documents pass; signatures become pairs of tags (x < y) or, where hot, (tag, level)."""
-        kept = []
-        for b in batches:
-            own = b.column(0).is_null()
-            d = b.filter(own)
-            if d.num_rows:
-                none = pa.nulls(d.num_rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([d.column(2), d.column(3), d.column(4), none, none, none], ["d", "n", "digest", "x", "y", "level"])
-            b = b.filter(pc.invert(own))
-            if b.num_rows:
-                kept.append(b.select(["bucket", "rows"]))
-        if not kept:
-            return
-        got = _received(kept)
-        level_of = got["level"].astype(np.int64)
-        tags, begin, many = _grouped(got["key"], got["tag"] | level_of << 48)
-        cold = many <= HOT
-        x, y = _all_pairs(tags, begin[cold], many[cold])
-        star, mates = _stars(tags, begin[~cold], many[~cold])
-        pair = np.unique(np.stack([np.append(x, star | _STAR), np.append(y, mates)], axis=1), axis=0)
-        hot = np.concatenate([np.empty(0, np.int64), *(tags[b : b + n] for b, n in zip(begin[~cold], many[~cold], strict=True))])
-        for block in (pair, np.stack([hot, np.full(len(hot), -1)], axis=1)):
-            for lo in range(0, len(block), 100_000):
-                part, n = block[lo : lo + 100_000], len(block[lo : lo + 100_000])
-                low = np.int64((1 << 48) - 1)
-                is_pair = part[:, 1] >= 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(n, doc_type[0]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(part[:, 0] & low), pa.array(part[:, 1] & low, mask=~is_pair), pa.array(part[:, 0] >> 48)], ["d", "n", "digest", "x", "y", "level"]
-                )
-
-    doc_type = [to_arrow_type(next(f.dataType for f in docs.schema if f.name == doc))]
-    sent = docs.select(doc, text).mapInArrow(first, f"bucket long, rows binary, d {kind}, n long, digest binary")
-    dealt = sent.repartition(parts, F.coalesce("bucket", F.xxhash64("d")))
-    one = settled(dealt.mapInArrow(met, f"d {kind}, n long, digest binary, x long, y long, level long"))
-
-    base = one.where("n is not null").select("d", "n", "digest")
-    reps = base.where("n > 0").groupBy("digest", "n").agg(F.min("d").alias("rep"))
-    reps = settled(_tagged(reps))
-    slack = F.expr("CASE " + " ".join(f"WHEN level = {k} THEN {band(k, percent).slack}" for k in range(40)) + " END")
-    heavy = one.where("x is not null and y is null").groupBy("x", "level").agg(F.count("*").alias("hot")).where(F.col("hot") > slack).select("x").distinct()
-    heavy = settled(heavy)
-    # hot groups' pairs matter for sets that have too many hot segments only
-    star = one.where("y is not null and level >= 64").select("x", "y").distinct().join(heavy, "x", "left_semi").join(heavy.withColumnRenamed("x", "y"), "y", "left_semi")
-    pairs = one.where("y is not null and level < 64").select("x", "y").union(star.select("x", "y"))
-    pairs = settled(_named(pairs, reps, percent))
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(heavy.join(reps, heavy["x"] == reps["tag"]).select("rep")).distinct()
-    sets = _sets(docs, settled(wanted), doc, text, width, kind)
-    edges = _verified(pairs, sets, percent)
-    joined = components(edges)
-    if heavy.limit(1).count():
-        own = sets.select("rep", "s").join(reps.select("rep", "tag").join(heavy.withColumnRenamed("x", "tag"), "tag", "left_semi"), "rep")
-        # a component goes by the tag of its least representative
-        names = reps.select(F.col("rep").alias("component"), F.col("tag").alias("c")).join(joined.select("component").distinct(), "component", "left_semi")
-        labelled = own.join(joined.join(names, "component").select(F.col("node").alias("rep"), "c"), "rep", "left")
-        rest = _named(_second(labelled.select("tag", "s", F.coalesce("c", "tag").alias("c")), parts, percent), reps, percent)
-        rest = settled(rest.join(pairs, ["a", "b"], "left_anti"))
-        if rest.limit(1).count():
-            joined = components(edges.union(_verified(rest, sets, percent)))
-    named = base.join(reps.select("digest", "n", "rep"), ["digest", "n"], "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-    out = named.select(F.col("d").alias(doc), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "d").alias("component_id"))
-    return out
-
-
-def _tagged(reps: DataFrame) -> DataFrame:
-    """reps with tag, the digest's first bytes as a number (least byte first)."""
-    byte = lambda k: F.conv(F.hex(F.expr(f"substring(digest, {k + 1}, 1)")), 16, 10).cast("long") * F.lit(1 << 8 * k)
-    total = byte(0)
-    for k in range(1, _SHORT):
-        total = total + byte(k)
-    return reps.withColumn("tag", total)
+            entries = [(tag(d), s, x) for d, s in unique.items() for x in bands(len(s), percent)]
+            for lo in range(0, len(entries), 4000):
+                tags, chosen, bs = zip(*entries[lo : lo + 4000], strict=True)
+                keys, of, _, _ = signatures(list(chosen), list(bs), False)
+                who = np.array(tags, np.int64) | np.array([x.level for x in bs], np.int64) << 48
+                at, values = _send(buckets, keys, tag=who[of])
+                n = len(at)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(values, pa.binary()), *(pa.nulls(n, c.type) for c in own[2:])], names)
+
+    slack = np.array([b.slack for b in all_bands(percent)], np.int64)
+    columns = ["kind", "d", "h", "n", "digest", "sketch", "x", "y", "level", "times", "slack"]
 
+    def meet(batches):
+        passing = []
+        types = None
 
-def _all_pairs(tags: np.ndarray, begin: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    x, y = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for n in np.unique(many).tolist():
-        rows = begin[many == n][:, None] + np.arange(n)
-        i, j = np.triu_indices(n, 1)
-        x.append(tags[rows[:, i]].ravel())
-        y.append(tags[rows[:, j]].ravel())
-    return np.concatenate(x), np.concatenate(y)
+        def listed(batches):
+            nonlocal types
+            for b in batches:
+                types = types or b.schema
+                yield b
 
+        for got in _met(_by_bucket(listed(batches), passing.append), slack):
+            k, x, y, *rest = got
+            n = len(x)
+            yield pa.RecordBatch.from_arrays([pa.array([k] * n, pa.int32()), *(pa.nulls(n, types.field(c).type) for c in columns[1:6]), pa.array(x), pa.nulls(n, pa.int64()) if y is None else pa.array(y), *(pa.array(r.astype(np.int64)) for r in rest)], columns)
+        for b in passing:
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array([_BASE] * n, pa.int32()), *b.columns[2:], *(pa.nulls(n, pa.int64()) for _ in range(5))], columns)
 
-def _stars(tags: np.ndarray, begin: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each group's least tag with each of its others."""
-    rows = many - 1
-    at = np.repeat(begin + 1, rows) + np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows)
-    return tags[np.repeat(begin, rows)], tags[at]
+    sent = docs.select(doc, text, F.xxhash64(text).alias("_h")).mapInArrow(send, f"bucket long, rows binary, d {kind}, h long, n long, digest binary, sketch binary")
+    dealt = by_home(sent, F.coalesce("bucket", F.xxhash64("h", "d")), parts).sortWithinPartitions("bucket")
+    return settled(dealt.mapInArrow(meet, f"kind int, d {kind}, h long, n long, digest binary, sketch binary, x long, y long, level long, times long, slack long"))
 
 
-def _named(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of tags as pairs of representatives (a < b) whose sizes fit; a tag that two sets share stands for both."""
-    left, right = (reps.select(F.col("tag").alias(t), F.col("rep").alias(f"r{k}"), F.col("n").alias(f"n{k}")) for k, t in enumerate("xy"))
-    both = pairs.select("x", "y").join(left, "x").join(right, "y").where(f"r0 <> r1 AND 100 * least(n0, n1) >= {percent} * greatest(n0, n1)")
-    return both.select(F.least("r0", "r1").alias("a"), F.greatest("r0", "r1").alias("b")).distinct()
+def _shipped(keys: DataFrame) -> DataFrame:
+    """A settled table of 64-bit or 128-bit keys, to be broadcast if it is small; beyond that the join shuffles."""
+    return F.broadcast(keys) if keys.count() <= SMALL else keys
 
 
-def _shipped(ids: DataFrame) -> DataFrame:
-    """One column of ids, to be broadcast if there are few; beyond that the join shuffles."""
-    ids = settled(ids)
-    return F.broadcast(ids) if ids.count() <= SMALL else ids
+def _sets(docs: DataFrame, wanted: DataFrame, doc: str, text: str, width: int) -> DataFrame:
+    """digest, n, s: the whole shingle sets of the wanted ones (digest, rep), from the texts of their documents of the least id."""
 
+    def run(batches):
+        for b in batches:
+            sets = [shingles(t, width) for t in raw(b, text)]
+            yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["digest", "n", "s"])
+
+    keys = settled(wanted.select("digest", F.xxhash64("rep").alias("_k")).distinct())
+    small = keys.count() <= SMALL
+    ship = F.broadcast if small else (lambda x: x)
+    found = docs.select(text, F.xxhash64(doc).alias("_k")).join(ship(keys.select("_k").distinct()), "_k", "left_semi").select(text)
+    out = settled(found.mapInArrow(run, "digest binary, n long, s array<long>").join(ship(keys.select("digest")), "digest", "left_semi").dropDuplicates(["digest"]))
+    forget(keys)
+    return out
 
-def _sets(docs: DataFrame, wanted: DataFrame, doc: str, text: str, width: int, kind: str) -> DataFrame:
-    """The whole shingle sets (s, n of them) of the wanted documents, and those in a fixed quarter of the universe (q).
 
-    q holds 32 bits of each hash: sets seem more alike by that, never less.
-    """
-    ids = _shipped(wanted.select(F.col("rep").alias(doc)))
+def _near(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs of tags as pairs of digests (a < b) whose sizes and sketches allow a link; a tag that two sets share stands for both."""
+    left, right = (reps.select(F.col("tag").alias(t), F.col("digest").alias(f"d{k}"), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"k{k}")) for k, t in enumerate("xy"))
+    both = pairs.select("x", "y").join(left, "x").join(right, "y").where(f"d0 <> d1 AND 100 * least(n0, n1) >= {percent} * greatest(n0, n1)")
 
     def run(batches):
         for b in batches:
-            sets = [shingles(t, width) for t in raw(b, text)]
-            parts = [np.unique((s[mix(s ^ _B) & np.uint64(3) == 0] >> np.uint64(32)).astype(np.uint32)).view(np.int32) for s in sets]
-            kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(doc)), pa.array([len(s) for s in sets], pa.int64()), pa.array(parts, pa.list_(pa.int32())), pa.array([s.view(np.int64) for s in sets], kind)], ["rep", "n", "q", "s"])
+            d0, d1, n0, n1, k0, k1 = (b.column(i).to_pylist() for i in range(6))
+            kept = [(min(p, q), max(p, q)) for p, q, m, n, x, y in zip(d0, d1, n0, n1, k0, k1, strict=True) if (100 + percent) * apart(x, y) <= (100 - percent) * (m + n)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in kept], pa.binary()) for k in (0, 1)], ["a", "b"])
 
-    found = docs.select(doc, text).join(ids, doc, "left_semi").mapInArrow(run, f"rep {kind}, n long, q array<int>, s array<long>")
-    return settled(found)
+    return both.select("d0", "d1", "n0", "n1", "k0", "k1").mapInArrow(run, "a binary, b binary").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are similar enough, on whole sets; pairs that differ too much in a quarter of the universe already need no more."""
+    """The pairs that are similar enough, on whole sets."""
+    left, right = (sets.select(F.col("digest").alias(r), F.col("s").alias(f"s{k}")) for k, r in enumerate("ab"))
+    common = pairs.join(left, "a").join(right, "b").select("a", "b", (F.size("s0") + F.size("s1")).alias("n"), F.size(F.array_intersect("s0", "s1")).alias("i"))
+    return common.where(f"100 * i >= {percent} * (n - i)").select("a", "b")
 
-    def met(pairs: DataFrame, column: str) -> DataFrame:
-        own = sets.join(_shipped(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()), "rep", "left_semi")
-        left, right = (own.select(F.col("rep").alias(r), F.col("n").alias(f"n{k}"), F.col(column).alias(f"s{k}")) for k, r in enumerate("ab"))
-        sizes = pairs.join(left, "a").join(right, "b")
-        return sizes.select("a", "b", (F.col("n0") + F.col("n1")).alias("n"), (F.size("s0") + F.size("s1")).alias("m"), F.size(F.array_intersect("s0", "s1")).alias("i"))
 
-    near = settled(met(pairs, "q").where(f"({100 + percent}) * (m - 2 * i) <= {100 - percent} * n").select("a", "b"))
-    return settled(met(near, "s").where(f"100 * i >= {percent} * (n - i)").select("a", "b").distinct())
+_HOT, _DEAR = 0, 1
 
 
-def _second(own: DataFrame, parts: int, percent: int) -> DataFrame:
-    """Candidates (x, y) among sets with many hot segments, of different components (column c)."""
-    buckets = 4 * parts
+def _neighbourhoods(own: DataFrame, parts: int, percent: int) -> DataFrame:
+    """Heavy sets (tag, level, s) as candidates (x, y) and as dear segments: kind 0, hot (tag, level, segment, key), or kind 1, whose deletions are."""
+    buckets = 16 * parts
+    known = all_bands(percent)
 
     def send(batches):
         for b in batches:
-            sets = [np.asarray(s, np.int64).view(np.uint64) for s in b.column(1).to_numpy(zero_copy_only=False)]
-            tags, comp = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
-            for lo in range(0, len(sets), 1000):
-                keys, of, _ = signatures(sets[lo : lo + 1000], percent, True)
-                if len(keys):
-                    yield _send(buckets, keys, tag=tags[lo + of], comp=comp[lo + of])
+            tags, levels = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            sets = [np.asarray(s, np.int64).view(np.uint64) for s in b.column(2).to_numpy(zero_copy_only=False)]
+            for lo in range(0, len(sets), 500):
+                keys, of, segment, role = signatures(sets[lo : lo + 500], [known[k] for k in levels[lo : lo + 500].tolist()], True)
+                who = tags[lo : lo + 500] | levels[lo : lo + 500] << 48
+                at, values = _send(buckets, keys, tag=who[of], segment=segment.astype(np.int32), role=role)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(values, pa.binary())], ["bucket", "rows"])
 
     def meet(batches):
-        got = _received(batches)
-        if not got:
-            return
-        comp = dict(zip(got["tag"].tolist(), got["comp"].tolist(), strict=True))
-        tags, begin, many = _grouped(got.pop("key"), got.pop("tag"))
-        known, where = np.unique(tags, return_inverse=True)
-        label = np.array([comp[t] for t in known.tolist()], np.int64)[where]
-        for block in _across(tags, begin, many, label):
-            for lo in range(0, len(block), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(block[lo : lo + 100_000, k]) for k in (0, 1)], ["x", "y"])
-
-    return own.mapInArrow(send, "bucket long, rows binary").repartition(parts, "bucket").mapInArrow(meet, "x long, y long").distinct()
-
-
-def _across(tags: np.ndarray, begin: np.ndarray, many: np.ndarray, label: np.ndarray):
-    """Pairs of each group whose labels differ; each pair of a task about once."""
-    done: set[bytes] = set()
-    for b, n in zip(begin.tolist(), many.tolist(), strict=True):
-        t, c = tags[b : b + n], label[b : b + n]
-        same = hashlib.blake2b(t.tobytes(), digest_size=16).digest()
-        if c.min() == c.max() or same in done:
-            continue
-        done.add(same)
-        order = np.argsort(c, kind="stable")
-        t, c = t[order], c[order]
-        end = np.searchsorted(c, c, side="right")
-        pair = np.concatenate([np.stack([np.full(n - e, t[k]), t[e:]], axis=1) for k, e in enumerate(end.tolist()) if e < n])
-        yield np.sort(pair, axis=1)
+        for got in _by_bucket(batches):
+            order = np.lexsort((got["tag"], got["role"], got["key"]))
+            key, who, segment, role = (got[c][order] for c in ("key", "tag", "segment", "role"))
+            one = _groups([key, role, who])
+            key, who, segment, role = key[one], who[one], segment[one], role[one]
+            begin = _groups([key])
+            many = np.diff(np.append(begin, len(key)))
+            gone = np.add.reduceat(role.astype(np.int64), begin)
+            whole = many - gone
+            pairs = [_all_pairs(who, begin[whole <= HOT], whole[whole <= HOT])]
+            asked = (whole > 0) & (gone > 0)
+            cheap = asked & (whole <= HOT) & (gone <= HOT)
+            for f, d in np.unique(np.stack([whole[cheap], gone[cheap]], axis=1), axis=0).tolist():
+                at = begin[cheap & (whole == f) & (gone == d)][:, None]
+                i, j = (x.ravel() for x in np.meshgrid(np.arange(f), f + np.arange(d), indexing="ij"))
+                pairs.append(np.stack([who[at + i].ravel(), who[at + j].ravel()], axis=1))
+            met = np.concatenate(pairs) & _LOW
+            met = np.unique(np.sort(met[met[:, 0] != met[:, 1]], axis=1), axis=0)
+            for rows in _blocks(met):
+                n = len(rows)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), *(pa.nulls(n, t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["x", "y", "kind", "level", "segment", "key"])
+            hot = np.flatnonzero(np.repeat(whole > HOT, many) & (role == 0))
+            dear = np.flatnonzero(np.repeat(asked & ~cheap, many))
+            for kind, rows in ((_HOT, hot), (_DEAR, dear)):
+                for r in _blocks(rows):
+                    n = len(r)
+                    yield pa.RecordBatch.from_arrays([pa.array(who[r] & _LOW), pa.nulls(n, pa.int64()), pa.array([kind] * n, pa.int32()), pa.array(who[r] >> 48), pa.array(segment[r].astype(np.int64)), pa.array(key[r])], ["x", "y", "kind", "level", "segment", "key"])
+
+    sent = own.select("tag", "level", "s").mapInArrow(send, "bucket long, rows binary")
+    return settled(by_home(sent, F.col("bucket"), parts).sortWithinPartitions("bucket").mapInArrow(meet, "x long, y long, kind int, level long, segment long, key long"))
+
+
+def _centred(met: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(c, x): the sets that neighbourhoods can't serve, as digests, each with the centres of its hot keys."""
+    spark = met.sparkSession
+    sizes = F.broadcast(spark.createDataFrame([(b.level, b.segments, b.differ) for b in all_bands(percent)], "level long, m long, differ long"))
+    dear = met.where("kind is not null")
+    each = dear.groupBy("x", "level", "segment").agg(F.max((F.col("kind") == _HOT).cast("long")).alias("hot")).groupBy("x", "level").agg(F.sum("hot").alias("hot"), F.count("*").alias("dear"))
+    left = each.join(sizes, "level").where("(m - hot) + (m - dear) < differ + 1").select("x", "level", "hot")
+    held = settled(dear.where(f"kind = {_HOT}").select("x", "level", "key").join(left, ["x", "level"]))
+    centre = held.groupBy("key").agg(F.max_by("x", F.struct("hot", -F.col("x"))).alias("c"), F.count("*").alias("members")).where("members > 1").select("key", "c")
+    both = settled(held.select("key", "x").join(centre, "key").where("x <> c").select("c", "x").distinct())
+    names = reps.select("tag", "digest")
+    out = both.join(names.toDF("c", "cd"), "c").join(names.toDF("x", "xd"), "x").select(F.col("cd").alias("c"), F.col("xd").alias("x")).where("c <> x").distinct()
+    out = settled(out)
+    forget(held, both)
+    return out
+
+
+def _differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidates (a, b) among members (c, x) of centres: those linked to their centre, and pairs that share enough of their differences to it."""
+
+    def run(batches):
+        for b in batches:
+            own, mid = (b.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
+            gaps = [np.setxor1d(p, q, assume_unique=True) for p, q in zip(own, mid, strict=True)]
+            ints = lambda v: pa.array(list(map(len, v)), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), ints(own), ints(mid), ints(gaps), pa.array(gaps, pa.list_(pa.int64()))], ["c", "x", "n", "m", "gap", "e"])
+
+    joined = members.join(sets.select(F.col("digest").alias("x"), F.col("s").alias("s0")), "x").join(sets.select(F.col("digest").alias("c"), F.col("s").alias("s1")), "c")
+    gaps = settled(joined.select("c", "x", "s0", "s1").mapInArrow(run, "c binary, x binary, n long, m long, gap long, e array<long>"))
+    more, less = 100 + percent, 100 - percent
+    linked = f"{more} * gap <= {less} * (n + m)"
+    each = gaps.select("c", "x", "n", "gap", F.expr(linked).alias("inner"), F.explode("e").alias("e"))
+    often = each.groupBy("c", "e").agg(F.count("*").alias("often"))
+    seat = F.row_number().over(Window.partitionBy("c", "x").orderBy("often", "e")) - 1
+    seated = settled(each.join(often, ["c", "e"]).withColumn("seat", seat).where("often > 1"))
+    # a set that its centre isn't linked to asks with a prefix that holds one of the common differences, all sets answer with theirs
+    ask = seated.where(f"NOT inner AND {percent} * {more} * seat <= {less} * n * (100 + {percent})").select("c", "e", *(F.col(c).alias(f"{c}0") for c in ("x", "n", "gap", "seat")))
+    answer = seated.where(f"{more} * seat < 100 * gap").select("c", "e", *(F.col(c).alias(f"{c}1") for c in ("x", "n", "gap", "seat")))
+    enough = f"x0 <> x1 AND 100 * least(n0, n1) >= {percent} * greatest(n0, n1) AND {more} * (gap0 + gap1 - 2 * least(gap0 - seat0, gap1 - seat1)) <= {less} * (n0 + n1)"
+    pairs = ask.join(answer, ["c", "e"]).where(enough).select(F.least("x0", "x1").alias("a"), F.greatest("x0", "x1").alias("b"))
+    out = settled(pairs.union(gaps.where(linked).select(F.least("c", "x"), F.greatest("c", "x"))).distinct())
+    forget(gaps, seated)
+    return out
+
+
+def grouped(docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, tied: bool = True) -> DataFrame:
+    """Per row: d, h (a hash of its text), n (shingles), digest, and node: the digest of its component, null without shingles.
+
+    tied: a doc_id's sets are one node.
+    """
+    one = _first(docs, doc, text, width, percent)
+    base = one.where(f"kind = {_BASE}").select("d", "h", "n", "digest")
+    number = F.conv(F.hex(F.substring("digest", 1, 6)), 16, 10).cast("long")
+    reps = settled(one.where(f"kind = {_BASE} AND n > 0").groupBy("digest").agg(F.min("d").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).withColumn("tag", number))
+    heat = settled(one.where(f"kind = {_HEAT}").groupBy("x", "level").agg(F.sum("times").alias("hot"), F.first("slack").alias("slack")))
+    hot0, hot1 = (heat.select(F.col("x").alias(t), "level", F.col("hot").alias(f"hot{k}")) for k, t in enumerate("xy"))
+    often = one.where(f"kind = {_PAIR}").groupBy("x", "y", "level").agg(F.sum("times").alias("times"), F.first("slack").alias("slack"))
+    spare = "(slack - CASE WHEN slack > 1 THEN 1 ELSE 0 END)"
+    plain = often.join(hot0, ["x", "level"], "left").join(hot1, ["y", "level"], "left").where(f"times > {spare} - least(coalesce(hot0, 0), coalesce(hot1, 0))")
+    pairs = settled(_near(plain.select("x", "y").distinct(), reps, percent))
+    heavy = settled(heat.where(f"hot > {spare}").select(F.col("x").alias("tag"), "level"))
+    forget(heat)
+    more = []
+    if heavy.limit(1).count():
+        chosen = heavy.join(reps.select("tag", "digest", "rep"), "tag")
+        own = _sets(docs, chosen.select("digest", "rep"), doc, text, width)
+        met = _neighbourhoods(own.join(chosen.select("digest", "tag", "level"), "digest"), partitions(docs), percent)
+        more.append(settled(_near(met.where("kind is null").select("x", "y").distinct(), reps, percent)))
+        members = _centred(met, reps, percent)
+        forget(met)
+        if members.limit(1).count():
+            more.append(_differences(members, own, percent))
+        forget(own, members)
+    for x in more:
+        pairs = pairs.union(x)
+    found = settled(pairs.distinct())
+    ends = found.select(F.col("a").alias("digest")).union(found.select("b")).distinct()
+    sets = _sets(docs, reps.select("digest", "rep").join(ends, "digest", "left_semi"), doc, text, width)
+    edges = _verified(found, sets, percent)
+    if tied:
+        split = base.where("n > 0 AND d IS NOT NULL").groupBy("d").agg(F.min("digest").alias("a"), F.max("digest").alias("z")).where("a <> z").select("d", "a")
+        edges = edges.union(base.join(split, "d").where("n > 0 AND a <> digest").select("a", F.col("digest").alias("b")).distinct())
+    joined = components(edges)
+    forget(found, sets, reps, heavy, *more)
+    return base.join(joined.select(F.col("node").alias("digest"), F.col("component").alias("node")), "digest", "left").withColumn("node", F.when(F.col("n") > 0, F.coalesce("node", "digest")))
+
+
+def links(docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """Per row: doc, n_shingles, component_id (the least doc of its component, its own without shingles)."""
+    rows = grouped(docs, doc, text, width, percent)
+    least = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("d").alias("least"))
+    out = rows.join(least, "node", "left")
+    return out.select(F.col("d").alias(doc), F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("d")).otherwise(F.col("least")).alias("component_id"))
 
 
 def distinct(docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document, the one of the least id, of each component."""
-    found = links(docs, doc, text, width, percent).where(~F.col(doc).eqNullSafe(F.col("component_id"))).select(doc)
-    return docs.join(_shipped(found), doc, "left_anti")
+    """docs with one row of each component: the one of the least doc (a null one comes last), then of the least hash of its text.
+
+    Rows count by doc and text: a doc's rows with different texts are judged apart, equal rows are one.  Rows without
+    shingles all stay.
+    """
+    rows = grouped(docs, doc, text, width, percent, tied=False).where("node IS NOT NULL")
+    order = F.struct(F.col("d").isNull().alias("last"), "d", "h")
+    first = rows.groupBy("node").agg(F.min(order).alias("first"))
+    counted = settled(rows.groupBy("node", "d", "h").agg(F.count("*").alias("rows")).join(first, "node").select("d", "h", "rows", F.expr("d <=> first.d AND h = first.h").alias("stays")))
+    key, same = F.xxhash64(F.col(doc), F.lit(7), F.xxhash64(text)), F.xxhash64("d", F.lit(7), "h")
+    gone = settled(counted.where("NOT stays").select(same.alias("_k")).distinct())
+    twice = settled(counted.where("stays AND rows > 1").select(same.alias("_k")).distinct())
+    keyed = docs.withColumn("_k", key)
+    kept = keyed.join(_shipped(gone), "_k", "left_anti")
+    if twice.limit(1).count():
+        ship = _shipped(twice)
+        kept = kept.join(ship, "_k", "left_anti").unionAll(kept.join(ship, "_k", "left_semi").dropDuplicates(["_k"]))
+    return kept.select(*docs.columns)
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
