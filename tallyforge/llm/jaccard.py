@@ -12,8 +12,8 @@ allotments (0, 1 and 2) sum to H + 1 or more.
 2. Sets with more hot segments, the heavy ones, index one-deletion neighbourhoods too.  The cost of each key, how many
    heavy sets hold it, allots each segment the most that it can afford.
 3. Sets whose affordable allotments don't sum to H + 1 (near-copies by the hundred) are left.  Two of them that are similar
-   share a hot key.  Each hot key has a centre, the member that holds the most hot keys; members are rewritten as their
-   differences to it, which leaves the distance of any two of them as it is but takes away all that makes them alike.
+   share a hot key.  Hot keys agree on centres; members are rewritten as their differences to their key's centre, which
+   leaves the distance of any two of them as it is but takes away all that makes them alike.
    Two members linked to their centre are one component already.  For any other pair more than about half of one's
    differences are the other's too, so the rarest of them meet in a prefix-filtered join.
 
@@ -417,20 +417,36 @@ def _neighbourhoods(own: DataFrame, parts: int, percent: int) -> DataFrame:
     return settled(by_home(sent, F.col("bucket"), parts).sortWithinPartitions("bucket").mapInArrow(meet, "x long, y long, kind int, level long, segment long, key long"))
 
 
+def _most(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """key with its most frequent value (ties: the least), counted in two steps so that no key's values are gathered."""
+    return rows.groupBy(key, value).agg(F.count("*").alias("_n")).groupBy(key).agg(F.max_by(value, F.struct("_n", -F.col(value))).alias(value))
+
+
 def _centred(met: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(c, x): the sets that neighbourhoods can't serve, as digests, each with the centres of its hot keys."""
+    """(c, x): the sets that neighbourhoods can't serve, as digests, each with the centres of its hot keys.
+
+    Two sets of a key need a common centre, whichever it is.  A key begins with its member of the most hot keys; then sets
+    take the centre of most of their keys, and keys the centre of most of their sets, so that a group of copies agrees on
+    one and a set has more than one only where groups meet.
+    """
     spark = met.sparkSession
     sizes = F.broadcast(spark.createDataFrame([(b.level, b.segments, b.differ) for b in all_bands(percent)], "level long, m long, differ long"))
     dear = met.where("kind is not null")
     each = dear.groupBy("x", "level", "segment").agg(F.max((F.col("kind") == _HOT).cast("long")).alias("hot")).groupBy("x", "level").agg(F.sum("hot").alias("hot"), F.count("*").alias("dear"))
     left = each.join(sizes, "level").where("(m - hot) + (m - dear) < differ + 1").select("x", "level", "hot")
-    held = settled(dear.where(f"kind = {_HOT}").select("x", "level", "key").join(left, ["x", "level"]))
+    held = dear.where(f"kind = {_HOT}").select("x", "level", "key").join(left, ["x", "level"])
     centre = held.groupBy("key").agg(F.max_by("x", F.struct("hot", -F.col("x"))).alias("c"), F.count("*").alias("members")).where("members > 1").select("key", "c")
-    both = settled(held.select("key", "x").join(centre, "key").where("x <> c").select("c", "x").distinct())
+    now = settled(held.select("key", "x").join(centre, "key"))
+    for _ in range(2):
+        own = _most(now, "x", "c")
+        agreed = _most(now.select("key", "x").join(own, "x"), "key", "c")
+        last, now = now, settled(now.select("key", "x").join(agreed, "key"))
+        forget(last)
+    both = settled(now.where("x <> c").select("c", "x").distinct())
     names = reps.select("tag", "digest")
     out = both.join(names.toDF("c", "cd"), "c").join(names.toDF("x", "xd"), "x").select(F.col("cd").alias("c"), F.col("xd").alias("x")).where("c <> x").distinct()
     out = settled(out)
-    forget(held, both)
+    forget(now, both)
     return out
 
 
