@@ -4,16 +4,17 @@ Per language a suffix automaton of labelled text is built.  A text is parsed gre
 with anything in the automaton, or one unseen symbol.  The more a text is like a language, the longer its phrases, so the
 language that needs the fewest phrases for each letter wins (ties: the first in order of names).
 
-Symbols are letters in lower case (the most frequent ones of the labelled text; rarer ones share a symbol), and one
-symbol for any run of anything else.  Texts are parsed in blocks of `BLOCK` symbols, side by side: phrases end with a
-block, and the phrases of a text's blocks add up, so whole texts count whatever their length.
+Symbols are a language's own letters in lower case (its `LETTERS` most frequent ones; others share a symbol, so a letter
+that the language doesn't know is an unseen one), and one symbol for any run of anything else.  Whole texts are parsed,
+whatever their length: all texts and languages of a batch step side by side, and the few longest ones end one by one.
 
 The labelled text is a bounded sample: per language, whole labelled documents of `SHORT` to `LONG` characters in the
 order of a hash of their id (of any length if it has fewer than `FEW` of these), until `SAMPLE` symbols are there.  Rows are thinned by that hash before they are sorted, so
 the sample's cost doesn't grow with the corpus.
 
 Defined results: null texts and texts without a letter are `und` with score 0; nothing labelled makes all texts `und`;
-repeated rows get the same result each; extra columns are kept.
+repeated rows get the same result each; extra columns are kept, also those that are named like results (`predicted`
+returns its three under other names on request); an empty table gives no rows; ties go to the first language by name.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ from tallyforge.llm.common import table
 SAMPLE, SAMPLE_DOCS, SHORT, LONG = 60_000, 400, 60, 8_000
 #: Documents of these sizes without which a language's others are taken too, up to SAMPLE characters of each.
 FEW = 20
-#: Distinct letters with a symbol of their own; symbols of one block.
-LETTERS, BLOCK = 62, 2048
+#: Letters of a language with a symbol of their own; lanes from which stepping side by side is quicker than one by one.
+LETTERS, ABREAST = 62, 48
 UNKNOWN = "und"
 _LETTER_RUNS = re.compile(r"[^\W\d_]+")
 
@@ -76,28 +77,46 @@ class SuffixAutomaton:
             self.next[s, list(row)] = list(row.values())
 
 
-def phrases(automaton: np.ndarray, grid: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Phrases of each column of grid (symbols by blocks, longest block first)."""
-    alphabet = automaton.shape[1]
-    flat = np.where(automaton >= 0, automaton * alphabet, -1).astype(np.int32).ravel()
-    state, count = np.zeros(grid.shape[1], np.int32), np.ones(grid.shape[1], np.int32)
-    live = np.searchsorted(-lengths, -np.arange(grid.shape[0]), side="left")  # blocks longer than k
-    for k in range(grid.shape[0]):
+def phrases(flat: np.ndarray, starts: np.ndarray, stream: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Phrases of lanes, longest first: stretches of the stream, each parsed from its own start state.
+
+    flat: next states' places for each state and symbol (-1: none); a state is the place of its row.
+    """
+    state, count = starts.astype(np.int64), np.ones(len(begin), np.int64)
+    longest = int(lengths[0]) if len(lengths) else 0
+    live = np.searchsorted(-lengths, -np.arange(longest), side="left")  # lanes longer than k
+    k = 0
+    while k < longest and live[k] > ABREAST:
         n = live[k]
-        c = grid[k, :n]
+        c = stream[begin[:n] + k]
         to = flat[state[:n] + c]
         dead = np.flatnonzero(to < 0)
         if len(dead):
-            begun = state[dead] > 0  # an unseen symbol in the start state is a phrase by itself, already counted
+            begun = state[dead] != starts[dead]  # an unseen symbol in the start state is a phrase by itself, already counted
             count[dead[begun]] += 1
-            again = flat[c[dead]]
+            again = flat[starts[dead] + c[dead]]
             lone = again < 0
-            again[lone] = 0
-            if k + 1 < grid.shape[0]:
-                alone = dead[lone]
-                count[alone[lengths[alone] > k + 1]] += 1
+            again[lone] = starts[dead[lone]]
+            alone = dead[lone]
+            count[alone[lengths[alone] > k + 1]] += 1
             to[dead] = again
         state[:n] = to
+        k += 1
+    table = memoryview(flat)
+    for lane in range(live[k] if k < longest else 0):
+        now, start, more = int(state[lane]), int(starts[lane]), 0
+        symbols = stream[begin[lane] + k : begin[lane] + lengths[lane]].tolist()
+        last = len(symbols) - 1
+        for i, c in enumerate(symbols):
+            to = table[now + c]
+            if to < 0:
+                more += now != start
+                to = table[start + c]
+                if to < 0:
+                    to = start
+                    more += i < last
+            now = to
+        count[lane] += more
     return count
 
 
@@ -105,58 +124,65 @@ class Languages:
     """The fitted model."""
 
     def __init__(self, samples: dict[str, list[str]]):
-        counts: Counter = Counter()
-        for texts in samples.values():
-            for t in texts:
-                counts.update("".join(_LETTER_RUNS.findall(t.lower())))
-        letters = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]]
-        #: 0: between words; 1: any other letter.
-        self.number = {c: k + 2 for k, c in enumerate(letters)}
         self.names = sorted(samples)
-        self.automata = []
+        #: Per language its letters' symbols (0: between words; 1: any other letter).
+        self.number: list[dict[str, int]] = []
+        tables, self.starts, size = [], [], 0
         for name in self.names:
+            counts: Counter = Counter()
+            for t in samples[name]:
+                counts.update("".join(_LETTER_RUNS.findall(t.lower())))
+            letters = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]]
+            self.number.append({c: k + 2 for k, c in enumerate(letters)})
             symbols: list[int] = []
             for t in samples[name]:
-                symbols += self.symbols(t).tolist() + [0]
+                symbols += self.symbols(self.letters(t), self.number[-1]).tolist() + [0]
                 if len(symbols) >= SAMPLE:
                     break
-            self.automata.append(SuffixAutomaton(symbols, len(letters) + 2).next)
-
-    def symbols(self, text: str) -> np.ndarray:
-        plain = " ".join(_LETTER_RUNS.findall(text.lower()))
-        code = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), "<u4")
+            own = SuffixAutomaton(symbols, len(letters) + 2).next.astype(np.int64)
+            self.starts.append(size)
+            tables.append(np.where(own >= 0, own * own.shape[1] + size, -1).astype(np.int32 if size + own.size < 1 << 31 else np.int64).ravel())
+            size += own.size
+        self.flat = np.concatenate(tables) if tables else np.empty(0, np.int32)
+
+    @staticmethod
+    def letters(text: str) -> np.ndarray:
+        """The text's letters in lower case as code points, one blank for each run of anything else between them."""
+        return np.frombuffer(" ".join(_LETTER_RUNS.findall(text.lower())).encode("utf-32-le", "surrogatepass"), "<u4")
+
+    @staticmethod
+    def symbols(code: np.ndarray, number: dict[str, int]) -> np.ndarray:
         low = np.ones(0x250, np.uint8)
-        for c, k in self.number.items():
+        for c, k in number.items():
             if ord(c) < 0x250:
                 low[ord(c)] = k
         low[32] = 0
         out = low[np.minimum(code, 0x24F)]
-        for k in np.flatnonzero(code >= 0x24F).tolist():
-            out[k] = self.number.get(chr(code[k]), 1)
+        high = np.flatnonzero(code >= 0x24F)
+        if len(high):
+            some, where = np.unique(code[high], return_inverse=True)
+            out[high] = np.array([number.get(chr(c), 1) for c in some.tolist()], np.uint8)[where]
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
         """Language, score (0 to 1) and the winner's phrases per letter."""
-        streams = [self.symbols(t if any(map(str.isalpha, t)) else "") for t in texts]
-        size = np.array([len(s) for s in streams], np.int64)
         if not self.names or not len(texts):
             return [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
-        blocks = [(min(BLOCK, n - k), d, k) for d, n in enumerate(size.tolist()) for k in range(0, n, BLOCK)]
-        blocks.sort(key=lambda x: -x[0])
-        total = np.zeros((len(self.names), len(texts)))
-        for lo in range(0, len(blocks), 8192):
-            part = blocks[lo : lo + 8192]
-            lengths = np.array([x[0] for x in part])
-            grid = np.zeros((len(part), int(lengths[0])), np.uint8)
-            for row, (n, d, k) in enumerate(part):
-                grid[row, :n] = streams[d][k : k + n]
-            grid = np.ascontiguousarray(grid.T).astype(np.int32)
-            of = np.array([x[1] for x in part])
-            for i, a in enumerate(self.automata):
-                np.add.at(total[i], of, phrases(a, grid, lengths))
+        codes = [self.letters(t if any(map(str.isalpha, t)) else "") for t in texts]
+        size = np.array([len(c) for c in codes], np.int64)
+        code, many = np.concatenate(codes), len(self.names)
+        stream = np.concatenate([self.symbols(code, number) for number in self.number])
+        first = np.cumsum(size) - size
+        begin, lengths = (first + len(code) * np.arange(many)[:, None]).ravel(), np.tile(size, many)
+        starts = np.repeat(np.array(self.starts, np.int64), len(texts))
+        order = np.argsort(-lengths, kind="stable")
+        order = order[lengths[order] > 0]
+        total = np.zeros(len(lengths), np.int64)
+        total[order] = phrases(self.flat, starts[order], stream, begin[order], lengths[order])
+        total = total.reshape(many, len(texts)).astype(float)
         best = total.argmin(axis=0)
         least = total[best, np.arange(len(texts))]
-        others = np.where(np.arange(len(self.names))[:, None] == best, np.inf, total).min(axis=0) if len(self.names) > 1 else np.full(len(texts), np.inf)
+        others = np.where(np.arange(many)[:, None] == best, np.inf, total).min(axis=0) if many > 1 else np.full(len(texts), np.inf)
         n = np.maximum(size, 1)
         # The winner's share against the second if each phrase less makes a language twice as likely.
         score = 1 / (1 + np.exp2(-np.minimum(np.where(np.isfinite(others), others - least, 60), 60)))
@@ -184,8 +210,11 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc: str =
     return Languages({k: v[:SAMPLE_DOCS] for k, v in samples.items()})
 
 
-def predicted(docs: DataFrame, model: Languages, text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
-    """docs' columns in keep, lang_pred, score and phrases_per_letter.  One pass, no shuffle."""
+RESULTS = ("lang_pred", "score", "phrases_per_letter")
+
+
+def predicted(docs: DataFrame, model: Languages, text: str = "text", keep: tuple[str, ...] | None = None, results: tuple[str, str, str] = RESULTS) -> DataFrame:
+    """docs' columns in keep, and the language, score and phrases per letter under the names in results.  One pass, no shuffle."""
     ship = docs.sparkSession.sparkContext.broadcast(model)  # SAMPLE bounds each language's automaton
     keep = list(keep or docs.columns)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
@@ -197,9 +226,9 @@ def predicted(docs: DataFrame, model: Languages, text: str = "text", keep: tuple
                 texts = [t or "" for t in part.column(part.schema.get_field_index(text)).to_pylist()]
                 names, score, cost = ship.value.predict(texts)
                 cols = [part.column(part.schema.get_field_index(c)) for c in keep]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(cost, pa.float64())], [*keep, "lang_pred", "score", "phrases_per_letter"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(cost, pa.float64())], [*keep, *results])
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", lang_pred string, score double, phrases_per_letter double"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", {} string, {} double, {} double".format(*results)
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
@@ -207,12 +236,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.where(bucket(3) != 1))
     found = predicted(docs.select("doc_id", "text"), model, keep=("doc_id",))
-    return found.select("doc_id", (bucket(3) == 1).alias("held_out"), "lang_pred", "score", "phrases_per_letter")
+    return found.select("doc_id", F.coalesce(bucket(3) == 1, F.lit(False)).alias("held_out"), *RESULTS)
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The pipeline's stage: documents in some language stay (null and letterless ones go, also if nothing is labelled)."""
+    """The pipeline's stage: documents in some language stay (null and letterless ones go, also if nothing is labelled).
+
+    Long texts and repeated rows are judged as they are, each by itself; columns may have any names.
+    """
     model = fit(docs.where(bucket(3) != 1))
     if not model.names:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return predicted(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    own = tuple(f"_tallyforge_{c}" for c in RESULTS)
+    return predicted(docs, model, results=own).where(F.col(own[0]) != UNKNOWN).select(*docs.columns)
