@@ -6,12 +6,13 @@ them, counted over all documents in a first pass.  As similarity is full contain
 the rarest; it is joined with the documents' shingles, its place in the window and the document's length bound the
 window's place, and the whole window is compared word by word.
 
-Benchmarks of any size: items are dealt into blocks whose windows have a bounded number of words (`BLOCK_WORDS`), one
-block is shipped at a time, and the hit stretches of the blocks are united per document.
+Benchmarks of any size: items are dealt into blocks whose windows have a bounded number of words (`BLOCK_WORDS`).  A batch
+of documents is held against one block after the other, and what they hit is united row by row, without a shuffle.
 
 Defined results: null and empty texts have no words and are clean; items without words never occur; equal windows of
-several items count for each; repeated document rows are judged each (with several blocks, rows that repeat a doc_id and
-text are one); extra columns are ignored.
+several items count for each; windows of items without id are hit, but these items are neither counted nor listed; repeated
+document rows are judged each; extra columns are ignored, and `clean` keeps them whatever their names; the number of
+blocks changes no result; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -45,16 +46,15 @@ class Windows:
     def __init__(self, items: list[tuple[object, list[bytes]]]):
         self.vocab: dict[bytes, int] = {}
         number: dict[tuple, int] = {}
-        self.items: list[list] = []
+        self.items: list[dict] = []
         for item, ws in items:
             ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in ws]
             size = min(WINDOW, len(ids))
             for k in range(len(ids) - size + 1 if ids else 0):
                 w = number.setdefault(tuple(ids[k : k + size]), len(number))
                 if w == len(self.items):
-                    self.items.append([])
-                if item not in self.items[w]:
-                    self.items[w].append(item)
+                    self.items.append({})
+                self.items[w][item] = True
         self.length = np.array([len(w) for w in number], np.int64)
         self.ids = np.zeros((len(number), WINDOW), np.int64)
         for k, w in enumerate(number):
@@ -182,68 +182,57 @@ def _document_frequency(docs: DataFrame, windows: Windows, text: str) -> dict[in
 STRETCHES = "array<struct<first:long,last:long>>"
 
 
-def window_hits(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
-    """Per document: the columns in keep (doc by default), n_words, hits (word stretches covered by windows, both ends included), items (sorted as strings)."""
+RESULTS = ("n_words", "hits", "items")
+
+
+def window_hits(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", keep: tuple[str, ...] | None = None, results: tuple[str, str, str] = RESULTS) -> DataFrame:
+    """Per row: the columns in keep (doc by default), and under the names in results its words, hits (word stretches covered by windows, both ends included) and items (sorted as strings)."""
     spark, keep = docs.sparkSession, list(keep or (doc,))
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     benchmark = benchmark.withColumn(item, F.col(item).cast("string"))
-    found = f"n_words long, hits {STRETCHES}, items array<string>"
-    blocks = ([(i, ws) for i, ws in x if i is not None] for x in _blocks(benchmark, item, item_text))
     ready = []
-    for block in blocks:
+    for block in _blocks(benchmark, item, item_text):
         windows = Windows(block)
         windows.prefixes(_document_frequency(docs, windows, text))
         ready.append(spark.sparkContext.broadcast(windows))
-    if not ready:
-        none = Windows([])
-        none.prefixes({n: np.zeros(0, np.int64) for n in range(1, SHINGLE + 1)})
-        ready.append(spark.sparkContext.broadcast(none))
-    if len(ready) == 1:
-        schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
-        return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_finder(ready[0], keep, text), f"{schema}, {found}")
-    key = docs.select(F.col(doc), F.col(text), F.xxhash64(F.col(text)).alias("_text_key"))
-    parts = [key.mapInArrow(_finder(x, [doc, "_text_key"], text), f"`{doc}` {kinds[doc]}, _text_key long, {found}") for x in ready]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    every = every.groupBy(doc, "_text_key").agg(
-        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    ).withColumn("hits", _united("hits"))
-    if keep == [doc]:
-        return every.drop("_text_key")
-    own = docs.withColumn("_text_key", F.xxhash64(F.col(text)))
-    return own.join(every.withColumnRenamed(doc, "_doc"), own[doc].eqNullSafe(F.col("_doc")) & (own["_text_key"] == every["_text_key"])).select(*(own[c] for c in keep), "n_words", "hits", "items")
-
-
-def _united(col: str):
-    """Overlapping and touching stretches become one."""
-    ordered = F.array_sort(col)
-    step = lambda acc, x: F.when((F.size(acc) > 0) & (x["first"] <= F.element_at(acc, -1)["last"] + 1), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"), F.greatest(F.element_at(acc, -1)["last"], x["last"]).alias("last"))))).otherwise(F.concat(acc, F.array(x)))
-    return F.aggregate(ordered, F.array().cast(STRETCHES), step)
-
-
-def _finder(ship, keep: list[str], text: str):
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", {} long, {} {}, {} array<string>".format(results[0], results[1], STRETCHES, results[2])
+    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_finder(ready, keep, text, results), schema)
+
+
+def _hits(w: Windows, texts: list[bytes], items: list[set]) -> tuple[np.ndarray, np.ndarray]:
+    """Words of the texts, each followed by a gap, that a block's windows cover; adds the items to each text's set."""
+    ids, begin, _ = w.stream(texts)
+    start, which = w.occurrences(ids)
+    cover = np.zeros(len(ids) + 1, np.int64)
+    np.add.at(cover, start, 1)
+    np.add.at(cover, start + w.length[which], -1)
+    pairs = np.unique((np.searchsorted(begin, start, side="right") - 1) * max(1, len(w.items)) + which)
+    for p in pairs.tolist():
+        items[p // len(w.items)].update(w.items[p % len(w.items)])
+    return np.cumsum(cover[:-1]) > 0, begin
+
+
+def _finder(ready: list, keep: list[str], text: str, results: tuple[str, str, str]):
+    stretch = pa.struct([("first", pa.int64()), ("last", pa.int64())])
+
     def run(batches):
-        w = ship.value
-        stretch = pa.struct([("first", pa.int64()), ("last", pa.int64())])
         for b in batches:
-            ids, begin, counts = w.stream(raw(b, text))
-            start, which = w.occurrences(ids)
-            cover = np.zeros(len(ids) + 1, np.int64)
-            np.add.at(cover, start, 1)
-            np.add.at(cover, start + w.length[which], -1)
-            hit = np.concatenate([[0], (np.cumsum(cover[:-1]) > 0).view(np.int8), [0]])
-            edge = np.diff(hit)
+            texts = raw(b, text)
+            items: list[set] = [set() for _ in texts]
+            counts = np.array([len(item_words(t)) for t in texts], np.int64) if not ready else None
+            hit, begin = np.zeros(0, bool), np.zeros(len(texts), np.int64)
+            for ship in ready:
+                covered, begin = _hits(ship.value, texts, items)
+                hit = covered if not len(hit) else hit | covered
+            if counts is None:
+                counts = np.diff(np.append(begin, len(hit))) - 1
+            edge = np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))
             first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
             of = np.searchsorted(begin, first, side="right") - 1
             offsets = np.searchsorted(of, np.arange(len(counts) + 1)).astype(np.int32)
             hits = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(first - begin[of]), pa.array(last - begin[of])], fields=list(stretch)))
-            items: list[set] = [set() for _ in range(len(counts))]
-            pairs = np.unique((np.searchsorted(begin, start, side="right") - 1) * max(1, len(w.items)) + which)
-            for p in pairs.tolist():
-                items[p // len(w.items)].update(w.items[p % len(w.items)])
-            col = lambda c: b.column(b.schema.get_field_index(c))
-            yield pa.RecordBatch.from_arrays([*map(col, keep), pa.array(counts), hits, pa.array([sorted(x) for x in items], pa.list_(pa.string()))], [*keep, "n_words", "hits", "items"])
+            named = pa.array([sorted(x - {None}) for x in items], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), pa.array(counts), hits, named], [*keep, *results])
 
     return run
 
@@ -261,8 +250,10 @@ def judged(hits: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the contaminated ones; all columns stay."""
-    return window_hits(docs, benchmark, keep=tuple(docs.columns)).withColumn("n_hit", F.expr(N_HIT)).where(f"NOT ({CONTAMINATED})").select(*docs.columns)
+    """docs without the contaminated ones, each row judged by itself; all columns stay, whatever their names."""
+    own = tuple(f"_tallyforge_{c}" for c in RESULTS)
+    rule = CONTAMINATED.replace("n_hit", f"({N_HIT.replace('hits', own[1])})").replace("n_words", own[0])
+    return window_hits(docs, benchmark, keep=tuple(docs.columns), results=own).where(f"NOT ({rule})").select(*docs.columns)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
