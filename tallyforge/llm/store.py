@@ -2,19 +2,20 @@
 
 Layout under one folder:
 - `kind=chunk/`: digest (32 bytes, SHA-256 of the payload), n ids, payload (little-endian unsigned 16-bit ids).  Each digest is there once.
-- `kind=recipe/`: per document and place the digest and n of a chunk.
-- `manifest/`: one row per document in ascending doc_id order: start (ids before it), n_tokens, chunks in order, and the root of
+- `kind=recipe/`: per document (its row number `part`) and place the digest and n of a chunk.
+- `manifest/`: one row per document in ascending doc_id order: part, start (ids before it), n_tokens, n_chunks, and the root of
   the binary SHA-256 tree over its chunk digests.
 
 A rolling hash over the last `WINDOW` ids cuts where its low bits are zero, between `LEAST` and `MOST` ids, so equal
 stretches of two documents are cut alike wherever they lie.  Chunks travel by digest, so that one task sees all copies
-and keeps one; a batch sends each chunk once.  Recipes travel by document.
+and keeps one; a task sends each chunk once.  Recipes travel by document.
 
 Reading back opens the files again: each chunk's digest is computed anew from its payload, the recipe's digests must give
 the manifest's root, and a document's CRC is combined from its chunks' CRCs and lengths, so no payload is moved.
 
-Defined results: null and empty texts are their end id alone; documents that repeat a doc_id go together in one recipe,
-in the order of their texts' hashes; extra columns are ignored; an empty table writes an empty store.
+Defined results: null and empty texts are their end id alone; each row is a document of its own, rows that repeat a doc_id
+stand in the order of their texts' hashes (equal ones in any order), those of a null doc_id first; extra columns are
+ignored; an empty table writes an empty store.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import scratch, settled, table
+from tallyforge.llm.common import by_home, partitions, scratch, settled, table
 from tallyforge.llm.encoding import encoder, vocabulary
 
 END_ID, VOCABULARY = 2, "word_bpe_49k.json"
@@ -105,7 +106,9 @@ def crc_joined(a: int, b: int, n: int) -> int:
     return _apply(_zeros(n), a) ^ b if n else a
 
 
-STORED = "kind string, seat long, {doc} {type}, part long, place int, digest binary, n int, payload binary"
+STORED = "kind string, seat long, {doc} {type}, part long, hash long, place int, digest binary, n int, payload binary"
+#: Digests of chunks that a task remembers it has sent; beyond that it may send one again, and the task that gets it keeps one.
+SENT = 1_000_000
 
 
 def write(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text", vocab: str | None = None, end_id: int = END_ID) -> None:
@@ -117,6 +120,7 @@ def write(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text", v
     def chunks(batches):
         ids_of = encoder(source).ids
         end = np.array([end_id], "<u2").tobytes()
+        sent: set[bytes] = set()
         for b in batches:
             column = lambda c: b.column(b.schema.get_field_index(c))  # noqa: B023, E731
             streams = [ids_of(t or "") + end for t in column(text).to_pylist()]
@@ -135,13 +139,17 @@ def write(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text", v
                     of.append(d)
                     place.append(k)
                     first = c
+            unique = {k: v for k, v in unique.items() if k not in sent}
+            if len(sent) + len(unique) > SENT:
+                sent.clear()
+            sent.update(unique)
             own, n = pa.array(of, pa.int64()), len(of)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(["recipe"] * n, pa.string()), column("_seat").take(own), column(doc).take(own), column("_part").take(own), pa.array(place, pa.int32()), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.nulls(n, pa.binary())], names_
+                [pa.array(["recipe"] * n, pa.string()), column("_seat").take(own), column(doc).take(own), column("_part").take(own), column("_hash").take(own), pa.array(place, pa.int32()), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.nulls(n, pa.binary())], names_
             )
             n = len(unique)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(["chunk"] * n, pa.string()), pa.array([int.from_bytes(x[:7], "little") for x in unique], pa.int64()), pa.nulls(n, column(doc).type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(list(unique), pa.binary()), pa.array([len(x) // 2 for x in unique.values()], pa.int32()), pa.array(list(unique.values()), pa.binary())], names_
+                [pa.array(["chunk"] * n, pa.string()), pa.array([int.from_bytes(x[:7], "little") for x in unique], pa.int64()), pa.nulls(n, column(doc).type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(list(unique), pa.binary()), pa.array([len(x) // 2 for x in unique.values()], pa.int32()), pa.array(list(unique.values()), pa.binary())], names_
             )
 
     def once(batches):
@@ -151,28 +159,27 @@ def write(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text", v
             yield b.filter(pc.invert(chunk))
             b = b.filter(chunk)
             keep = []
-            for d in b.column(5).to_pylist():
+            for d in b.column(6).to_pylist():
                 keep.append(d not in seen)
                 seen.add(d)
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    names_ = ["kind", "seat", doc, "part", "place", "digest", "n", "payload"]
+    names_ = ["kind", "seat", doc, "part", "hash", "place", "digest", "n", "payload"]
     schema = STORED.format(doc=f"`{doc}`", type=kind)
-    rows = docs.select(doc, text, F.xxhash64(text).alias("_part"), F.xxhash64(doc, text).alias("_seat")).mapInArrow(chunks, schema)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows.repartition(parts, "seat").mapInArrow(once, schema).drop("seat").write.option("compression", "zstd").partitionBy("kind").parquet(f"{path}/data")
+    rows = docs.select(doc, text, F.xxhash64(text).alias("_hash"), F.xxhash64(doc, text).alias("_seat"), F.monotonically_increasing_id().alias("_part")).mapInArrow(chunks, schema)
+    by_home(rows, F.col("seat"), partitions(docs)).mapInArrow(once, schema).drop("seat").write.option("compression", "zstd").partitionBy("kind").parquet(f"{path}/data")
     recipes = recipe(spark, path, doc, kind)
-    per_doc = recipes.groupBy(doc).agg(F.sum("n").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("part", "place", "digest", "n"))).alias("chunks"))
-    ordered = _started(per_doc, doc)
+    per_doc = recipes.groupBy("part").agg(F.first(doc).alias(doc), F.first("hash").alias("hash"), F.sum("n").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("place", "digest", "n"))).alias("chunks"))
+    ordered = _started(per_doc, [doc, "hash", "part"], partitions(docs))
 
     def roots(batches):
         for b in batches:
             col = b.column(b.schema.get_field_index("chunks"))
             digests = [[c["digest"] for c in x] for x in col.to_pylist()]
-            rest = [b.column(b.schema.get_field_index(c)) for c in (doc, "start", "n_tokens")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array([len(x) for x in digests], pa.int32()), pa.array([merkle(x) for x in digests], pa.binary())], [doc, "start", "n_tokens", "n_chunks", "root"])
+            rest = [b.column(b.schema.get_field_index(c)) for c in ("part", doc, "start", "n_tokens")]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array([len(x) for x in digests], pa.int32()), pa.array([merkle(x) for x in digests], pa.binary())], ["part", doc, "start", "n_tokens", "n_chunks", "root"])
 
-    ordered.mapInArrow(roots, f"`{doc}` {kind}, start long, n_tokens long, n_chunks int, root binary").write.option("compression", "zstd").parquet(f"{path}/manifest")
+    ordered.mapInArrow(roots, f"part long, `{doc}` {kind}, start long, n_tokens long, n_chunks int, root binary").write.option("compression", "zstd").parquet(f"{path}/manifest")
 
 
 def part(spark: SparkSession, path: str, which: str, columns: str) -> DataFrame:
@@ -181,19 +188,17 @@ def part(spark: SparkSession, path: str, which: str, columns: str) -> DataFrame:
 
 
 def recipe(spark: SparkSession, path: str, doc: str, kind: str) -> DataFrame:
-    return part(spark, path, "recipe", f"`{doc}` {kind}, part long, place int, digest binary, n int")
+    return part(spark, path, "recipe", f"`{doc}` {kind}, part long, hash long, place int, digest binary, n int")
 
 
-def _started(per_doc: DataFrame, doc: str) -> DataFrame:
-    """per_doc with start: its documents' ids in doc_id order, over ranges of documents rather than in one task."""
-    spark = per_doc.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = settled(per_doc.repartitionByRange(parts, F.col(doc)).withColumn("_range", F.spark_partition_id()))
+def _started(per_doc: DataFrame, order: list[str], parts: int) -> DataFrame:
+    """per_doc with start: the ids of the documents before each in this order, over ranges of documents rather than in one task."""
+    ranged = settled(per_doc.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()))
     totals = ranged.groupBy("_range").agg(F.sum("n_tokens").alias("t"))
     before = F.coalesce(F.sum("t").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     first = totals.select("_range", before.alias("_first"))  # one row per range
-    within = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("_range").orderBy(doc).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return ranged.withColumn("_within", within).join(first, "_range").withColumn("start", F.col("_first") + F.col("_within")).drop("_first", "_within", "_range").sortWithinPartitions(doc)
+    within = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return ranged.withColumn("_within", within).join(first, "_range").withColumn("start", F.col("_first") + F.col("_within")).drop("_first", "_within", "_range").sortWithinPartitions(*order)
 
 
 def read(spark: SparkSession, path: str, doc: str = "doc_id", kind: str = "bigint") -> DataFrame:
@@ -211,8 +216,8 @@ def read(spark: SparkSession, path: str, doc: str = "doc_id", kind: str = "bigin
 
     sound = stored.mapInArrow(sums, "digest binary, crc long").where("digest is not null")
     used = recipe(spark, path, doc, kind).join(sound, "digest", "left")  # a digest that many documents share is split by the skew join
-    per_doc = used.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("part", "place", "digest", "n", "crc"))).alias("chunks"))
-    manifest = spark.read.schema(f"`{doc}` {kind}, start long, n_tokens long, n_chunks int, root binary").parquet(f"{path}/manifest")
+    per_doc = used.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("place", "digest", "n", "crc"))).alias("chunks"))
+    manifest = spark.read.schema(f"part long, `{doc}` {kind}, start long, n_tokens long, n_chunks int, root binary").parquet(f"{path}/manifest")
 
     def documents(batches):
         for b in batches:
@@ -227,16 +232,16 @@ def read(spark: SparkSession, path: str, doc: str = "doc_id", kind: str = "bigin
             keep = [b.column(b.schema.get_field_index(c)) for c in (doc, "start", "n_tokens")]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(crcs, pa.int64()), pa.array(held, pa.bool_())], [doc, "start", "n_tokens", "ids_crc32", "verified"])
 
-    met = manifest.join(per_doc.withColumnRenamed(doc, "_doc"), F.col(doc).eqNullSafe(F.col("_doc")), "left").drop("_doc")
+    met = manifest.join(per_doc, "part", "left")
     return met.mapInArrow(documents, f"`{doc}` {kind}, start long, n_tokens long, ids_crc32 long, verified boolean")
 
 
 def ids(spark: SparkSession, path: str, docs: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """The id streams (array<int>) of the documents named in docs, rebuilt from the store."""
+    """The id streams (array<int>) of the documents named in docs, rebuilt from the store: one row for each of their rows."""
     kind = next(f.dataType.simpleString() for f in docs.schema if f.name == doc)
     stored = part(spark, path, "chunk", "digest binary, n int, payload binary").select("digest", "payload")
     wanted = recipe(spark, path, doc, kind).join(docs.select(doc).distinct(), doc, "left_semi").join(stored, "digest")
-    per_doc = wanted.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("part", "place", "payload"))).alias("chunks"))
+    per_doc = wanted.groupBy("part").agg(F.first(doc).alias(doc), F.array_sort(F.collect_list(F.struct("place", "payload"))).alias("chunks")).select(doc, "chunks")
 
     def rebuild(batches):
         for b in batches:
