@@ -13,8 +13,9 @@ Vectors without direction or pivots too many to matter: in data without clusters
 and the comparisons grow with the square of a label's distinct vectors.
 
 Defined results: null, empty and zero vectors, vectors with null or non-finite components and rows without label link
-with nothing and are kept; vectors of unequal length never link; repeated ids are rows of their own for the links of
-others and share one result.
+with nothing and are kept; vectors of unequal length never link; vectors of any finite size are compared, as each is
+divided by its largest component first; the rows of an id are one node of the graph, and each gives the id's result; a
+null id ties nothing; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -155,7 +156,8 @@ def linked(vectors: DataFrame, vec: str = "vec_id", embedding: str = "embedding"
     e = F.col(embedding).cast("array<double>")
     sound = F.coalesce(F.col(label).isNotNull() & (F.size(e) > 0) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0), F.lit(False))
     base = vectors.select(F.col(vec).alias("v"), F.col(label).alias("l"), e.alias("e"), sound.alias("ok"))
-    keyed = base.where("ok").withColumn("key", F.sha2(F.concat_ws(",", F.transform("e", lambda x: (x + 0.0).cast("string"))).cast("binary"), 256))
+    largest = F.array_max(F.transform("e", F.abs))
+    keyed = base.where("ok").withColumn("e", F.transform("e", lambda x: x / largest)).withColumn("key", F.sha2(F.concat_ws(",", F.transform("e", lambda x: (x + 0.0).cast("string"))).cast("binary"), 256))
     reps = keyed.groupBy("l", "key").agg(F.min("v").alias("rep"), F.count("*").alias("w"), F.first("e").alias("e"))
     reps = settled(reps.withColumn("dim", F.size("e")))
 
@@ -230,8 +232,10 @@ def linked(vectors: DataFrame, vec: str = "vec_id", embedding: str = "embedding"
 
     found = settled(work.groupBy("key").applyInArrow(compare, f"a {rep_kind}, b {rep_kind}, n long"))
     links = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
-    joined = components(found.where("b is not null").select("a", "b"))
-    ids = keyed.select("v", "l", "key").join(reps.select("l", "key", "rep", "w"), ["l", "key"])
+    ids = settled(keyed.select("v", "l", "key").join(reps.select("l", "key", "rep", "w"), ["l", "key"]))
+    # ids with rows of different vectors tie these vectors
+    tied = ids.where("v IS NOT NULL AND rep IS NOT NULL AND v <> rep").join(ids.groupBy("v").agg(F.min("rep").alias("m"), F.max("rep").alias("x")).where("m <> x").select("v"), "v", "left_semi").select(F.col("v").alias("a"), F.col("rep").alias("b"))
+    joined = components(found.where("a is not null and b is not null").select("a", "b").union(tied))
     ids = ids.join(links.withColumnRenamed("a", "rep"), "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     own = ids.groupBy("v").agg(F.max(F.col("w") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.min(F.coalesce("component", "rep")).alias("component_id"))
     out = vectors.select(F.col(vec).alias("v")).join(own, "v", "left")
