@@ -17,8 +17,9 @@ and how many are expected in a hundred words.  A logistic function of the four g
 field isn't fitted on.  Small p count as none, so that many doubts don't add up.  Words with p >= 0.5 are the offending
 offsets.
 
-Defined results: null and empty texts have no words and get score 0; without labels of both kinds all scores are 0;
-labelled rows of unknown documents, and labels that are null, are not learnt from; repeated document rows are scored each.
+Defined results: null and empty texts have no words and get the score of no evidence, 0 if nothing was learnt; without
+labels of both kinds all scores are 0; labelled rows of unknown documents, and labels that are null, are not learnt from;
+repeated document rows are scored each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -55,6 +56,12 @@ def spans(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _WORD.finditer(text)]
 
 
+def lowered(text: str) -> list[str]:
+    """The words at spans, in lower case (which may be longer than the word)."""
+    low = text.lower()
+    return _WORD.findall(low) if len(low) == len(text) else [text[a:b].lower() for a, b in spans(text)]
+
+
 def traits(word: str) -> list[str]:
     """Features of a lower-case word; the first is the word."""
     return ["w" + word, *(f"h{k}{word[:k]}" for k in HEADS if len(word) > k), *(f"t{k}{word[-k:]}" for k in TAILS if len(word) > k)]
@@ -166,8 +173,7 @@ class Field:
 
     def read(self, texts: list[str]) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
         """What the marginals say of each text, and the offending stretches."""
-        low = [t.lower() for t in texts]
-        words = [_WORD.findall(t) for t in low]
+        words = [lowered(t) for t in texts]
         evidence, hits = np.zeros((len(texts), 4)), [[] for _ in texts]
         order = sorted((k for k in range(len(texts)) if words[k]), key=lambda k: -len(words[k]))
         lo = 0
@@ -188,8 +194,8 @@ class Field:
             lo = hi
         for k, rows in enumerate(hits):
             if rows:
-                at = spans(texts[k]) if len(low[k]) == len(texts[k]) else spans(low[k])
-                hits[k] = [at[r] for r in sorted(rows) if r < len(at)]
+                at = spans(texts[k])
+                hits[k] = [at[r] for r in sorted(rows)]
         return evidence, hits
 
     def logistic(self, evidence: np.ndarray) -> np.ndarray:
@@ -221,7 +227,7 @@ def suspects(labelled: DataFrame, asked: set[str], text: str = "text", toxic: st
         total: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for b in batches:
             for t, y in zip(b.column(b.schema.get_field_index(text)).to_pylist(), b.column(b.schema.get_field_index(toxic)).to_pylist(), strict=True):
-                total[y].update({f for w in set(_WORD.findall((t or "").lower())) for f in traits(w)})
+                total[y].update({f for w in set(lowered(t or "")) for f in traits(w)})
                 if len(total[0]) + len(total[1]) > 2_000_000:
                     yield from flush(total)
         yield from flush(total)
@@ -273,7 +279,7 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", doc: str
             held.append(r[text])
             marks.append(r[toxic])
             continue
-        learnt.append((_WORD.findall(r[text].lower()), r[toxic]))
+        learnt.append((lowered(r[text]), r[toxic]))
     suspect = suspects(rows, {f for words, y in learnt if y for w in set(words) for f in traits(w)}, text, toxic)
     if not suspect:
         return Field()
@@ -310,4 +316,4 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         labels = F.broadcast(labels)  # else both sides are shuffled by doc_id
     field = fit(docs.where(bucket(4) != 2).join(labels, "doc_id"))
     found = scored(docs, field)
-    return found.select("doc_id", (bucket(4) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), F.size("toxic_spans").cast("long").alias("n_spans"))
+    return found.select("doc_id", F.coalesce(bucket(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), F.size("toxic_spans").cast("long").alias("n_spans"))
