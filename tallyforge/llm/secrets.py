@@ -1,25 +1,30 @@
 """Secret scans: all rules in one minimised automaton, one pass over the bytes.
 
-Each rule's regular expression becomes a Thompson automaton behind a free prefix; subset construction over byte classes
-joins the rules, partition refinement merges equal states, and the result is one transition array (states x 256) and one
-mask of rules per state.  A batch of texts is one byte stream with a separator (0xFF, never in UTF-8) that resets the
-automaton.  The stream is cut into lanes that step together; a lane begins in the start state and is corrected from the
-state in which the lane before it really ended, until both runs agree.  Documents where a rule accepts get that rule's
-exact leftmost spans; all others have none.
-
-Defined results: null and empty texts have no spans; repeated rows are scanned each; extra columns are ignored.
+Each rule's regular expression becomes a Thompson automaton; subset construction over byte classes joins the rules behind
+a free prefix, partition refinement merges equal states, and the result is one transition array (states x 256) and one
+mask of rules per state.  In this automaton a long count after a rare start would multiply states, so it holds each
+rule's opening: the rule with its later counts lowered to one, derived from the rule.  A batch of texts is one byte
+stream with a separator (0xFF, never in UTF-8) that resets the automaton.  The stream is cut into lanes that step
+together; a lane begins in the start state and is corrected from the state in which the lane before it really ended,
+until both runs agree.
+
+Where an opening ends, two more transition arrays of its rule, with all counts, give the span: the reversed opening leads
+back to the leftmost start, and the rule leads on from there to the longest end.
+
+Defined results: null and empty texts have no spans; matches of a kind don't overlap, the leftmost counts, and matches
+that are too short are dropped but still taken; ties of starts go by the order of kinds; repeated rows and texts of any
+length are scanned whole and each; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
 from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyforge.llm.common import raw, table
 
@@ -28,29 +33,27 @@ from tallyforge.llm.common import raw, table
 
 @dataclass(frozen=True)
 class Rule:
+    """A match is `head` and `body`; it is kept if the body has `least` characters or more."""
+
     kind: str
-    #: What the automaton looks for, in the syntax of `_Parser`: a prefix of each match of `exact` that would be kept.
-    #: Long counts after a rare start would multiply states, so only hex, which begins with anything, counts to its end.
-    automaton: str
-    #: What gives the exact spans, on text.
-    exact: str
-    #: A match is kept if this group has so many characters.
-    group: int = 0
+    body: str
+    head: str = ""
     least: int = 0
 
 
 _WORDS = "([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
-#: The first three are the base kinds, in the order that breaks ties.
+#: The first three are the base kinds, in the order that breaks ties.  A match of access or hex that is too short holds no
+#: longer one, so their least lengths are counts; one of assign may, so its length is looked at when it is found.
 BASE = (
-    Rule("assign", _WORDS + "[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9+/_.=-]", _WORDS + "[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
-    Rule("access", "AKIA[A-Z0-9]", "AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", "[0-9a-f]{24}", "[0-9a-f]+", 0, 24),
+    Rule("assign", "[A-Za-z0-9+/_.=-]+", _WORDS + "[\"']?\\x20*[:=]\\x20*[\"']?", 6),
+    Rule("access", "AKIA[A-Z0-9]{16,}"),
+    Rule("hex", "[0-9a-f]{24,}"),
 )
 ADDED = (
-    Rule("github", "gh[pousr]_[A-Za-z0-9]", "gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("slack", "xox[abprs]-[A-Za-z0-9-]", "xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("jwt", "eyJ[A-Za-z0-9_-]+\\.eyJ", "eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}(?:\\.[A-Za-z0-9_-]+)?"),
-    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
+    Rule("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}(\\.[A-Za-z0-9_-]+)?"),
+    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 RULES = BASE + ADDED
 
@@ -59,7 +62,7 @@ RULES = BASE + ADDED
 
 
 class _Parser:
-    """Literals, classes, groups, |, ?, *, +, {m}; over bytes."""
+    """Literals, classes, groups, |, ?, *, +, {m}, {m,}; over bytes."""
 
     def __init__(self, text: str):
         self.text, self.at = text, 0
@@ -71,8 +74,8 @@ class _Parser:
         self.step.append(None)
         return len(self.eps) - 1
 
-    def parse(self) -> tuple[int, int]:
-        return self.thompson(self.alternatives())
+    def parse(self):
+        return self.alternatives()
 
     def alternatives(self):
         out = [self.sequence()]
@@ -89,7 +92,8 @@ class _Parser:
                 op = self.text[self.at]
                 if op == "{":
                     end = self.text.index("}", self.at)
-                    item, self.at = ("seq", [item] * int(self.text[self.at + 1 : end])), end + 1
+                    count, self.at = self.text[self.at + 1 : end], end + 1
+                    item = ("seq", [item] * (int(count[:-1]) - 1) + [("+", item)]) if count.endswith(",") else ("seq", [item] * int(count))
                 else:
                     item, self.at = (op, item), self.at + 1
             out.append(item)
@@ -157,6 +161,44 @@ class _Parser:
         return a, b
 
 
+def _flat(node) -> list:
+    """A sequence's items, those of sequences in it too."""
+    kind, arg = node
+    if kind == "or" and len(arg) == 1:
+        return _flat(arg[0])
+    return [y for x in arg for y in _flat(x)] if kind == "seq" else [node]
+
+
+def opening(node):
+    """What a match begins with: no optional end, the last repeat once, counts before it lowered to one, but for a count that begins the rule."""
+    items = _flat(node)
+    while len(items) > 1 and items[-1][0] in "?*":
+        items.pop()
+    out: list = []
+    for x in items:
+        if x[0] == "+" and out and all(y == x[1] for y in out):
+            out.append(x[1])  # the rule is this count so far
+        elif x[0] == "+":
+            while len(out) > 1 and out[-1] == x[1]:
+                out.pop()
+            out.append(x)
+        else:
+            out.append(x)
+    if out[-1][0] == "+":
+        out[-1] = out[-1][1]
+    return ("seq", out)
+
+
+def reversed_(node):
+    kind, arg = node
+    if kind == "set":
+        return node
+    if kind in ("seq", "or"):
+        parts = [reversed_(x) for x in arg]
+        return (kind, parts[::-1] if kind == "seq" else parts)
+    return (kind, reversed_(arg))
+
+
 @dataclass
 class Automaton:
     #: (states x 256) next states; accepting states are numbered last.
@@ -168,12 +210,11 @@ class Automaton:
     sizes: dict = field(default_factory=dict)
 
 
-def compile_rules(patterns: tuple[str, ...]) -> Automaton:
-    """Subset construction over all patterns behind a free prefix, then minimisation."""
+def compile_rules(nodes: list, free: bool = True) -> Automaton:
+    """Subset construction over all parsed rules, behind a free prefix or from the first byte on, then minimisation."""
     nfa, starts, ends = _Parser(""), [], {}
-    for k, p in enumerate(patterns):
-        nfa.text, nfa.at = p, 0
-        i, o = nfa.parse()
+    for k, node in enumerate(nodes):
+        i, o = nfa.thompson(node)
         starts.append(i)
         ends[o] = k
 
@@ -199,7 +240,7 @@ def compile_rules(patterns: tuple[str, ...]) -> Automaton:
         now = todo.pop(0)
         row = []
         for b in sample:
-            to = closure({nfa.step[x][1] for x in now if nfa.step[x] and b in nfa.step[x][0]}) | root
+            to = closure({nfa.step[x][1] for x in now if nfa.step[x] and b in nfa.step[x][0]}) | (root if free else frozenset())
             if to not in number:
                 number[to] = len(number)
                 todo.append(to)
@@ -233,7 +274,53 @@ def compile_rules(patterns: tuple[str, ...]) -> Automaton:
 
 @lru_cache(maxsize=4)
 def automaton(rules: tuple[Rule, ...] = RULES) -> Automaton:
-    return compile_rules(tuple(r.automaton for r in rules))
+    """The openings of all rules behind a free prefix."""
+    return compile_rules([opening(_Parser(r.head + r.body).parse()) for r in rules])
+
+
+class Walk:
+    """One rule's transitions from a given byte on: where its longest match ends."""
+
+    def __init__(self, node):
+        auto = compile_rules([node], free=False)
+        self.next, self.start, self.first = auto.next.tolist(), auto.start, auto.first_accepting
+        #: The state that nothing leads out of and that accepts nothing.
+        self.dead = next((k for k, row in enumerate(self.next) if k < self.first and set(row[:255]) == {k}), -1)
+
+    def __call__(self, data: bytes, at: int, step: int = 1) -> int:
+        """End of the longest match from `at` on (its first byte, going back, if step is -1), or -1."""
+        state, found, last = self.start, -1, len(data) if step > 0 else -1
+        while at != last:
+            state = self.next[state][data[at]]
+            if state == self.dead:
+                break
+            at += step
+            if state >= self.first:
+                found = at
+        return found
+
+
+@lru_cache(maxsize=64)
+def walks(rule: Rule) -> tuple[Walk, Walk, Walk | None]:
+    """The rule, its opening reversed, and its head."""
+    whole = _Parser(rule.head + rule.body).parse()
+    return Walk(whole), Walk(reversed_(opening(whole))), Walk(_Parser(rule.head).parse()) if rule.head else None
+
+
+def spans_of(rule: Rule, data: bytes, ends: list[int]) -> list[tuple[int, int]]:
+    """The rule's matches in a text, from the places of the last bytes of its openings."""
+    on, back, head = walks(rule)
+    out, free = [], 0
+    for start in sorted({back(data, e, -1) + 1 for e in ends}):
+        if start < free:
+            continue
+        end = on(data, start)
+        if end < 0:
+            continue
+        free = end
+        if not rule.least or end - (head(data, start) if head else start) >= rule.least:
+            out.append((start, end))
+    return out
 
 
 def accepts(auto: Automaton, stream: np.ndarray, lanes: int = 4096) -> tuple[np.ndarray, np.ndarray]:
@@ -291,7 +378,7 @@ STREAM = 16 << 20
 
 def scan(texts: list[bytes], rules: tuple[Rule, ...] = RULES) -> list[list[tuple[str, int, int]]]:
     """(kind, start, end) in code points for each text, by start and then rule."""
-    auto, exact = automaton(rules), [re.compile(r.exact) for r in rules]
+    auto = automaton(rules)
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     first = 0
     while first < len(texts):
@@ -304,16 +391,18 @@ def scan(texts: list[bytes], rules: tuple[Rule, ...] = RULES) -> list[list[tuple
         if len(at):
             ends = np.cumsum([len(x) + 1 for x in part])
             doc = np.searchsorted(ends, at, side="right")
-            found: dict[int, int] = {}
-            for d, m in {*zip(doc.tolist(), masks.tolist(), strict=True)}:
-                found[d] = found.get(d, 0) | m
-            for d, m in found.items():
-                text = part[d].decode("utf-8", "surrogatepass")
-                spans = []
-                for k, r in enumerate(rules):
+            within = at - (ends - [len(x) + 1 for x in part])[doc]
+            found: dict[int, dict[int, list[int]]] = {}
+            for d, e, m in {*zip(doc.tolist(), within.tolist(), masks.tolist(), strict=True)}:
+                for k in range(len(rules)):
                     if m >> k & 1:
-                        spans += [(x.start(), k, x.end()) for x in exact[k].finditer(text) if len(x[r.group]) >= r.least]
-                out[first + d] = [(rules[k].kind, a, b) for a, k, b in sorted(spans)]
+                        found.setdefault(d, {}).setdefault(k, []).append(e)
+            for d, by_rule in found.items():
+                spans = sorted((a, k, b) for k, e in by_rule.items() for a, b in spans_of(rules[k], part[d], e))
+                if spans and not part[d].isascii():
+                    letters = np.concatenate([[0], np.cumsum((np.frombuffer(part[d], np.uint8) & 0xC0) != 0x80)])
+                    spans = [(int(letters[a]), k, int(letters[b])) for a, k, b in spans]
+                out[first + d] = [(rules[k].kind, a, b) for a, k, b in spans]
         first = last
     return out
 
@@ -362,8 +451,6 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def digest(found: DataFrame) -> DataFrame:
     """The contract's columns from secret_spans."""
-    from pyspark.sql import functions as F
-
     line = lambda a: F.array_join(F.transform(a, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     base = F.filter("secrets", lambda x: x["kind"].isin([r.kind for r in BASE]))
     count = lambda k: F.size(F.filter("secrets", lambda x: x["kind"] == k)).cast("long")
@@ -372,6 +459,3 @@ def digest(found: DataFrame) -> DataFrame:
         F.sha2(line(base).cast("binary"), 256).alias("base_sha256"), line("secrets").alias("spans"),
     )
 
-
-def text_sha(spans: list[tuple[str, int, int]]) -> str:
-    return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
