@@ -37,7 +37,7 @@ def truthy(c: str | Column, dialect: str = "wide") -> Column:
 
 def split_values(c: str | Column, separators: str = "[|;,]") -> Column:
     """A delimited cell as an array of filled values, in order, each once."""
-    parts = F.transform(F.split(clean(c), separators), F.trim)
+    parts = F.transform(F.split(clean(c), separators), lambda x: F.trim(x))  # trim itself would take the place as second argument
     return F.array_distinct(F.filter(parts, lambda x: x != ""))
 
 
@@ -71,16 +71,6 @@ def containment(a: Column, b: Column) -> Column:
     return F.when(small > 0, F.size(F.array_intersect(a, b)) / small).otherwise(F.lit(0.0))
 
 
-def name_similarity(a: str | Column, b: str | Column) -> Column:
-    """1 for equal names, .97 or .94 if one holds the other, else a blend of containment and overlap of distinctive words."""
-    x, y, tx, ty = entity_name(a), entity_name(b), distinctive(a), distinctive(b)
-    short = F.least(F.length(x), F.length(y)) >= 8
-    blend = F.least(F.lit(0.93), F.lit(0.55) * containment(tx, ty) + F.lit(0.45) * jaccard(tx, ty))
-    return (
-        F.when((x == "") | (y == ""), F.lit(0.0)).when(x == y, F.lit(1.0)).when(short & (F.startswith(x, y) | F.startswith(y, x)), F.lit(0.97)).when(short & (F.contains(x, y) | F.contains(y, x)), F.lit(0.94)).otherwise(blend)
-    )
-
-
 def host(c: str | Column) -> Column:
     """Host of a URL or bare name: lower case, no user, port or leading www."""
     bare = F.regexp_replace(F.lower(clean(c)), "^[a-z][a-z0-9+.-]*://", "")

@@ -50,13 +50,15 @@ def cohort_stats(df: DataFrame, levels: list[list[str]], value: Column) -> DataF
 
 
 def in_ratio(df: DataFrame, other: DataFrame, key: list[str], x: str, y: str, low: float, high: float) -> DataFrame:
-    """Pairs of equal key whose y / x lies in [low, high], by bands of equal ratio: each row meets its own band and its neighbours only."""
+    """Pairs of equal key whose y / x lies in [low, high], by bands of equal ratio: each row meets its own band and its neighbours only.  Zero goes with zero."""
     import math
 
     width = math.log(high / low) / 2
     cell = lambda c: F.floor(F.log(c) / width).cast("int")
-    left = df.where(F.col(x) > 0).withColumn("_b", F.explode(F.sequence(cell(F.col(x) * low), cell(F.col(x) * high))))
-    right = other.where(F.col(y) > 0).withColumn("_b", cell(F.col(y)))
+    zero = F.lit(-(1 << 30))
+    bands = F.when(F.col(x) > 0, F.sequence(cell(F.col(x) * low), cell(F.col(x) * high))).otherwise(F.array(zero))
+    left = df.where(F.col(x) >= 0).withColumn("_b", F.explode(bands))
+    right = other.where(F.col(y) >= 0).withColumn("_b", F.when(F.col(y) > 0, cell(F.col(y))).otherwise(zero))
     return left.join(right, [*key, "_b"]).where((F.col(y) >= low * F.col(x)) & (F.col(y) <= high * F.col(x))).drop("_b")
 
 

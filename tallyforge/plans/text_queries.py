@@ -96,7 +96,7 @@ def entity_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("token_overlap_match", f"""
 WITH t AS (SELECT p_partkey k, list_distinct(list_filter({_TOK.format(c='p_name')}, lambda x: length(x) >= 3)) w, p_brand b FROM part), e AS (SELECT DISTINCT k, b, unnest(w) x, len(w) n FROM t)
-SELECT a.b brand, count(*) pairs FROM (SELECT l.k, r.k k2, l.b, count(*) hits, any_value(l.n) n FROM e l JOIN e r ON l.b = r.b AND l.x = r.x AND l.k < r.k WHERE l.k % 7 >= 0 GROUP BY ALL HAVING count(*) >= 2 AND count(*) / any_value(l.n) >= 0.5) a GROUP BY 1""")
+SELECT a.b brand, count(*) pairs FROM (SELECT l.k, r.k k2, l.b, count(*) hits, any_value(l.n) n FROM e l JOIN e r ON l.b = r.b AND l.x = r.x AND l.k < r.k GROUP BY ALL HAVING count(*) >= 2 AND count(*) / any_value(l.n) >= 0.5) a GROUP BY 1""")
 def token_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of one brand whose names share two words and half of the first's: met by word, so only pairs with a common word are made."""
     t = tables(spark, sf_dir).part.select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("brand"), X.distinctive("p_name").alias("w"))
@@ -106,15 +106,6 @@ def token_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.where("hits >= 2 AND hits / n >= 0.5").groupBy("brand").agg(F.count("*").alias("pairs"))
 
 
-@query("name_similarity_pairs")
-def similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers and suppliers of one nation by similar name; candidates share a distinctive word."""
-    t = tables(spark, sf_dir)
-    c, s = (x.select(F.col(k).alias(a), F.col(n).alias(f"{a}_name"), F.col(m).alias("nation"), F.explode(X.distinctive(n, (), 3)).alias("x")) for x, k, n, m, a in ((t.customer, "c_custkey", "c_name", "c_nationkey", "c"), (t.supplier, "s_suppkey", "s_name", "s_nationkey", "s")))
-    pairs = c.join(s, ["nation", "x"]).select("c", "s", "c_name", "s_name").distinct()
-    return pairs.select("c", "s", X.name_similarity("c_name", "s_name").alias("similarity")).where("similarity >= 0.5")
-
-
 @query("fuzzy_cascade_match")
 def fuzzy_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact name first, then the best edit-distance ratio within the block, with a confidence."""
