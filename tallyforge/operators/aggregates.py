@@ -76,6 +76,17 @@ def column_coverage(df: DataFrame) -> DataFrame:
     return flat.select("c.column", "c.present", (F.col("c.present") * 100.0 / F.col("c.n")).alias("percent"))
 
 
+def with_range(df: DataFrame, c: str) -> DataFrame:
+    """df with _p, the number of its value's range: ranges are cut at quantiles of a numeric column, one for each shuffle partition.
+
+    A range is a function of the value alone, so it is the same wherever and however often it is computed.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = sorted(set(df.approxQuantile(c, [k / parts for k in range(1, parts)], 0.01)))
+    below = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(c))) if bounds else F.lit(0)
+    return df.withColumn("_p", below)
+
+
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """n and rank correlation with mean ranks for ties.
 
@@ -86,9 +97,7 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
 
     def ranks(c: str) -> DataFrame:
         counts = pairs.groupBy(c).agg(F.count("*").alias("n"))
-        spark = df.sparkSession
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        ranged = counts.repartitionByRange(parts, c).withColumn("_p", F.spark_partition_id())
+        ranged = with_range(counts, c)
         local = ranged.withColumn("_before", F.sum("n").over(Window.partitionBy("_p").orderBy(c)) - F.col("n"))
         totals = ranged.groupBy("_p").agg(F.sum("n").alias("t")).withColumn("_first", F.coalesce(F.sum("t").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         return local.join(totals, "_p").select(c, (F.col("_first") + F.col("_before") + (F.col("n") + 1) / 2).alias(f"r{c}"))

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.operators.aggregates import with_range
 from tallyforge.operators.rules import Rules, first_match
 
 
@@ -60,9 +61,7 @@ def mann_whitney(df: DataFrame, group: str, value: str) -> DataFrame:
     Ranks come from counts per distinct value, so no task holds all rows of a group.
     """
     counts = df.where(F.col(value).isNotNull() & F.col(group).isNotNull()).groupBy(value).agg(F.count("*").alias("t"), F.count_if(F.col(group)).alias("a"))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counts.repartitionByRange(parts, value).select(value, "t", "a", F.spark_partition_id().alias("_p"))
-    # the partition's number is computed once: this aggregate and the window below read one exchange
+    ranged = with_range(counts, value)
     totals = ranged.groupBy("_p").agg(F.sum("t").alias("_t")).withColumn("_first", F.coalesce(F.sum("_t").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     before = F.sum("t").over(Window.partitionBy("_p").orderBy(value)) - F.col("t")
     ranks = ranged.withColumn("_b", before).join(totals, "_p").select("t", "a", (2 * (F.col("_first") + F.col("_b")) + F.col("t") + 1).alias("r2"))
