@@ -427,22 +427,29 @@ def _centred(met: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
     Two sets of a key need a common centre, whichever it is.  A key begins with its member of the most hot keys; then sets
     take the centre of most of their keys, and keys the centre of most of their sets, so that a group of copies agrees on
-    one and a set has more than one only where groups meet.
+    one.  Similar sets share more hot keys than k, so each set leaves out its k worst ones in an order that is the same for
+    all: those most of whose members go by another centre, like empty segments, which unlike sets share.  The best of the
+    keys that two sets share is then left out by neither.
     """
     spark = met.sparkSession
-    sizes = F.broadcast(spark.createDataFrame([(b.level, b.segments, b.differ) for b in all_bands(percent)], "level long, m long, differ long"))
+    sizes = F.broadcast(spark.createDataFrame([(b.level, b.segments, b.differ, b.spare) for b in all_bands(percent)], "level long, m long, differ long, spare long"))
     dear = met.where("kind is not null")
     each = dear.groupBy("x", "level", "segment").agg(F.max((F.col("kind") == _HOT).cast("long")).alias("hot")).groupBy("x", "level").agg(F.sum("hot").alias("hot"), F.count("*").alias("dear"))
-    left = each.join(sizes, "level").where("(m - hot) + (m - dear) < differ + 1").select("x", "level", "hot")
+    left = each.join(sizes, "level").where("(m - hot) + (m - dear) < differ + 1").select("x", "level", "hot", "spare")
     held = dear.where(f"kind = {_HOT}").select("x", "level", "key").join(left, ["x", "level"])
-    centre = held.groupBy("key").agg(F.max_by("x", F.struct("hot", -F.col("x"))).alias("c"), F.count("*").alias("members")).where("members > 1").select("key", "c")
-    now = settled(held.select("key", "x").join(centre, "key"))
+    centre = held.groupBy("key").agg(F.max_by("x", F.struct("hot", -F.col("x"))).alias("c"), F.count("*").alias("members")).select("key", "c", "members")
+    now = settled(held.select("key", "x", "level", "spare").join(centre, "key"))
+    rest = ["key", "x", "level", "spare", "members"]
     for _ in range(2):
-        own = _most(now, "x", "c")
+        own = _most(now.where("members > 1"), "x", "c")
         agreed = _most(now.select("key", "x").join(own, "x"), "key", "c")
-        last, now = now, settled(now.select("key", "x").join(agreed, "key"))
+        last, now = now, settled(now.select(*rest).join(agreed, "key"))
         forget(last)
-    both = settled(now.where("x <> c").select("c", "x").distinct())
+    own = _most(now.where("members > 1"), "x", "c").withColumnRenamed("c", "main")
+    strange = now.join(own, "x").groupBy("key").agg(F.count_if(F.col("main") != F.col("c")).alias("strange"))
+    worst = F.row_number().over(Window.partitionBy("x", "level").orderBy(F.desc("strange"), "key"))
+    kept = now.join(strange, "key").withColumn("worst", worst).where("worst > spare AND members > 1")
+    both = settled(kept.where("x <> c").select("c", "x").distinct())
     names = reps.select("tag", "digest")
     out = both.join(names.toDF("c", "cd"), "c").join(names.toDF("x", "xd"), "x").select(F.col("cd").alias("c"), F.col("xd").alias("x")).where("c <> x").distinct()
     out = settled(out)
