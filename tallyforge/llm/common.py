@@ -96,9 +96,10 @@ ASKED = "home long, kind int, batch long, bucket int, rows binary"
 TABLE, QUESTION, REST = 0, 1, 2
 
 
-def asked(home: list[int], kind: int, batch: int, values: list[bytes]) -> pa.RecordBatch:
+def asked(home: list[int], kind: int, batch: int, values: list[bytes], shift: int = 0) -> pa.RecordBatch:
+    """Rows for these homes; shift sets the answers of a batch's later questions behind those of its earlier ones."""
     n = len(home)
-    return pa.RecordBatch.from_arrays([pa.array(home, pa.int64()), pa.array([kind] * n, pa.int32()), pa.array([batch] * n, pa.int64()), pa.array(home, pa.int32()), pa.array(values, pa.binary())], ["home", "kind", "batch", "bucket", "rows"])
+    return pa.RecordBatch.from_arrays([pa.array(home, pa.int64()), pa.array([kind] * n, pa.int32()), pa.array([batch] * n, pa.int64()), pa.array([h + shift for h in home], pa.int32()), pa.array(values, pa.binary())], ["home", "kind", "batch", "bucket", "rows"])
 
 
 def answered(rows: DataFrame, answer, finish, schema: str, parts: int) -> DataFrame:
@@ -106,34 +107,53 @@ def answered(rows: DataFrame, answer, finish, schema: str, parts: int) -> DataFr
 
     answer(tables) gives a function from a question's batch to the answer's array; finish(rest, answers by bucket in
     order) gives the batch's rows.  An entry travels once for each batch that asks it, however many documents hold it, so
-    frequent words make no hot key.
+    frequent words make no hot key.  Rows come sorted: a task holds one home's table, and then one batch, at a time.
     """
 
-    def first(batches):
-        waiting, tables = [], []
+    def each(batches):
         for b in batches:
-            for kind, batch, bucket, value in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
-                if kind == TABLE:
-                    tables.append(value)
-                elif kind == QUESTION:
-                    waiting.append((batch, bucket, value))
-                else:
-                    yield asked([bucket], REST, batch, [value])
-        reply = answer(unparcel(v) for v in tables)
-        for batch, bucket, value in waiting:
-            yield asked([bucket], QUESTION, batch, [parcel(pa.RecordBatch.from_arrays([reply(unparcel(value))], ["answer"]))])
+            yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
+
+    def gathered(rows):
+        cols: list[list] = [[], [], [], [], []]
+        for row in rows:
+            for c, x in zip(cols, row, strict=True):
+                c.append(x)
+            if len(cols[0]) >= 256:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+                cols = [[], [], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+
+    names, kinds = ["home", "kind", "batch", "bucket", "rows"], [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+
+    def replies(batches):
+        now, tables, reply = None, [], None
+        for home, kind, batch, bucket, value in each(batches):
+            if kind == REST:
+                yield bucket, REST, batch, bucket, value
+                continue
+            if home != now:
+                now, tables, reply = home, [], None
+            if kind == TABLE:
+                tables.append(value)
+                continue
+            if reply is None:
+                reply, tables = answer(unparcel(v) for v in tables), []
+            yield bucket, QUESTION, batch, bucket, parcel(pa.RecordBatch.from_arrays([reply(unparcel(value))], ["answer"]))
+
+    def first(batches):
+        yield from gathered(replies(batches))
 
     def second(batches):
-        rest, answers = {}, {}
-        for b in batches:
-            for kind, batch, bucket, value in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
-                if kind == REST:
-                    rest[batch] = value
-                else:
-                    answers.setdefault(batch, []).append((bucket, value))
-        for batch, value in rest.items():
-            own = [unparcel(v).column(0) for _, v in sorted(answers.pop(batch, []))]
-            yield finish(unparcel(value), own)
-
-    met = by_home(rows, F.col("home"), parts).mapInArrow(first, ASKED)
-    return by_home(met, F.col("batch"), parts).mapInArrow(second, schema)
+        now, answers = None, []
+        for _, kind, batch, _, value in each(batches):
+            if batch != now:
+                now, answers = batch, []
+            if kind == REST:
+                yield finish(unparcel(value), answers)
+                answers = []
+            else:
+                answers.append(unparcel(value).column(0))
+
+    met = by_home(rows, F.col("home"), parts).sortWithinPartitions("home", "kind").mapInArrow(first, ASKED)
+    return by_home(met, F.col("batch"), parts).sortWithinPartitions("batch", "kind", "bucket").mapInArrow(second, schema)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import ASKED, QUESTION, REST, answered, asked, parcel, stretches, table
+from tallyforge.llm.common import ASKED, QUESTION, REST, answered, asked, parcel, partitions, stretches, table
 from tallyforge.llm.encoding import vocabulary
 
 VOCABULARY, LIMIT = "piece_bpe_32k.model", 4096
@@ -65,7 +65,7 @@ def token_counts(docs: DataFrame, doc: str = "doc_id", text: str = "text", path:
     path = path or vocabulary(VOCABULARY)
     kind = next(f.dataType.simpleString() for f in docs.schema if f.name == doc)
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions(docs)
     buckets = 4 * parts
 
     def ask(batches):

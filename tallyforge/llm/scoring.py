@@ -13,8 +13,11 @@ A batch asks each of them once for every distinct entry, and the answers return
 `NUMBERED` have short numbers, others the hash of their bytes (62 bits), contexts a hash of 64 bits: two contexts would
 have to share it to be taken for one.
 
-Filters of a fixed size spare questions: they know all words seen `OWN` and `LEAST` times and all first words of states, and
-say yes to some others, which then are counted or asked for nothing.
+A longer context can be seen `LEAST` times only if each pair of words in it is, so contexts are counted after pairs, and
+only where all their pairs are that frequent.  Filters of a fixed size spare the rest: they know all words seen `OWN` and
+`LEAST` times, all such pairs, all own next symbols of states of one word and all first words of states, and say yes to
+some others, which then are counted or asked for nothing.  A pair that no state has for its own needs its state's factor
+only, which is asked once for each word.
 
 Defined results: null and empty texts have their end as the only token; repeated rows are learnt from
 and scored each; without training documents every score is that of V = N = 0; extra columns are ignored.
@@ -34,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import ASKED, QUESTION, REST, TABLE, answered, asked, parcel, raw, settled, stretches, table, unparcel, words
+from tallyforge.llm.common import ASKED, QUESTION, REST, TABLE, answered, asked, by_home, forget, parcel, partitions, raw, settled, stretches, table, unparcel, words
 from tallyforge.llm.language import bucket
 
 #: Longest contexts, least counts of a context and of its own next symbols, the test's and smoothing's constants; see above.
@@ -80,18 +83,24 @@ def word_counts(training: DataFrame, text: str, buckets: int) -> DataFrame:
                 yield _parcels(buckets, home, {"word": pa.array(list(total), pa.binary()), "n": pa.array(list(total.values()), pa.int64())}, 0)
 
     def merge(batches):
-        total: dict[int, Counter] = {}
+        now, own = None, Counter()
         for b in batches:
             for home, value in zip(b.column(0).to_pylist(), b.column(2), strict=True):
-                rows, own = unparcel(value.as_buffer()), total.setdefault(home, Counter())
+                if home != now and own:
+                    yield finished(now, own)
+                    own = Counter()
+                rows, now = unparcel(value.as_buffer()), home
                 for w, n in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
                     own[w] += n
-        for home, own in total.items():
-            rows = pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array(list(own.values()), pa.int64())], ["word", "n"])
-            yield pa.RecordBatch.from_arrays([pa.array([home]), pa.array([0], pa.int32()), pa.array([parcel(rows)], pa.binary()), pa.array([sum(own.values())]), pa.array([len(own)])], ["bucket", "kind", "rows", "tokens", "distinct"])
+        if own:
+            yield finished(now, own)
+
+    def finished(home, own):
+        rows = pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array(list(own.values()), pa.int64())], ["word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array([home]), pa.array([0], pa.int32()), pa.array([parcel(rows)], pa.binary()), pa.array([sum(own.values())]), pa.array([len(own)])], ["bucket", "kind", "rows", "tokens", "distinct"])
 
     sent = training.select(text).mapInArrow(send, _PARCEL)
-    return settled(sent.repartition(buckets // 4, "bucket").mapInArrow(merge, _PARCEL + ", tokens long, distinct long"))
+    return settled(by_home(sent, F.col("bucket"), buckets // 4).sortWithinPartitions("bucket").mapInArrow(merge, _PARCEL + ", tokens long, distinct long"))
 
 
 class _Rare(dict):
@@ -146,8 +155,8 @@ def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _distinct(columns: list[np.ndarray], buckets: int):
     """Distinct windows (next symbol, then the words before it) by home: where one stands, its count, home, and each window's place."""
-    head = _chain(columns[1:3])
-    key = _mix(_chain(columns[1:]), columns[0])
+    head = _chain(columns[1:3] or columns[:1])
+    key = _mix(_chain(columns[1:]) if len(columns) > 1 else head, columns[0])
     _, at, place, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
     order = np.argsort(head[at], kind="stable")
     rank = np.empty(len(order), np.int64)
@@ -229,8 +238,10 @@ class Words:
         self.root = np.zeros(self.radix)
         self.root[1:-1] = np.log10(np.array([c for _, c in frequent], float) + ADD) - self.floor
         self.rare = _Rare()
-        #: Of words seen OWN and LEAST times; of states' words before, of one word and of two.
-        self.own = self.least = self.one = self.two = None
+        #: Of words seen OWN and LEAST times, and of pairs seen LEAST times.
+        self.own = self.least = self.often = None
+        #: Of the words before of states of one word, their own next symbols, and the two nearest words of longer states.
+        self.one = self.mine = self.two = None
 
     def numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
         """Symbols of all texts, each behind DEPTH starts, where each text begins, and the words (with the end)."""
@@ -256,19 +267,26 @@ class Words:
 
 
 def windows(t: Words, ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Places of tokens; their symbols (of those seen OWN times), and those of 1 to DEPTH words before (NONE beyond a start or a word seen less than LEAST times)."""
+    """Places of tokens; their symbols (of those seen OWN times), and those of 1 to DEPTH words before (NONE beyond a start or a word or pair seen less than LEAST times)."""
     real = np.ones(len(ids), bool)
     for k in range(DEPTH):
         real[begin + k] = False
     at, before = np.flatnonzero(real), np.where(ids == LOW, NONE, t.lowered(ids, t.least, NONE))
     out = [ids[at], before[at - 1]]
+    if t.often is None:
+        return at, out
+    context = _chain([before[:-1]])
+    both = np.flatnonzero((before[:-1] != NONE) & (before[1:] != NONE))
+    often = np.zeros(len(ids), bool)
+    often[both + 1] = t.often(_deal(context[both], len(t.often.bits)), _mix(context[both], before[1:][both]))
     for k in range(2, DEPTH + 1):
-        out.append(np.where(out[-1] <= START, NONE, before[at - k]))
+        out.append(np.where((out[-1] <= START) | ~often[at - k + 1], NONE, before[at - k]))
     return at, out
 
 
-def _candidates(training: DataFrame, ship, text: str, buckets: int) -> DataFrame:
+def _candidates(training: DataFrame, ship, text: str, buckets: int, kind: int) -> DataFrame:
     """Parcels of candidates by home; kind 1: pairs (next symbol, word; count, count of the word), kind 2: longer contexts."""
+    width = 2 if kind == 1 else DEPTH + 1
 
     def send(batches):
         t = ship.value
@@ -276,23 +294,29 @@ def _candidates(training: DataFrame, ship, text: str, buckets: int) -> DataFrame
             for lo in range(0, b.num_rows, 2000):
                 ids, begin, _ = t.numbers(raw(b.slice(lo, 2000), text))
                 every = windows(t, t.lowered(ids, t.own, LOW), begin)[1]
-                for kind in (1, 2):
-                    ok = every[kind] != NONE
-                    cols = [c[ok] for c in (every[:2] if kind == 1 else every)]
-                    at, n, home, _ = _distinct(cols, buckets)
-                    cols = [c[at] for c in cols]
-                    runs = stretches(home)
-                    values = [_pack([c[a:z] for c in cols], n[a:z].astype(np.int32)) for a, z in runs]
-                    yield pa.RecordBatch.from_arrays([pa.array(home[[a for a, _ in runs]], pa.int64()), pa.array([kind] * len(runs), pa.int32()), pa.array(values, pa.binary())], ["bucket", "kind", "rows"])
+                ok = every[kind] != NONE
+                cols = [c[ok] for c in every[:width]]
+                at, n, home, _ = _distinct(cols, buckets)
+                cols = [c[at] for c in cols]
+                runs = stretches(home)
+                values = [_pack([c[a:z] for c in cols], n[a:z].astype(np.int32)) for a, z in runs]
+                yield pa.RecordBatch.from_arrays([pa.array(home[[a for a, _ in runs]], pa.int64()), pa.array([kind] * len(runs), pa.int32()), pa.array(values, pa.binary())], ["bucket", "kind", "rows"])
 
-    def merge(batches):
-        got: dict[tuple[int, int], list[bytes]] = {}
+    def runs_of(batches):
+        now, values = None, []
         for b in batches:
-            for key, value in zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True), b.column(2).to_pylist(), strict=True):
-                got.setdefault(key, []).append(value)
-        for home, kind in list(got):
-            width = 2 if kind == 1 else DEPTH + 1
-            parts = [_unpack(unparcel(v), width, np.int32) for v in got.pop((home, kind))]
+            for home, value in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if home != now and values:
+                    yield now, values
+                    values = []
+                now = home
+                values.append(value)
+        if values:
+            yield now, values
+
+    def merge(batches):
+        for home, values in runs_of(batches):
+            parts = [_unpack(unparcel(v), width, np.int32) for v in values]
             *cols, n = [np.concatenate(x) for x in zip(*parts, strict=True)]
             out = []
             for depth in (1,) if kind == 1 else range(2, DEPTH + 1):
@@ -318,7 +342,7 @@ def _candidates(training: DataFrame, ship, text: str, buckets: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array([home]), pa.array([kind], pa.int32()), pa.array([value], pa.binary())], ["bucket", "kind", "rows"])
 
     sent = training.select(text).mapInArrow(send, _PARCEL)
-    return settled(sent.repartition(buckets // 4, "bucket").mapInArrow(merge, _PARCEL))
+    return settled(by_home(sent, F.col("bucket"), buckets // 4).sortWithinPartitions("bucket").mapInArrow(merge, _PARCEL))
 
 
 def _levels(rows: pa.RecordBatch, kinds: int) -> list[tuple[np.ndarray, ...]]:
@@ -327,14 +351,14 @@ def _levels(rows: pa.RecordBatch, kinds: int) -> list[tuple[np.ndarray, ...]]:
     return [(*got[2 * k : 2 * k + 2], *got[2 * kinds + 4 * k : 2 * kinds + 4 * k + 4]) for k in range(kinds)]
 
 
-def _states(heads: np.ndarray, buckets: int, key: np.ndarray, value: np.ndarray, state: np.ndarray, rest: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
-    """A parcel of states, all of the heads' home: own entries and contexts, each by its hash, and the contexts' nearest one or two words."""
+def _states(heads: np.ndarray, buckets: int, key: np.ndarray, value: np.ndarray, state: np.ndarray, rest: np.ndarray, first: np.ndarray, mine: np.ndarray) -> pa.RecordBatch:
+    """A parcel of states, all of the heads' home: own entries and contexts, each by its hash, the contexts' nearest one or two words, and the entries of contexts that are states."""
     a, b, home = np.argsort(key), np.argsort(state), int(_deal(heads[:1], buckets)[0]) if len(heads) else 0
-    packed = _pack([], key[a], value[a].astype(np.float64), state[b], rest[b].astype(np.float64), np.unique(first))
+    packed = _pack([], key[a], value[a].astype(np.float64), state[b], rest[b].astype(np.float64), np.unique(first), np.unique(mine))
     return pa.RecordBatch.from_arrays([pa.array([home]), pa.array([0], pa.int32()), pa.array([packed], pa.binary())], ["bucket", "kind", "rows"])
 
 
-_STATE = (np.uint64, np.float64, np.uint64, np.float64, np.uint64)
+_STATE = (np.uint64, np.float64, np.uint64, np.float64, np.uint64, np.uint64)
 
 
 class _Tables:
@@ -348,7 +372,7 @@ class _Tables:
                 self.count.update(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True))
             else:
                 states.append(_unpack(rows, 0, *_STATE))
-        self.key, self.value, self.state, self.rest, _ = [np.concatenate(x) for x in zip(*states, strict=True)] if states else [np.empty(0, k) for k in _STATE]
+        self.key, self.value, self.state, self.rest, _, _ = [np.concatenate(x) for x in zip(*states, strict=True)] if states else [np.empty(0, k) for k in _STATE]
         for key, value in (("key", "value"), ("state", "rest")):
             order = np.argsort(getattr(self, key))
             for name in (key, value):
@@ -363,8 +387,11 @@ class _Tables:
             if self.hashed is None:
                 self.hashed = {_home(w): n for w, n in self.count.items()}
             return pa.array([self.hashed.get(h, 0) for h in rows.column(0).to_pylist()], pa.float64())
-        width = 2 if len(rows.column(0)) == 4 else DEPTH + 1
+        width = len(rows.column(0)) // 2
         cols = _unpack(rows, width)
+        if width == 1:  # the factors of states of one word
+            k, is_state = _held(self.state, _chain(cols))
+            return pa.array(np.where(is_state, self.rest[k], 0.0) if len(self.rest) else np.zeros(len(k)))
         out = np.full(len(cols[0]), ADDED)
         context = _chain(cols[1:2])
         for depth in range(1, width):
@@ -415,9 +442,9 @@ def _pairs(candidates: DataFrame, counts: DataFrame, ship, buckets: int) -> Data
         keep, own, share = retained(context, n, total, parent)
         first, _ = _runs(context)
         held = keep[first] if len(first) else np.empty(0, bool)
-        return _states(context, buckets, _mix(context, nxt), np.log10(np.where(keep, own, parent)), context[first][held], share[held], context[first][held])
+        return _states(context, buckets, _mix(context, nxt), np.log10(np.where(keep, own, parent)), context[first][held], share[held], context[first][held], _mix(context, nxt)[keep])
 
-    own = candidates.where("kind = 1").mapInArrow(ask, ASKED).unionAll(_asked_table(counts, 0))
+    own = candidates.mapInArrow(ask, ASKED).unionAll(_asked_table(counts, 0))
     return settled(answered(own, _Tables, finish, _PARCEL, buckets // 4))
 
 
@@ -455,17 +482,17 @@ def _longer(candidates: DataFrame, pairs: DataFrame, buckets: int) -> DataFrame:
                 out.append(x)
             order = np.argsort(code)
             before = code[order], np.where(keep, own, p)[order], context, head
-        return _states(levels[0][4], buckets, *map(np.concatenate, (key, value, state, shares, heads)))
+        return _states(levels[0][4], buckets, *map(np.concatenate, (key, value, state, shares, heads)), np.empty(0, np.uint64))
 
-    own = candidates.where("kind = 2").mapInArrow(ask, ASKED).unionAll(_asked_table(pairs, 0))
+    own = candidates.mapInArrow(ask, ASKED).unionAll(_asked_table(pairs, 0))
     return settled(answered(own, _Tables, finish, _PARCEL, buckets // 4))
 
 
 class Tree:
     """The root, the states of one word (`pairs`) and of more (`longer`)."""
 
-    def __init__(self, tokens: int, words: Words, pairs: DataFrame, longer: DataFrame):
-        self.tokens, self.words, self.pairs, self.longer = tokens, words, pairs, longer
+    def __init__(self, tokens: int, words: Words, pairs: DataFrame, longer: DataFrame, buckets: int):
+        self.tokens, self.words, self.pairs, self.longer, self.buckets = tokens, words, pairs, longer, buckets
         self.radix, self.root = words.radix, words.root
 
     @cached_property
@@ -491,7 +518,7 @@ class Tree:
 def fit(training: DataFrame, text: str = "text") -> tuple[Tree, DataFrame]:
     """The tree, and the parcels of all word counts."""
     spark = training.sparkSession
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * partitions(training)
     counts = word_counts(training, text, buckets)
     sums = counts.agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
     tokens, distinct = sums.n or 0, sums.v or 0
@@ -508,19 +535,29 @@ def fit(training: DataFrame, text: str = "text") -> tuple[Tree, DataFrame]:
     hashes = lambda rows, least: np.array([_home(w) for w, n in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True) if n >= least], np.int64)
     words.own, words.least = _filters(counts, buckets, lambda rows: [hashes(rows, OWN), hashes(rows, LEAST)]) or [Filter(buckets, [])] * 2
     ship = spark.sparkContext.broadcast(words)
-    candidates = _candidates(training, ship, text, buckets)
-    pairs = _pairs(candidates, counts, ship, buckets)
-    longer, heads = _longer(candidates, pairs, buckets), lambda rows: [_unpack(rows, 0, *_STATE)[4]]
-    words.one, words.two = [(_filters(x, buckets, heads) or [Filter(buckets, [])])[0] for x in (pairs, longer)]
-    return Tree(tokens, words, pairs, longer), counts
+    seconds = _candidates(training, ship, text, buckets, 1)
+
+    def frequent(rows):
+        nxt, _, n, _, context, _ = _levels(rows, 1)[0]
+        return [_mix(context, nxt)[n >= LEAST]]
+
+    words.often = (_filters(seconds, buckets, frequent) or [Filter(buckets, [])])[0]
+    pairs = _pairs(seconds, counts, ship, buckets)
+    forget(seconds)
+    ship = spark.sparkContext.broadcast(words)
+    further = _candidates(training, ship, text, buckets, 2)
+    longer = _longer(further, pairs, buckets)
+    forget(further)
+    words.one, words.mine = _filters(pairs, buckets, lambda rows: _unpack(rows, 0, *_STATE)[4:6]) or [Filter(buckets, [])] * 2
+    words.two = (_filters(longer, buckets, lambda rows: [_unpack(rows, 0, *_STATE)[4]]) or [Filter(buckets, [])])[0]
+    return Tree(tokens, words, pairs, longer, buckets), counts
 
 
 def scored(docs: DataFrame, tree: Tree, counts: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc, n_tokens, n_known, base_score, score."""
     spark = docs.sparkSession
     kind = next(f.dataType.simpleString() for f in docs.schema if f.name == doc)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 4 * parts
+    buckets, parts = tree.buckets, tree.buckets // 4
     ship, names = spark.sparkContext.broadcast(tree.words), [doc, "n_tokens", "n_known", "base_score", "score"]
 
     def ask(batches):
@@ -541,7 +578,8 @@ def scored(docs: DataFrame, tree: Tree, counts: DataFrame, doc: str = "doc_id",
                 for kind, (cols, _) in enumerate(questions(t, every)):
                     place, _, home, _ = _distinct(cols, buckets)
                     cols, runs = [c[place] for c in cols], stretches(home)
-                    yield asked([int(home[a]) + (kind + 1) * buckets for a, _ in runs], QUESTION, batch, [_pack([c[a:z] for c in cols]) for a, z in runs])
+                    to = (max(1, kind)) * buckets  # the first two ask the pairs' table
+                    yield asked([int(home[a]) + to for a, _ in runs], QUESTION, batch, [_pack([c[a:z] for c in cols]) for a, z in runs], (kind + 1) * buckets - to)
                 size = np.diff(np.append(begin, len(ids))) - DEPTH
                 many, by = ids[at] >= RARE, np.argsort(number)
                 place = by[np.searchsorted(number[by], ids[at][many])].astype(np.int32)
@@ -551,11 +589,17 @@ def scored(docs: DataFrame, tree: Tree, counts: DataFrame, doc: str = "doc_id",
                 yield asked([batch % buckets], REST, batch, [parcel(rest)])
 
     def questions(t, every):
-        """The windows asked of the tables of pairs and of longer contexts, and whose they are."""
-        for kind, sieve in ((1, t.one), (2, t.two)):
-            head = _chain(every[1 : kind + 1])
-            ok = (every[kind] != NONE) & sieve(_deal(head, buckets), head)
-            yield [c[ok] for c in (every[:2] if kind == 1 else every)], ok
+        """Words before, pairs and windows that are asked for, and whose they are."""
+        word = _chain(every[1:2])
+        home = _deal(word, buckets)
+        state = (every[1] != NONE) & t.one(home, word)
+        yield [every[1][state]], state
+        own = np.zeros(len(state), bool)
+        own[state] = t.mine(home[state], _mix(word[state], every[0][state]))
+        yield [c[own] for c in every[:2]], own
+        head = _chain(every[1:3])
+        ok = (every[2] != NONE) & t.two(_deal(head, buckets), head)
+        yield [c[ok] for c in every], ok
 
     def finish(rest, answers):
         t = ship.value
@@ -576,7 +620,12 @@ def scored(docs: DataFrame, tree: Tree, counts: DataFrame, doc: str = "doc_id",
             place = _distinct(cols, buckets)[3]
             hi = lo + (int(place.max()) + 1 if len(place) else 0)
             reply = got[lo:hi][place]
-            out[ok] = np.where(reply >= ADDED / 2, out[ok] + (reply - ADDED), reply)
+            if len(cols) == 1:
+                out[ok] += reply
+            elif len(cols) == 2:  # what the filter took for an own symbol and isn't one has its factor already
+                out[ok] = np.where(reply >= ADDED / 2, out[ok], reply)
+            else:
+                out[ok] = np.where(reply >= ADDED / 2, out[ok] + (reply - ADDED), reply)
             lo = hi
         fold = lambda w: np.bincount(own, weights=w, minlength=len(size))
         return pa.RecordBatch.from_arrays([rest.column(0), rest.column(1), pa.array(fold(known).astype(np.int64)), pa.array(fold(root)), pa.array(fold(out))], names)
