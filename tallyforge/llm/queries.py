@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import counts, decontam, embeddings, jaccard, language, packing, scoring, secrets, store, toxicity
+from tallyforge.llm import counts, decontam, embeddings, jaccard, language, packing, scoring, secrets, store, toxicity, twins
 
 QUERIES = {
     "op1_suffix_tree_score": scoring.op1,
@@ -17,4 +17,4 @@ QUERIES = {
     "op10_shingle_join": jaccard.op10,
 }
 
-SQL: dict[str, str] = {}
+SQL = {"op3_decontaminate": twins.DECONTAMINATE, "op6_embedding_links": twins.EMBEDDINGS, "op8_secret_scan": twins.SECRETS, "op10_shingle_join": twins.JACCARD}
