@@ -1,6 +1,7 @@
 """The corpus operators against brute force, round trips and edge cases on small tables."""
 
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -24,6 +25,23 @@ def docs(spark):
     return spark.createDataFrame([*data, data[1]], SCHEMA).repartition(3).cache()
 
 
+#: The contract's patterns, and those of the added kinds: pattern, the group that counts, its least length.
+PATTERNS = {
+    "assign": (r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
+    "access": ("AKIA[A-Z0-9]+", 0, 20),
+    "hex": ("[0-9a-f]+", 0, 24),
+    "github": ("gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
+    "slack": ("xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    "jwt": (r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]+)?", 0, 0),
+    "pem": ("-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+}
+
+
+def spans(t):
+    found = [(m.start(), k, m.end()) for k, (p, g, n) in enumerate(PATTERNS.values()) for m in re.finditer(p, t) if len(m[g]) >= n]
+    return [(list(PATTERNS)[k], a, b) for a, k, b in sorted(found)]
+
+
 def collected(docs):
     return [(r.doc_id, r.text or "") for r in docs.collect()]
 
@@ -33,12 +51,12 @@ def test_secrets(docs, spark):
     assert secrets.scan([text.encode()])[0] == [("assign", 2, 20), ("access", 31, 51), ("hex", 52, 84), ("assign", 87, 105)]
     rng = random.Random(1)
     texts = ["".join(rng.choices(["AKIA", "token", "=", ":", " ", "abc123", "0f", "é", "Z", '"', "ghp_", "password"], k=rng.randrange(80))) for _ in range(3000)]
-    import re
-
-    def brute(t):
-        return [(secrets.RULES[k].kind, a, b) for a, k, b in sorted((m.start(), k, m.end()) for k, r in enumerate(secrets.RULES) for m in re.finditer(r.exact, t) if len(m[r.group]) >= r.least)]
-
-    assert secrets.scan([t.encode() for t in texts]) == [brute(t) for t in texts]
+    assert secrets.scan([t.encode() for t in texts]) == [spans(t) for t in texts]
+    jwt = "eyJ" + "a" * 8 + ".eyJ" + "b" * 9
+    for t in (jwt, jwt + ".sig-1", "eyJaaa.eyJbbbbbbbbb", "ghp_" + "x" * 36, "ghp_" + "x" * 35, "-----BEGIN RSA PRIVATE KEY-----", "secret=token: abcdefg", "é" + jwt):
+        assert secrets.scan([t.encode()]) == [spans(t)]
+    got = {(r.doc_id, r.spans) for r in secrets.digest(secrets.secret_spans(docs)).collect()}
+    assert got == {(d, ",".join(f"{k}:{a}:{b}" for k, a, b in spans(t))) for d, t in collected(docs)}
     assert secrets.digest(secrets.secret_spans(docs)).count() == docs.count()
     assert secrets.redact(spark.createDataFrame([(text,), (None,)], "text string")).first().text.count("[") == 4
     assert secrets.digest(secrets.secret_spans(docs.limit(0))).count() == 0
@@ -51,25 +69,32 @@ def test_decontam(docs, spark, block, monkeypatch):
     own = [t for _, t in collected(docs)]
     items = [(1, " ".join(own[3].split()[:20])), (2, "the house"), (3, None), (4, ""), (10, own[5]), (11, "word " * 13)]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = {(r.doc_id, r.n_words): (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontam.judged(decontam.window_hits(docs.where("doc_id < 66"), bench)).collect()}
-    for d, t in collected(docs.where("doc_id < 66")):
-        want = decontam.brute(t, [(str(i), x) for i, x in items])
-        assert got[d, want[0]] == want
+    found = decontam.judged(decontam.window_hits(docs, bench)).collect()
+    want = [(d, *decontam.brute(t, [(str(i), x) for i, x in items])) for d, t in collected(docs)]
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found) == sorted(want)
+    nameless = spark.createDataFrame([(None, items[0][1])], bench.schema)
+    hit = {r.doc_id: (r.n_hit, r.n_items) for r in decontam.judged(decontam.window_hits(docs, nameless)).collect()}
+    assert max(h for h, _ in hit.values()) > 0 and not any(n for _, n in hit.values())
+    clashing = docs.withColumns({"hits": F.lit(1), "n_words": F.lit("x"), "items": F.lit(2), "n_hit": F.lit(3)})
+    assert decontam.clean(clashing, bench).columns == clashing.columns and decontam.clean(clashing, bench).count() == sum(not w[-1] for w in want)
+    assert decontam.window_hits(docs.limit(0), bench).count() == 0
     assert decontam.clean(docs, bench.limit(0)).count() == docs.count()
 
 
 def test_packing(docs, spark):
-    cut = packing.pieces(docs.where("doc_id <> 1"), size=256)
+    cut = packing.pieces(docs, size=256)
     out = packing.pack(cut, size=256).toPandas().sort_values(["sequence_id", "offset"])
     total = out.groupby("sequence_id").length.sum()
     assert (out.offset == out.groupby("sequence_id").length.cumsum() - out.length).all() and total.max() <= 256
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
-    for d, t in collected(docs.where("doc_id <> 1")):
+    got = Counter((r.doc_id, r.start, r.length, r.ids_crc32) for r in out.itertuples())
+    for d, t in collected(docs):
         ids = np.array([*tok.encode(t, add_special_tokens=False).ids, 1], "<u4")
-        mine = out[out.doc_id == d].sort_values("start")
-        assert mine.length.sum() == len(ids) and [zlib.crc32(ids[a : a + n].tobytes()) for a, n in zip(mine.start, mine.length, strict=True)] == mine.ids_crc32.tolist()
+        mine = sorted(k for k in got if k[0] == d)
+        assert sum(k[2] for k in mine) == len(ids) and [zlib.crc32(ids[a : a + n].tobytes()) for _, a, n, _ in mine] == [k[3] for k in mine]
+        assert {got[k] for k in mine} == {2 if d == 1 else 1}
     rng = random.Random(2)
     histogram = {rng.randrange(1, 257): rng.randrange(1, 50) for _ in range(80)}
     seen = Counter()
@@ -81,18 +106,22 @@ def test_packing(docs, spark):
 
 
 def test_store(docs, spark, tmp_path):
-    some = docs.where("doc_id <> 1")
+    some = docs
     store.write(some, str(tmp_path / "s"))
-    got = {r.doc_id: r for r in store.read(spark, str(tmp_path / "s")).collect()}
+    got = sorted(store.read(spark, str(tmp_path / "s")).collect(), key=lambda r: r.start)
     from tokenizers import Tokenizer
 
     tok, start = Tokenizer.from_file(vocabulary("word_bpe_49k.json")), 0
-    rebuilt = {r.doc_id: r.ids for r in store.ids(spark, str(tmp_path / "s"), some).collect()}
-    for d, t in sorted(collected(some)):
-        ids = [*tok.encode(t, add_special_tokens=False).ids, 2]
-        assert rebuilt[d] == ids
-        assert (got[d].start, got[d].n_tokens, got[d].ids_crc32, got[d].verified) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), True)
+    rebuilt = sorted((r.doc_id, r.ids) for r in store.ids(spark, str(tmp_path / "s"), some).collect())
+    want = sorted((d, [*tok.encode(t, add_special_tokens=False).ids, 2]) for d, t in collected(some))
+    assert rebuilt == want and len(got) == len(want)
+    for r, (d, ids) in zip(got, want, strict=True):
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32, r.verified) == (d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), True)
         start += len(ids)
+    long = spark.createDataFrame([(7, "alpha beta gamma delta " * 3000), (7, "alpha beta gamma delta " * 3000), (7, "other " * 2000), (None, "x")], "doc_id long, text string")
+    store.write(long, str(tmp_path / "t"))
+    crcs = sorted((r.n_tokens, r.ids_crc32) for r in store.read(spark, str(tmp_path / "t")).collect() if r.verified)
+    assert crcs == sorted((len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for r in long.collect() for i in [[*tok.encode(r.text, add_special_tokens=False).ids, 2]])
     digests = [r.digest for r in store.part(spark, str(tmp_path / "s"), "chunk", "digest binary").collect()]
     assert len(digests) == len(set(digests))
     store.write(some.limit(0), str(tmp_path / "empty"))
@@ -111,7 +140,7 @@ def test_counts(docs):
 
 
 def test_scoring(docs):
-    own = docs.where("doc_id <> 1")
+    own = docs
     train = own.where("doc_id % 3 <> 0")
     tree, table = scoring.fit(train)
     got = {r.doc_id: r for r in scoring.scored(own, tree, table).collect()}
@@ -173,15 +202,14 @@ def test_scoring_whole_tree(spark):
         assert got[d] == pytest.approx(want, rel=1e-6)
 
 
-def test_language(docs, spark):
+def test_language(docs, spark, monkeypatch):
     rng = random.Random(5)
     for _ in range(50):
         hay = [rng.randrange(3) for _ in range(25)]
-        a = language.SuffixAutomaton(hay, 4).next
+        a = language.SuffixAutomaton(hay, 4).next.astype(np.int64)
         texts = sorted(([rng.randrange(4) for _ in range(rng.randrange(1, 20))] for _ in range(6)), key=lambda x: -len(x))
-        grid = np.zeros((len(texts[0]), 6), np.int32)
-        for k, x in enumerate(texts):
-            grid[: len(x), k] = x
+        flat = np.concatenate([np.full(8, -1), np.where(a >= 0, a * 4 + 8, -1).ravel()]).astype(np.int32)
+        sizes = np.array([len(x) for x in texts])
 
         def brute(t, hay=hay):
             n = i = 0
@@ -192,14 +220,21 @@ def test_language(docs, spark):
                 i, n = max(j, i + 1), n + 1
             return n
 
-        assert language.phrases(a, grid, np.array([len(x) for x in texts])).tolist() == [brute(x) for x in texts]
+        for abreast in (0, 3, 48):
+            monkeypatch.setattr(language, "ABREAST", abreast)
+            got = language.phrases(flat, np.full(6, 8), np.concatenate(texts).astype(np.uint8), np.cumsum(sizes) - sizes, sizes)
+            assert got.tolist() == [brute(x) for x in texts]
     full = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = language.predicted(full, language.fit(full.where(language.bucket(3) != 1))).where(language.bucket(3) == 1)
     assert out.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.97
     model = language.fit(docs)
     named = {r.doc_id: r for r in language.predicted(docs, model).collect()}
     assert all(named[d].lang_pred == "und" for d in (62, 63, 64, 65)) and named[66].lang_pred != "und"
-    assert language.fit(docs.limit(0)).predict(["abc"])[0] == ["und"]
+    assert language.fit(docs.limit(0)).predict(["abc"])[0] == ["und"] and language.predicted(docs.limit(0), model).count() == 0
+    clashing = docs.withColumns({"score": F.lit(1), "lang_pred": F.lit(2), "phrases_per_letter": F.lit("x")})
+    assert language.accepted(clashing).columns == clashing.columns
+    kept = sorted(r.doc_id for r in language.accepted(clashing).collect())
+    assert kept == sorted(d for d, t in collected(docs) if any(map(str.isalpha, t)))
 
 
 def test_language_of_short_or_long_texts(spark):
@@ -226,6 +261,7 @@ def test_toxicity(docs):
     words = [(["fine", "nasty", "day"], np.array([0, 1.0, 0])), (["fine", "day"], np.zeros(2))] * 60
     score, spans = toxicity.Field().fit(words).tag(["A NASTY day", "fine day", ""])
     assert score[0] > 0.3 > score[1] and spans == [[(2, 7)], [], []]
+    assert toxicity.Field().fit(words).tag(["İİİ NASTY day"])[1] == [[(4, 9)]]
 
 
 def test_toxicity_all_suspects(spark, monkeypatch):
@@ -266,6 +302,36 @@ def test_embeddings(spark):
     assert embeddings.linked(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("small", [{}, {"DIRECT": 4}, {"DIRECT": 4, "BLOCK": 16, "CELL": 8, "PIVOTS": 12}])
+def test_embeddings_trees(spark, monkeypatch, small):
+    """Every path: trees, blocks and cells, vectors without clusters and chains of near ones, components of any size, repeated ids."""
+    for k, n in small.items():
+        monkeypatch.setattr(embeddings, k, n)
+    rng = np.random.default_rng(4)
+    chain = np.cumsum(rng.normal(size=(60, 8)) * 0.08, axis=0) + 1
+    v = np.concatenate([rng.normal(size=(80, 8)), chain, np.repeat(rng.normal(size=(3, 8)), 15, axis=0)])
+    v[::7] *= 1e200
+    v[3::11] *= 1e-200
+    label = [k % 5 == 0 for k in range(len(v))]
+    rows = [(k, e.tolist(), int(x)) for k, (e, x) in enumerate(zip(v, label, strict=True))]
+    rows += [(500, rows[70][1], rows[70][2]), (500, rows[90][1], rows[90][2]), (501, rows[90][1], rows[90][2]), (None, rows[1][1], rows[1][2])]
+    x = np.array([r[1] for r in rows])
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    lab, ids = np.array([r[2] for r in rows]), [r[0] for r in rows]
+    cos = (x @ x.T) / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(x, axis=1))
+    link = (cos >= 0.98) & (lab[:, None] == lab) & ~np.eye(len(x), dtype=bool)
+    tie = np.array([[a is not None and a == b for b in ids] for a in ids])
+    comp = np.array([10**9 if i is None else i for i in ids])
+    for _ in range(len(x)):
+        comp = np.minimum(comp, np.where(link | tie, comp, 10**9).min(axis=1))
+    want = {}
+    for i, n, c in zip(ids, link.sum(axis=1).tolist(), comp.tolist(), strict=True):
+        want[i] = max(want.get(i, (0, 0))[0], n), c
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.linked(df).collect() if r.vec_id is not None}
+    assert got == {k: w for k, w in want.items() if k is not None}
+
+
 def test_jaccard(spark, docs, monkeypatch):
     rng = random.Random(7)
     texts = []
@@ -297,3 +363,87 @@ def test_jaccard(spark, docs, monkeypatch):
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.links(df).collect()}
         assert got == {k: (len(s), root(k)) for k, s in sets.items()}
     assert jaccard.links(docs.limit(0)).count() == 0
+
+
+def brute_components(rows, width, percent, tied=True):
+    """Component of each node (a doc_id, or a row's place if not tied) by comparing all sets that share a shingle."""
+    sets, where = [], {}
+    for k, (_, t) in enumerate(rows):
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set())
+        for x in sets[-1]:
+            where.setdefault(x, []).append(k)
+    up = list(range(len(rows)))
+
+    def root(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for a, s in enumerate(sets):
+        for b in {b for x in s for b in where[x] if b < a}:
+            i = len(s & sets[b])
+            if 100 * i >= percent * (len(s) + len(sets[b]) - i):
+                up[root(a)] = root(b)
+    if tied:
+        first = {}
+        for k, (d, _) in enumerate(rows):
+            if sets[k] and d is not None:
+                up[root(k)] = root(first.setdefault(d, k))
+    return sets, [root(k) for k in range(len(rows))]
+
+
+def copies(seed, near):
+    """One large group of near copies of many distances, a passage that many share, texts of their own, repeats and odd rows."""
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(3000)]
+    base = rng.choices(words, k=120)
+
+    def edited(ws, k):
+        ws = list(ws) or ["q"]
+        for _ in range(k):
+            i, z = rng.randrange(len(ws)), rng.random()
+            ws[i : i + 1] = [rng.choice(words)] if z < 0.5 else [] if z < 0.75 and len(ws) > 1 else [ws[i], rng.choice(words)]
+        return ws
+
+    own = [rng.choices(words, k=rng.randrange(200)) for _ in range(150)]
+    texts = [edited(base, rng.randrange(14)) for _ in range(near)] + [base[:60] + rng.choices(words, k=50) for _ in range(150)] + own + [edited(rng.choice(own), rng.randrange(6)) for _ in range(100)]
+    rng.shuffle(texts)
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    long = " ".join(rng.choices(words, k=20_000))
+    return [*rows, (5, rows[9][1]), (5, rows[9][1]), (7, None), (8000, ""), (8001, "a"), (8002, "a"), (None, rows[3][1]), (8003, long), (8004, long + " end")]
+
+
+@pytest.mark.parametrize("hot", [2, 8])
+def test_jaccard_large_group(spark, monkeypatch, hot):
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    rows = copies(1, 400)
+    sets, comp = brute_components(rows, 4, 85)
+    least = {}
+    for k, (d, _) in enumerate(rows):
+        if sets[k] and d is not None:
+            least[comp[k]] = min(d, least.get(comp[k], d))
+    want = sorted((d if d is not None else -1, len(sets[k]), (least[comp[k]] if sets[k] else d)) for k, (d, _) in enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"digest": F.lit(1), "n": F.lit(2), "d": F.lit(3)}).repartition(5)
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.n_shingles, r.component_id) for r in jaccard.links(df).collect())
+    assert got == want
+
+
+def test_jaccard_distinct(spark):
+    rows = [*copies(2, 60), (40, "one two three four five six seven"), (40, "a text of its own under an id that is taken"), (41, "one two three four five six seven"), (40, "one two three four five six seven")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"h": F.lit(1), "node": F.lit(2)})
+    sets, comp = brute_components(rows, 5, 80, tied=False)
+    got = jaccard.distinct(df)
+    assert got.columns == df.columns
+    kept = Counter((r.doc_id, r.text) for r in got.collect())
+    assert {k: n for k, n in kept.items() if (k[1] or "").split()} and all(n == 1 for k, n in kept.items() if (k[1] or "").split())
+    groups = {}
+    for k, row in enumerate(rows):
+        if sets[k]:
+            groups.setdefault(comp[k], []).append(row)
+    for members in groups.values():
+        left = [m for m in set(members) if m in kept]
+        assert len(left) == 1 and (left[0][0] if left[0][0] is not None else 10**9) == min(m[0] if m[0] is not None else 10**9 for m in members)
+    assert sum(n for k, n in kept.items() if not (k[1] or "").split()) == sum(not s for s in sets)
+    assert jaccard.distinct(df.limit(0)).count() == 0
