@@ -80,6 +80,17 @@ def parcel(batch: pa.RecordBatch) -> bytes:
     return out.getvalue().to_pybytes()
 
 
+def portions(sizes: list[int], limit: int) -> list[tuple[int, int]]:
+    """First and end of consecutive items whose sizes sum to the limit at most (a larger one goes by itself)."""
+    out, lo, total = [], 0, 0
+    for k, n in enumerate(sizes):
+        if k > lo and total + n > limit:
+            out.append((lo, k))
+            lo, total = k, 0
+        total += n
+    return [*out, (lo, len(sizes))] if sizes else []
+
+
 def stretches(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
     """First and end of each run of equal keys (0 and above)."""
     first = np.flatnonzero(np.diff(sorted_keys, prepend=-1)).tolist()

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import by_home, forget, parcel, partitions, raw, settled, table, unparcel, words
+from tallyforge.llm.common import by_home, forget, parcel, partitions, portions, raw, settled, table, unparcel, words
 from tallyforge.llm.graph import components
 
 WIDTH, PERCENT = 4, 85
@@ -49,6 +49,8 @@ HOT = 8
 SMALL = 1_000_000
 #: Each band's largest set has this share more shingles than its least.
 SPREAD = 1.19
+#: Shingles, or rows of pairs, that a task works on at once: bounds its memory.
+PORTION = 500_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -261,9 +263,9 @@ def _met(postings: Iterator[dict[str, np.ndarray]], slack: np.ndarray):
         hot = who[np.repeat(~cold, many)]
         heat.append(np.column_stack([hot, np.ones(len(hot), np.int64)]))
         # counted again now and then, so that what a task holds is its distinct pairs
-        if sum(map(len, pairs)) > 2_000_000:
+        if sum(map(len, pairs)) > 2 * len(pairs[0]) + PORTION:
             pairs = [added(pairs)]
-        if sum(map(len, heat)) > 2_000_000:
+        if sum(map(len, heat)) > 2 * len(heat[0]) + PORTION:
             heat = [added(heat)]
     for rows in _blocks(added(pairs)):
         level = rows[:, 0] >> 48
@@ -289,8 +291,8 @@ def _first(docs: DataFrame, doc: str, text: str, width: int, percent: int) -> Da
             yield pa.RecordBatch.from_arrays(own, names)
             unique = {d: s for d, s in zip(digests, sets, strict=True) if d}
             entries = [(tag(d), s, x) for d, s in unique.items() for x in bands(len(s), percent)]
-            for lo in range(0, len(entries), 4000):
-                tags, chosen, bs = zip(*entries[lo : lo + 4000], strict=True)
+            for lo, hi in portions([len(e[1]) for e in entries], PORTION):
+                tags, chosen, bs = zip(*entries[lo:hi], strict=True)
                 keys, of, _, _ = signatures(list(chosen), list(bs), False)
                 who = np.array(tags, np.int64) | np.array([x.level for x in bs], np.int64) << 48
                 at, values = _send(buckets, keys, tag=who[of])
@@ -378,9 +380,9 @@ def _neighbourhoods(own: DataFrame, parts: int, percent: int) -> DataFrame:
         for b in batches:
             tags, levels = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             sets = [np.asarray(s, np.int64).view(np.uint64) for s in b.column(2).to_numpy(zero_copy_only=False)]
-            for lo in range(0, len(sets), 500):
-                keys, of, segment, role = signatures(sets[lo : lo + 500], [known[k] for k in levels[lo : lo + 500].tolist()], True)
-                who = tags[lo : lo + 500] | levels[lo : lo + 500] << 48
+            for lo, hi in portions([len(s) for s in sets], PORTION // 4):
+                keys, of, segment, role = signatures(sets[lo:hi], [known[k] for k in levels[lo:hi].tolist()], True)
+                who = tags[lo:hi] | levels[lo:hi] << 48
                 at, values = _send(buckets, keys, tag=who[of], segment=segment.astype(np.int32), role=role)
                 yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(values, pa.binary())], ["bucket", "rows"])
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import table
+from tallyforge.llm.common import portions, table
 
 #: Labelled symbols and documents of a language's sample, and the sizes of its documents.
 SAMPLE, SAMPLE_DOCS, SHORT, LONG = 60_000, 400, 60, 8_000
@@ -35,6 +35,8 @@ SAMPLE, SAMPLE_DOCS, SHORT, LONG = 60_000, 400, 60, 8_000
 FEW = 20
 #: Letters of a language with a symbol of their own; lanes from which stepping side by side is quicker than one by one.
 LETTERS, ABREAST = 62, 48
+#: Characters of texts that are parsed side by side: bounds a task's memory.
+PORTION = 4_000_000
 UNKNOWN = "und"
 _LETTER_RUNS = re.compile(r"[^\W\d_]+")
 
@@ -221,9 +223,9 @@ def predicted(docs: DataFrame, model: Languages, text: str = "text", keep: tuple
 
     def run(batches):
         for b in batches:
-            for lo in range(0, b.num_rows, 2048):
-                part = b.slice(lo, 2048)
-                texts = [t or "" for t in part.column(part.schema.get_field_index(text)).to_pylist()]
+            every = [t or "" for t in b.column(b.schema.get_field_index(text)).to_pylist()]
+            for lo, hi in portions([len(t) for t in every], PORTION):
+                part, texts = b.slice(lo, hi - lo), every[lo:hi]
                 names, score, cost = ship.value.predict(texts)
                 cols = [part.column(part.schema.get_field_index(c)) for c in keep]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(cost, pa.float64())], [*keep, *results])
