@@ -7,6 +7,11 @@ the columns of documents:
 3. decontaminate: documents that hold benchmark passages beyond the contract's share go;
 4. secrets: documents stay, with each secret replaced by its kind, and n_chars counts the new text;
 5. pack: pieces of 2048-token sequences.
+
+Defined results: null and empty texts and those without a letter go in the first stage, so later ones meet them only if
+called by themselves, and then keep them; texts of any length are judged whole; rows count by doc_id and text: equal rows
+become one in the second stage (ties: the least doc_id, a null one last, then the least hash of the text), elsewhere each
+row is judged by itself; columns may have any names; empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -41,7 +46,7 @@ def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", _language), ("near_copies", _near_copies), ("decontaminate", _decontaminate), ("secrets", _secrets), ("pack", _pack)]
 
-#: SQL can't express cross-parsing, the tokenizer or the packing; the stages are tested against brute force instead.
+#: SQL can't express cross-parsing, the tokenizer or the packing; tests/llm holds run() against brute force, stage by stage.
 ORACLE_SQL = None
 
 

@@ -36,6 +36,18 @@ class Ladder:
         return df.withColumns({name: F.expr(case) for name, case in self.cases().items()})
 
 
+@dataclass(frozen=True)
+class Ledger:
+    """Names of all rules that hold, in order, as one text."""
+
+    name: str
+    rules: tuple[tuple[str, str], ...]
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        found = F.array(*(F.when(F.expr(when), F.lit(n)) for n, when in self.rules))
+        return df.withColumn(self.name, F.array_join(F.array_compact(found), "; "))
+
+
 def derive(df: DataFrame, steps: tuple[tuple[str, str], ...]) -> DataFrame:
     """Columns by SQL, each seeing those before it."""
     for name, sql in steps:
@@ -448,3 +460,124 @@ NAME_CLASS = Ladder(
     ),
     ("unclear", "Review"),
 )
+
+# ---- release -----------------------------------------------------------------------------------------------------------
+
+#: What keeps a scored account out of a release; all that hold are named.
+HARD_FAILURES = Ledger(
+    "failures",
+    (
+        ("invalid_numeric_score", "score IS NULL"),
+        ("invalid_numeric_mcv", "coalesce(low <= 0 OR point <= 0 OR high <= 0, true)"),
+        ("invalid_mcv_interval", "low > 0 AND point > 0 AND high > 0 AND NOT (low <= point AND point <= high)"),
+        ("invalid_numeric_arr", "coalesce(arr <= 0, true) OR arr_low IS NULL OR arr_high IS NULL"),
+        ("invalid_arr_interval", "arr > 0 AND (arr_low > arr_high OR NOT (arr_low <= arr AND arr <= arr_high))"),
+        ("confirmed_website_entity_mismatch", "binding_status = 'mismatch' AND binding_confidence = 'high'"),
+        ("confirmed_active_customer", "active OR account_status IN ('active', 'active customer', 'customer') OR lifecycle = 'active_customer'"),
+        ("confirmed_partner", "lifecycle = 'partner'"),
+        ("verified_duplicate_loser", "relation_confidence = 'high' AND relation = 'duplicate_loser'"),
+        ("confirmed_non_independent_sellable_unit", "relation_confidence = 'high' AND relation IN ('non_independent_child', 'branch', 'dba', 'owned_direct', 'brokerage_affiliated', 'parent_controlled')"),
+        ("confirmed_non_icp_entity", "entity_class = 'adjacent' AND lane_confidence = 'high'"),
+        *((f"confirmed_{k}_non_independent", f"subtype = '{k}' AND lane_confidence = 'high'") for k in ("underwriter", "owned_direct", "brokerage_affiliated")),
+        ("confirmed_abstract_only", "subtype = 'abstract_only'"),
+        ("confirmed_nonclosing_legal_non_icp", "subtype = 'non_closing_legal' AND lane_confidence = 'high'"),
+    ),
+)
+RELEASE_CONFIDENCE = Ladder(
+    ("release_confidence",),
+    (
+        ("original = 'Low' OR lifecycle IN ('winback', 'unknown') OR original NOT IN ('High', 'Medium')", ("Low",)),
+        ("relation <> 'independent' OR binding_status IN ('ambiguous', 'insufficient_evidence', 'hygiene_blocked')", ("Medium",)),
+        ("original = 'High' AND binding_status = 'bound' AND binding_confidence = 'high' AND lane_confidence = 'high'", ("High",)),
+    ),
+    ("Medium",),
+)
+#: The conjuncts of automatic acceptance: what an account lacks, and what is done with it.
+ACCEPTANCE = Ledger(
+    "lacking",
+    (
+        ("binding", "NOT (binding_status = 'bound' AND binding_confidence = 'High')"), ("unit", "NOT (unit_eligible AND unit_confidence = 'High')"), ("lane", "NOT (lane_eligible AND lane_confidence = 'High')"), ("evidence", "evidence_confidence <> 'High'"),
+        ("pages", "pages <= 0 OR evidence_hash = ''"), ("freshness", "age_days IS NULL OR age_days < 0 OR age_days > 90"), ("value_interval", "point IS NULL OR low IS NULL OR high IS NULL"), ("value_confidence", "value_confidence <> 'High'"),
+        ("comparables", "arr_point IS NULL OR comparables < 8"), ("provisional", "provisional"),
+    ),
+)
+DISPOSITION = Ladder(
+    ("disposition", "operation"),
+    (
+        ("lacking = ''", ("accepted", "publish_value")),
+        ("lifecycle = 'active_customer'", ("active_customer_no_change", "no_change")),
+        ("relation IN ('duplicate_loser', 'non_independent_child', 'branch_location', 'dba_alias', 'owned_direct_operation', 'shared_domain_customer_review', 'shared_domain_only_review', 'shared_domain_cluster_review', 'parent_child_review')", ("sellable_unit_no_change", "no_change")),
+    ),
+    ("review", "route_review_metadata_only"),
+)
+#: What an accepted decision must hold before it becomes a desired state.
+PUBLISHABLE = Ledger(
+    "violations",
+    (
+        ("operation", "operation <> 'publish_value'"), ("active_customer", "lifecycle = 'active_customer'"), ("not_net_new", "lifecycle <> 'net_new'"), ("unbound", "binding_status NOT IN ('bound', 'confirmed', 'correct_website')"), ("confidence", "confidence <> 'High'"), ("lane", "lane NOT IN ('title_escrow', 'legal')"), ("loser", "survivor <> id"),
+        ("value_missing", "point IS NULL OR low IS NULL OR high IS NULL"), ("value_interval", "NOT (low <= point AND point <= high)"), ("value_sign", "point <= 0 OR low < 0 OR high <= 0"), ("arr_missing", "arr IS NULL OR arr_low IS NULL OR arr_high IS NULL"), ("arr_interval", "NOT (arr_low <= arr AND arr <= arr_high)"), ("arr_sign", "arr <= 0 OR arr_low < 0 OR arr_high <= 0"),
+    ),
+)
+#: A described field against what is expected of it, and a value against both.
+SCHEMA = Ledger(
+    "faults",
+    (
+        ("missing", "actual_type IS NULL"), ("not_updateable", "name <> 'Id' AND updateable = false"), ("not_nillable", "name <> 'Id' AND nillable = false"), ("type", "actual_type <> expected_type"), ("length", "expected_length > 0 AND actual_length <> expected_length"),
+        ("numeric", "expected_precision > 0 AND (actual_precision <> expected_precision OR actual_scale <> expected_scale)"), ("value_length", "expected_length > 0 AND length(value) > expected_length"), ("picklist", "actual_type = 'picklist' AND restricted AND value <> '' AND NOT value_allowed"),
+        ("value_precision", "expected_precision > 0 AND value <> '' AND (length(regexp_replace(value, '^[^.]*[.]?', '')) > expected_scale OR greatest(1, length(regexp_replace(regexp_replace(value, '[.].*$', ''), '^-', ''))) + length(regexp_replace(value, '^[^.]*[.]?', '')) > expected_precision)"),
+    ),
+)
+
+# ---- candidates, labels and history ----------------------------------------------------------------------------------------
+
+_PEND = "('', 'pending', 'pending review', 'tbd', 'unknown')"
+#: Controlled labels: yes, no or pending, anything else is invalid.
+LABELS = (
+    ("yes_no", "CASE lower(trim(label)) WHEN 'yes' THEN 'Yes' WHEN 'no' THEN 'No' END"),
+    ("label_state", f"CASE WHEN lower(trim(label)) IN {_PEND} THEN 'pending_or_blank' WHEN yes_no IS NOT NULL THEN 'valid' ELSE 'invalid_uncontrolled_value' END"),
+    ("icp_label", "CASE WHEN lower(trim(icp)) IN ('icp', 'icp - title/settlement agency', 'icp - attorney settlement agent') THEN 'ICP' WHEN lower(trim(icp)) IN ('non-icp', 'non icp') THEN 'Non-ICP' END"),
+    ("truth", "CASE WHEN lower(trim(registered)) = 'yes' THEN 'ICP' ELSE icp_label END"),
+    ("conflict", "CASE WHEN lower(trim(registered)) = 'yes' AND icp_label = 'Non-ICP' THEN 'conflict_vsb_yes_groundtruth_non_icp' ELSE '' END"),
+    ("predicted", "CASE WHEN regexp_like(lower(first_pass), 'confirmed icp|likely icp|title/settlement icp') THEN 'ICP' WHEN regexp_like(lower(first_pass), 'non-icp|non icp') THEN 'Non-ICP' ELSE 'Unknown' END"),
+)
+CITY_CHECK = Ladder(
+    ("city_check",),
+    (("registry <> 'matched_active_agency'", ("not_applicable_no_scc_match",)), ("city = '' OR host = ''", ("not_applicable_missing_city_or_candidate",)), ("in_candidate_evidence", ("scc_city_found_in_candidate_evidence",)), ("in_evidence", ("scc_city_found_in_other_evidence",))),
+    ("scc_city_not_found_in_evidence",),
+)
+#: A website candidate by its hits: tokens of the name, in its host, strong ones among these, in all evidence.
+CANDIDATE = Ladder(
+    ("grade", "why"),
+    (
+        ("tokens = 0", ("reject", "no usable name")), ("ignored_host", ("reject", "ignored host")), ("host_hits = 0", ("reject", "no name in host")), ("strong_hits = 0", ("reject", "weak name in host")),
+        ("strong_hits >= 2 AND 2 * host_hits >= tokens AND hits >= 2 AND 100 * hits >= 67 * tokens", ("high", "host and evidence")), ("hits >= 2 AND 2 * hits >= tokens", ("medium", "host and evidence")), ("tokens = 1 AND hits >= 1", ("medium", "single name")),
+    ),
+    ("reject", "insufficient match"),
+)
+#: A search result as website candidate of an account.
+RESULT_SCORE = (
+    ("host_value", "CASE WHEN same_host THEN greatest(host_score, CAST(1 AS DOUBLE)) ELSE host_score END"),
+    ("level", "CASE WHEN same_host AND name_score >= 0.25 AND entity_level = 'weak' THEN 'medium' ELSE entity_level END"),
+    ("result_score", "CASE WHEN directory OR (non_icp AND NOT has_icp) OR level = 'weak' OR NOT (same_host OR state_named) OR (host_value < 0.25 AND NOT exact_name) THEN CAST(0 AS DOUBLE) ELSE CAST(0.55 AS DOUBLE) * name_score + CAST(0.45 AS DOUBLE) * host_value + CASE WHEN level = 'strong' THEN CAST(0.15 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END + CASE WHEN has_icp THEN CAST(0.25 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END + CASE WHEN has_location THEN CAST(0.05 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END END"),
+    ("result_confidence", "CASE WHEN result_score >= 0.85 THEN 'High' WHEN result_score >= 0.6 THEN 'Medium' WHEN result_score >= 0.45 THEN 'Low' ELSE '' END"),
+)
+RESOLVED = Ladder(
+    ("outcome", "outcome_confidence"),
+    (
+        ("law AND trusted AND candidate = 'High'", ("law_firm_review", "High")), ("law", ("law_firm_review", "Medium")), ("non_icp AND NOT icp", ("non_icp_review", "Medium")), ("trusted AND site_icp AND candidate = 'High'", ("high_confidence_recovery", "High")), ("trusted", ("reviewer_assist", "Medium")),
+        ("icp AND directory", ("reviewer_assist", "Medium")), ("site_icp AND candidate = 'High'", ("high_confidence_recovery", "High")), ("site_icp AND candidate = 'Medium'", ("reviewer_assist", "Medium")), ("site_icp", ("needs_review", "Low")), ("candidate IN ('High', 'Medium') OR location", ("needs_review", "Low")),
+    ),
+    ("unresolved", "Low"),
+)
+_RISK = "('true', 't', '1', 'yes')"
+HISTORY = (
+    ("has_direct_usage", "coalesce(direct, 0) > 0"), ("has_billing_usage", "coalesce(rollup_usage, 0) > 0"), ("has_billing_report", "coalesce(billable, 0) > 0"), ("has_history", "coalesce(closed, 0) > 0"), ("has_won", "coalesce(won, 0) > 0"), ("has_mcv_label", "coalesce(mcv, 0) > 0"), ("has_arr_label", "coalesce(arr, 0) > 0"),
+    ("has_retention_risk", f"coalesce(churns, 0) > 0 OR coalesce(churn_date, '') <> '' OR lower(coalesce(churn_exception, '')) IN {_RISK} OR lower(coalesce(subscription, '')) IN ('cancelled', 'expired')"),
+)
+#: Whether sales' figure and the model's agree, and how urgent a difference is: the first source that is there counts.
+VARIANCE = (
+    ("sales_value", "coalesce(nullif(final_value, 0), nullif(won_value, 0), nullif(open_value, 0), nullif(rep_value, 0), nullif(import_value, 0))"),
+    ("value_source", "CASE WHEN final_value <> 0 THEN 'final' WHEN won_value <> 0 THEN 'won' WHEN open_value <> 0 THEN 'open' WHEN rep_value <> 0 THEN 'rep' WHEN import_value <> 0 THEN 'import' ELSE 'none' END"),
+    ("ratio_class", "CASE WHEN sales_value IS NULL OR model_value <= 0 THEN 'not_comparable' WHEN sales_value >= 2 * model_value THEN 'sales_far_higher' WHEN 2 * sales_value <= model_value THEN 'model_far_higher' WHEN sales_value = model_value THEN 'equal' ELSE 'near' END"),
+    ("review_priority", "CASE WHEN ratio_class LIKE '%far_higher' AND greatest(sales_value, model_value) >= 200 THEN 'P1' WHEN ratio_class LIKE '%far_higher' THEN 'P2' WHEN ratio_class = 'not_comparable' THEN 'P3' ELSE 'P4' END"),
+)

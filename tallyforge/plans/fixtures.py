@@ -7,7 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.operators.ladders import Ladder
+from tallyforge.operators.ladders import Ladder, Ledger
 
 _KINDS = {str: ("string", "VARCHAR"), bool: ("boolean", "BOOLEAN"), int: ("int", "INTEGER"), float: ("double", "DOUBLE")}
 
@@ -54,12 +54,15 @@ def duck(sql: str) -> str:
     return sql.replace("regexp_like(", "regexp_matches(").replace(", r'", ", '")
 
 
-def twin(source: str, *layers: dict[str, str] | tuple[tuple[str, str], ...] | Ladder) -> str:
+def twin(source: str, *layers: tuple[tuple[str, str], ...] | Ladder | Ledger) -> str:
     """A query over source that adds layer by layer of columns."""
     out = source
     for layer in layers:
         if isinstance(layer, Ladder):
             out = f"(SELECT *, {', '.join(f'{duck(c)} AS {n}' for n, c in layer.cases().items())} FROM {out} q)"
+        elif isinstance(layer, Ledger):
+            found = ", ".join(f"CASE WHEN {duck(when)} THEN '{n}' END" for n, when in layer.rules)
+            out = f"(SELECT *, array_to_string(list_filter([{found}], lambda x: x IS NOT NULL), '; ') AS {layer.name} FROM {out} q)"
         else:
             for name, sql in layer:
                 out = f"(SELECT *, {duck(sql)} AS {name} FROM {out} q)"

@@ -21,7 +21,7 @@ def _stage(name: str, rows: Fixture, layers: tuple, results: tuple[str, ...]) ->
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = rows.frame(spark)
         for layer in layers:
-            df = layer.apply(df) if isinstance(layer, L.Ladder) else L.derive(df, layer)
+            df = layer.apply(df) if isinstance(layer, (L.Ladder, L.Ledger)) else L.derive(df, layer)
         return df.select("row_id", *results)
 
 
@@ -123,4 +123,36 @@ def readiness_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.join(n).select(F.explode(gates).alias("g")).select("g.gate", "g.state")  # two rows of one line each
 
 
-
+_stage(
+    "release_hard_failures",
+    pairwise({
+        "score": [80.0, None], "point": [100.0, None, 0.0, 300.0], "low": [50.0, None], "high": [200.0, 60.0], "arr": [9.0, None, 50.0], "arr_low": [5.0, None], "arr_high": [20.0, 1.0], "binding_status": ["bound", "mismatch", "ambiguous"], "binding_confidence": ["high", "medium"], "active": _NO, "account_status": ["", "customer"],
+        "lifecycle": ["net_new", "active_customer", "partner", "winback"], "relation": ["independent", "duplicate_loser", "branch"], "relation_confidence": ["high", "low"], "entity_class": ["title_escrow", "adjacent"], "subtype": ["operator", "underwriter", "abstract_only", "non_closing_legal"], "lane_confidence": ["high", "medium"], "original": ["High", "Medium", "Low", ""],
+    }),
+    (L.HARD_FAILURES, L.RELEASE_CONFIDENCE), ("failures", "release_confidence"),
+)
+_stage(
+    "decision_acceptance",
+    pairwise({
+        "binding_status": ["bound", "mismatch"], "binding_confidence": ["High", "Low"], "unit_eligible": _YES, "unit_confidence": ["High", "Medium"], "lane_eligible": _YES, "lane_confidence": ["High", "Medium"], "evidence_confidence": ["High", "Low"], "pages": [2, 0], "evidence_hash": ["x", ""], "age_days": [3.5, 91.0, -1.0, None], "point": [5.0, None], "low": [1.0, None], "high": [9.0, None],
+        "value_confidence": ["High", "Low"], "arr_point": [1.0, None], "comparables": [8, 7], "provisional": _NO, "lifecycle": ["net_new", "active_customer"], "relation": ["independent", "dba_alias"],
+    }),
+    (L.ACCEPTANCE, L.DISPOSITION), ("lacking", "disposition", "operation"),
+)
+_stage(
+    "desired_state",
+    pairwise({"id": ["a1"], "survivor": ["a1", "b2"], "operation": ["publish_value", "no_change"], "lifecycle": ["net_new", "active_customer"], "binding_status": ["bound", "ambiguous"], "confidence": ["High", "Medium"], "lane": ["legal", "adjacent"], "point": [50.0, None, 0.0, 500.0], "low": [10.0, -1.0, None], "high": [90.0, None], "arr": [5.0, None, 0.0], "arr_low": [1.0, -1.0], "arr_high": [9.0, 2.0]}),
+    (L.PUBLISHABLE,), ("violations",),
+)
+_stage(
+    "schema_validation",
+    pairwise({"name": ["Value", "Id"], "actual_type": ["double", "string", "picklist", None], "expected_type": ["double", "picklist"], "updateable": _YES, "nillable": _YES, "actual_length": [80, 40], "expected_length": [0, 80, 3], "actual_precision": [18, 10], "actual_scale": [2, 0], "expected_precision": [18, 5, 0], "expected_scale": [2], "restricted": _YES, "value": ["12.5", "", "1234.567", "-7"], "value_allowed": _NO}),
+    (L.SCHEMA,), ("faults",),
+)
+_stage("controlled_labels", pairwise({"label": ["Yes", " no ", "Pending", "", "maybe"], "icp": ["ICP", "Non-ICP", "ICP - Title/Settlement Agency", "other"], "registered": ["", "Yes", "No"], "first_pass": ["Likely ICP", "non-icp brokerage", "", "Confirmed ICP"]}), (L.LABELS,), ("yes_no", "label_state", "icp_label", "truth", "conflict", "predicted"))
+_stage("registry_city_check", pairwise({"registry": ["matched_active_agency", "none"], "city": ["reno", ""], "host": ["oak.com", ""], "in_candidate_evidence": _NO, "in_evidence": _NO}), (L.CITY_CHECK,), ("city_check",))
+_stage("website_candidate_grade", pairwise({"tokens": [2, 0, 1, 3], "ignored_host": _NO, "host_hits": [2, 0, 1], "strong_hits": [2, 0, 1], "hits": [2, 0, 1, 3]}), (L.CANDIDATE,), ("grade", "why"))
+_stage("search_result_score", pairwise({"name_score": [0.9, 0.25, 0.1], "host_score": [0.8, 0.3, 0.0], "same_host": _NO, "entity_level": ["strong", "medium", "weak"], "directory": _NO, "non_icp": _NO, "has_icp": _NO, "state_named": _YES, "exact_name": _NO, "has_location": _NO}), (L.RESULT_SCORE,), ("level", "result_score", "result_confidence"))
+_stage("resolver_outcome", pairwise({"law": _NO, "trusted": _NO, "candidate": ["High", "Medium", "Low", ""], "non_icp": _NO, "icp": _NO, "site_icp": _NO, "directory": _NO, "location": _NO}), (L.RESOLVED,), ("outcome", "outcome_confidence"))
+_stage("customer_history_flags", pairwise({"direct": [0, 5, None], "rollup_usage": [0, 5, None], "billable": [0, 1], "closed": [0, 1], "won": [0, 1], "mcv": [0.0, 2.5, None], "arr": [0.0, 2.5], "churns": [0, 1, None], "churn_date": ["", "2024-01-01", None], "churn_exception": ["", "TRUE", "no"], "subscription": ["active", "Expired", None]}), (L.HISTORY,), tuple(n for n, _ in L.HISTORY))
+_stage("sales_model_variance", pairwise({"final_value": [0, 100], "won_value": [0, 300], "open_value": [0, 80], "rep_value": [0, 40], "import_value": [0, 20], "model_value": [100, 0, 20]}), (L.VARIANCE,), ("sales_value", "value_source", "ratio_class", "review_priority"))
