@@ -84,3 +84,17 @@ def test_evidence_sources(spark, tmp_path):
     assert [(r.row, r.cells) for r in evidence.table_rows(page, "page_id", "html").orderBy("row").collect()] == [(1, ["Oak & Co", "Reno"]), (2, ["Elm"])]
     text = evidence.markdown(spark.createDataFrame([("a|b", 1), (None, 2)], "name string, n int"), "Counts")
     assert text == "# Counts\n\n| name | n |\n|---|---|\n| a\\|b | 1 |\n|  | 2 |\n"
+
+
+def test_publish_lots(spark):
+    from tallyforge.operators import publish
+
+    live = spark.createDataFrame([(k, "a", "t0") for k in range(400)], "id int, v string, stamp string")
+    want = spark.createDataFrame([(k, "" if k == 1 else "a" if k == 2 else "b", "t1" if k == 3 else "t0") for k in [*range(400), 900]], "id int, v string, stamp string")
+    lots = {r.id: (r.lot, r.v) for r in publish.staged(want, live, "id", ["v"], "stamp", canary=0.1).collect()}
+    assert lots[1] == ("unchanged", "a") and lots[2][0] == "unchanged" and lots[3][0] == lots[900][0] == "conflict"
+    canary = {k for k, (lot, _) in lots.items() if lot == "canary"}
+    assert 15 < len(canary) < 80 and canary == {r.id for r in publish.staged(want, live, "id", ["v"], "stamp", canary=0.1).where("lot = 'canary'").collect()}
+    sent = publish.staged(want, live, "id", ["v"], "stamp").where("lot IN ('canary', 'remaining')")
+    got = {r.id: r.error for r in publish.ledger(sent, sent.where("id > 10").withColumn("v", F.expr("CASE WHEN id = 20 THEN 'z' ELSE v END")), "id", ["v"]).collect()}
+    assert got[5] == "missing" and got[20] == "mismatch:v" and got[30] == ""
