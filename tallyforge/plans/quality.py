@@ -64,13 +64,13 @@ _METRICS = f"""count(*) n, CAST(sum(abs({_ERR})) AS DOUBLE) / count(*) mae, medi
 @query("regression_metrics_all", f"SELECT {_METRICS} FROM ({_PRED}) WHERE pred IS NOT NULL")
 def metrics_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, p = F.col("actual"), F.col("pred")
-    return _predicted(spark, sf_dir).agg(*A.regression_metrics(a, p, p * 0.5, p * 2))
+    return A.regression_report(_predicted(spark, sf_dir), [], a, p, p * 0.5, p * 2)
 
 
 @query("regression_metrics_by_segment", f"SELECT seg, {_METRICS} FROM ({_PRED}) WHERE pred IS NOT NULL GROUP BY seg")
 def metrics_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, p = F.col("actual"), F.col("pred")
-    return _predicted(spark, sf_dir).groupBy("seg").agg(*A.regression_metrics(a, p, p * 0.5, p * 2))
+    return A.regression_report(_predicted(spark, sf_dir), ["seg"], a, p, p * 0.5, p * 2)
 
 
 @query("quantile_calibration", f"""
@@ -115,7 +115,7 @@ def psi_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bins are the deciles of the reference period; their edges are one row."""
     e = tables(spark, sf_dir).events.where("value is not null")
     early = F.col("ts") < F.expr("timestamp'2024-01-15'")
-    edges = e.where(early).agg(F.array_distinct(F.percentile("value", F.array(*(F.lit(k / 10) for k in range(1, 10))))).alias("edges"))
+    edges = A.exact_quantiles(e.where(early), [], F.col("value"), [k / 10 for k in range(1, 10)]).select(F.array_distinct("quantiles").alias("edges"))
     binned = e.join(edges).withColumn("bin", F.size(F.filter("edges", lambda x: F.col("value") >= x)))
     return A.shares(binned, "bin", (early, ~early)).agg(F.round(F.sum(A.psi(F.col("p"), F.col("q"))), 9).alias("psi"))
 
@@ -182,7 +182,8 @@ SELECT grp "group", n, mean, med "median", round(med / (SELECT med FROM g WHERE
 def membership_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
     group = F.when(F.col("c_mktsegment") == "BUILDING", "member").otherwise("other")
     x = tables(spark, sf_dir).customer.select(F.explode(F.array(group, F.lit("all"))).alias("group"), F.col("c_acctbal").alias("v"))
-    g = x.groupBy("group").agg(F.count("*").alias("n"), (A.money_sum(F.col("v")) / F.count("*")).alias("mean"), F.percentile("v", F.lit(0.5)).alias("median"))
+    middle = A.exact_quantiles(x, ["group"], F.col("v"), [0.5]).select("group", F.get("quantiles", F.lit(0)).alias("median"))
+    g = x.groupBy("group").agg(F.count("*").alias("n"), (A.money_sum(F.col("v")) / F.count("*")).alias("mean")).join(middle, "group")
     base = F.max(F.when(F.col("group") == "other", F.col("median"))).over(Window.partitionBy())
     return g.withColumn("median_ratio", F.round(F.col("median") / base, 9)).withColumn("directional", F.col("n") < 20)
 

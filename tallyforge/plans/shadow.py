@@ -70,7 +70,7 @@ def backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tables(spark, sf_dir).orders.select(F.col("o_orderpriority").alias("seg"), F.col("o_totalprice").cast("double").alias("y"), (F.col("o_orderdate") < F.expr("timestamp'1996-06-01'")).alias("train"))
     model = O.SparseMedian("seg", "y", 8).fit(rows.where("train"))
     p, a = F.col("prediction"), F.col("y")
-    return model.predict(rows.where("NOT train")).agg(*A.regression_metrics(a, p, p * 0.5, p * 2))
+    return A.regression_report(model.predict(rows.where("NOT train")), [], a, p, p * 0.5, p * 2)
 
 
 _CONTROLS = Fixture([

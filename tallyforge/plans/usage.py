@@ -75,9 +75,10 @@ def cohort_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH g AS (SELECT c_mktsegment s, c_nationkey k, count(*) n, median(c_acctbal) m FROM customer GROUP BY ALL), s AS (SELECT c_mktsegment s, median(c_acctbal) m FROM customer GROUP BY ALL)
 SELECT g.s c_mktsegment, g.k c_nationkey, g.n, CASE WHEN g.n >= 10 THEN g.m ELSE s.m END median_value FROM g JOIN s USING (s)""")
 def sparse_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, m = tables(spark, sf_dir).customer, F.percentile("c_acctbal", F.lit(0.5))
-    lane = c.groupBy("c_mktsegment").agg(m.alias("lane"))
-    return c.groupBy("c_mktsegment", "c_nationkey").agg(F.count("*").alias("n"), m.alias("m")).join(lane, "c_mktsegment").select("c_mktsegment", "c_nationkey", "n", F.when(F.col("n") >= 10, F.col("m")).otherwise(F.col("lane")).alias("median_value"))
+    c = tables(spark, sf_dir).customer
+    middle = lambda keys, name: A.exact_quantiles(c, keys, F.col("c_acctbal"), [0.5]).select(*keys, "n", F.get("quantiles", F.lit(0)).alias(name))
+    lane = middle(["c_mktsegment"], "lane").drop("n")
+    return middle(["c_mktsegment", "c_nationkey"], "m").join(lane, "c_mktsegment").select("c_mktsegment", "c_nationkey", "n", F.when(F.col("n") >= 10, F.col("m")).otherwise(F.col("lane")).alias("median_value"))
 
 
 @query("winsorized_quantiles", """
@@ -86,12 +87,11 @@ SELECT c_mktsegment, count(*) n, count(*) FILTER (WHERE c_acctbal < lo) clipped_
   quantile_cont(least(greatest(c_acctbal, lo), hi), 0.5) p50, quantile_cont(least(greatest(c_acctbal, lo), hi), 0.75) p75, quantile_cont(least(greatest(c_acctbal, lo), hi), 0.9) p90 FROM customer JOIN q ON s = c_mktsegment GROUP BY 1""")
 def winsorized(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = tables(spark, sf_dir).customer
-    ends = c.groupBy("c_mktsegment").agg(F.percentile("c_acctbal", F.lit(0.01)).alias("lo"), F.percentile("c_acctbal", F.lit(0.99)).alias("hi"))
-    x = F.least(F.greatest("c_acctbal", "lo"), F.col("hi"))
-    return c.join(ends, "c_mktsegment").groupBy("c_mktsegment").agg(
-        F.count("*").alias("n"), F.count_if(F.col("c_acctbal") < F.col("lo")).alias("clipped_low"), F.count_if(F.col("c_acctbal") > F.col("hi")).alias("clipped_high"),
-        *(F.percentile(x, F.lit(p)).alias(n) for p, n in ((0.5, "p50"), (0.75, "p75"), (0.9, "p90"))),
-    )
+    ends = A.exact_quantiles(c, ["c_mktsegment"], F.col("c_acctbal"), [0.01, 0.99]).select("c_mktsegment", F.get("quantiles", F.lit(0)).alias("lo"), F.get("quantiles", F.lit(1)).alias("hi"))
+    both = c.join(ends, "c_mktsegment")
+    clipped = A.exact_quantiles(both, ["c_mktsegment"], F.least(F.greatest("c_acctbal", "lo"), F.col("hi")), [0.5, 0.75, 0.9]).drop("n")
+    counts = both.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.count_if(F.col("c_acctbal") < F.col("lo")).alias("clipped_low"), F.count_if(F.col("c_acctbal") > F.col("hi")).alias("clipped_high"))
+    return counts.join(clipped, "c_mktsegment").select("c_mktsegment", "n", "clipped_low", "clipped_high", *(F.get("quantiles", F.lit(k)).alias(n) for k, n in enumerate(("p50", "p75", "p90"))))
 
 
 @query("band_ladder_lookup", """
@@ -178,9 +178,9 @@ WITH g AS (SELECT quantile_cont(c_acctbal, 0.5) p FROM customer), s AS (SELECT c
 SELECT s c_mktsegment, k c_nationkey, n, round((n / (n + 8.0)) * v + (1 - n / (n + 8.0)) * p, 6) estimate, n < 8 provisional FROM s CROSS JOIN g""")
 def comparable_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = tables(spark, sf_dir).customer
-    p = F.percentile("c_acctbal", F.lit(0.5))
-    local = c.groupBy("c_mktsegment", "c_nationkey").agg(F.count("*").alias("n"), p.alias("v"))
-    return local.join(c.agg(p.alias("p"))).select("c_mktsegment", "c_nationkey", "n", F.round(N.shrunk(F.col("v"), F.col("p"), F.col("n")), 6).alias("estimate"), (F.col("n") < 8).alias("provisional"))
+    middle = lambda keys, name: A.exact_quantiles(c, keys, F.col("c_acctbal"), [0.5]).select(*keys, *(["n"] if keys else []), F.get("quantiles", F.lit(0)).alias(name))
+    local = middle(["c_mktsegment", "c_nationkey"], "v")
+    return local.join(middle([], "p")).select("c_mktsegment", "c_nationkey", "n", F.round(N.shrunk(F.col("v"), F.col("p"), F.col("n")), 6).alias("estimate"), (F.col("n") < 8).alias("provisional"))
 
 
 @query("group_time_split", """
