@@ -67,6 +67,14 @@ def raw(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [x or b"" for x in col.cast(pa.binary() if not pa.types.is_large_string(col.type) else pa.large_binary()).to_pylist()]
 
 
+def sliced(batches, rows: int = 2000):
+    """Batches in slices, so that what a task makes of one at a time is bounded; memory that nothing uses goes back after each."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def words(text: bytes) -> list[bytes]:
     """Words `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased."""
     return text.lower().split()

@@ -17,7 +17,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Entries after which a worker's memo starts anew, which bounds its memory.
-MEMO = 400_000
+MEMO = 150_000
 
 _PLAIN = re.compile(r"([a-zA-Zà-öø-ÿÀ-ÖØ-Þ]+)([.,;:!?%$&*#|]*)").fullmatch
 

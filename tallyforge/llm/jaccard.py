@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import by_home, forget, parcel, partitions, portions, raw, settled, table, unparcel, words
+from tallyforge.llm.common import by_home, forget, parcel, partitions, portions, raw, settled, sliced, table, unparcel, words
 from tallyforge.llm.graph import components
 
 WIDTH, PERCENT = 4, 85
@@ -282,7 +282,7 @@ def _first(docs: DataFrame, doc: str, text: str, width: int, percent: int) -> Da
     buckets = 16 * parts
 
     def send(batches):
-        for b in batches:
+        for b in sliced(batches):
             rows = b.num_rows
             sets = [shingles(t, width) for t in raw(b, text)]
             digests = [digest(s) for s in sets]
@@ -334,7 +334,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, doc: str, text: str, width: int) -
     """digest, n, s: the whole shingle sets of the wanted ones (digest, rep), from the texts of their documents of the least id."""
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             sets = [shingles(t, width) for t in raw(b, text)]
             yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["digest", "n", "s"])
 
@@ -377,7 +377,7 @@ def _neighbourhoods(own: DataFrame, parts: int, percent: int) -> DataFrame:
     known = all_bands(percent)
 
     def send(batches):
-        for b in batches:
+        for b in sliced(batches):
             tags, levels = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             sets = [np.asarray(s, np.int64).view(np.uint64) for s in b.column(2).to_numpy(zero_copy_only=False)]
             for lo, hi in portions([len(s) for s in sets], PORTION // 4):
@@ -463,7 +463,7 @@ def _differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     """Candidates (a, b) among members (c, x) of centres: those linked to their centre, and pairs that share enough of their differences to it."""
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             own, mid = (b.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
             gaps = [np.setxor1d(p, q, assume_unique=True) for p, q in zip(own, mid, strict=True)]
             ints = lambda v: pa.array(list(map(len, v)), pa.int64())

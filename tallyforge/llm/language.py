@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import portions, table
+from tallyforge.llm.common import portions, sliced, table
 
 #: Labelled symbols and documents of a language's sample, and the sizes of its documents.
 SAMPLE, SAMPLE_DOCS, SHORT, LONG = 60_000, 400, 60, 8_000
@@ -36,7 +36,7 @@ FEW = 20
 #: Letters of a language with a symbol of their own; lanes from which stepping side by side is quicker than one by one.
 LETTERS, ABREAST = 62, 48
 #: Characters of texts that are parsed side by side: bounds a task's memory.
-PORTION = 4_000_000
+PORTION = 2_000_000
 UNKNOWN = "und"
 _LETTER_RUNS = re.compile(r"[^\W\d_]+")
 
@@ -222,7 +222,7 @@ def predicted(docs: DataFrame, model: Languages, text: str = "text", keep: tuple
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             every = [t or "" for t in b.column(b.schema.get_field_index(text)).to_pylist()]
             for lo, hi in portions([len(t) for t in every], PORTION):
                 part, texts = b.slice(lo, hi - lo), every[lo:hi]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.llm.common import settled, table
+from tallyforge.llm.common import settled, sliced, table
 from tallyforge.llm.encoding import encoder, vocabulary
 
 SIZE, END_ID, VOCABULARY = 2048, 1, "word_bpe_49k.json"
@@ -41,7 +41,7 @@ def pieces(docs: DataFrame, size: int = SIZE, doc: str = "doc_id", text: str = "
     def run(batches):
         ids = encoder(path).ids
         end = np.array([end_id], "<u4").tobytes()
-        for b in batches:
+        for b in sliced(batches):
             names, rows = b.column(b.schema.get_field_index(doc)).to_pylist(), []
             for name, t in zip(names, b.column(b.schema.get_field_index(text)).to_pylist(), strict=True):
                 all_ids = np.frombuffer(ids(t or ""), "<u2").astype("<u4").tobytes() + end
