@@ -1,0 +1,121 @@
+"""Quantile estimates of a lane's value by boosted trees of depth two on log1p, or its empirical quantiles if it has few rows.
+
+A lane's trees are fitted in one task on a bounded sample of its rows (`SAMPLE`, in the order of a hash of the key, so the
+task's memory has a bound whatever the lane's size); clip points and empirical quantiles cover all rows.  Predictions are
+made where the rows are; the models are a few kilobytes for each lane.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tallyforge.operators.aggregates import exact_quantiles
+
+#: Quantiles, least rows of a model, trees, learning rate, least rows of a leaf, clip points.
+QUANTILES, LEAST, TREES, RATE, LEAF, CLIP = (0.1, 0.5, 0.9), 24, 120, 0.035, 5, (0.01, 0.99)
+SAMPLE, CUTS = 20_000, 32
+
+
+def _split(x: np.ndarray, g: np.ndarray, rows: np.ndarray) -> tuple[int, float] | None:
+    """The feature and threshold that explain most of g among rows; both sides keep LEAF rows."""
+    best, total, n = (1e-12, None), g[rows].sum(), len(rows)
+    for f in range(x.shape[1]):
+        v = x[rows, f]
+        cuts = np.unique(np.quantile(v, np.linspace(0, 1, CUTS + 1)[1:-1], method="lower")) if n > 1 else []
+        for c in cuts:
+            left = v <= c
+            k = int(left.sum())
+            if LEAF <= k <= n - LEAF:
+                s = g[rows][left].sum()
+                gain = s * s / k + (total - s) ** 2 / (n - k) - total * total / n
+                if gain > best[0]:
+                    best = gain, (f, float(c))
+    return best[1]
+
+
+def grow(x: np.ndarray, y: np.ndarray, q: float) -> dict:
+    """Boosted trees for the quantile q of y."""
+    base = float(np.quantile(y, q))
+    f, trees = np.full(len(y), base), []
+    for _ in range(TREES):
+        g = np.where(y > f, q, q - 1)
+        todo, leaves, tree = [(np.arange(len(y)), [])], [], []
+        while todo:
+            rows, path = todo.pop()
+            cut = _split(x, g, rows) if len(path) < 2 and len(rows) >= 2 * LEAF else None
+            if cut is None:
+                leaves.append((rows, path))
+                continue
+            left = x[rows, cut[0]] <= cut[1]
+            todo += [(rows[left], [*path, [*cut, True]]), (rows[~left], [*path, [*cut, False]])]
+        for rows, path in leaves:
+            step = RATE * float(np.quantile(y[rows] - f[rows], q))
+            f[rows] += step
+            tree.append([path, step])
+        trees.append(tree)
+    return {"base": base, "trees": trees}
+
+
+def predict(model: dict, x: np.ndarray) -> np.ndarray:
+    out = np.full(len(x), model["base"])
+    for tree in model["trees"]:
+        for path, step in tree:
+            here = np.ones(len(x), bool)
+            for f, c, left in path:
+                here &= (x[:, f] <= c) == left
+            out[here] += step
+    return out
+
+
+class QuantileBoost:
+    """fit(rows), then predict(rows): p10, p50 and p90 per row and how they were made."""
+
+    def __init__(self, lane: str, label: str, features: list[str], key: str):
+        self.lane, self.label, self.features, self.key = lane, label, features, key
+        self.models: dict[str, dict] = {}
+
+    def fit(self, rows: DataFrame) -> QuantileBoost:
+        known = rows.where(F.col(self.label).isNotNull() & F.col(self.lane).isNotNull()).select(F.col(self.lane).cast("string").alias("lane"), F.col(self.label).cast("double").alias("y"), *(F.col(c).cast("double").alias(f"x{k}") for k, c in enumerate(self.features)), F.xxhash64(self.key, F.lit(20260710)).alias("o"))
+        ends = exact_quantiles(known, ["lane"], F.col("y"), list(CLIP), "clip")
+        clipped = known.join(ends, "lane").withColumn("y", F.least(F.greatest("y", F.get("clip", F.lit(0))), F.get("clip", F.lit(1))))
+        for r in exact_quantiles(clipped, ["lane"], F.col("y"), list(QUANTILES), "q").collect():  # a row for each lane
+            self.models[r.lane] = {"rows": r.n, "empirical": list(r.q), "trees": None}
+        share = (F.col("o").bitwiseAND(F.lit(0xFFFFFF)) / 0x1000000) < F.least(F.lit(1.0), F.lit(1.5 * SAMPLE) / F.col("n"))
+        thin = clipped.where(share & (F.col("n") >= LEAST))
+        names = [f"x{k}" for k in range(len(self.features))]
+
+        def fitted(part: pd.DataFrame) -> pd.DataFrame:
+            part = part.sort_values("o").head(SAMPLE)
+            x, y = part[names].fillna(0).to_numpy(float), np.log1p(part["y"].to_numpy(float))
+            return pd.DataFrame({"lane": [part["lane"].iloc[0]], "trees": [json.dumps([grow(x, y, q) for q in QUANTILES])]})
+
+        for r in thin.select("lane", "y", "o", *names).groupBy("lane").applyInPandas(fitted, "lane string, trees string").collect():
+            self.models[r.lane]["trees"] = json.loads(r.trees)
+        return self
+
+    def predict(self, rows: DataFrame) -> DataFrame:
+        ship = rows.sparkSession.sparkContext.broadcast(self.models)  # TREES small trees for each lane
+
+        @F.pandas_udf("struct<p10: double, p50: double, p90: double, kind: string>")
+        def run(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+            for lane, *xs in parts:
+                x = np.column_stack([s.fillna(0).to_numpy(float) for s in xs])
+                out = pd.DataFrame(np.nan, index=range(len(lane)), columns=["p10", "p50", "p90"])
+                kind = np.full(len(lane), "none", object)
+                for name, at in lane.reset_index(drop=True).groupby(lane.to_numpy()).groups.items():
+                    model, at = ship.value.get(name), np.asarray(at)
+                    if model is None:
+                        continue
+                    values = np.tile(model["empirical"], (len(at), 1)) if model["trees"] is None else np.expm1(np.sort(np.column_stack([predict(m, x[at]) for m in model["trees"]]), axis=1))
+                    out.loc[at, :] = values
+                    kind[at] = "empirical" if model["trees"] is None else "boosted"
+                out["kind"] = kind
+                yield out
+
+        return rows.withColumn("estimate", run(F.col(self.lane).cast("string"), *(F.col(c).cast("double") for c in self.features)))

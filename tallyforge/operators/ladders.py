@@ -581,3 +581,13 @@ VARIANCE = (
     ("ratio_class", "CASE WHEN sales_value IS NULL OR model_value <= 0 THEN 'not_comparable' WHEN sales_value >= 2 * model_value THEN 'sales_far_higher' WHEN 2 * sales_value <= model_value THEN 'model_far_higher' WHEN sales_value = model_value THEN 'equal' ELSE 'near' END"),
     ("review_priority", "CASE WHEN ratio_class LIKE '%far_higher' AND greatest(sales_value, model_value) >= 200 THEN 'P1' WHEN ratio_class LIKE '%far_higher' THEN 'P2' WHEN ratio_class = 'not_comparable' THEN 'P3' ELSE 'P4' END"),
 )
+
+#: First labels of a resolver's rows, for people to check: site, class, what it may count as, and whether it still needs a look.
+_MATCHED = "registry = 'matched_active_agency'"
+FIRST_PASS = (
+    ("site_label", "CASE WHEN NOT has_candidate THEN 'No Candidate' WHEN strong THEN 'Likely Correct' ELSE 'Needs Human Review' END"),
+    ("icp_label", f"CASE WHEN {_MATCHED} THEN 'Confirmed ICP' WHEN vsb_required THEN 'Pending VSB Review' WHEN outcome IN ('high_confidence_recovery', 'reviewer_assist') THEN 'Likely ICP' ELSE 'Unknown' END"),
+    ("recovery", f"CASE WHEN site_label = 'Likely Correct' AND icp_label IN ('Confirmed ICP', 'Likely ICP') THEN CASE WHEN {_MATCHED} THEN 'Website Candidate - SCC Confirmed ICP' ELSE 'Website Candidate - SCC Silent' END WHEN {_MATCHED} AND has_candidate THEN 'SCC Confirmed ICP - Website Needs Review' WHEN {_MATCHED} THEN 'SCC Confirmed ICP - Website Still Needed' WHEN vsb_required THEN 'Pending VSB Lane' ELSE 'No First-Pass Recovery Credit' END"),
+    ("label_confidence", "CASE WHEN site_label = 'Likely Correct' AND icp_label = 'Confirmed ICP' THEN 'High' WHEN site_label = 'Likely Correct' OR icp_label = 'Confirmed ICP' THEN 'Medium' ELSE 'Low' END"),
+    ("review_required", "CASE WHEN site_label <> 'Likely Correct' OR icp_label IN ('Pending VSB Review', 'Unknown') OR recovery IN ('SCC Confirmed ICP - Website Needs Review', 'SCC Confirmed ICP - Website Still Needed') THEN 'Yes' ELSE 'No' END"),
+)

@@ -156,3 +156,4 @@ _stage("search_result_score", pairwise({"name_score": [0.9, 0.25, 0.1], "host_sc
 _stage("resolver_outcome", pairwise({"law": _NO, "trusted": _NO, "candidate": ["High", "Medium", "Low", ""], "non_icp": _NO, "icp": _NO, "site_icp": _NO, "directory": _NO, "location": _NO}), (L.RESOLVED,), ("outcome", "outcome_confidence"))
 _stage("customer_history_flags", pairwise({"direct": [0, 5, None], "rollup_usage": [0, 5, None], "billable": [0, 1], "closed": [0, 1], "won": [0, 1], "mcv": [0.0, 2.5, None], "arr": [0.0, 2.5], "churns": [0, 1, None], "churn_date": ["", "2024-01-01", None], "churn_exception": ["", "TRUE", "no"], "subscription": ["active", "Expired", None]}), (L.HISTORY,), tuple(n for n, _ in L.HISTORY))
 _stage("sales_model_variance", pairwise({"final_value": [0, 100], "won_value": [0, 300], "open_value": [0, 80], "rep_value": [0, 40], "import_value": [0, 20], "model_value": [100, 0, 20]}), (L.VARIANCE,), ("sales_value", "value_source", "ratio_class", "review_priority"))
+_stage("first_pass_labels", pairwise({"has_candidate": _YES, "strong": _NO, "registry": ["none", "matched_active_agency"], "vsb_required": _NO, "outcome": ["unresolved", "high_confidence_recovery", "reviewer_assist"]}), (L.FIRST_PASS,), tuple(n for n, _ in L.FIRST_PASS))

@@ -180,3 +180,16 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = t.customer.select(F.col("c_custkey").alias("id"), F.lower(F.regexp_replace("c_name", "[^A-Za-z0-9]+", " ")).alias("name"), F.lower("c_mktsegment").alias("city"), F.col("c_nationkey").alias("nation"))
     right = t.supplier.select(F.col("s_suppkey").alias("rid"), F.lower(F.regexp_replace("s_name", "[^A-Za-z0-9]+", " ")).alias("rname"), F.lit("building").alias("rcity"), (F.col("s_acctbal") > 0).alias("rstate"), (F.col("s_acctbal") > 5000).alias("rtype"), F.col("s_nationkey").alias("nation"))
     return O.candidate_scores(left, right, "nation")
+
+
+@query("registry_first_match", """
+SELECT l_orderkey, count(*) attempts, coalesce(arg_min(l_suppkey, (l_linenumber, l_suppkey)) FILTER (WHERE l_returnflag = 'R'), -1) matched, CASE WHEN count(*) FILTER (WHERE l_returnflag = 'R') > 0 THEN 'matched_active_agency' ELSE 'no_active_agency_match' END status,
+ string_agg(CAST(l_linenumber AS VARCHAR) || ':' || l_returnflag, ' | ' ORDER BY l_linenumber, l_returnflag) FILTER (WHERE l_returnflag <> 'A') evidence FROM lineitem GROUP BY 1""")
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first accepted answer in the order of attempts, and all that was found; an account's attempts are few."""
+    found = F.col("l_returnflag") == "R"
+    line = F.when(F.col("l_returnflag") != "A", F.struct("l_linenumber", F.concat_ws(":", F.col("l_linenumber").cast("string"), "l_returnflag").alias("line")))
+    out = tables(spark, sf_dir).lineitem.groupBy("l_orderkey").agg(F.count("*").alias("attempts"), F.min_by("l_suppkey", F.when(found, F.struct("l_linenumber", "l_suppkey"))).alias("matched"), F.count_if(found).alias("_n"), F.array_sort(F.collect_list(line)).alias("_e"))
+    evidence = F.when(F.size("_e") > 0, F.array_join(F.col("_e.line"), " | "))
+    return out.select("l_orderkey", "attempts", F.when(F.col("_n") > 0, F.col("matched")).otherwise(-1).alias("matched"), F.when(F.col("_n") > 0, "matched_active_agency").otherwise("no_active_agency_match").alias("status"), evidence.alias("evidence"))
+
