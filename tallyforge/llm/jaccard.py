@@ -168,12 +168,17 @@ def tag(d: bytes) -> int:
     return int.from_bytes(d[:6], "big")
 
 
+#: Key ranges that a task compares one after the other.
+RANGES = 16
+
+
 def _send(buckets: int, keys: np.ndarray, **columns: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """Parcels of (key, columns), one for each bucket of keys, in the order of their keys."""
+    """Parcels of (key, columns), one for each bucket of keys, in the order of their key ranges."""
     bucket = ((keys >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    low = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    order = np.argsort(bucket << 4 | (low >> np.uint32(28)).astype(np.int64), kind="stable")
     bucket, names = bucket[order], ["key", *columns]
-    cols = [(keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)[order], *(c[order] for c in columns.values())]
+    cols = [low[order], *(c[order] for c in columns.values())]
     starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
     at, values = [], []
     for lo, hi in zip(starts, [*starts[1:], len(bucket)], strict=True):
@@ -182,34 +187,32 @@ def _send(buckets: int, keys: np.ndarray, **columns: np.ndarray) -> tuple[list[i
     return at, values
 
 
-def _opened(values: list[bytes], bucket: int) -> dict[str, np.ndarray]:
-    cols: dict[str, list] = {}
-    for value in values:
-        rows = unparcel(value)
-        for name, col in zip(rows.schema.names, rows.columns, strict=True):
-            cols.setdefault(name, []).append((col.dictionary_decode() if pa.types.is_dictionary(col.type) else col).to_numpy(zero_copy_only=False))
-    out = {k: np.concatenate(v) for k, v in cols.items()}
-    out["key"] = out["key"].astype(np.int64) | np.int64(bucket) << np.int64(32)
-    return out
+def _ranges(parcels: list[dict[str, np.ndarray]], bucket: int) -> Iterator[dict[str, np.ndarray]]:
+    """One key range of all of a bucket's parcels after the other; keys get their bucket."""
+    ends = [np.searchsorted(p["key"] >> np.uint32(28), np.arange(RANGES + 1)) for p in parcels]
+    for k in range(RANGES):
+        out = {name: np.concatenate([p[name][e[k] : e[k + 1]] for p, e in zip(parcels, ends, strict=True)]) for name in parcels[0]}
+        if len(out["key"]):
+            yield out | {"key": out["key"].astype(np.int64) | np.int64(bucket) << np.int64(32)}
 
 
 def _by_bucket(batches, skip=None) -> Iterator[dict[str, np.ndarray]]:
-    """The postings of one bucket after the other, from rows (bucket, rows, ...) sorted by bucket; skip gets batches of rows without one."""
-    now, values = None, []
+    """The postings of one bucket after the other, by key ranges, from rows (bucket, rows, ...) sorted by bucket; skip gets batches of rows without one."""
+    now, parcels = None, []
     for b in batches:
         at, rows = b.column(0), b.column(1)
-        for bucket, value in zip(at.to_pylist(), rows.to_pylist(), strict=True):
+        for bucket, value in zip(at.to_pylist(), rows, strict=True):
             if bucket is None:
                 continue
-            if bucket != now and values:
-                yield _opened(values, now)
-                values = []
-            now = bucket
-            values.append(value)
+            if bucket != now and parcels:
+                yield from _ranges(parcels, now)
+                parcels = []
+            now, got = bucket, unparcel(value.as_buffer())
+            parcels.append({n: (c.dictionary_decode() if pa.types.is_dictionary(c.type) else c).to_numpy(zero_copy_only=False) for n, c in zip(got.schema.names, got.columns, strict=True)})
         if skip and at.null_count:
             skip(b.filter(at.is_null()))
-    if values:
-        yield _opened(values, now)
+    if parcels:
+        yield from _ranges(parcels, now)
 
 
 def _groups(order: list[np.ndarray]) -> np.ndarray:
@@ -279,7 +282,6 @@ def _first(docs: DataFrame, doc: str, text: str, width: int, percent: int) -> Da
     """Each row's set (kind 0: d, h, n, digest, sketch), candidates (kind 1: x, y, level, times, slack), hot keys (kind 2: x, level, times, slack)."""
     kind = next(f.dataType.simpleString() for f in docs.schema if f.name == doc)
     parts = partitions(docs)
-    buckets = 16 * parts
 
     def send(batches):
         for b in sliced(batches):
@@ -295,7 +297,7 @@ def _first(docs: DataFrame, doc: str, text: str, width: int, percent: int) -> Da
                 tags, chosen, bs = zip(*entries[lo:hi], strict=True)
                 keys, of, _, _ = signatures(list(chosen), list(bs), False)
                 who = np.array(tags, np.int64) | np.array([x.level for x in bs], np.int64) << 48
-                at, values = _send(buckets, keys, tag=who[of])
+                at, values = _send(parts, keys, tag=who[of])
                 n = len(at)
                 yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(values, pa.binary()), *(pa.nulls(n, c.type) for c in own[2:])], names)
 
@@ -373,7 +375,6 @@ _HOT, _DEAR = 0, 1
 
 def _neighbourhoods(own: DataFrame, parts: int, percent: int) -> DataFrame:
     """Heavy sets (tag, level, s) as candidates (x, y) and as dear segments: kind 0, hot (tag, level, segment, key), or kind 1, whose deletions are."""
-    buckets = 16 * parts
     known = all_bands(percent)
 
     def send(batches):
@@ -383,7 +384,7 @@ def _neighbourhoods(own: DataFrame, parts: int, percent: int) -> DataFrame:
             for lo, hi in portions([len(s) for s in sets], PORTION // 4):
                 keys, of, segment, role = signatures(sets[lo:hi], [known[k] for k in levels[lo:hi].tolist()], True)
                 who = tags[lo:hi] | levels[lo:hi] << 48
-                at, values = _send(buckets, keys, tag=who[of], segment=segment.astype(np.int32), role=role)
+                at, values = _send(parts, keys, tag=who[of], segment=segment.astype(np.int32), role=role)
                 yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(values, pa.binary())], ["bucket", "rows"])
 
     def meet(batches):
