@@ -100,6 +100,12 @@ def phone10(c: str | Column) -> Column:
     return F.when(F.length(digits) >= 10, F.right(digits, F.lit(10))).otherwise("")
 
 
+def phones(c: str | Column) -> Column:
+    """Ten-digit numbers in a text, in order, each once."""
+    found = F.regexp_extract_all(clean(c), F.lit(r"(?<!\d)(\(?\d{3}\)?[-. ]?\d{3}[-. ]?\d{4})(?!\d)"), F.lit(1))
+    return F.array_distinct(F.transform(found, lambda x: F.right(F.regexp_replace(x, "[^0-9]", ""), F.lit(10))))
+
+
 def keyword_hits(text: str | Column, words: dict[str, tuple[str, ...]]) -> Column:
     """Sorted labels of which some keyword stands alone in the text."""
     hit = lambda w: F.rlike(F.lower(col(text)), F.lit(f"(^|[^a-z0-9]){w}([^a-z0-9]|$)"))

@@ -80,5 +80,17 @@ def changed_cells(old: DataFrame, new: DataFrame, key: str, columns: list[str])
     return both.select(key, F.explode(cells).alias("_c")).select(key, "_c.*").where("old_value <> new_value")
 
 
+def with_ledger(df: DataFrame, others: dict[str, DataFrame], key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of df that every other table has, and for the rest which tables lack them: (key, missing)."""
+    out = df
+    for name, other in others.items():
+        own = other.select(*(F.col(c).alias(c if c == key else f"{name}_{c}") for c in other.columns), F.lit(True).alias(f"_has_{name}"))
+        out = out.join(own, key, "left")
+    lacking = F.array_compact(F.array(*(F.when(F.col(f"_has_{n}").isNull(), F.lit(n)) for n in others)))
+    out = out.withColumn("_missing", lacking)
+    drop = ["_missing", *(f"_has_{n}" for n in others)]
+    return out.where(F.size("_missing") == 0).drop(*drop), out.where(F.size("_missing") > 0).select(key, F.array_join("_missing", "; ").alias("missing"))
+
+
 def cluster_size(df: DataFrame, key: str, name: str = "cluster_size") -> DataFrame:
     return df.withColumn(name, F.count("*").over(Window.partitionBy(key)))

@@ -16,6 +16,12 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, e
     return df.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns))
 
 
+def read_probed(spark: SparkSession, path: str, columns: list[str] | None = None, fallback: str = "ISO-8859-1") -> DataFrame:
+    """A CSV table as UTF-8, or in the fallback's encoding if some line isn't UTF-8."""
+    broken = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count()
+    return read_csv(spark, path, columns, fallback if broken else "UTF-8")
+
+
 def read_optional(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A table that may be missing: then empty, with the declared columns.  The file system of the path is asked, not the driver's."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -35,7 +41,9 @@ def read_unique(spark: SparkSession, path: str, key: str) -> DataFrame:
     return df.join(fault).where("_fault IS NULL").drop("_fault")
 
 
-def last_row_wins(df: DataFrame, key: str, order: str) -> DataFrame:
+def last_row_wins(df: DataFrame, key: str, order: str, fold: bool = False) -> DataFrame:
+    """Each key's last row; fold takes keys that differ in case or blanks for one."""
+    df = df.withColumn(key, F.lower(F.trim(key))) if fold else df
     rest = [c for c in df.columns if c != key]
     return df.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(key, "_r.*")
 
@@ -46,6 +54,12 @@ def write_once(df: DataFrame, path: str, form: str = "csv") -> None:
     flat.write.mode("errorifexists").option("header", True).format(form).save(path)
 
 
+def write_artifact(df: DataFrame, path: str) -> DataFrame:
+    """Rows as JSON lines in a folder that must not exist yet, and the manifest of what was written."""
+    write_once(df, path, "json")
+    return manifest(df.sparkSession, path)
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """path, bytes and SHA-256 of each file below a folder, hashed where the files are read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

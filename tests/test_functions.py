@@ -55,3 +55,20 @@ def test_stream(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     q.awaitTermination()
     assert spark.table("counts").agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_sources_and_ledgers(spark, tmp_path):
+    from tallyforge.operators import joins as J
+
+    (tmp_path / "a.csv").write_bytes("Id,Name\n1,Café\n".encode("latin-1"))
+    (tmp_path / "b.csv").write_text("Id,Name\n1,Café\n", encoding="utf-8")
+    assert [files.read_probed(spark, f"file://{tmp_path}/{n}.csv").first().Name for n in "ab"] == ["Café", "Café"]
+    rows = spark.createDataFrame([("A ", 1), ("a", 2), ("b", 3)], "id string, n int")
+    assert {(r.id, r.n) for r in files.last_row_wins(rows, "id", "n", fold=True).collect()} == {("a", 2), ("b", 3)}
+    listed = files.write_artifact(rows.coalesce(1), f"file://{tmp_path}/out").where("path LIKE '%.json'").collect()
+    assert len(listed) == 1 and listed[0].bytes > 0 and files.verify(spark, f"file://{tmp_path}/out", files.manifest(spark, f"file://{tmp_path}/out")).count() == 0
+    base = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    x, y = spark.createDataFrame([(1, 5), (2, 6)], "k int, v int"), spark.createDataFrame([(1, 7)], "k int, v int")
+    kept, missing = J.with_ledger(base, {"x": x, "y": y}, "k")
+    assert [tuple(r) for r in kept.collect()] == [(1, 5, 7)] and {(r.k, r.missing) for r in missing.collect()} == {(2, "y"), (3, "x; y")}
+    assert one(spark, X.phones(F.lit("call (775) 555-0100 or 775.555.0100, 8005550199 not 12345678901"))) == (["7755550100", "8005550199"],)
