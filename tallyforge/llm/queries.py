@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import counts, decontam, embeddings, jaccard, language, packing, scoring, secrets, store, toxicity, twins
+from tallyforge.llm import chat, counts, decontam, embeddings, jaccard, language, merkle, packing, repair, scoring, secrets, store, toxicity, twins
 
 QUERIES = {
     "op1_suffix_tree_score": scoring.op1,
@@ -15,6 +15,11 @@ QUERIES = {
     "op8_secret_scan": secrets.op8,
     "op9_toxicity": toxicity.op9,
     "op10_shingle_join": jaccard.op10,
+    "op11_conversation_repair": repair.op11,
+    "op12_merkle_manifest": merkle.op12,
+    "op13_chat_format": chat.op13,
 }
 
-SQL = {"op3_decontaminate": twins.DECONTAMINATE, "op6_embedding_links": twins.EMBEDDINGS, "op8_secret_scan": twins.SECRETS, "op10_shingle_join": twins.JACCARD}
+SQL = {
+    "op3_decontaminate": twins.DECONTAMINATE, "op6_embedding_links": twins.EMBEDDINGS, "op8_secret_scan": twins.SECRETS, "op10_shingle_join": twins.JACCARD, "op11_conversation_repair": twins.REPAIR, "op12_merkle_manifest": twins.MERKLE, "op13_chat_format": twins.CHAT,
+}
