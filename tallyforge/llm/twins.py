@@ -58,7 +58,7 @@ def _put(item: str, initial: str) -> str:
     return f"(CASE WHEN fault < 2 THEN CASE WHEN role[:1] = '{initial}' THEN {_add(item, 'fault', 'K')} ELSE {_add(item, 'fault + 2', 'R')} END END)"
 
 
-_PLACE = "PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text"
+_PLACE = "PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(strlen(role) || ':' || role || text)"
 _CLOSED = f"SELECT *, least(a0, {_add('u', '2', 'I')}) a FROM (SELECT * EXCLUDE (u, a), a a0, least(u, {_add('n', '2', 'I')}, {_add('s', '2', 'I')}, {_add('a', '2', 'I')}) u FROM {{0}})"
 REPAIR = rf"""
 WITH RECURSIVE f AS (SELECT conv_id, turn, coalesce(role, ' ') r, coalesce(text, ' ') t, {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 fate FROM conversations),
