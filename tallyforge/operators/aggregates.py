@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,28 +73,35 @@ def column_coverage(df: DataFrame) -> DataFrame:
     return flat.select("c.column", "c.present", (F.col("c.present") * 100.0 / F.col("c.n")).alias("percent"))
 
 
+#: Ranges for each doubling of a value; 2.2 million ranges hold all doubles.
+PER_DOUBLING = 512
+
+
 def with_range(df: DataFrame, c: str) -> DataFrame:
-    """df with _p, the number of its value's range: ranges are cut at quantiles of a numeric column, one for each shuffle partition.
+    """df with _p, the number of its value's range: ranges go up with the value, each some 0.14 % wide.
 
-    A range is a function of the value alone, so it is the same wherever and however often it is computed.
+    A range is a function of the value alone: no job looks for bounds, no row is compared with a list, and it is the same
+    wherever and however often it is computed.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sorted(set(df.approxQuantile(c, [k / parts for k in range(1, parts)], 0.01)))
-    below = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(c))) if bounds else F.lit(0)
-    return df.withColumn("_p", below)
+    v = F.col(c).cast("double")
+    size = F.floor((F.log2(F.abs(v)) + 1100) * PER_DOUBLING).cast("int")  # the least double is 2^-1074
+    return df.withColumn("_p", F.when(F.isnan(v), 1 << 30).when(v > 0, size).when(v < 0, -size).otherwise(0))  # NaN is the greatest
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: Column, qs: list[float], name: str = "quantiles") -> DataFrame:
     """keys, n and the interpolated quantiles (an array) of each group, whatever its size.
 
-    Counts per value are ranked by running sums over ranges of values, and only the two values next to each quantile's
-    place are kept: no buffer holds a group's values, as an exact percentile's would.  Rows of null keys are a group.
+    Counts per value are summed by ranges of values; only the ranges that a quantile's place falls in are ranked value by
+    value: no buffer holds a group's values, as an exact percentile's would.  Rows of null keys are a group.
     """
     counts = df.select(F.struct(F.lit(0).alias("_"), *keys).alias("_k"), value.cast("double").alias("_v")).where("_v IS NOT NULL").groupBy("_k", "_v").agg(F.count("*").alias("_c"))
     ranged = with_range(counts, "_v")
-    totals = ranged.groupBy("_k", "_p").agg(F.sum("_c").alias("_t"))
     group = Window.partitionBy("_k")
-    totals = totals.withColumn("_first", F.sum("_t").over(group.orderBy("_p")) - F.col("_t")).withColumn("n", F.sum("_t").over(group)).drop("_t")
+    totals = ranged.groupBy("_k", "_p").agg(F.sum("_c").alias("_t"))
+    totals = totals.withColumn("_first", F.sum("_t").over(group.orderBy("_p")) - F.col("_t")).withColumn("n", F.sum("_t").over(group))
+    places = [f(F.lit(q) * (F.col("n") - 1)) for q in qs for f in (F.floor, F.ceil)]
+    needed = F.exists(F.array(*places), lambda k: (F.col("_first") <= k) & (k < F.col("_first") + F.col("_t")))
+    totals = totals.where(needed).drop("_t")
     end = F.col("_first") + F.sum("_c").over(Window.partitionBy("_k", "_p").orderBy("_v"))
     ranked = ranged.join(totals, ["_k", "_p"]).withColumn("_end", end).withColumn("_begin", F.col("_end") - F.col("_c"))
     out = []
@@ -118,13 +123,13 @@ def regression_report(df: DataFrame, keys: list[str], actual: Column, predicted:
     """regression_metrics of each group of keys, and its median errors found without a buffer of errors."""
     err = (predicted.cast("decimal(18,2)") - actual.cast("decimal(18,2)")).cast("decimal(18,2)")
     out = df.groupBy(*keys).agg(*regression_metrics(actual, predicted, low, high))
-    for name, value in (("median_ae", F.abs(err)), ("median_bias", err)):
-        mid = exact_quantiles(df, keys, value, [0.5], "_q").select(*(F.col(c).alias(f"_{c}") for c in keys), F.get("_q", F.lit(0)).alias(name))
-        same = F.lit(True)
-        for c in keys:
-            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-        out = out.join(mid, same, "left").drop(*(f"_{c}" for c in keys))
-    return out
+    both = F.explode(F.array(F.struct(F.lit("median_ae").alias("what"), F.abs(err).alias("error")), F.struct(F.lit("median_bias").alias("what"), err.alias("error"))))
+    mid = exact_quantiles(df.select(*keys, both.alias("_e")).select(*keys, "_e.*"), [*keys, "what"], F.col("error"), [0.5])
+    wide = mid.groupBy(*(F.col(c).alias(f"_{c}") for c in keys)).agg(*(F.max(F.when(F.col("what") == n, F.get("quantiles", F.lit(0)))).alias(n) for n in ("median_ae", "median_bias")))
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return out.join(wide, same, "left").drop(*(f"_{c}" for c in keys))
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -160,7 +165,3 @@ def unique_top(votes: DataFrame, group: str, candidate: str, weight: Column, lea
     out = best.join(second, group, "left").withColumn("second", F.coalesce("second", F.lit(0)))
     clear = (F.col("top.w") >= least) & (F.col("top.w") - F.col("second") >= lead) & (F.col("top.w") > F.col("second"))
     return out.select(group, F.when(clear, F.col(f"top.{candidate}")).alias("winner"), F.col("top.w").alias("top_weight"), F.col("second").alias("second_weight"))
-
-
-def normal_tail(z: float) -> float:
-    return math.erfc(abs(z) / math.sqrt(2))

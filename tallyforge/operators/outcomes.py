@@ -121,43 +121,6 @@ def candidate_scores(samples: DataFrame, records: DataFrame, block: str) -> Data
     return best.withColumn("plausible", (F.col("similarity") >= 84) | F.col("contains"))
 
 
-def cascade(left: DataFrame, right: DataFrame, near: float = 90.0, far: float = 95.0) -> DataFrame:
-    """The match of each of left (id, x, block) in right (rid, y, block): the same name in the block (high), else the best ratio there from
-    `near` on (medium), else anywhere from `far` on (low); ties take the least rid.
-
-    A ratio of q per cent needs words of like length, and one of the pieces into which a name is cut must be in the
-    other unharmed: names differ by (1 - q) of both lengths at most, so among one piece more than that many one is the
-    same, and candidates are met by pieces instead of by all pairs.
-    """
-    exact = left.join(right, (left["block"] == right["block"]) & (left["x"] == right["y"]) & (left["x"] != "")).groupBy("id").agg(F.min("rid").alias("rid"))
-    done = exact.select("id", "rid", F.lit(100.0).alias("score"), F.lit("high").alias("confidence"))
-    rest = left.where("x <> ''").join(exact.select("id"), "id", "left_anti")
-    medium = _best(rest, right, near, ["block"]).withColumn("confidence", F.lit("medium"))
-    last = rest.join(medium.select("id"), "id", "left_anti")
-    low = _best(last, right, far, []).withColumn("confidence", F.lit("low"))
-    return done.unionByName(medium).unionByName(low)
-
-
-def _best(left: DataFrame, right: DataFrame, least: float, on: list[str]) -> DataFrame:
-    """id, rid and score of each id's best ratio from `least` on.
-
-    Inserted and deleted letters of a pair number at most e = (1 - q) (m + n); a name of n letters cut into e + 1 pieces
-    has one that they leave alone, which then lies in the other name at most e places away.
-    """
-    q = least / 100
-    edits = F.floor((1 - q) * F.length("y") * (1 + (2 - q) / q)).cast("int")
-    size = F.greatest(F.lit(1), F.floor(F.length("y") / (edits + 1)).cast("int"))
-    pieces = F.transform(F.sequence(F.lit(0), F.least(edits, F.length("y") - 1)), lambda k: F.struct(size.alias("size"), F.substring(F.col("y"), k * size + 1, size).alias("piece")))
-    known = right.where("y <> ''").select("rid", "y", *on, F.explode(pieces).alias("p")).select("rid", "y", *on, "p.size", "p.piece")
-    sizes = known.select("size").distinct()
-    grams = left.join(F.broadcast(sizes)).where(F.length("x") >= F.col("size"))  # a handful of sizes
-    starts = F.sequence(F.lit(1), F.length("x") - F.col("size") + 1)
-    asked = grams.select("id", "x", *on, "size", F.explode(F.array_distinct(F.transform(starts, lambda k: F.substring(F.col("x"), k, F.col("size"))))).alias("piece"))
-    pairs = asked.join(known, [*on, "size", "piece"]).where(F.least(F.length("x"), F.length("y")) * 2 >= q * (F.length("x") + F.length("y"))).select("id", "rid", "x", "y").distinct()
-    scored = pairs.withColumn("score", indel_ratio(F.col("x"), F.col("y"))).where(F.col("score") >= least)
-    return scored.groupBy("id").agg(F.max_by(F.struct("rid", "score"), F.struct(F.col("score"), -F.col("rid"))).alias("b")).select("id", "b.rid", "b.score")
-
-
 def audit(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """One row per check: rows that fail it, and whether none does.  One pass for all checks."""
     failed = [F.struct(F.lit(n).alias("check"), F.count_if(~F.coalesce(c, F.lit(False))).alias("failed")) for n, c in checks.items()]

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import text as X
 from tallyforge.operators import joins as J
-from tallyforge.operators import outcomes as O
 from tallyforge.plans.catalog import query
 from tallyforge.sources.tables import tables
 
@@ -114,17 +113,6 @@ def token_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.where((hits >= 2) & (hits / n >= 0.5)).groupBy("brand").agg(F.count("*").alias("pairs"))
 
 
-@query("fuzzy_cascade_match")
-def fuzzy_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact name in the block, then a ratio of 90 there, then 95 anywhere; the ratio isn't SQL's, so tests hold it against brute force."""
-    n = tables(spark, sf_dir).nation
-    word = F.lower("n_name")
-    heard = F.when(F.col("n_nationkey") % 3 == 0, word).when(F.col("n_nationkey") % 3 == 1, F.concat(F.left(word, F.lit(2)), F.substring(word, 4, 99))).otherwise(F.concat(F.left(word, F.lit(1)), word))
-    left = n.select(F.col("n_nationkey").alias("id"), heard.alias("x"), (F.col("n_regionkey") + F.when(F.col("n_nationkey") % 2 == 0, 0).otherwise(9)).alias("block"))
-    right = n.select(F.col("n_nationkey").alias("rid"), word.alias("y"), F.col("n_regionkey").alias("block"))
-    return O.cascade(left, right)
-
-
 @query("text_fields", r"""
 SELECT doc_id, CASE WHEN length(text) > 240 THEN left(text, 237) || '...' ELSE text END short, regexp_replace(regexp_replace(lower(trim(source)), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') slug, lower(trim(lang)) IN ('1', 'true', 't', 'yes', 'y') truth,
  coalesce(nullif(trim(lang), ''), nullif(trim(source), ''), '') first_filled FROM documents""")

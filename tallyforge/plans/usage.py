@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import numbers as N
 from tallyforge.operators import aggregates as A
 from tallyforge.operators import joins as J
+from tallyforge.operators import neighbours as B
 from tallyforge.operators import rules as R
 from tallyforge.plans.catalog import query
 from tallyforge.sources.tables import tables
@@ -159,18 +160,34 @@ def recency_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ratio_range_comparables", """
 SELECT a.c_custkey, count(*) n_comparables, min(b.c_custkey) first_comparable FROM customer a JOIN customer b ON a.c_mktsegment = b.c_mktsegment AND a.c_nationkey = b.c_nationkey AND a.c_acctbal > 0 AND b.c_acctbal > 0 AND b.c_acctbal >= 0.5 * a.c_acctbal AND b.c_acctbal <= 2 * a.c_acctbal GROUP BY 1""")
 def ratio_comparables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = tables(spark, sf_dir).customer
-    a, b = c.select("c_custkey", "c_mktsegment", "c_nationkey", F.col("c_acctbal").alias("x")), c.select(F.col("c_custkey").alias("other"), "c_mktsegment", "c_nationkey", F.col("c_acctbal").alias("y"))
-    return J.in_ratio(a, b, ["c_mktsegment", "c_nationkey"], "x", "y", 0.5, 2.0).groupBy("c_custkey").agg(F.count("*").alias("n_comparables"), F.min("other").alias("first_comparable"))
+    c = tables(spark, sf_dir).customer.where("c_acctbal > 0")
+    keys = ["c_mktsegment", "c_nationkey"]
+    asked = c.select(F.col("c_custkey").alias("id"), *keys, (F.col("c_acctbal") * 0.5).alias("low"), (F.col("c_acctbal") * 2).alias("high"))
+    pool = c.select(F.col("c_custkey").alias("rid"), *keys, F.col("c_acctbal").alias("v"))
+    return B.over_range(asked, pool, keys, "low", "high").select(F.col("id").alias("c_custkey"), F.col("n").alias("n_comparables"), F.col("least").alias("first_comparable"))
 
 
 @query("nearest_comparables_topk", """
 SELECT a.s_suppkey, b.c_custkey, row_number() OVER w AS rank FROM supplier a JOIN customer b ON a.s_nationkey = b.c_nationkey WINDOW w AS (PARTITION BY a.s_suppkey ORDER BY abs(b.c_acctbal - a.s_acctbal), b.c_custkey) QUALIFY rank <= 3""")
 def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
-    w = Window.partitionBy("s_suppkey").orderBy(F.abs(F.col("c_acctbal") - F.col("s_acctbal")), "c_custkey")
-    pairs = t.supplier.join(t.customer, F.col("s_nationkey") == F.col("c_nationkey")).select("s_suppkey", "c_custkey", F.row_number().over(w).alias("rank"))
-    return pairs.where("rank <= 3")  # a window group limit keeps three rows a supplier before the shuffle
+    asked = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("lane"), F.col("s_acctbal").alias("t"))
+    pool = t.customer.select(F.col("c_custkey").alias("rid"), F.col("c_nationkey").alias("lane"), F.col("c_acctbal").alias("v"))
+    found = B.nearest(asked, pool, minimum=1, maximum=3, scale=lambda c: c, floor=None)
+    return found.where("level = 'lane'").select(F.col("id").alias("s_suppkey"), F.col("rid").alias("c_custkey"), "rank")
+
+
+@query("nearest_with_fallback", """
+WITH p AS (SELECT c_custkey, c_nationkey, c_acctbal v FROM customer WHERE c_acctbal > 8500), n AS (SELECT c_nationkey k, count(*) n FROM p GROUP BY 1),
+ a AS (SELECT s_suppkey, s_nationkey, s_acctbal t, coalesce(n, 0) n FROM supplier LEFT JOIN n ON k = s_nationkey WHERE s_acctbal >= 0),
+ r AS (SELECT s_suppkey, n, c_custkey, row_number() OVER (PARTITION BY s_suppkey ORDER BY abs(ln(1 + v) - ln(1 + t)), c_custkey) AS rank, count(*) OVER (PARTITION BY s_suppkey) pool FROM a JOIN p ON n < 8 OR c_nationkey = s_nationkey)
+SELECT s_suppkey, c_custkey, rank, CASE WHEN n >= 8 THEN 'lane' ELSE 'global' END AS level FROM r WHERE rank <= greatest(8, least(pool, 20))""")
+def nearest_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comparable customers of each supplier: of its nation if it has eight of a high balance, else of all."""
+    t = tables(spark, sf_dir)
+    asked = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("lane"), F.col("s_acctbal").alias("t"))
+    pool = t.customer.where("c_acctbal > 8500").select(F.col("c_custkey").alias("rid"), F.col("c_nationkey").alias("lane"), F.col("c_acctbal").alias("v"))
+    return B.nearest(asked, pool).select(F.col("id").alias("s_suppkey"), F.col("rid").alias("c_custkey"), "rank", "level")
 
 
 @query("arr_comparable_estimate", """

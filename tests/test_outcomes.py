@@ -46,24 +46,6 @@ def test_candidates(spark):
     assert {x.id: (round(x.score, 6), x.rid, x.plausible) for x in got} == {k: (round(v[0], 6), *v[1:]) for k, v in want.items()}
 
 
-def test_cascade(spark):
-    import random
-
-    rng = random.Random(5)
-    names = ["".join(rng.choices("abc ", k=rng.randrange(3, 24))).strip() or "a" for _ in range(40)]
-    left = [(k, rng.choice(names) if k % 3 else (lambda s: s[:2] + s[3:])(rng.choice(names)), k % 3) for k in range(60)] + [(99, "", 0)]
-    right = [(k, n, k % 3) for k, n in enumerate(names)]
-    got = {r.id: (r.rid, round(r.score, 6), r.confidence) for r in O.cascade(spark.createDataFrame(left, "id int, x string, block int"), spark.createDataFrame(right, "rid int, y string, block int")).collect()}
-    want = {}
-    for i, x, b in left:
-        for pool, least, grade in (([r for r in right if r[2] == b and r[1] == x], 100, "high"), ([r for r in right if r[2] == b], 90, "medium"), (right, 95, "low")):
-            best = [(ratio(x, y), -j) for j, y, _ in pool if x and ratio(x, y) >= least]
-            if best:
-                want[i] = (-max(best)[1], round(max(best)[0], 6), grade)
-                break
-    assert got == want and {v[2] for v in got.values()} == {"high", "medium", "low"}
-
-
 def test_evidence_sources(spark, tmp_path):
     root = tmp_path / "pages"
     for account, n, body in (("a1", 1, '{"status": "success", "url": "https://oak.com", "data": {"markdown": "Oak Title"}}'), ("a1", 2, '{"status": "error"}'), ("b2", 1, '{"status": "success", "data": {"markdown": " "}}'), ("c3", 1, "not json")):
