@@ -59,6 +59,10 @@ _WORDS = f"list_distinct(list_filter(string_split_regex(lower(name), '[^a-z0-9]+
 _BARE = r"trim(regexp_replace(regexp_replace(lower(name), '\b(llc|incorporated|inc|corp(oration)?|company|co|limited|ltd|pllc|pc|llp)\b\.?', ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))"
 
 
+#: For other plans: the similarity of names x and y with core words p and q of which h agree, and of a name with a domain's label.
+SIMILARITY, DOMAIN_SCORE, identity_sql, core_sql = _SIM, f"CASE WHEN label = '' THEN 0.0::DOUBLE ELSE CAST({_ONE('name')} AS DOUBLE) END", _ident, _core
+
+
 def _under(hosts: tuple[str, ...]) -> str:
     return "(" + " OR ".join(f"host = '{h}' OR ends_with(host, '.{h}')" for h in hosts) + ")"
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.functions import text as X
+from tallyforge.operators import graph as G
 from tallyforge.operators import matching as M
 from tallyforge.plans.catalog import query
 from tallyforge.sources.tables import tables
@@ -59,3 +61,16 @@ def fuzzy_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     heard = F.when(F.col("id") % 2 == 1, F.concat(F.substring(F.col("name"), F.lit(1), at), F.substring(F.col("name"), at + 2, F.length("name")))).otherwise(F.col("name"))
     accounts = c.select("id", "raw", heard.alias("name"), F.when(F.col("balance") < 0, "").otherwise(F.col("state")).alias("state"), "city")
     return M.cascade(accounts, _firms(t.supplier, "s_suppkey", "s_name", "s_nationkey", "s_acctbal").withColumnRenamed("id", "rid"))
+
+
+_PART_WORDS = "list_distinct(list_filter(regexp_split_to_array(lower(p_name), '[^a-z0-9]+'), lambda x: length(x) >= 3))"
+
+
+@query("brand_clusters", f"""
+WITH RECURSIVE p AS (SELECT p_brand b, p_name n, count(*) c, {_PART_WORDS} w FROM part GROUP BY ALL), h AS (SELECT b, n, unnest(w) t FROM p), k AS (SELECT b, t FROM h GROUP BY 1, 2 HAVING count(*) BETWEEN 2 AND 3),
+ l AS (SELECT DISTINCT x.b, x.n x, y.n y FROM k JOIN h x USING (b, t) JOIN h y USING (b, t)), r(b, x, y) AS (SELECT b, n, n FROM p UNION SELECT r.b, r.x, l.y FROM r JOIN l ON l.b = r.b AND l.x = r.y), m AS (SELECT b, x, min(y) cluster FROM r GROUP BY 1, 2)
+SELECT b AS p_brand, cluster, sum(c)::BIGINT members, count(*) AS names, arg_min(n, lower(n)) shown FROM p JOIN m USING (b) WHERE m.x = p.n GROUP BY 1, 2 HAVING sum(c) >= 5""")
+def brand_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of a brand that hang together by words which few of its names have."""
+    parts = tables(spark, sf_dir).part.select("p_brand", F.col("p_name").alias("name"), X.distinctive("p_name").alias("words"))
+    return G.name_clusters(parts, "words", "p_brand")

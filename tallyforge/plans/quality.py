@@ -212,6 +212,26 @@ def round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.round_robin(tables(spark, sf_dir).customer.select("c_custkey", "c_mktsegment"), "c_custkey", ["c_mktsegment"], "run-1", 150)
 
 
+_STRATA = """
+WITH o AS (SELECT o_custkey k, max(o_totalprice) most, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) status FROM orders GROUP BY 1),
+ c AS (SELECT c_custkey, c_mktsegment seg, CAST(n_regionkey AS VARCHAR) region, coalesce(status, '') status, CAST(CAST(floor(c_acctbal / 4000) AS BIGINT) AS VARCHAR) band, coalesce(most, 0) most FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN o ON k = c_custkey),
+ t AS (SELECT c_custkey FROM c ORDER BY most DESC, c_custkey LIMIT 20), g AS (SELECT * FROM c WHERE c_custkey NOT IN (FROM t)), s AS (SELECT list({a: seg, b: region, c: status, d: band} ORDER BY n, seg, region, status, band) l FROM (SELECT seg, region, status, band, count(*) n FROM g GROUP BY ALL)),
+ r(i, kept) AS (SELECT 1, list_transform(l, lambda x: true) FROM s UNION ALL SELECT i + 1, CASE WHEN len(list_filter(kept, lambda x: x)) > 30 AND {checks} THEN list_transform(range(1, len(l) + 1), lambda j: kept[j] AND j <> i) ELSE kept END FROM r, s WHERE i <= len(l)),
+ k AS (SELECT unnest(list_filter(list_transform(range(1, len(l) + 1), lambda j: CASE WHEN kept[j] THEN l[j] END), lambda x: x IS NOT NULL)) x FROM r, s WHERE i = len(l) + 1),
+ n AS (SELECT c_custkey, seg, region, status, band, row_number() OVER (PARTITION BY seg, region, status, band ORDER BY sha256('run-1:' || c_custkey), c_custkey) rn FROM g JOIN k ON seg = x.a AND region = x.b AND status = x.c AND band = x.d)
+SELECT c_custkey, 'top' why FROM t UNION ALL SELECT c_custkey, 'stratum' FROM (FROM n ORDER BY rn, seg, region, status, band LIMIT 30)"""
+
+
+@query("stratified_canary", "WITH RECURSIVE " + _STRATA.replace("{checks}", " AND ".join(f"len(list_filter(range(1, len(l) + 1), lambda j: j <> i AND kept[j] AND l[j].{d} = l[i].{d})) > 0" for d in "abcd")).replace("\nWITH ", "", 1))
+def stratified_canary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty accounts of the largest orders, and thirty over strata of segment, region, last status and balance."""
+    t = tables(spark, sf_dir)
+    o = t.orders.groupBy("o_custkey").agg(F.max("o_totalprice").alias("most"), F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("status"))
+    c = t.customer.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey")).join(o, F.col("o_custkey") == F.col("c_custkey"), "left")
+    c = c.select("c_custkey", F.col("c_mktsegment").alias("seg"), F.col("n_regionkey").alias("region"), "status", F.floor(F.col("c_acctbal") / 4000).alias("band"), F.coalesce("most", F.lit(0.0)).alias("most"))
+    return S.canary(c, "c_custkey", ["seg", "region", "status", "band"], [F.desc("most")], seed="run-1")
+
+
 @query("shard_modulo", "SELECT c_custkey % 16 shard, count(*) n, min(c_custkey) first_key FROM customer GROUP BY 1")
 def shard_modulo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables(spark, sf_dir).customer.groupBy(F.pmod("c_custkey", F.lit(16)).cast("long").alias("shard")).agg(F.count("*").alias("n"), F.min("c_custkey").alias("first_key"))

@@ -10,7 +10,7 @@ from tallyforge.operators import joins as J
 from tallyforge.plans.catalog import query
 from tallyforge.sources.tables import tables
 
-_HOST = r"regexp_replace(regexp_replace(regexp_extract(regexp_replace(lower(trim(url)), '^[a-z][a-z0-9+.-]*://', ''), '^([^/?#]*)', 1), '^[^@]*@|:[0-9]*$', '', 'g'), '^www\.', '')"
+HOST_SQL = _HOST = r"regexp_replace(regexp_replace(regexp_extract(regexp_replace(lower(trim(url)), '^[a-z][a-z0-9+.-]*://', ''), '^([^/?#]*)', 1), '^[^@]*@|:[0-9]*$', '', 'g'), '^www\.', '')"
 
 
 @query("host_normalize", f"SELECT page_id, {_HOST} host FROM pages")
