@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -208,9 +210,21 @@ def json_update(c: str | Column, new: dict[str, Column]) -> Column:
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(every))))
 
 
+#: A JSON text's tokens: strings with their escapes, marks, and what else stands between them.
+_TOKEN = r'"(?:[^"\\]|\\.)*"|[{}\[\]:,]|[^\s{}\[\]:,"]+'
+
+
 def json_find(c: str | Column, key: str) -> Column:
-    """All scalar values of a key, at any depth, in order of their places."""
-    return F.regexp_extract_all(clean(c), F.lit(f'"{key}"\\s*:\\s*"?([^",\\[{{}}\\]]+)'), F.lit(1))
+    """All values of a key but objects, arrays and null, at any depth, in order of their places; nothing from what isn't JSON.
+
+    The text is walked token by token, so that a key inside a string is no key and an escaped quote ends no string.
+    """
+    text = clean(c)
+    marks = F.regexp_extract_all(F.when(F.try_parse_json(text).isNotNull(), text).otherwise(""), F.lit(_TOKEN), F.lit(0))
+    at = lambda k: F.coalesce(F.get(marks, k), F.lit(""))
+    value = lambda x: F.when(F.startswith(x, F.lit('"')), F.get(F.from_json(F.concat(F.lit("["), x, F.lit("]")), "array<string>"), 0)).otherwise(x)
+    found = F.transform(marks, lambda x, k: F.when((x == json.dumps(key, ensure_ascii=False)) & (at(k + 1) == ":") & ~at(k + 2).isin("{", "[", "null", ""), value(at(k + 2))))
+    return F.array_compact(found)
 
 
 def latest_text(*columns: str | Column) -> Column:

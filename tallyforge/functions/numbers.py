@@ -89,3 +89,9 @@ def fresh(age: Column, days: float = 90.0) -> Column:
 
 def age_months(at: Column, as_of: Column) -> Column:
     return F.round(age_days(at, as_of) / MONTH_DAYS, 1)
+
+
+def cohort_ceiling(p90: Column, legal: Column) -> Column:
+    """Three times the cohort's 90 % point, within the lane's limits (fixed values)."""
+    limit = lambda low, high: F.least(F.greatest(3 * p90, F.lit(low)), F.lit(high))
+    return F.when(legal, limit(250.0, 1000.0)).otherwise(limit(750.0, 2500.0))

@@ -12,7 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+class Sql(str):
+    """An outcome that is not a constant but an expression over the row's facts."""
+
+
 def literal(v: object) -> str:
+    if isinstance(v, Sql):
+        return v
     if v is None:
         return "NULL"
     if isinstance(v, bool):
@@ -378,10 +384,10 @@ POST_RETRIEVAL = Ladder(
         ("original <> 'score_now'", ("insufficient_public_evidence", "suppress_score", "High")),
         ("retrieval IN ('map_failed', 'extract_failed', 'script_error', 'not_run') AND NOT anchor", ("insufficient_public_evidence", "suppress_score", "High")),
         ("expected_control <> '' AND expected_control = 'parent_child_rollup_review'", ("parent_child_rollup_review", "roll_to_parent_review", "High")),
-        ("expected_control <> ''", ("control", "route_ops_review", "High")),
+        ("expected_control <> ''", (Sql("expected_control"), "route_ops_review", "High")),
         ("thin_evidence", ("scoreable_icp", "score_now", "Low")),
     ),
-    ("scoreable_icp", "score_now", "Medium"),
+    ("scoreable_icp", "score_now", Sql("coalesce(nullif(trim(score_confidence), ''), 'Medium')")),
 )
 
 #: Ceilings of top-ranked estimates without support.
@@ -408,12 +414,12 @@ ENTITY_CONTROL = (
 URL_HEALTH = Ladder(
     ("url_state",),
     (
-        ("error_code IN (401, 403)", ("blocked",)), ("error_code BETWEEN 500 AND 599", ("server_error",)), ("error_code > 0", ("http_error",)),
-        ("regexp_like(lower(error), 'name or service not known|getaddrinfo failed')", ("dns_error",)), ("regexp_like(lower(error), 'timed out|timeout')", ("timeout",)), ("regexp_like(lower(error), 'ssl|certificate')", ("ssl_error",)), ("error <> ''", ("error",)),
+        ("error_code IN (401, 403)", ("blocked",)), ("error_code BETWEEN 500 AND 599", ("server_error",)), ("error_code > 0", (Sql("concat('http_', error_code)"),)),
+        ("regexp_like(lower(error), 'name or service not known|getaddrinfo failed')", ("dns_error",)), ("regexp_like(lower(error), 'timed out|timeout')", ("timeout",)), ("regexp_like(lower(error), 'ssl|certificate')", ("ssl_error",)), ("error <> '' AND from_url", ("url_error",)), ("error <> ''", ("error",)),
         ("suspended", ("suspended_or_inactive",)), ("parked", ("parked_or_for_sale",)), ("placeholder OR lower(trim(title)) IN ('coming soon', 'under construction', 'website coming soon')", ("parked_or_placeholder",)),
         ("http_status IN (401, 403)", ("blocked",)), ("http_status >= 200 AND http_status < 400", ("ok",)),
     ),
-    ("http_error",),
+    (Sql("concat('http_', http_status)"),),
 )
 
 _VSB = "vsb_required = 'Yes' AND vsb IN ('', 'Pending')"
@@ -571,15 +577,18 @@ RESOLVED = Ladder(
 )
 _RISK = "('true', 't', '1', 'yes')"
 HISTORY = (
-    ("has_direct_usage", "coalesce(direct, 0) > 0"), ("has_billing_usage", "coalesce(rollup_usage, 0) > 0"), ("has_billing_report", "coalesce(billable, 0) > 0"), ("has_history", "coalesce(closed, 0) > 0"), ("has_won", "coalesce(won, 0) > 0"), ("has_mcv_label", "coalesce(mcv, 0) > 0"), ("has_arr_label", "coalesce(arr, 0) > 0"),
-    ("has_retention_risk", f"coalesce(churns, 0) > 0 OR coalesce(churn_date, '') <> '' OR lower(coalesce(churn_exception, '')) IN {_RISK} OR lower(coalesce(subscription, '')) IN ('cancelled', 'expired')"),
+    ("has_warehouse_match", "coalesce(warehouse_id, '') <> ''"), ("has_direct_usage", "coalesce(direct, 0) > 0"), ("has_billing_usage", "coalesce(rollup_usage, 0) > 0"), ("has_billing_report", "coalesce(billable, 0) > 0"), ("has_history", "coalesce(closed, 0) > 0"), ("has_won", "coalesce(won, 0) > 0"), ("has_mcv_label", "coalesce(mcv, 0) > 0"), ("has_arr_label", "coalesce(arr, 0) > 0"),
+    ("has_retention_risk", f"coalesce(churns, 0) > 0 OR coalesce(churn_date, '') <> '' OR lower(coalesce(churn_exception, '')) IN {_RISK} OR lower(coalesce(unbilled_exception, '')) IN {_RISK} OR lower(coalesce(subscription, '')) IN ('cancelled', 'expired')"),
 )
-#: Whether sales' figure and the model's agree, and how urgent a difference is: the first source that is there counts.
+#: How the model's figure and sales' first positive one differ, and how urgent that is.
 VARIANCE = (
-    ("sales_value", "coalesce(nullif(final_value, 0), nullif(won_value, 0), nullif(open_value, 0), nullif(rep_value, 0), nullif(import_value, 0))"),
-    ("value_source", "CASE WHEN final_value <> 0 THEN 'final' WHEN won_value <> 0 THEN 'won' WHEN open_value <> 0 THEN 'open' WHEN rep_value <> 0 THEN 'rep' WHEN import_value <> 0 THEN 'import' ELSE 'none' END"),
-    ("ratio_class", "CASE WHEN sales_value IS NULL OR model_value <= 0 THEN 'not_comparable' WHEN sales_value >= 2 * model_value THEN 'sales_far_higher' WHEN 2 * sales_value <= model_value THEN 'model_far_higher' WHEN sales_value = model_value THEN 'equal' ELSE 'near' END"),
-    ("review_priority", "CASE WHEN ratio_class LIKE '%far_higher' AND greatest(sales_value, model_value) >= 200 THEN 'P1' WHEN ratio_class LIKE '%far_higher' THEN 'P2' WHEN ratio_class = 'not_comparable' THEN 'P3' ELSE 'P4' END"),
+    ("sales_value", "coalesce(CASE WHEN opportunity > 0 THEN opportunity END, CASE WHEN account_opportunity > 0 THEN account_opportunity END, CASE WHEN rep > 0 THEN rep END, CASE WHEN lead > 0 THEN lead END, CASE WHEN final_value > 0 AND lower(final_source) LIKE '%sales%' THEN final_value END)"),
+    ("value_source", "CASE WHEN opportunity > 0 THEN 'Latest New Business Opportunity' WHEN account_opportunity > 0 THEN 'Account Latest New Business Opp MCV' WHEN rep > 0 THEN 'Account Rep Qualified MCV' WHEN lead > 0 THEN 'Converted Lead Sales MCV' WHEN sales_value > 0 THEN 'Account Final MCV - Sales Source' ELSE '' END"),
+    ("comparable", "model > 0 AND sales_value > 0"), ("apart", "model - sales_value"),
+    ("echo", "abs(apart) <= greatest(5, sales_value * CAST(0.05 AS DOUBLE))"),
+    ("variance_class", "CASE WHEN NOT coalesce(comparable, false) THEN NULL WHEN echo THEN 'anchor_echo_not_independent' WHEN model >= 3 * sales_value AND apart >= 100 THEN 'model_much_higher' WHEN model >= 2 * sales_value AND apart >= 50 THEN 'model_higher' WHEN 3 * model <= sales_value AND apart <= -100 THEN 'sales_much_higher' WHEN 2 * model <= sales_value AND apart <= -50 THEN 'sales_higher' ELSE 'directionally_aligned' END"),
+    ("supported", "coalesce(offices, 0) >= 3 OR coalesce(employees, 0) >= 20 OR closing_evidence"), ("stale", "coalesce(sales_age_months, 0) > 24"),
+    ("review_priority", "CASE WHEN variance_class IS NULL THEN NULL WHEN variance_class = 'model_much_higher' AND model_confidence IN ('High', 'Medium') AND supported THEN 'P1_possible_sales_underestimate' WHEN variance_class = 'sales_much_higher' AND NOT stale THEN 'P1_possible_model_underestimate' WHEN variance_class LIKE '%higher' THEN 'P2_review' ELSE 'No_immediate_review' END"),
 )
 
 #: First labels of a resolver's rows, for people to check: site, class, what it may count as, and whether it still needs a look.

@@ -1,4 +1,4 @@
-"""Entity functions over literal rows and whole tables."""
+"""Entity functions over texts that orders choose and over whole tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import entity as E
 from tallyforge.functions import text as X
 from tallyforge.plans.catalog import query
-from tallyforge.plans.fixtures import Fixture
+from tallyforge.plans.fixtures import listed
 from tallyforge.sources.tables import tables
 
 _LIST = lambda words: "(" + ", ".join(f"'{w}'" for w in words) + ")"
@@ -30,7 +30,7 @@ def _union(p: str, q: str) -> str:
     return f"len(list_distinct(list_concat({p}, {q})))"
 
 
-_PAIRS = Fixture([
+_PAIRS = listed([
     {"a": a, "b": b}
     for a, b in (
         ("Oak Title LLC", "Oak Title"), ("Harbor Light", "Harbor Light Escrow of Texas"), ("Harbor Light Escrow of Texas", "Harbor Light"), ("North Star Title", "North Pole Title"), ("The Title Co", "Title Company"), ("Title Agency", "Title Group"),
@@ -44,10 +44,10 @@ _SIM = f"""CASE WHEN x = '' OR y = '' THEN 0.0::DOUBLE WHEN x = y THEN 1.0 WHEN
 
 @query("name_similarity_ladder", f"SELECT a, b, {_SIM} AS similarity FROM (SELECT *, len(list_intersect(p, q)) h FROM (SELECT a, b, {_ident('a')} x, {_ident('b')} y, {_core('a')} p, {_core('b')} q FROM {_PAIRS.sql}))")
 def name_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _PAIRS.frame(spark).select("a", "b", E.name_similarity("a", "b").alias("similarity"))
+    return _PAIRS.frame(spark, sf_dir).select("a", "b", E.name_similarity("a", "b").alias("similarity"))
 
 
-_SITES = Fixture([
+_SITES = listed([
     {"name": n, "alias": m, "label": d, "text": t, "host": h}
     for n, m, d, t, h in (
         ("Oak Harbor Title LLC", "Oak Escrow", "oak-harbor", "Welcome to Oak Harbor Title, LLC of Ohio", "oakharbor.com"), ("Maple Title", "", "mapletitleco", "maple trees", "maple.wixsite.com"), ("North Star Law Firm", "NS Legal", "northstar", "We are North Star law firm.", "linkedin.com"),
@@ -71,7 +71,7 @@ def _under(hosts: tuple[str, ...]) -> str:
  CASE WHEN length({_BARE}) >= 6 AND contains({_BARE}, ' ') AND contains(' ' || regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g') || ' ', ' ' || {_BARE} || ' ') THEN name ELSE '' END asserted,
  CASE WHEN host = '' THEN '' WHEN {_under(E.DIRECTORY_HOSTS)} THEN 'directory' WHEN {_under(E.GENERIC_HOSTS)} THEN 'generic' WHEN {_under(E.MAIL_HOSTS)} THEN 'mail' ELSE 'own' END host_class FROM {_SITES.sql}""")
 def site_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _SITES.frame(spark).select(
+    return _SITES.frame(spark, sf_dir).select(
         "name", "label", E.domain_similarity(F.array("name", "alias"), F.col("label")).alias("domain_score"), E.hit_share(F.col("name"), F.col("text")).alias("hit_share"), E.self_asserted(F.col("name"), F.col("text")).alias("asserted"), E.host_class(F.col("host")).alias("host_class"),
     )
 
@@ -83,10 +83,10 @@ _LOOK = lambda c: f"array_to_string(list_filter(string_split_regex(lower({c}), '
 @query("strong_entity_overlap", f"""SELECT a, b, len(p) > 0 AND len(q) > 0 AND (({_LOOK('a')} <> '' AND {_LOOK('a')} = {_LOOK('b')}) OR len(h) >= 2 OR coalesce(len(h) = 1 AND length(h[1]) >= 4 AND list_contains(['oakland', 'north', 'maple'], h[1]), false)) AS strong
  FROM (SELECT *, list_intersect(p, q) h FROM (SELECT a, b, {_OWN('a')} p, {_OWN('b')} q FROM {_PAIRS.sql}))""")
 def strong_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _PAIRS.frame(spark).select("a", "b", E.strong_overlap(F.col("a"), F.col("b"), F.array(*map(F.lit, ("oakland", "north", "maple")))).alias("strong"))
+    return _PAIRS.frame(spark, sf_dir).select("a", "b", E.strong_overlap(F.col("a"), F.col("b"), F.array(*map(F.lit, ("oakland", "north", "maple")))).alias("strong"))
 
 
-_PLACES = Fixture([
+_PLACES = listed([
     {"account": a, "site": s, "state": c, "country": n}
     for a, s, c, n in (
         ("12 Main Street, Suite 4, Austin TX 78701-1234", "12 Main St #4 Austin TX 78701", "Texas", "USA"), ("12 Main Street Austin TX", "14 Main Street Austin TX", "tx", "United States"), ("Oak Avenue Reno", "Oak Avenue Reno Nevada", " New  York ", "Canada"), ("9 Elm", "9 Elm", "Puerto Rico", "U.S.A."),
@@ -108,10 +108,10 @@ _ST, _CO, _AT, _NUM = f"array_to_string({_tok('state')}, ' ')", f"array_to_strin
 @query("address_and_place", f"""SELECT account, {_addr('account')} street, len({_AT}) >= 3 AND NOT (len({_NUM('account')}) > 0 AND len({_NUM('site')}) > 0 AND NOT list_has_any({_NUM('account')}, {_NUM('site')})) AND len(list_intersect({_AT}, {_tok('site')})) / len({_AT}) >= 0.72 AS overlaps,
  CASE WHEN length({_ST}) = 2 THEN {_ST} {' '.join(f"WHEN {_ST} = '{k}' THEN '{v}'" for k, v in E.STATES.items())} ELSE {_ST} END code, CASE WHEN {_CO} IN {_LIST(E.HOME_COUNTRY)} THEN 'us' ELSE {_CO} END nation FROM {_PLACES.sql}""")
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _PLACES.frame(spark).select("account", E.street_address("account").alias("street"), E.address_overlap(F.col("account"), F.array("site")).alias("overlaps"), E.state_code("state").alias("code"), E.country("country").alias("nation"))
+    return _PLACES.frame(spark, sf_dir).select("account", E.street_address("account").alias("street"), E.address_overlap(F.col("account"), F.array("site")).alias("overlaps"), E.state_code("state").alias("code"), E.country("country").alias("nation"))
 
 
-_URLS = Fixture([{"url": u, "lane": k} for u, k in (("oak.com", "Title"), ("www.oak.com/a", "law-firm"), ("https://oak.com/x", "Title/ Escrow"), ("http://www.oak.com", "Escrow"), (" <https://www.elm.org> ", "law firm"), ("(elm.org)", "legal"), ("N/A", "other lane"), ("", ""), ("HTTP://Elm.org", "LAW"))])
+_URLS = listed([{"url": u, "lane": k} for u, k in (("oak.com", "Title"), ("www.oak.com/a", "law-firm"), ("https://oak.com/x", "Title/ Escrow"), ("http://www.oak.com", "Escrow"), (" <https://www.elm.org> ", "law firm"), ("(elm.org)", "legal"), ("N/A", "other lane"), ("", ""), ("HTTP://Elm.org", "LAW"))])
 _TXT = r"trim(regexp_replace(trim(url), '\s+', ' ', 'g'))"
 _U = rf"CASE WHEN {_TXT} = '' OR lower({_TXT}) IN {_LIST(E.NO_URL)} THEN '' ELSE regexp_replace(regexp_replace({_TXT}, '^[<>\"'']+|[<>\"'']+$', '', 'g'), '^\((.*)\)$', '\1') END"
 _LN = "translate(lower(trim(lane)), '-/ ', '___')"
@@ -123,7 +123,7 @@ SELECT url, CASE WHEN trim(url) = '' OR regexp_matches(trim(url), '(?i)^https?:/
   ELSE list_filter(['https://' || u, CASE WHEN NOT w THEN 'https://www.' || u END, 'http://' || u, CASE WHEN NOT w THEN 'http://www.' || u END], lambda x: x IS NOT NULL) END, ' ') variants,
  CASE {' '.join(f"WHEN {_LN} = '{k}' THEN '{v}'" for k, v in E.LANE_NAMES.items())} ELSE {_LN} END lane_name FROM b""")
 def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _URLS.frame(spark).select("url", E.with_scheme("url").alias("full_url"), F.array_join(E.url_variants("url"), " ").alias("variants"), E.lane_name("lane").alias("lane_name"))
+    return _URLS.frame(spark, sf_dir).select("url", E.with_scheme("url").alias("full_url"), F.array_join(E.url_variants("url"), " ").alias("variants"), E.lane_name("lane").alias("lane_name"))
 
 
 @query("citations_by_order", """
@@ -136,13 +136,13 @@ def cited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.select("o_custkey", F.size("c").cast("long").alias("citations"), E.latest_text(F.array_max("c.observed")).alias("source_as_of"), F.sha2(F.array_join("c.hash", ","), 256).alias("digest"))
 
 
-_JSON = Fixture([{"cell": c} for c in ('["a", " b ", ""]', '"one"', "plain words", "", "[1, 2]", '{"z": "1", "a": "x"}', '{"fields": {"name": "Id", "deep": [{"name": "Owner"}]}}')])
+_JSON = listed([{"cell": c} for c in ('["a", " b ", ""]', '"one"', "plain words", "", "[1, 2]", '{"z": "1", "a": "x"}', '{"fields": {"name": "Id", "deep": [{"name": "Owner"}]}}')])
 
 
-@query("json_cells", """SELECT * FROM (VALUES ('["a", " b ", ""]', 'a|b', '{"a":"new"}', ''), ('"one"', 'one', '{"a":"new"}', ''), ('plain words', 'plain words', '{"a":"new"}', ''), ('', '', '{"a":"new"}', ''), ('[1, 2]', '1|2', '{"a":"new"}', ''), ('{"z": "1", "a": "x"}', '{"z": "1", "a": "x"}', '{"a":"new","z":"1"}', ''),
- ('{"fields": {"name": "Id", "deep": [{"name": "Owner"}]}}', '{"fields": {"name": "Id", "deep": [{"name": "Owner"}]}}', '{"a":"new","fields":"{\\"name\\":\\"Id\\",\\"deep\\":[{\\"name\\":\\"Owner\\"}]}"}', 'Id|Owner')) t(cell, listed, updated, names)""")
+@query("json_cells", f"""SELECT j.cell, listed, updated, names FROM {_JSON.sql} j JOIN (VALUES ('["a", " b ", ""]', 'a|b', '{{"a":"new"}}', ''), ('"one"', 'one', '{{"a":"new"}}', ''), ('plain words', 'plain words', '{{"a":"new"}}', ''), ('', '', '{{"a":"new"}}', ''), ('[1, 2]', '1|2', '{{"a":"new"}}', ''), ('{{"z": "1", "a": "x"}}', '{{"z": "1", "a": "x"}}', '{{"a":"new","z":"1"}}', ''),
+ ('{{"fields": {{"name": "Id", "deep": [{{"name": "Owner"}}]}}}}', '{{"fields": {{"name": "Id", "deep": [{{"name": "Owner"}}]}}}}', '{{"a":"new","fields":"{{\\"name\\":\\"Id\\",\\"deep\\":[{{\\"name\\":\\"Owner\\"}}]}}"}}', 'Id|Owner')) t(cell, listed, updated, names) USING (cell)""")
 def json_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _JSON.frame(spark).select("cell", F.array_join(E.json_list("cell"), "|").alias("listed"), E.json_update("cell", {"a": F.lit("new")}).alias("updated"), F.array_join(E.json_find("cell", "name"), "|").alias("names"))
+    return _JSON.frame(spark, sf_dir).select("cell", F.array_join(E.json_list("cell"), "|").alias("listed"), E.json_update("cell", {"a": F.lit("new")}).alias("updated"), F.array_join(E.json_find("cell", "name"), "|").alias("names"))
 
 
 @query("text_haystack", "SELECT doc_id, left(concat_ws(' ', trim(coalesce(source, '')), trim(coalesce(lang, '')), trim(coalesce(text, ''))), 2000) haystack, replace(text, 'the and then', '[REDACTED]') redacted FROM documents")
@@ -162,31 +162,31 @@ def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("k1", "k2", E.name_similarity("n", "n2").alias("similarity")).where("similarity >= 0.9")
 
 
-_LINES = Fixture([{"page": p, "text": t} for p, t in (("a", "Oak\nCopyright 2024 Oak\nAll rights"), ("b", "copyright"), ("c", "no such line"), ("d", "x\ny copyright z"))])
+_LINES = listed([{"page": p, "text": t} for p, t in (("a", "Oak\nCopyright 2024 Oak\nAll rights"), ("b", "copyright"), ("c", "no such line"), ("d", "x\ny copyright z"))], together=True, key="page")
 
 
 @query("line_context_rows", r"""
 WITH l AS (SELECT page, generate_subscripts(string_split(text, chr(10)), 1) i, unnest(string_split(text, chr(10))) line FROM """ + _LINES.sql + r"""), c AS (SELECT page, i, line, lag(line) OVER w before, lead(line) OVER w after FROM l WINDOW w AS (PARTITION BY page ORDER BY i))
 SELECT page, i - 1 AS line_no, coalesce(before, '') before, coalesce(after, '') after FROM c WHERE contains(lower(line), 'copyright')""")
 def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _LINES.frame(spark).select("page", F.split("text", "\n").alias("a"))
+    d = _LINES.frame(spark, sf_dir).select("page", F.split("text", "\n").alias("a"))
     hit = d.select("page", "a", F.posexplode("a").alias("line_no", "line")).where(F.contains(F.lower("line"), F.lit("copyright")))
     at = lambda k: F.coalesce(F.get("a", F.col("line_no") + k), F.lit(""))
     return hit.select("page", F.col("line_no").cast("long").alias("line_no"), F.when(F.col("line_no") > 0, at(-1)).otherwise("").alias("before"), at(1).alias("after"))
 
 
-_LINKS = Fixture([{"page": p, "html": h} for p, h in (("a", '<a href="https://oak.com/a">x</a> and https://OAK.com/a'), ("b", "none"), ("c", "http://elm.org http://elm.org/x_y"))])
+_LINKS = listed([{"page": p, "html": h} for p, h in (("a", '<a href="https://oak.com/a">x</a> and https://OAK.com/a'), ("b", "none"), ("c", "http://elm.org http://elm.org/x_y"))], together=True, key="page")
 
 
 @query("link_candidates_rows", "SELECT page, lower(u) link, count(*) n FROM (SELECT page, unnest(regexp_extract_all(html, 'https?://[A-Za-z0-9._/-]+')) u FROM " + _LINKS.sql + ") GROUP BY ALL")
 def link_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _LINKS.frame(spark).select("page", F.explode(F.regexp_extract_all("html", F.lit("(https?://[A-Za-z0-9._/-]+)"), F.lit(1))).alias("u"))
+    found = _LINKS.frame(spark, sf_dir).select("page", F.explode(F.regexp_extract_all("html", F.lit("(https?://[A-Za-z0-9._/-]+)"), F.lit(1))).alias("u"))
     return found.groupBy("page", F.lower("u").alias("link")).agg(F.count("*").alias("n"))
 
 
-_HOSTS = Fixture([{"host": h, "flag": f} for h, f in (("oak.de", "Yes"), ("oak.co.uk", "no"), ("oak.us", " TRUE "), ("oak.com", "1"), ("x.y.com.au", "accepted"), ("", "t"))])
+_HOSTS = listed([{"host": h, "flag": f} for h, f in (("oak.de", "Yes"), ("oak.co.uk", "no"), ("oak.us", " TRUE "), ("oak.com", "1"), ("x.y.com.au", "accepted"), ("", "t"))])
 
 
 @query("foreign_host_rows", "SELECT host, length(string_split(host, '.')[-1]) = 2 AND string_split(host, '.')[-1] <> 'us' AS foreign_host, lower(trim(flag)) IN ('1', 'true', 't', 'yes', 'y') AS wide, lower(trim(flag)) IN ('1', 'true', 'yes', 'y') AS release, lower(trim(flag)) = 'true' AS strict FROM " + _HOSTS.sql)
 def host_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _HOSTS.frame(spark).select("host", X.foreign_country_domain("host").alias("foreign_host"), X.truthy("flag").alias("wide"), X.truthy("flag", "release").alias("release"), X.truthy("flag", "strict").alias("strict"))
+    return _HOSTS.frame(spark, sf_dir).select("host", X.foreign_country_domain("host").alias("foreign_host"), X.truthy("flag").alias("wide"), X.truthy("flag", "release").alias("release"), X.truthy("flag", "strict").alias("strict"))

@@ -1,4 +1,4 @@
-"""The pipeline's decision stages over literal facts: every rule of a ladder, and every precedence of two, is met."""
+"""The pipeline's decision stages over facts that orders choose; tests hold each over literal rows that meet every rule and every precedence of two."""
 
 from __future__ import annotations
 
@@ -13,16 +13,23 @@ from tallyforge.sources.tables import tables
 _NO, _YES = [False, True], [True, False]
 
 
-def _stage(name: str, rows: Fixture, layers: tuple, results: tuple[str, ...]) -> None:
+#: Name to facts, layers and results, for tests.
+STAGES: dict[str, tuple[Fixture, tuple, tuple[str, ...]]] = {}
+
+
+def through(df: DataFrame, layers: tuple) -> DataFrame:
+    for layer in layers:
+        df = layer.apply(df) if isinstance(layer, (L.Ladder, L.Ledger)) else L.derive(df, layer)
+    return df
+
+
+def _stage(name: str, facts: Fixture, layers: tuple, results: tuple[str, ...]) -> None:
     """Registers a stage: its facts, then the layers' columns, of which the results are returned."""
-    columns = ", ".join(("row_id", *results))
+    STAGES[name] = facts, layers, results
 
-    @query(name, f"SELECT {columns} FROM {twin(rows.sql, *layers)} r")
+    @query(name, f"SELECT {', '.join(('row_id', *results))} FROM {twin(facts.sql, *layers)} r")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = rows.frame(spark)
-        for layer in layers:
-            df = layer.apply(df) if isinstance(layer, (L.Ladder, L.Ledger)) else L.derive(df, layer)
-        return df.select("row_id", *results)
+        return through(facts.frame(spark, sf_dir), layers).select("row_id", *results)
 
 
 _stage(
@@ -73,7 +80,7 @@ _stage(
 )
 _stage(
     "post_retrieval_gate",
-    pairwise({"customer": _NO, "has_parent": _NO, "denied_domain": _NO, "underwriter_domain": _NO, "rollup_domain": _NO, "abstract_domain": _NO, "named_control": _NO, "preflight_duplicate": _NO, "law_firm": _NO, "route": ["", "legal_affiliated_title_entity", "legal_market_review"], "green_control": _NO, "original": ["score_now", "non_icp_confirmed", "hygiene_review", "other"], "retrieval": ["ok", "map_failed"], "anchor": _NO, "expected_control": ["", "parent_child_rollup_review", "website_mismatch_review"], "thin_evidence": _NO}),
+    pairwise({"customer": _NO, "has_parent": _NO, "denied_domain": _NO, "underwriter_domain": _NO, "rollup_domain": _NO, "abstract_domain": _NO, "named_control": _NO, "preflight_duplicate": _NO, "law_firm": _NO, "route": ["", "legal_affiliated_title_entity", "legal_market_review"], "green_control": _NO, "original": ["score_now", "non_icp_confirmed", "hygiene_review", "other"], "retrieval": ["ok", "map_failed"], "anchor": _NO, "expected_control": ["", "parent_child_rollup_review", "website_mismatch_review"], "thin_evidence": _NO, "score_confidence": ["Medium", "High", "", "Low"]}),
     (L.POST_RETRIEVAL,), ("disposition", "action", "gate_confidence"),
 )
 _stage(
@@ -86,7 +93,7 @@ _stage(
     pairwise({"id": ["a1"], "host": ["oak.com", "oak.co.uk", "oak.us", "oak.de"], "tier": ["tier_0_retained_v1", "tier_1_trusted_anchor"], "us_based": _YES, "location_cited": _NO, "shared_high": _NO, "survivor": ["", "a1", "b2"], "value": [400, 90], "cohort_value": [120]}),
     (L.ENTITY_CONTROL,), ("foreign_conflict", "control", "controlled_value"),
 )
-_stage("url_health", pairwise({"error_code": [0, 403, 503, 404], "error": ["", "getaddrinfo failed", "read timed out", "bad certificate", "refused"], "suspended": _NO, "parked": _NO, "placeholder": _NO, "title": ["Oak Title", " Coming Soon "], "http_status": [200, 401, 302, 500]}), (L.URL_HEALTH,), ("url_state",))
+_stage("url_health", pairwise({"error_code": [0, 403, 503, 404], "error": ["", "getaddrinfo failed", "read timed out", "bad certificate", "refused"], "from_url": _NO, "suspended": _NO, "parked": _NO, "placeholder": _NO, "title": ["Oak Title", " Coming Soon "], "http_status": [200, 401, 302, 500]}), (L.URL_HEALTH,), ("url_state",))
 _stage(
     "overlay_actions",
     pairwise({"icp": ["ICP - Title/Settlement Agency", "ICP - Attorney Settlement Agent", "Non-ICP", ""], "registry": ["matched_active_agency", "none"], "vsb_required": ["No", "Yes"], "vsb": ["", "Pending", "Yes"], "label": ["Yes", "No", "Pending", ""], "candidate": ["", "https://oak.com"], "original_in_review": _NO}),
@@ -154,6 +161,10 @@ _stage("registry_city_check", pairwise({"registry": ["matched_active_agency", "n
 _stage("website_candidate_grade", pairwise({"tokens": [2, 0, 1, 3], "ignored_host": _NO, "host_hits": [2, 0, 1], "strong_hits": [2, 0, 1], "hits": [2, 0, 1, 3]}), (L.CANDIDATE,), ("grade", "why"))
 _stage("search_result_score", pairwise({"name_score": [0.9, 0.25, 0.1], "host_score": [0.8, 0.3, 0.0], "same_host": _NO, "entity_level": ["strong", "medium", "weak"], "directory": _NO, "non_icp": _NO, "has_icp": _NO, "state_named": _YES, "exact_name": _NO, "has_location": _NO}), (L.RESULT_SCORE,), ("level", "result_score", "result_confidence"))
 _stage("resolver_outcome", pairwise({"law": _NO, "trusted": _NO, "candidate": ["High", "Medium", "Low", ""], "non_icp": _NO, "icp": _NO, "site_icp": _NO, "directory": _NO, "location": _NO}), (L.RESOLVED,), ("outcome", "outcome_confidence"))
-_stage("customer_history_flags", pairwise({"direct": [0, 5, None], "rollup_usage": [0, 5, None], "billable": [0, 1], "closed": [0, 1], "won": [0, 1], "mcv": [0.0, 2.5, None], "arr": [0.0, 2.5], "churns": [0, 1, None], "churn_date": ["", "2024-01-01", None], "churn_exception": ["", "TRUE", "no"], "subscription": ["active", "Expired", None]}), (L.HISTORY,), tuple(n for n, _ in L.HISTORY))
-_stage("sales_model_variance", pairwise({"final_value": [0, 100], "won_value": [0, 300], "open_value": [0, 80], "rep_value": [0, 40], "import_value": [0, 20], "model_value": [100, 0, 20]}), (L.VARIANCE,), ("sales_value", "value_source", "ratio_class", "review_priority"))
+_stage("customer_history_flags", pairwise({"warehouse_id": ["w1", "", None], "direct": [0, 5, None], "rollup_usage": [0, 5, None], "billable": [0, 1], "closed": [0, 1], "won": [0, 1], "mcv": [0.0, 2.5, None], "arr": [0.0, 2.5], "churns": [0, 1, None], "churn_date": ["", "2024-01-01", None], "churn_exception": ["", "TRUE", "no"], "unbilled_exception": ["", "yes", None], "subscription": ["active", "Expired", None]}), (L.HISTORY,), tuple(n for n, _ in L.HISTORY))
+_stage(
+    "sales_model_variance",
+    pairwise({"model": [100.0, 0.0, 20.0, 400.0, 52.0, 1000.0], "opportunity": [0.0, 300.0, 50.0, 104.0], "account_opportunity": [0.0, 80.0], "rep": [0.0, 40.0], "lead": [0.0, 90.0, 1000.0], "final_value": [200.0, 0.0, 33.0], "final_source": ["Sales rep", "Marketing"], "offices": [0, 3], "employees": [0, 20], "closing_evidence": [False, True], "sales_age_months": [1.0, 24.0, 24.5, None], "model_confidence": ["High", "Low", "Medium"]}),
+    (L.VARIANCE,), ("sales_value", "value_source", "variance_class", "review_priority"),
+)
 _stage("first_pass_labels", pairwise({"has_candidate": _YES, "strong": _NO, "registry": ["none", "matched_active_agency"], "vsb_required": _NO, "outcome": ["unresolved", "high_confidence_recovery", "reviewer_assist"]}), (L.FIRST_PASS,), tuple(n for n, _ in L.FIRST_PASS))

@@ -166,11 +166,13 @@ def estimator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.predict(c.where("NOT train")).select("c_custkey", "prediction", "formula_version")
 
 
-@query("ratio_pairs_with_zero", "SELECT count(*) pairs, count(*) FILTER (WHERE a.v = 0) zeros FROM (VALUES (0.0::DOUBLE), (1.0), (2.0), (3.5), (8.0), (0.0)) a(v) JOIN (VALUES (0.0::DOUBLE), (1.0), (2.0), (3.5), (8.0), (0.0)) b(w) ON (v = 0 AND w = 0) OR (v > 0 AND w >= 0.5 * v AND w <= 2 * v)")
+@query("ratio_pairs_with_zero", """
+WITH v AS (SELECT DISTINCT c_nationkey k, floor(c_acctbal / 1000) v FROM customer WHERE c_acctbal >= 0)
+SELECT a.k nation, count(*) pairs, count(*) FILTER (WHERE a.v = 0) zeros FROM v a JOIN v b ON a.k = b.k AND ((a.v = 0 AND b.v = 0) OR (a.v > 0 AND b.v >= 0.5 * a.v AND b.v <= 2 * a.v)) GROUP BY 1""")
 def ratio_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = [(x,) for x in (0.0, 1.0, 2.0, 3.5, 8.0, 0.0)]
-    a, b = (spark.createDataFrame(values, f"{c} double").withColumn("k", F.lit(1)) for c in "vw")
-    return J.in_ratio(a, b, ["k"], "v", "w", 0.5, 2.0).agg(F.count("*").alias("pairs"), F.count_if(F.col("v") == 0).alias("zeros"))
+    """Bands of balance of each nation, a handful, that lie near each other; zero goes with zero."""
+    v = tables(spark, sf_dir).customer.where("c_acctbal >= 0").select(F.col("c_nationkey").alias("nation"), F.floor(F.col("c_acctbal") / 1000).cast("double").alias("v")).distinct()
+    return J.in_ratio(v, v.withColumnRenamed("v", "w"), ["nation"], "v", "w", 0.5, 2.0).groupBy("nation").agg(F.count("*").alias("pairs"), F.count_if(F.col("v") == 0).alias("zeros"))
 
 
 @query("candidate_scoring")

@@ -11,7 +11,7 @@ from tallyforge.operators import ladders as L
 from tallyforge.operators import outcomes as O
 from tallyforge.operators import publish
 from tallyforge.plans.catalog import query
-from tallyforge.plans.fixtures import Fixture, twin
+from tallyforge.plans.fixtures import listed, twin
 from tallyforge.sources.tables import tables
 
 #: The snapshot's facts from customers: every stage's columns.
@@ -73,28 +73,28 @@ def backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.regression_report(model.predict(rows.where("NOT train")), [], a, p, p * 0.5, p * 2)
 
 
-_CONTROLS = Fixture([
+_CONTROLS = listed([
     {"control": c, "closing": n, "weak": w, "general": g, "affiliated": a, "is_law": law, "operator": o, "adjacent": k, "expected": e}
     for c, n, w, g, a, law, o, k, e in (
         ("focused firm", 2, 0, 0, False, True, 0, "", "real_estate_closing_focused"), ("broad firm", 1, 0, 3, False, True, 0, "", "general_practice_meaningful_re_closing_arm"), ("weak firm", 0, 1, 0, False, True, 0, "", "unclear_broad_practice"),
         ("affiliated firm", 0, 1, 0, True, True, 0, "", "affiliated_title_entity"), ("other firm", 0, 0, 2, False, True, 0, "", "non_closing_legal"), ("operator", 0, 0, 0, False, False, 2, "", "title_escrow_settlement_operator"), ("bank", 0, 0, 0, False, False, 0, "bank", "adjacent_bank"), ("unknown", 0, 0, 0, False, False, 0, "", "ambiguous"),
     )
-])
+], together=True)
 _REST = tuple((n, "false") for n in ("attorney_state", "owned_direct", "underwriter", "brokerage_affiliation", "adjacent_site", "abstract", "title_wording"))
 
 
 @query("external_controls", f"SELECT control, expected, subtype actual, expected = subtype AS passed FROM {twin(_CONTROLS.sql, _REST, L.LANE)} r")
 def controls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = L.LANE.apply(L.derive(_CONTROLS.frame(spark), _REST))
+    found = L.LANE.apply(L.derive(_CONTROLS.frame(spark, sf_dir), _REST))
     return found.select("control", "expected", F.col("subtype").alias("actual"), (F.col("expected") == F.col("subtype")).alias("passed"))
 
 
-_OFFICES = Fixture([
+_OFFICES = listed([
     {"page": p, "text": t}
     for p, t in (
         ("a", "Main office\n 12 Oak St \nReno,  Nevada 89501-1234\n\nPhone: (775) 555-0100\nElko NV 89801"), ("b", "no place here"), ("c", "See https://oak.com/locations/reno-north/ and https://oak.com/offices/contact/ and https://oak.com/locations/reno-north"), ("d", "NY 10001"), ("e", "* Suite 4 #\n- Phone 775-555-0100 Boise ID 83701\nhttp://x.y Boise Idaho 83702"),
     )
-])
+], together=True, key="page")
 
 
 @query("office_evidence", rf"""
@@ -102,7 +102,7 @@ WITH l AS (SELECT page, text, list_transform(string_split(text, chr(10)), lambda
  c AS (SELECT page, text, list_transform(list_filter(range(1, CAST(len(a) + 1 AS BIGINT)), lambda i: regexp_matches(a[i], '{P.ZIP_LINE}')), lambda i: trim(regexp_replace(regexp_replace(regexp_replace(array_to_string(list_filter(a[greatest(1, i - 2):i], lambda x: x <> ''), ' '), 'https?://\S+', '', 'g'), '(?i)\bPhone:?\s*[\d().\-\s]+', '', 'g'), '\s+', ' ', 'g'))) p FROM l),
  s AS (SELECT page, p, list_filter(list_transform(regexp_extract_all(text, '{P.LOCATION_URL}', 1), lambda x: regexp_replace(lower(x), '^-+|-+$', '', 'g')), lambda x: x <> '' AND x NOT IN ({", ".join(f"'{x}'" for x in P.PLAIN_SLUGS)})) g FROM c),
  f AS (SELECT page, list_sort(list_distinct(list_concat(list_transform(list_filter(p, lambda x: length(x) >= 12), lambda x: left(x, 140)), list_transform(g, lambda x: 'location page: ' || array_to_string(list_transform(string_split(x, '-'), lambda w: upper(left(w, 1)) || substr(w, 2)), ' '))))) o FROM s)
-SELECT page, len(o) offices, array_to_string(o, ' | ') evidence FROM f""")
+SELECT page, len(o) offices, array_to_string(o[:12], ' | ') evidence FROM f""")
 def office_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = P.offices(F.col("text"))
-    return _OFFICES.frame(spark).select("page", F.size(found).cast("long").alias("offices"), F.array_join(found, " | ").alias("evidence"))
+    return _OFFICES.frame(spark, sf_dir).select("page", F.size(found).cast("long").alias("offices"), F.array_join(F.slice(found, 1, 12), " | ").alias("evidence"))

@@ -72,3 +72,30 @@ def test_sources_and_ledgers(spark, tmp_path):
     kept, missing = J.with_ledger(base, {"x": x, "y": y}, "k")
     assert [tuple(r) for r in kept.collect()] == [(1, 5, 7)] and {(r.k, r.missing) for r in missing.collect()} == {(2, "y"), (3, "x; y")}
     assert one(spark, X.phones(F.lit("call (775) 555-0100 or 775.555.0100, 8005550199 not 12345678901"))) == (["7755550100", "8005550199"],)
+
+
+def test_json_find(spark):
+    import json as J
+
+    from tallyforge.functions import entity
+
+    cells = ['{"a": {"name": "x \\"name\\": 1", "name2": 3}, "name": [1, {"name": 2.5}], "b": "\\"name\\": 7"}', '{"name": null, "c": [{"name": true}, {"name": "é\\u0041"}]}', "name: 3", '["name", "name"]', '{"name": 1', "", None]
+
+    def walk(x):
+        if isinstance(x, dict):
+            for k, v in x.items():
+                if k == "name" and not isinstance(v, (dict, list)) and v is not None:
+                    yield v if isinstance(v, str) else J.dumps(v)
+                yield from walk(v)
+        elif isinstance(x, list):
+            for v in x:
+                yield from walk(v)
+
+    def want(c):
+        try:
+            return list(walk(J.loads(c or "")))
+        except ValueError:
+            return []
+
+    df = spark.createDataFrame([(k, c) for k, c in enumerate(cells)], "k int, c string")
+    assert [r.f for r in df.select("k", entity.json_find("c", "name").alias("f")).orderBy("k").collect()] == [want(c) for c in cells]
