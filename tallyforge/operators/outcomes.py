@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.operators.aggregates import with_range
+from tallyforge.operators.aggregates import exact_quantiles, with_range
 from tallyforge.operators.rules import Rules, first_match
 
 
@@ -46,7 +46,7 @@ def rate(good: Column, known: Column, total: Column) -> list[Column]:
 
 def anchored_or_median(df: DataFrame, prior: Column, lane: str, value: str) -> DataFrame:
     """df with baseline: a usable prior, else the lane's median of value."""
-    medians = df.groupBy(lane).agg(F.median(value).alias("_m"))
+    medians = exact_quantiles(df, [lane], F.col(value), [0.5]).select(lane, F.get("quantiles", F.lit(0)).alias("_m"))
     return df.join(medians, lane, "left").withColumn("baseline", F.coalesce(prior, F.col("_m"))).drop("_m")
 
 
@@ -135,32 +135,3 @@ def unfinished(df: DataFrame, done: DataFrame, key: str, same: str) -> DataFrame
 def in_order(df: DataFrame, order: DataFrame, key: str, place: str, unknown: int = 999_999) -> DataFrame:
     """df with the place of each key in another table's order; keys that aren't there come last."""
     return df.join(order.select(key, place), key, "left").withColumn(place, F.coalesce(place, F.lit(unknown)))
-
-
-class SparseMedian:
-    """An estimator over cohorts: fit(rows), then predict(rows); diagnostics after fitting.
-
-    A formula (a column function with a version) may be blended in where it is approved.
-    """
-
-    def __init__(self, cohort: str, label: str, least: int = 8, formula=None, version: str = "", weight: float = 0.25):
-        self.cohort, self.label, self.least = cohort, label, least
-        self.formula, self.version, self.weight = formula, version, weight
-        self.model: DataFrame | None = None
-        self.overall: float | None = None
-        self.diagnostics: dict[str, object] = {}
-
-    def fit(self, rows: DataFrame) -> SparseMedian:
-        known = rows.where(F.col(self.label).isNotNull())
-        self.model = known.groupBy(self.cohort).agg(F.median(self.label).alias("_median"), F.count("*").alias("_n")).where(F.col("_n") >= self.least)
-        whole = known.agg(F.median(self.label).alias("m"), F.count("*").alias("n")).first()
-        self.overall, self.diagnostics = whole.m, {"rows": whole.n, "formula_version": self.version if self.formula else "none"}
-        return self
-
-    def predict(self, rows: DataFrame) -> DataFrame:
-        if self.model is None:
-            raise ValueError("fit first")
-        out = rows.join(self.model, self.cohort, "left").withColumn("prediction", F.coalesce("_median", F.lit(self.overall))).drop("_median", "_n")
-        if self.formula is None:
-            return out.withColumn("formula_version", F.lit("none"))
-        return out.withColumn("prediction", (1 - self.weight) * F.col("prediction") + self.weight * self.formula(out)).withColumn("formula_version", F.lit(self.version))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyforge.operators import joins as J
 from tallyforge.operators import outcomes as O
+from tallyforge.operators.estimators import QuantileBoost, SparseMedian
 from tallyforge.plans.catalog import query
 from tallyforge.sources.tables import tables
 
@@ -162,8 +163,19 @@ WITH k AS (SELECT c_mktsegment s, c_nationkey % 2 = 0 AS train, CAST(c_acctbal A
 SELECT c_custkey, 0.75 * coalesce(m.md, (SELECT md FROM w)) + 0.25 * 1000.0::DOUBLE prediction, 'flat-1' formula_version FROM k LEFT JOIN m USING (s) WHERE NOT train""")
 def estimator(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_mktsegment", (F.col("c_nationkey") % 2 == 0).alias("train"), F.col("c_acctbal").cast("double").alias("y"))
-    model = O.SparseMedian("c_mktsegment", "y", 8, formula=lambda df: F.lit(1000.0), version="flat-1").fit(c.where("train"))
-    return model.predict(c.where("NOT train")).select("c_custkey", "prediction", "formula_version")
+    model = SparseMedian(cohortCol="c_mktsegment", labelCol="y", formula="1000.0D", formulaVersion="flat-1").fit(c.where("train"))
+    return model.transform(c.where("NOT train")).select("c_custkey", "prediction", "formula_version")
+
+
+@query("quantile_boost")
+def quantile_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order's price as its size and its customer's last order tell it, by priority; trees aren't SQL's, tests look at coverage and loss."""
+    t = tables(spark, sf_dir)
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("lines"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("listed"))
+    before = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    o = t.orders.select("*", F.lag("o_totalprice").over(before).alias("prior"), F.lag("o_orderdate").over(before).alias("prior_at")).join(lines, "o_orderkey", "left")
+    model = QuantileBoost(laneCol="o_orderpriority", labelCol="o_totalprice", featureCols=["lines", "quantity", "listed"], categoryCols=["o_orderstatus"], priorCol="prior", priorAtCol="prior_at", asOfCol="o_orderdate", trees=12, rate=0.3).fit(o.where("o_orderdate < timestamp'1999-01-01'"))
+    return model.transform(o).select("o_orderkey", "o_totalprice", "estimate.*")
 
 
 @query("ratio_pairs_with_zero", """

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tallyforge.functions import pages as P
 from tallyforge.operators import aggregates as A
 from tallyforge.operators import ladders as L
-from tallyforge.operators import outcomes as O
 from tallyforge.operators import publish
+from tallyforge.operators.estimators import SparseMedian
 from tallyforge.plans.catalog import query
 from tallyforge.plans.fixtures import listed, twin
 from tallyforge.sources.tables import tables
@@ -68,9 +68,9 @@ SELECT count(*) n, CAST(sum(abs(d)) AS DOUBLE) / count(*) mae, median(CAST(abs(d
 def backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted before a date, judged after it."""
     rows = tables(spark, sf_dir).orders.select(F.col("o_orderpriority").alias("seg"), F.col("o_totalprice").cast("double").alias("y"), (F.col("o_orderdate") < F.expr("timestamp'1996-06-01'")).alias("train"))
-    model = O.SparseMedian("seg", "y", 8).fit(rows.where("train"))
+    model = SparseMedian(cohortCol="seg", labelCol="y").fit(rows.where("train"))
     p, a = F.col("prediction"), F.col("y")
-    return A.regression_report(model.predict(rows.where("NOT train")), [], a, p, p * 0.5, p * 2)
+    return A.regression_report(model.transform(rows.where("NOT train")), [], a, p, p * 0.5, p * 2)
 
 
 _CONTROLS = listed([

@@ -80,28 +80,3 @@ def test_publish_lots(spark):
     sent = publish.staged(want, live, "id", ["v"], "stamp").where("lot IN ('canary', 'remaining')")
     got = {r.id: r.error for r in publish.ledger(sent, sent.where("id > 10").withColumn("v", F.expr("CASE WHEN id = 20 THEN 'z' ELSE v END")), "id", ["v"]).collect()}
     assert got[5] == "missing" and got[20] == "mismatch:v" and got[30] == ""
-
-
-def test_quantile_boosting(spark):
-    import numpy as np
-
-    from tallyforge.operators import boosting
-
-    rng = np.random.default_rng(3)
-    rows = []
-    for k in range(900):
-        a, b = rng.integers(0, 10), rng.random()
-        rows.append((k, "legal" if k % 2 else "title", float(a), float(b), float(np.exp(0.3 * a + rng.normal() * 0.2) + 5 * (b > 0.5))))
-    rows += [(2000 + k, "few", 1.0, 1.0, float(k)) for k in range(10)]
-    df = spark.createDataFrame(rows, "id long, lane string, a double, b double, y double")
-    model = boosting.QuantileBoost("lane", "y", ["a", "b"], "id").fit(df.where("id % 3 <> 0"))
-    got = model.predict(df.where("id % 3 = 0 OR lane = 'few'").union(spark.createDataFrame([(9999, None, 1.0, None, 1.0)], df.schema))).select("lane", "y", "estimate.*").collect()
-    assert {(r.lane, r.kind) for r in got} == {("legal", "boosted"), ("title", "boosted"), ("few", "empirical"), (None, "none")}
-    pinball = lambda y, p, q: float(np.mean(np.maximum(q * (y - p), (q - 1) * (y - p))))
-    for lane in ("legal", "title"):
-        own = [r for r in got if r.lane == lane]
-        y = np.array([r.y for r in own])
-        assert all(r.p10 <= r.p50 <= r.p90 for r in own) and 0.65 < np.mean([r.p10 <= r.y <= r.p90 for r in own]) < 0.95
-        for k, q in enumerate(boosting.QUANTILES):
-            flat = np.full(len(y), model.models[lane]["empirical"][k])
-            assert pinball(y, np.array([(r.p10, r.p50, r.p90)[k] for r in own]), q) < 0.75 * pinball(y, flat, q)
