@@ -4,8 +4,9 @@ Per language a suffix automaton of labelled text is built.  A text is parsed gre
 with anything in the automaton, or one unseen symbol.  The more a text is like a language, the longer its phrases, so the
 language that needs the fewest phrases for each letter wins (ties: the first in order of names).
 
-Symbols are a language's own letters in lower case (its `LETTERS` most frequent ones; others share a symbol, so a letter
-that the language doesn't know is an unseen one), and one symbol for any run of anything else.  Whole texts are parsed,
+Symbols are a language's letters in lower case: its `LETTERS` most frequent ones each have their own, the others of its
+labelled text (in scripts of thousands) share `CLASSES` by their code point, and a letter that it doesn't know gets a
+symbol that no automaton holds, so it is a phrase by itself.  One symbol stands for any run of anything else.  Whole texts are parsed,
 whatever their length: all texts and languages of a batch step side by side, and the few longest ones end one by one.
 
 The labelled text is a bounded sample: per language, whole labelled documents of `SHORT` to `LONG` characters in the
@@ -33,8 +34,10 @@ from tallyforge.llm.common import portions, sliced, table
 SAMPLE, SAMPLE_DOCS, SHORT, LONG = 60_000, 400, 60, 8_000
 #: Documents of these sizes without which a language's others are taken too, up to SAMPLE characters of each.
 FEW = 20
-#: Letters of a language with a symbol of their own; lanes from which stepping side by side is quicker than one by one.
-LETTERS, ABREAST = 62, 48
+#: Letters of a language with a symbol of their own, and symbols that its rarer ones share.
+LETTERS, CLASSES = 62, 64
+#: Symbols of what stands between words, and of a letter that the language doesn't know; lanes from which stepping side by side is quicker than one by one.
+BETWEEN, UNSEEN, ABREAST = 0, 1, 48
 #: Characters of texts that are parsed side by side: bounds a task's memory.
 PORTION = 2_000_000
 UNKNOWN = "und"
@@ -127,21 +130,21 @@ class Languages:
 
     def __init__(self, samples: dict[str, list[str]]):
         self.names = sorted(samples)
-        #: Per language its letters' symbols (0: between words; 1: any other letter).
+        #: Per language its letters' symbols.
         self.number: list[dict[str, int]] = []
         tables, self.starts, size = [], [], 0
         for name in self.names:
             counts: Counter = Counter()
             for t in samples[name]:
                 counts.update("".join(_LETTER_RUNS.findall(t.lower())))
-            letters = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]]
-            self.number.append({c: k + 2 for k, c in enumerate(letters)})
+            letters = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))]
+            self.number.append({c: k + 2 if k < LETTERS else LETTERS + 2 + ord(c) % CLASSES for k, c in enumerate(letters)})
             symbols: list[int] = []
             for t in samples[name]:
-                symbols += self.symbols(self.letters(t), self.number[-1]).tolist() + [0]
+                symbols += self.symbols(self.letters(t), self.number[-1]).tolist() + [BETWEEN]
                 if len(symbols) >= SAMPLE:
                     break
-            own = SuffixAutomaton(symbols, len(letters) + 2).next.astype(np.int64)
+            own = SuffixAutomaton(symbols, len(letters) + 2 if len(letters) <= LETTERS else LETTERS + CLASSES + 2).next.astype(np.int64)
             self.starts.append(size)
             tables.append(np.where(own >= 0, own * own.shape[1] + size, -1).astype(np.int32 if size + own.size < 1 << 31 else np.int64).ravel())
             size += own.size
@@ -154,16 +157,16 @@ class Languages:
 
     @staticmethod
     def symbols(code: np.ndarray, number: dict[str, int]) -> np.ndarray:
-        low = np.ones(0x250, np.uint8)
+        low = np.full(0x250, UNSEEN, np.uint8)
         for c, k in number.items():
             if ord(c) < 0x250:
                 low[ord(c)] = k
-        low[32] = 0
+        low[32] = BETWEEN
         out = low[np.minimum(code, 0x24F)]
         high = np.flatnonzero(code >= 0x24F)
         if len(high):
             some, where = np.unique(code[high], return_inverse=True)
-            out[high] = np.array([number.get(chr(c), 1) for c in some.tolist()], np.uint8)[where]
+            out[high] = np.array([number.get(chr(c), UNSEEN) for c in some.tolist()], np.uint8)[where]
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
@@ -250,4 +253,5 @@ def accepted(docs: DataFrame) -> DataFrame:
     if not model.names:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     own = tuple(f"_tallyforge_{c}" for c in RESULTS)
-    return predicted(docs, model, results=own).where(F.col(own[0]) != UNKNOWN).select(*docs.columns)
+    # by the letter test, not by the name: a learned language may be called like the unknown one
+    return predicted(docs, model, results=own).where(F.col(own[2]) > 0).select(*docs.columns)

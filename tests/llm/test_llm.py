@@ -447,3 +447,33 @@ def test_jaccard_distinct(spark):
         assert len(left) == 1 and (left[0][0] if left[0][0] is not None else 10**9) == min(m[0] if m[0] is not None else 10**9 for m in members)
     assert sum(n for k, n in kept.items() if not (k[1] or "").split()) == sum(not s for s in sets)
     assert jaccard.distinct(df.limit(0)).count() == 0
+
+
+def script_texts(rng, letters, width, n, length):
+    """Texts over words that the script's letters make, some of them often."""
+    words = ["".join(rng.choices(letters, k=rng.randrange(*width))) for _ in range(400)]
+    return [" ".join(rng.choices(words, weights=[1 / (k + 3) for k in range(400)], k=length)) for _ in range(n)]
+
+
+def test_languages_of_large_alphabets():
+    """Scripts of thousands of letters, shared ones too: each text is found, and what no language knows is none's own."""
+    rng = random.Random(12)
+    hanzi, kana = [chr(0x4E00 + k) for k in range(0, 6000, 2)], [chr(0x3041 + k) for k in range(80)]
+    scripts = {"en": (list("abcdefghijklmnopqrstuvwxyz"), (2, 9)), "ru": ([chr(0x430 + k) for k in range(32)], (2, 9)), "zh": (hanzi, (4, 12)), "ja": (kana * 12 + hanzi[::3], (3, 9))}
+    texts = {n: script_texts(rng, *s, 60, 60) for n, s in scripts.items()}
+    model = language.Languages({n: t[:40] for n, t in texts.items()})
+    for n, t in texts.items():
+        assert sum(p == n for p in model.predict(t[40:])[0]) >= 19, n
+    two = language.Languages({n: texts[n][:40] for n in ("en", "zh")})
+    names, score, cost = two.predict(texts["ru"])
+    assert "zh" not in names and max(score) <= 0.5 and min(cost) > 0.8
+    german = script_texts(rng, list("abcdefghijklmnopqrstuvwxyzäöüß"), (2, 9), 20, 40)
+    assert "zh" not in two.predict(german)[0]
+    both = language.Languages({n: texts[n][:40] for n in ("ja", "zh")})
+    assert all(sum(p == n for p in both.predict(texts[n][40:])[0]) >= 19 for n in ("ja", "zh"))
+
+
+def test_accepted_keeps_a_language_called_und(spark):
+    rows = [(k, "a text of words that is long enough to be learned from, number and all", "und") for k in range(40)] + [(90, "12 34", "und"), (91, None, "und")]
+    kept = language.accepted(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
