@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import raw, table
+from tallyforge.llm.common import raw, stretches, table
 
 # ---- rules -----------------------------------------------------------------------------------------------------------
 
@@ -189,6 +189,19 @@ def opening(node):
     return ("seq", out)
 
 
+def fixed(node) -> int | None:
+    """The bytes of every match, if all are of one length."""
+    kind, arg = node
+    if kind == "set":
+        return 1
+    if kind not in ("seq", "or"):
+        return None
+    sizes = [fixed(x) for x in arg]
+    if None in sizes or (kind == "or" and len(set(sizes)) > 1):
+        return None
+    return sum(sizes) if kind == "seq" else sizes[0]
+
+
 def reversed_(node):
     kind, arg = node
     if kind == "set":
@@ -301,25 +314,27 @@ class Walk:
 
 
 @lru_cache(maxsize=64)
-def walks(rule: Rule) -> tuple[Walk, Walk, Walk | None]:
-    """The rule, its opening reversed, and its head."""
+def walks(rule: Rule) -> tuple[Walk, Walk | int, Walk | None]:
+    """The rule, its opening reversed (or its length, if all openings have one), and its head."""
     whole = _Parser(rule.head + rule.body).parse()
-    return Walk(whole), Walk(reversed_(opening(whole))), Walk(_Parser(rule.head).parse()) if rule.head else None
+    return Walk(whole), fixed(opening(whole)) or Walk(reversed_(opening(whole))), Walk(_Parser(rule.head).parse()) if rule.head else None
 
 
-def spans_of(rule: Rule, data: bytes, ends: list[int]) -> list[tuple[int, int]]:
-    """The rule's matches in a text, from the places of the last bytes of its openings."""
+def spans_of(rule: Rule, data: bytes, ends: np.ndarray) -> list[tuple[int, int]]:
+    """The rule's matches in a text, from the places of the last bytes of its openings, in order."""
     on, back, head = walks(rule)
-    out, free = [], 0
-    for start in sorted({back(data, e, -1) + 1 for e in ends}):
-        if start < free:
-            continue
+    # openings of one length begin in the order in which they end: a long run is walked once, and what it covers is skipped
+    starts = ends - back + 1 if isinstance(back, int) else np.unique([back(data, e, -1) + 1 for e in ends.tolist()])
+    out, k = [], 0
+    while k < len(starts):
+        start = int(starts[k])
         end = on(data, start)
         if end < 0:
+            k += 1
             continue
-        free = end
         if not rule.least or end - (head(data, start) if head else start) >= rule.least:
             out.append((start, end))
+        k = max(k + 1, int(np.searchsorted(starts, end)))
     return out
 
 
@@ -390,15 +405,15 @@ def scan(texts: list[bytes], rules: tuple[Rule, ...] = RULES) -> list[list[tuple
         at, masks = accepts(auto, np.frombuffer(b"\xff".join([*part, b""]), np.uint8))
         if len(at):
             ends = np.cumsum([len(x) + 1 for x in part])
-            doc = np.searchsorted(ends, at, side="right")
-            within = at - (ends - [len(x) + 1 for x in part])[doc]
-            found: dict[int, dict[int, list[int]]] = {}
-            for d, e, m in {*zip(doc.tolist(), within.tolist(), masks.tolist(), strict=True)}:
-                for k in range(len(rules)):
-                    if m >> k & 1:
-                        found.setdefault(d, {}).setdefault(k, []).append(e)
-            for d, by_rule in found.items():
-                spans = sorted((a, k, b) for k, e in by_rule.items() for a, b in spans_of(rules[k], part[d], e))
+            found: dict[int, list[tuple[int, int, int]]] = {}
+            for k in range(len(rules)):
+                here = np.unique(at[(masks >> k & 1) > 0])
+                doc = np.searchsorted(ends, here, side="right")
+                for d, (lo, hi) in zip(np.unique(doc).tolist(), stretches(doc), strict=True):
+                    begin = int(ends[d]) - len(part[d]) - 1
+                    found.setdefault(d, []).extend((a, k, b) for a, b in spans_of(rules[k], part[d], here[lo:hi] - begin))
+            for d, unsorted in found.items():
+                spans = sorted(unsorted)
                 if spans and not part[d].isascii():
                     letters = np.concatenate([[0], np.cumsum((np.frombuffer(part[d], np.uint8) & 0xC0) != 0x80)])
                     spans = [(int(letters[a]), k, int(letters[b])) for a, k, b in spans]
