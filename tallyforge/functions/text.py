@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import unicodedata
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,10 +42,22 @@ def split_values(c: str | Column, separators: str = "[|;,]") -> Column:
     return F.array_distinct(F.filter(parts, lambda x: x != ""))
 
 
+@lru_cache(maxsize=1)
+def ascii_forms() -> tuple[str, str, dict[str, str]]:
+    """Letters whose compatible decomposition (NFKD) has one ASCII letter, these letters, and those with several."""
+    forms = {chr(k): unicodedata.normalize("NFKD", chr(k)).encode("ascii", "ignore").decode() for k in range(0x80, 0x20000) if not 0xD800 <= k < 0xE000}
+    one = {c: a for c, a in forms.items() if len(a) == 1}
+    return "".join(one), "".join(one.values()), {c: a for c, a in forms.items() if len(a) > 1}
+
+
 def fold_ascii(c: str | Column) -> Column:
-    """Latin letters without their marks, anything else beyond ASCII dropped."""
-    marked, plain = "àáâãäåèéêëìíîïòóôõöùúûüýÿñçÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜÝÑÇ", "aaaaaaeeeeiiiiooooouuuuyyncAAAAAAEEEEIIIIOOOOOUUUUYNC"
-    return F.regexp_replace(F.translate(clean(c), marked, plain), "[^\\x00-\\x7F]", "")
+    """ASCII letters of a text's compatible decomposition: marks go, ligatures and digits in signs come apart, what has no such letter is dropped."""
+    marked, plain, several = ascii_forms()
+    text = F.translate(clean(c), marked, plain)
+    table = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
+    apart = F.array_join(F.transform(F.split(text, ""), lambda x: F.coalesce(F.element_at(table, x), x)), "")
+    text = F.when(F.rlike(text, F.lit(f"[{''.join(several)}]")), apart).otherwise(text)
+    return F.regexp_replace(text, "[^\\x00-\\x7F]", "")
 
 
 def tokens(c: str | Column) -> Column:

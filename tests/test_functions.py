@@ -99,3 +99,19 @@ def test_json_find(spark):
 
     df = spark.createDataFrame([(k, c) for k, c in enumerate(cells)], "k int, c string")
     assert [r.f for r in df.select("k", entity.json_find("c", "name").alias("f")).orderBy("k").collect()] == [want(c) for c in cells]
+
+
+def test_fold_ascii(spark):
+    """As decomposition says, for every letter that has one, and for texts of many scripts."""
+    import random
+    import unicodedata
+
+    from tallyforge.functions import text
+
+    fold = lambda s: unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode()
+    rng = random.Random(6)
+    every = [chr(k) for k in range(0x80, 0x20000, 7) if not 0xD800 <= k < 0xE000] + list("ßØæﬁ½…㎏Ⅷ№™ａ𝐀Ωя中é́Ǆ⑽🄰")
+    cells = ["x".join(rng.choices(every, k=30)) for _ in range(400)] + ["Ελλάς Москва Zürich", "école ﬃ", "plain [text] ^-]", ""]
+    df = spark.createDataFrame([(k, c) for k, c in enumerate(cells)], "k int, c string")
+    got = [r.f for r in df.select("k", text.fold_ascii("c").alias("f")).orderBy("k").collect()]
+    assert got == [fold(c.strip(" ")) for c in cells]
