@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyforge.functions.text import clean, col, tokens
+from tallyforge.functions.text import bound, clean, col, tokens
 
 #: Words of a name that carry no identity, and words of the industry.
 WEAK_WORDS = ("a", "and", "at", "co", "company", "corp", "corporation", "dba", "for", "inc", "incorporated", "limited", "llc", "llp", "lp", "ltd", "of", "pc", "plc", "pllc", "the")
@@ -52,17 +52,24 @@ def share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
+#: What containment of either name is worth, the most of a blend and its weights, and the least length of a name that counts as contained.
+WITHIN, AROUND, MOST, OF_FEWER, OF_ALL, LONG_NAME = 0.97, 0.94, 0.93, 0.55, 0.45, 8
+
+
 def name_similarity(a: str | Column, b: str | Column) -> Column:
-    """1 for equal names; .97 if the second holds the first, .94 the other way round; else a blend over distinctive words, or the overlap of all words."""
-    x, y = identity_name(a), identity_name(b)
-    p, q = core_words(x), core_words(y)
-    u, v = F.array_distinct(F.split(x, " ")), F.array_distinct(F.split(y, " "))
-    both = F.size(F.array_intersect(p, q))
-    blend = F.least(F.lit(0.93), F.lit(0.55) * share(both, F.least(F.size(p), F.size(q))) + F.lit(0.45) * share(both, F.size(F.array_union(p, q))))
-    within = lambda s, t: (F.length(s) >= 8) & F.contains(F.concat(F.lit(" "), t, F.lit(" ")), F.concat(F.lit(" "), s, F.lit(" ")))
-    out = F.when((x == "") | (y == ""), F.lit(0.0)).when(x == y, F.lit(1.0)).when(within(x, y), F.lit(0.97)).when(within(y, x), F.lit(0.94))
-    out = out.when((F.size(p) > 0) & (F.size(q) > 0), F.when(both == 0, F.lit(0.0)).otherwise(blend))
-    return out.otherwise(share(F.size(F.array_intersect(u, v)), F.size(F.array_union(u, v))))
+    """1 for equal names; WITHIN if the second holds the first, AROUND the other way round; else a blend over distinctive words, or the overlap of all words."""
+    within = lambda s, t: (F.length(s) >= LONG_NAME) & F.contains(F.concat(F.lit(" "), t, F.lit(" ")), F.concat(F.lit(" "), s, F.lit(" ")))
+
+    def worded(n: Column) -> Column:
+        x, y, p, q, u, v = (n[k] for k in "xypquv")
+        both = F.size(F.array_intersect(p, q))
+        blend = F.least(F.lit(MOST), F.lit(OF_FEWER) * share(both, F.least(F.size(p), F.size(q))) + F.lit(OF_ALL) * share(both, F.size(F.array_union(p, q))))
+        out = F.when((x == "") | (y == ""), F.lit(0.0)).when(x == y, F.lit(1.0)).when(within(x, y), F.lit(WITHIN)).when(within(y, x), F.lit(AROUND))
+        out = out.when((F.size(p) > 0) & (F.size(q) > 0), F.when(both == 0, F.lit(0.0)).otherwise(blend))
+        return out.otherwise(share(F.size(F.array_intersect(u, v)), F.size(F.array_union(u, v))))
+
+    words = lambda s: {"x": s["x"], "y": s["y"], "p": core_words(s["x"]), "q": core_words(s["y"]), "u": F.array_distinct(F.split(s["x"], " ")), "v": F.array_distinct(F.split(s["y"], " "))}
+    return bound({"x": identity_name(a), "y": identity_name(b)}, lambda s: bound(words(s), worded))
 
 
 def domain_similarity(names: Column, label: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache, reduce
 
 from pyspark.sql import Column
@@ -18,6 +20,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
+    """body of a struct of values, each computed once however often the body names it."""
+    return F.get(F.transform(F.array(F.struct(*(v.alias(k) for k, v in values.items()))), lambda s: body(s)), F.lit(0))
+
+
 def clean(c: str | Column) -> Column:
     """Trimmed; null becomes blank."""
     return F.trim(F.coalesce(col(c).cast("string"), F.lit("")))
@@ -54,9 +61,9 @@ def fold_ascii(c: str | Column) -> Column:
     """ASCII letters of a text's compatible decomposition: marks go, ligatures and digits in signs come apart, what has no such letter is dropped."""
     marked, plain, several = ascii_forms()
     text = F.translate(clean(c), marked, plain)
-    table = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
+    table = F.from_json(F.lit(json.dumps(several)), "map<string,string>")  # one literal once Spark has folded it
     apart = F.array_join(F.transform(F.split(text, ""), lambda x: F.coalesce(F.element_at(table, x), x)), "")
-    text = F.when(F.rlike(text, F.lit(f"[{''.join(several)}]")), apart).otherwise(text)
+    text = F.when(F.rlike(text, F.lit("[^\\x00-\\x7F]")), apart).otherwise(text)  # after the first step few texts have one
     return F.regexp_replace(text, "[^\\x00-\\x7F]", "")
 
 

@@ -88,13 +88,15 @@ def with_range(df: DataFrame, c: str) -> DataFrame:
     return df.withColumn("_p", F.when(F.isnan(v), 1 << 30).when(v > 0, size).when(v < 0, -size).otherwise(0))  # NaN is the greatest
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: Column, qs: list[float], name: str = "quantiles") -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: list[str], value: Column, qs: list[float], name: str = "quantiles", weight: Column | None = None) -> DataFrame:
     """keys, n and the interpolated quantiles (an array) of each group, whatever its size.
 
     Counts per value are summed by ranges of values; only the ranges that a quantile's place falls in are ranked value by
-    value: no buffer holds a group's values, as an exact percentile's would.  Rows of null keys are a group.
+    value: no buffer holds a group's values, as an exact percentile's would.  Rows of null keys are a group.  A row counts
+    `weight` times (once without it).
     """
-    counts = df.select(F.struct(F.lit(0).alias("_"), *keys).alias("_k"), value.cast("double").alias("_v")).where("_v IS NOT NULL").groupBy("_k", "_v").agg(F.count("*").alias("_c"))
+    rows = df.select(F.struct(F.lit(0).alias("_"), *keys).alias("_k"), value.cast("double").alias("_v"), *([] if weight is None else [weight.alias("_w")])).where("_v IS NOT NULL")
+    counts = rows.groupBy("_k", "_v").agg((F.count("*") if weight is None else F.sum("_w")).alias("_c"))
     ranged = with_range(counts, "_v")
     group = Window.partitionBy("_k")
     totals = ranged.groupBy("_k", "_p").agg(F.sum("_c").alias("_t"))
@@ -165,3 +167,16 @@ def unique_top(votes: DataFrame, group: str, candidate: str, weight: Column, lea
     out = best.join(second, group, "left").withColumn("second", F.coalesce("second", F.lit(0)))
     clear = (F.col("top.w") >= least) & (F.col("top.w") - F.col("second") >= lead) & (F.col("top.w") > F.col("second"))
     return out.select(group, F.when(clear, F.col(f"top.{candidate}")).alias("winner"), F.col("top.w").alias("top_weight"), F.col("second").alias("second_weight"))
+
+
+def ranks(df: DataFrame, keys: list[str], value: str, order: list[Column], name: str = "rank") -> DataFrame:
+    """df with each row's place among its keys' rows by falling value, then order: places within ranges of the value, behind the rows of greater ranges."""
+    ranged = with_range(df, value)
+    totals = ranged.groupBy(*keys, "_p").agg(F.count("*").alias("_t"))
+    before = (F.sum("_t").over(Window.partitionBy(*keys).orderBy(F.desc("_p"))) - F.col("_t")).alias("_before")
+    totals = totals.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_p").alias("_q"), before)
+    same = F.col("_p") == F.col("_q")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    within = F.row_number().over(Window.partitionBy(*keys, "_p").orderBy(F.desc(value), *order))
+    return ranged.withColumn("_within", within).join(totals, same).withColumn(name, (F.col("_before") + F.col("_within")).cast("int")).select(*df.columns, name)

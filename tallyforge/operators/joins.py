@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.operators.aggregates import exact_quantiles
+
 
 def last_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """The row of each key that is first in a total order: one shuffle, and a key's rows aren't gathered."""
@@ -41,12 +43,13 @@ def cohort_fallback(df: DataFrame, stats: DataFrame, levels: list[list[str]], le
     return out.withColumns({"cohort_level": level, "cohort_value": value, "cohort_n": n}).drop(*(f"_{p}{k}" for k in range(len(levels)) for p in "vn"))
 
 
-def cohort_stats(df: DataFrame, levels: list[list[str]], value: Column) -> DataFrame:
-    """Statistics of all cohort levels from one read: grouping sets over the union of keys."""
+def cohort_stats(df: DataFrame, levels: list[list[str]], value: str, q: float) -> DataFrame:
+    """Rows and a quantile of value in all cohorts of all levels: values are counted once, and the counts, not the rows, go to each level."""
     every = sorted({c for keys in levels for c in keys})
+    counts = df.where(F.col(value).isNotNull()).groupBy(*every, value).agg(F.count("*").alias("_n"))
     rows = [F.struct(F.lit(k).alias("level"), *((F.col(c) if c in keys else F.lit(None).cast(dict(df.dtypes)[c])).alias(c) for c in every)) for k, keys in enumerate(levels)]
-    flat = df.select("*", F.explode(F.array(*rows)).alias("_g"))
-    return flat.groupBy("_g").agg(F.count("*").alias("n"), value.alias("value")).select("_g.*", "n", "value")
+    flat = counts.select(value, "_n", F.explode(F.array(*rows)).alias("_g")).select(value, "_n", "_g.*")
+    return exact_quantiles(flat, ["level", *every], F.col(value), [q], weight=F.col("_n")).withColumn("value", F.get("quantiles", F.lit(0))).drop("quantiles")
 
 
 def in_ratio(df: DataFrame, other: DataFrame, key: list[str], x: str, y: str, low: float, high: float) -> DataFrame:
@@ -93,4 +96,6 @@ def with_ledger(df: DataFrame, others: dict[str, DataFrame], key: str) -> tuple[
 
 
 def cluster_size(df: DataFrame, key: str, name: str = "cluster_size") -> DataFrame:
-    return df.withColumn(name, F.count("*").over(Window.partitionBy(key)))
+    """df with the rows of each key's cluster: summed up, then joined, so that no task sorts a cluster."""
+    sizes = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias(name))
+    return df.join(sizes, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")

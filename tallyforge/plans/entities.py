@@ -155,11 +155,24 @@ WITH c AS (SELECT p_partkey k, p_name n, p_brand b, {_core('p_name')} w FROM par
  f AS (SELECT *, len(list_intersect(p, q)) h FROM (SELECT k1, k2, {_ident('a')} x, {_ident('b')} y, {_core('a')} p, {_core('b')} q FROM m))
 SELECT k1, k2, {_SIM} similarity FROM f WHERE {_SIM} >= 0.9""")
 def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of one brand by similar name; candidates share a distinctive word."""
-    c = tables(spark, sf_dir).part.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("n"), F.col("p_brand").alias("brand"), F.explode(E.core_words("p_name")).alias("x"))
-    other = c.select(F.col("k").alias("k2"), F.col("n").alias("n2"), "brand", "x")
-    pairs = c.join(other, ["brand", "x"]).where("k < k2").select(F.col("k").alias("k1"), "k2", "n", "n2").distinct()
-    return pairs.select("k1", "k2", E.name_similarity("n", "n2").alias("similarity")).where("similarity >= 0.9")
+    """Parts of one brand by similar name.
+
+    Names are compared once, however many parts have them.  At 0.9 two names share more than four in five distinctive words of
+    the one that has fewer, so one of its rarest is in the other: only these are asked for.
+    """
+    p = tables(spark, sf_dir).part.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("n"), F.col("p_brand").alias("brand"))
+    names = p.groupBy("brand", "n").agg(F.array_distinct(E.core_words(F.first("n"))).alias("w")).where("size(w) > 0")
+    words = names.select("brand", "n", "w", F.explode("w").alias("x"))
+    often = words.groupBy("brand", "x").agg(F.count("*").alias("c"))
+    needed = F.size("w") - F.ceil(0.9 * F.size("w") - 0.1 * F.size("w")) + 1  # of those with fewer words, 0.8 and more must agree
+    rare = words.join(often, ["brand", "x"]).groupBy("brand", "n", "w").agg(F.sort_array(F.collect_list(F.struct("c", "x"))).alias("s"))
+    asked = rare.select("brand", "n", F.size("w").alias("size"), F.explode(F.slice("s", F.lit(1), needed.cast("int"))).alias("s")).select("brand", "n", "size", F.col("s.x").alias("x"))
+    other = words.select("brand", F.col("n").alias("m"), F.size("w").alias("more"), "x")
+    met = asked.join(other, ["brand", "x"]).where("size <= more").select("brand", "n", "m").distinct()
+    both = met.unionAll(met.select("brand", F.col("m").alias("n"), F.col("n").alias("m"))).distinct()
+    alike = both.withColumn("similarity", E.name_similarity("n", "m")).where("similarity >= 0.9")
+    pairs = alike.join(p.withColumnRenamed("k", "k1"), ["brand", "n"]).join(p.select("brand", F.col("n").alias("m"), F.col("k").alias("k2")), ["brand", "m"])
+    return pairs.where("k1 < k2").select("k1", "k2", "similarity")
 
 
 _LINES = listed([{"page": p, "text": t} for p, t in (("a", "Oak\nCopyright 2024 Oak\nAll rights"), ("b", "copyright"), ("c", "no such line"), ("d", "x\ny copyright z"))], together=True, key="page")

@@ -127,7 +127,9 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = tables(spark, sf_dir).events
     a = e.join(e.agg(F.max("ts").alias("t"))).withColumn("age", N.age_days(F.col("ts"), F.col("t")))
     ok = N.fresh(F.col("age"), 7)
-    return a.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(ok).alias("fresh"), F.count_if(~ok).alias("stale"), F.round(F.percentile("age", F.lit(0.5)), 6).alias("median_age"), F.round(F.percentile("age", F.lit(0.9)), 6).alias("p90_age"))
+    counts = a.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(ok).alias("fresh"), F.count_if(~ok).alias("stale"))
+    middle = A.exact_quantiles(a, ["event_type"], F.col("age"), [0.5, 0.9]).drop("n")
+    return counts.join(middle, "event_type").select("event_type", "n", "fresh", "stale", *(F.round(F.get("quantiles", F.lit(k)), 6).alias(n) for k, n in enumerate(("median_age", "p90_age"))))
 
 
 @query("id_reconciliation", """
@@ -191,9 +193,9 @@ def membership_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("rank_accepted", """
 SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN row_number() OVER (PARTITION BY c_mktsegment, c_acctbal > 0 ORDER BY c_acctbal DESC, c_name, c_custkey) END AS rank FROM customer""")
 def rank_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ok = F.col("c_acctbal") > 0
-    w = Window.partitionBy("c_mktsegment", ok).orderBy(F.desc("c_acctbal"), "c_name", "c_custkey")
-    return tables(spark, sf_dir).customer.select("c_custkey", F.when(ok, F.row_number().over(w)).alias("rank"))
+    c = tables(spark, sf_dir).customer.select("c_custkey", "c_mktsegment", "c_acctbal", "c_name")
+    ranked = A.ranks(c.where("c_acctbal > 0"), ["c_mktsegment"], "c_acctbal", [F.col("c_name"), F.col("c_custkey")]).select("c_custkey", "rank")
+    return ranked.unionByName(c.where("NOT coalesce(c_acctbal > 0, false)").select("c_custkey", F.lit(None).cast("int").alias("rank")))
 
 
 @query("topn_total_order", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")

@@ -57,7 +57,7 @@ UNION ALL SELECT 1, c_mktsegment, NULL, count(*), quantile_cont(c_acctbal, 0.4)
 UNION ALL SELECT 2, NULL, c_nationkey, count(*), quantile_cont(c_acctbal, 0.4) FROM customer GROUP BY c_nationkey
 UNION ALL SELECT 3, NULL, NULL, count(*), quantile_cont(c_acctbal, 0.4) FROM customer""")
 def cohort_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.cohort_stats(tables(spark, sf_dir).customer, LEVELS, F.percentile("c_acctbal", F.lit(0.4)))
+    return J.cohort_stats(tables(spark, sf_dir).customer, LEVELS, "c_acctbal", 0.4)
 
 
 @query("cohort_fallback_assign", """
@@ -68,7 +68,7 @@ SELECT c_custkey, CASE WHEN a.v IS NOT NULL THEN 0 WHEN b.v IS NOT NULL THEN 1 W
 FROM customer x LEFT JOIN a ON a.s = x.c_mktsegment AND a.k = x.c_nationkey LEFT JOIN b ON b.s = x.c_mktsegment LEFT JOIN c ON c.k = x.c_nationkey CROSS JOIN d""")
 def cohort_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = tables(spark, sf_dir).customer
-    stats = J.cohort_stats(c, LEVELS, F.percentile("c_acctbal", F.lit(0.4)))
+    stats = J.cohort_stats(c, LEVELS, "c_acctbal", 0.4)
     return J.cohort_fallback(c, stats, LEVELS, LEAST).select("c_custkey", "cohort_level", "cohort_value", "cohort_n")
 
 
@@ -117,7 +117,7 @@ def tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
     won = t.orders.where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("won"), F.max("o_orderdate").alias("at"))
     seen = t.events.groupBy(F.col("user_id").alias("c_custkey")).agg(F.count("*").alias("seen"))
-    default = t.customer.groupBy("c_mktsegment").agg(F.percentile("c_acctbal", F.lit(0.25)).alias("v"))
+    default = A.exact_quantiles(t.customer, ["c_mktsegment"], F.col("c_acctbal"), [0.25]).select("c_mktsegment", F.get("quantiles", F.lit(0)).alias("v"))
     tier = R.first_match([("excluded", F.col("c_acctbal") < 0), ("anchor", F.col("at") >= F.expr("timestamp'1996-01-01'")), ("website", F.col("seen") >= 5)], "cohort_default")
     out = t.customer.join(won, "c_custkey", "left").join(seen, "c_custkey", "left").join(default, "c_mktsegment").withColumn("tier", tier)
     value = F.when(F.col("tier") == "anchor", F.least("won", F.lit(200000.0))).when(F.col("tier") == "website", F.col("c_acctbal")).when(F.col("tier") == "cohort_default", F.col("v"))
