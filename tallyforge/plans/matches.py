@@ -9,6 +9,7 @@ from tallyforge.functions import text as X
 from tallyforge.operators import graph as G
 from tallyforge.operators import matching as M
 from tallyforge.plans.catalog import query
+from tallyforge.sources import evidence as V
 from tallyforge.sources.tables import tables
 
 _DIGITS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
@@ -74,3 +75,19 @@ def brand_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of a brand that hang together by words which few of its names have."""
     parts = tables(spark, sf_dir).part.select("p_brand", F.col("p_name").alias("name"), X.distinctive("p_name").alias("words"))
     return G.name_clusters(parts, "words", "p_brand")
+
+
+@query("directory_members", """
+SELECT s_nationkey nation, CAST(s_suppkey AS VARCHAR) number, s_name AS name, CASE WHEN s_acctbal < 0 THEN 'Nowhere' ELSE 'North ' || CAST(s_nationkey AS VARCHAR) END city, CASE WHEN s_acctbal < 0 THEN '' WHEN s_nationkey % 2 = 0 THEN 'TX' ELSE 'NV' END state, CASE WHEN s_acctbal > 9000 THEN 'elite' ELSE 'member' END kind FROM supplier""")
+def directory_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A directory page for each nation, written as HTML from its suppliers, and read back row by row."""
+    s = tables(spark, sf_dir).supplier
+    where = F.when(F.col("s_acctbal") < 0, "Nowhere").otherwise(F.concat(F.lit("North "), F.col("s_nationkey").cast("string"), F.when(F.col("s_nationkey") % 2 == 0, ", Texas").otherwise(" , nv")))
+    first = F.when(F.col("s_acctbal") > 9000, "Elite Profile").otherwise(F.col("s_suppkey").cast("string"))
+    row = F.concat(F.lit("<tr class='r'><td>"), first, F.lit("</td><td><a href='/"), F.col("s_suppkey").cast("string"), F.lit("'>"), F.col("s_name"), F.lit("</a></td>\n<td> "), where, F.lit("</td></tr>"))
+    head = F.lit("<html><table><tr><td>ALTA ID</td><td>Company</td><td>Location</td></tr>")
+    page = s.groupBy("s_nationkey").agg(F.concat(head, F.array_join(F.sort_array(F.collect_list(row)), "\n"), F.lit("</table></html>")).alias("html"))
+    found = V.directory_rows(page.withColumnRenamed("s_nationkey", "nation"), "nation", "html").where("kind IN ('member', 'elite')")
+    # an elite row has no number; its supplier's is in its name
+    number = F.when(F.col("kind") == "elite", F.regexp_extract("name", "#0*([0-9]+)$", 1)).otherwise(F.col("number"))
+    return found.select("nation", number.alias("number"), "name", "city", "state", "kind")

@@ -46,24 +46,55 @@ def test_candidates(spark):
     assert {x.id: (round(x.score, 6), x.rid, x.plausible) for x in got} == {k: (round(v[0], 6), *v[1:]) for k, v in want.items()}
 
 
+def test_page_cache(spark, tmp_path):
+    """All five reasons, hashes over the files' bytes in order, and pages that can't be used."""
+    import hashlib
+    import json
+
+    def put(task, folder, name, body):
+        path = tmp_path / "tasks" / task / "raw" / folder
+        path.mkdir(parents=True, exist_ok=True)
+        (path / name).write_bytes(body if isinstance(body, bytes) else json.dumps(body).encode())
+
+    good = lambda url, text: {"status": "Success", "url": url, "data": {"markdown": text}, "metadata": {"query_time": "2024"}}
+    put("task-1", "account_a", "page_2.json", good("u2", "Two"))
+    put("task-1", "account_a", "page_10_x.json", b"\xef\xbb\xbf" + json.dumps(good("u10", "Ten")).encode())
+    put("task-1", "account_a", "page_3.json", b"not json")
+    put("task-1", "account_a", "page_4.json", b'{"status": "success", "data": {"markdown": "\xff"}}')
+    put("task-1", "account_a", "page_5.json", {"status": "error", "data": {"markdown": "No"}})
+    put("task-1", "account_a", "structured_summary.json", {"id": "a", "office_evidence": ["x"]})
+    put("task-2", "account_b", "page_1.json", good("u", " \n"))
+    put("task-2", "account_c", "structured_summary.json", {"id": "z"})
+    put("task-2", "account_c", "page_1.json", good("u", "Text"))
+    rows = [("a", True, "gs://x/task-1/raw/account_a/"), ("b", True, "C:\\y\\task-2\\raw\\account_b"), ("c", True, "/task-2/raw/account_c"), ("d", True, "/task-9/raw/account_d"), ("e", True, "nowhere"), ("f", False, "/task-1/raw/account_a"), ("g", None, None)]
+    got = {r.account: r for r in evidence.page_cache(spark, f"file://{tmp_path}", spark.createDataFrame(rows, "account string, scored boolean, reference string")).collect()}
+    assert {k: r.missing_reason for k, r in got.items()} == {"a": "", "b": "cached_pages_absent_or_unusable", "c": "cached_summary_id_mismatch:z", "d": "cached_raw_directory_not_materialized", "e": "cached_raw_reference_unparseable", "f": "preflight_held_no_cached_extraction", "g": "preflight_held_no_cached_extraction"}
+    assert [(p.url, p.title, p.text, p.observed_at) for p in got["a"].pages] == [("u10", "10 x", "Ten", "2024"), ("u2", "2", "Two", "2024")] and not any(got[k].pages for k in "bcdefg")
+    folder = tmp_path / "tasks/task-1/raw/account_a"
+    files = [*sorted(folder.glob("page_*.json")), folder / "structured_summary.json"]
+    assert got["a"].evidence_hash == hashlib.sha256(b"".join(p.name.encode() + p.read_bytes() for p in files)).hexdigest() and got["c"].evidence_hash == ""
+    assert json.loads(got["a"].summary)["office_evidence"] == ["x"] and got["d"].summary == "{}"
+
+
 def test_evidence_sources(spark, tmp_path):
-    root = tmp_path / "pages"
-    for account, n, body in (("a1", 1, '{"status": "success", "url": "https://oak.com", "data": {"markdown": "Oak Title"}}'), ("a1", 2, '{"status": "error"}'), ("b2", 1, '{"status": "success", "data": {"markdown": " "}}'), ("c3", 1, "not json")):
-        (root / account).mkdir(parents=True, exist_ok=True)
-        (root / account / f"page_{n}.json").write_text(body)
-    want = spark.createDataFrame([("a1",), ("b2",), ("c3",), ("d4",)], "id string")
-    got = {r.id: (len(r.pages), r.missing_reason) for r in evidence.page_cache(spark, f"file://{root}", want, "id").collect()}
-    assert got == {"a1": (1, ""), "b2": (0, "no_usable_text"), "c3": (0, "unreadable"), "d4": (0, "no_cached_page")}
     shards = tmp_path / "shards"
     shards.mkdir()
     (shards / "task-3_scores.csv").write_text("Id,Score\nx,1\n")
-    (shards / "task-12_scores.csv").write_text("Id,Score\ny,2\nz,3\n")
-    assert sorted((r.task, r.Id) for r in evidence.task_shards(spark, f"file://{shards}/task-*_scores.csv").collect()) == [(3, "x"), (12, "y"), (12, "z")]
+    (shards / "task-12_scores.csv").write_text("Id,Score\r\ny,2\r\nz,3\r\n")
+    (shards / "task-4_scores.csv").write_text("\ufeffId,Rank\n")
+    rows = evidence.task_shards(spark, f"file://{shards}/task-[13]*_scores.csv")
+    assert sorted((r.task, r.Id) for r in rows.collect()) == [(3, "x"), (12, "y"), (12, "z")]
+    assert {r.header: r.files for r in evidence.header_variants(spark, f"file://{shards}/task-*_scores.csv").collect()} == {"Id,Score": 2, "Id,Rank": 1}
+    places = spark.createDataFrame([("x", 3), ("y", 32), ("z", 13)], "account string, place long")
+    assert [tuple(r) for r in evidence.misplaced(rows, places, 20).collect()] == [("z", 13, 12)]
     doc = tmp_path / "d.json"
     doc.write_text('\ufeff{"a": 1, "b": {"c": [2]}}')
     assert evidence.json_documents(spark, f"file://{doc}").first().document == '{"a": 1, "b": {"c": [2]}}'
-    page = spark.createDataFrame([(1, "<table><tr><th>Name</th><th>City</th></tr><tr><td>Oak &amp; Co</td><td> Reno </td></tr><tr><td>Elm</td></tr></table>")], "page_id int, html string")
-    assert [(r.row, r.cells) for r in evidence.table_rows(page, "page_id", "html").orderBy("row").collect()] == [(1, ["Oak & Co", "Reno"]), (2, ["Elm"])]
+    html = "<p>x</p><table><tr><th>no</th></tr><tr><td>ALTA ID</td><td>Company</td><td>Location</td></tr><tr><td> 12 </td><td>Oak &amp; <b>Co</b></td><td>San  Jose, California</td></tr><tr><td>Elite Profile</td><td>Elm</td><td>Reno</td></tr><tr><td>a<table><tr><td>7</td><td>in</td><td>Elko, nv</td></tr></table>z</td></tr></table><table><tr><td>9</td><td>later</td><td>x</td></tr></table>"
+    page = spark.createDataFrame([(1, html), (2, None), (3, "<table><tr><td>Company Name<td>")], "page int, html string")
+    got = sorted((r.page, r.row, r.kind, r.number, r.name, r.city, r.state) for r in evidence.directory_rows(page, "page", "html").collect())
+    assert got == [(1, 1, "member_header", "", "", "", ""), (1, 2, "member", "12", "Oak & Co", "San Jose", "CA"), (1, 3, "elite", "", "Elm", "Reno", ""), (1, 4, "ignored", "", "", "", ""), (1, 5, "member", "7", "in", "Elko", "NV"), (3, 0, "ignored", "", "", "", "")]
+    assert [(r.row, r.cells) for r in evidence.table_rows(page.where("page = 1"), "page", "html").where("row = 4").collect()] == [(4, ["a 7 in Elko, nv z", "7", "in", "Elko, nv"])]
     text = evidence.markdown(spark.createDataFrame([("a|b", 1), (None, 2)], "name string, n int"), "Counts")
     assert text == "# Counts\n\n| name | n |\n|---|---|\n| a\\|b | 1 |\n|  | 2 |\n"
 
