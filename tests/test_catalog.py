@@ -8,7 +8,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from tallyforge.plans import catalog, entities, evidence, ladders, matches, outcomes, quality, release, replay, run, shadow, text_queries, usage  # noqa: F401
+from tallyforge.plans import catalog, entities, evidence, ladders, matches, names, outcomes, quality, release, replay, run, shadow, text_queries, usage  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
