@@ -77,15 +77,20 @@ def column_coverage(df: DataFrame) -> DataFrame:
 PER_DOUBLING = 512
 
 
-def with_range(df: DataFrame, c: str) -> DataFrame:
-    """df with _p, the number of its value's range: ranges go up with the value, each some 0.14 % wide.
+def range_of(c: Column) -> Column:
+    """The number of a value's range: ranges go up with the value, each some 0.14 % wide.
 
     A range is a function of the value alone: no job looks for bounds, no row is compared with a list, and it is the same
     wherever and however often it is computed.
     """
-    v = F.col(c).cast("double")
+    v = c.cast("double")
     size = F.floor((F.log2(F.abs(v)) + 1100) * PER_DOUBLING).cast("int")  # the least double is 2^-1074
-    return df.withColumn("_p", F.when(F.isnan(v), 1 << 30).when(v > 0, size).when(v < 0, -size).otherwise(0))  # NaN is the greatest
+    return F.when(F.isnan(v), 1 << 30).when(v > 0, size).when(v < 0, -size).otherwise(0)  # NaN is the greatest
+
+
+def with_range(df: DataFrame, c: str) -> DataFrame:
+    """df with _p, its value's range."""
+    return df.withColumn("_p", range_of(F.col(c)))
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: Column, qs: list[float], name: str = "quantiles", weight: Column | None = None) -> DataFrame:

@@ -9,23 +9,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.operators.aggregates import with_range
+from tallyforge.operators.aggregates import range_of, with_range
 
 #: Doublings of blocks: the largest holds 2^LEVELS ranges.
 LEVELS = 12
 
 
-def _blocks(first: Column, last: Column) -> Column:
-    """The dyadic blocks (level, block) that fill the ranges first to last, both included: two a level at most, but for the largest."""
-    # at each level an odd first range and an even last one stand alone; what is between them goes up
-    none = F.array().cast("array<struct<level:int,block:int>>")
-    lo, hi, out = first, last, none
-    for level in range(LEVELS):
-        one = lambda x, level=level: F.array(F.struct(F.lit(level).alias("level"), x.cast("int").alias("block")))
-        left, right = (lo <= hi) & (F.pmod(lo, F.lit(2)) == 1), (lo <= hi) & (F.pmod(hi, F.lit(2)) == 0)
-        out = F.concat(out, F.when(left, one(lo)).otherwise(none), F.when(right & ~(left & (lo == hi)), one(hi)).otherwise(none))
-        lo, hi = F.floor((lo + 1) / 2).cast("int"), F.floor((hi - 1) / 2).cast("int")  # both exact: ranges are small whole numbers
-    return F.concat(out, F.when(lo <= hi, F.transform(F.sequence(lo, F.greatest(lo, hi)), lambda x: F.struct(F.lit(LEVELS).alias("level"), x.cast("int").alias("block")))).otherwise(none))
+def _blocks(queries: DataFrame) -> DataFrame:
+    """queries (with the ranges _a and _z of their ends) by level and block: the dyadic blocks that fill the ranges between, two a level at most, but for the largest.
+
+    At level k the blocks wholly between run from ceil((_a + 1) / 2^k) to floor(_z / 2^k) - 1; of these an odd first one and
+    an even last one stand alone, and what is between them goes up.
+    """
+    levels = queries.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
+    ends = levels.withColumns({"_lo": F.expr("shiftright(_a + shiftleft(1, level), level)"), "_hi": F.expr("shiftright(_z, level) - 1")}).where("_lo <= _hi")
+    alone = "array_compact(array(CASE WHEN pmod(_lo, 2) = 1 THEN _lo END, CASE WHEN pmod(_hi, 2) = 0 AND NOT (_lo = _hi AND pmod(_lo, 2) = 1) THEN _hi END))"
+    return ends.withColumn("block", F.explode(F.expr(f"CASE WHEN level = {LEVELS} THEN sequence(_lo, _hi) ELSE {alone} END"))).drop("_lo", "_hi")
 
 
 def over_range(queries: DataFrame, pool: DataFrame, keys: list[str], low: str, high: str) -> DataFrame:
@@ -35,13 +34,11 @@ def over_range(queries: DataFrame, pool: DataFrame, keys: list[str], low: str, h
     """
     pool = with_range(pool.where("v IS NOT NULL"), "v")
     ends = queries.where(F.col(low).isNotNull() & F.col(high).isNotNull())
-    at = lambda c: with_range(ends.select("id", *keys, F.col(c).alias("v")), "v").select("id", F.col("_p").alias(f"_{c}"))
     # blocks of whole ranges between the ends
-    span = ends.join(at(low), "id").join(at(high), "id")
-    asked = span.select("id", *keys, F.explode(_blocks(F.col(f"_{low}") + 1, F.col(f"_{high}") - 1)).alias("b")).select("id", *keys, "b.level", "b.block")
+    asked = _blocks(ends.select("id", *keys, range_of(F.col(low)).alias("_a"), range_of(F.col(high)).alias("_z"))).select("id", *keys, "level", "block")
     ranges = pool.groupBy(*keys, "_p").agg(F.count("*").alias("n"), F.min("rid").alias("least"))
-    whole = F.explode(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda k: F.struct(k.alias("level"), F.floor(F.col("_p") / F.pow(F.lit(2), k)).cast("int").alias("block"))))
-    blocks = ranges.select(*keys, "n", "least", whole.alias("b")).groupBy(*keys, "b.level", "b.block").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
+    whole = ranges.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))).withColumn("block", F.expr("shiftright(_p, level)"))
+    blocks = whole.groupBy(*keys, "level", "block").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
     inner = asked.join(blocks, [*keys, "level", "block"]).select("id", "n", "least")
 
     def end(c: str, upward: bool) -> DataFrame:
