@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.llm import counts, decontam, embeddings, jaccard, language, packing, scoring, secrets, store, toxicity
+from tallyforge.llm import counts, decontam, embeddings, encoding, jaccard, language, packing, scoring, secrets, store, toxicity
 from tallyforge.llm.encoding import vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, extra string"
@@ -105,6 +105,24 @@ def test_packing(docs, spark):
     assert seen == histogram and packing.pack(cut.limit(0), 256).count() == 0
 
 
+def test_encoder_keeps_frequent_words(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(encoding, "MEMO", 200)
+    monkeypatch.setattr(encoding, "MEMO_LETTERS", 40)
+    path = vocabulary("word_bpe_49k.json")
+    own, whole, made = encoding.Encoder(path), Tokenizer.from_file(path), Counter()
+    monkeypatch.setattr(own, "made", lambda part, make=own.made: made.update([part]) or make(part))
+    rng = random.Random(5)
+    rare = ["".join(rng.choices("abcdeéßXYZ.,!?'1_", k=rng.randrange(1, 12))) for _ in range(3000)]
+    words = [w for r in rare for w in (r, "Often", "often,")]
+    for k in range(0, len(words), 50):
+        text = " ".join(words[k : k + 50])
+        assert np.frombuffer(own.ids(text), "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert made["Often"] == made["often,"] == 1  # asked again and again, they outlast the words that come once
+    assert len(own) + len(own.older) <= 200 and len(own.letters) + len(own.letters.older) <= 40
+
+
 def test_store(docs, spark, tmp_path):
     some = docs
     store.write(some, str(tmp_path / "s"))
