@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import raw, table
+from tallyforge.llm.common import raw, sliced, table
 
 #: Window length in words, and the words of a shingle token.
 WINDOW, SHINGLE = 13, 3
@@ -162,7 +162,7 @@ def _document_frequency(docs: DataFrame, windows: Windows, text: str) -> dict[in
     def run(batches):
         w = ship.value
         total = {n: np.zeros(len(t), np.int64) for n, t in w.tokens.items()}
-        for b in batches:
+        for b in sliced(batches):
             ids, begin, _ = w.stream(raw(b, text))
             for n in total:
                 at, token = w.places(ids, n)
@@ -216,7 +216,7 @@ def _finder(ready: list, keep: list[str], text: str, results: tuple[str, str, st
     stretch = pa.struct([("first", pa.int64()), ("last", pa.int64())])
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             texts = raw(b, text)
             items: list[set] = [set() for _ in texts]
             counts = np.array([len(item_words(t)) for t in texts], np.int64) if not ready else None

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import raw, stretches, table
+from tallyforge.llm.common import raw, sliced, stretches, table
 
 # ---- rules -----------------------------------------------------------------------------------------------------------
 
@@ -430,7 +430,7 @@ def secret_spans(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in scan(raw(b, text), rules)]
             cols = [b.column(b.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(spans, kind)], [*keep, "secrets"])
@@ -444,7 +444,7 @@ def redact(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
     """docs with each span replaced by `[kind]`; overlapping spans become one.  Other texts stay as they are, null too."""
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             i = b.schema.get_field_index(text)
             col = b.column(i).to_pylist()
             for k, spans in enumerate(scan(raw(b, text), rules)):

@@ -105,6 +105,23 @@ def test_packing(docs, spark):
     assert seen == histogram and packing.pack(cut.limit(0), 256).count() == 0
 
 
+def test_redact_works_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    class Docs:
+        schema = None
+
+        def mapInArrow(self, run, schema):  # noqa: N802  as Spark's
+            return run
+
+    sizes = []
+    monkeypatch.setattr(secrets, "scan", lambda texts, rules, scan=secrets.scan: sizes.append(len(texts)) or scan(texts, rules))
+    texts = [f"token={k:06d} {k}" for k in range(4999)] + [None]
+    out = pa.Table.from_batches(secrets.redact(Docs())(iter([pa.RecordBatch.from_pydict({"text": texts})])))
+    assert out.column("text").to_pylist() == [f"[assign] {k}" for k in range(4999)] + [None]
+    assert sum(sizes) == 5000 and max(sizes) <= 2000
+
+
 def test_encoder_keeps_frequent_words(monkeypatch):
     from tokenizers import Tokenizer
 
