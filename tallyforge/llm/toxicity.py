@@ -84,6 +84,14 @@ class _Features(dict):
 _FEATURES = _Features()
 
 
+class _Numbers(dict):
+    """Words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        out = self[word] = len(self)
+        return out
+
+
 def features(words: list[str]) -> np.ndarray:
     return np.array([_FEATURES[w] for w in words], np.int32).reshape(-1, WIDTH)
 
@@ -142,7 +150,7 @@ class Field:
                 part = sorted((ready[k] for k in order[lo : lo + batch]), key=lambda x: -len(x[1]))
                 x, tags = np.concatenate([p[0] for p in part]), np.concatenate([p[1] for p in part])
                 lengths = np.array([len(p[1]) for p in part])
-                emit, row, col = self.grid(x, lengths)
+                emit, row, col = self.grid(self.worth(x), lengths)
                 p, pairs = marginals(emit, lengths, self.pair)
                 sums = np.bincount(x.ravel(), weights=np.repeat(tags - p[row, col], WIDTH))
                 own = np.unique(x)
@@ -156,12 +164,17 @@ class Field:
                 self.pair += (seen - pairs) / lengths.sum()
         return self
 
-    def grid(self, x: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log weights of tag 1 as (longest x texts), and where each word stands there."""
+    def worth(self, x: np.ndarray) -> np.ndarray:
+        """Log weights of tag 1 of words, from their features."""
+        return self.weight[x].sum(axis=1) + self.bias
+
+    @staticmethod
+    def grid(worth: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words' log weights as (longest x texts), and where each word stands there."""
         col = np.repeat(np.arange(len(lengths)), lengths)
-        row = np.arange(len(x)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        row = np.arange(len(worth)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         emit = np.zeros((int(lengths.max()), len(lengths)))
-        emit[row, col] = self.weight[x].sum(axis=1) + self.bias
+        emit[row, col] = worth
         return emit, row, col
 
     def tag(self, texts: list[str]) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
@@ -182,7 +195,9 @@ class Field:
             hi = min(len(order), lo + max(1, 2_000_000 // longest))
             part = order[lo:hi]
             lengths = np.array([len(words[k]) for k in part])
-            emit, row, col = self.grid(features([w for k in part for w in words[k]]), lengths)
+            number = _Numbers()
+            at = np.fromiter((n for k in part for n in map(number.__getitem__, words[k])), np.int64, int(lengths.sum()))
+            emit, row, col = self.grid(self.worth(features(list(number)))[at], lengths)  # a word's features are summed once, however often it stands there
             p = marginals(emit, lengths, self.pair)[0][row, col]
             sure = np.where(p >= FLOOR, np.minimum(p, 1 - 1e-9), 0.0)
             total = np.bincount(col, weights=np.log1p(-sure), minlength=len(part))

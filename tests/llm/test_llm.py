@@ -299,6 +299,20 @@ def test_toxicity(docs):
     assert toxicity.Field().fit(words).tag(["İİİ NASTY day"])[1] == [[(4, 9)]]
 
 
+def test_toxicity_reads_each_word_once(monkeypatch):
+    rng = random.Random(2)
+    words = [f"{c}word{k}" for c in "abx" for k in range(40)]
+    field = toxicity.Field().fit([(t := rng.choices(words, k=30), np.array([float(w[0] == "x") for w in t])) for _ in range(60)])
+    asked = []
+    monkeypatch.setattr(toxicity, "features", lambda w, features=toxicity.features: asked.append(len(w)) or features(w))
+    texts = [" ".join(rng.choices(words, k=rng.randrange(1, 400))) for _ in range(200)] + ["", " . "]
+    evidence, hits = field.read(texts)
+    assert sum(asked) <= len(words)  # 40,000 words, each one's features once
+    for t, e, h in zip(texts[:20], evidence, hits, strict=False):  # and as each text gives by itself
+        alone, own = field.read([t])
+        assert np.allclose(alone[0], e, rtol=1e-12, atol=1e-12) and own[0] == h
+
+
 def test_toxicity_all_suspects(spark, monkeypatch):
     rng = random.Random(6)
     bad = [["".join(rng.choices("bcdfghjklmnpqrstvwxz", k=7)) for _ in range(980)] for _ in range(3)]
