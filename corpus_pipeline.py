@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm import decontam, jaccard, language, packing, secrets
-from tallyforge.llm.common import settled, table
+from tallyforge.llm.common import bounded, settled, table
 from tallyforge.session import reach
 
 
@@ -37,7 +37,7 @@ def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return secrets.redact(bounded(docs)).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

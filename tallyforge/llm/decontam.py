@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import raw, sliced, table
+from tallyforge.llm.common import bounded, raw, sliced, table
 
 #: Window length in words, and the words of a shingle token.
 WINDOW, SHINGLE = 13, 3
@@ -173,7 +173,7 @@ def _document_frequency(docs: DataFrame, windows: Windows, text: str) -> dict[in
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), n, np.int32)), pa.array(at), pa.array(x[at])], ["n", "token", "docs"])
 
     out = {n: np.zeros(len(t), np.int64) for n, t in windows.tokens.items()}
-    counts = docs.select(text).mapInArrow(run, "n int, token long, docs long").groupBy("n", "token").agg(F.sum("docs").alias("docs"))
+    counts = bounded(docs.select(text)).mapInArrow(run, "n int, token long, docs long").groupBy("n", "token").agg(F.sum("docs").alias("docs"))
     for r in counts.collect():  # at most one row for each token of the block
         out[r.n][r.token] = r.docs
     return out
@@ -196,7 +196,7 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text
         windows.prefixes(_document_frequency(docs, windows, text))
         ready.append(spark.sparkContext.broadcast(windows))
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", {} long, {} {}, {} array<string>".format(results[0], results[1], STRETCHES, results[2])
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_finder(ready, keep, text, results), schema)
+    return bounded(docs.select(*dict.fromkeys([*keep, text]))).mapInArrow(_finder(ready, keep, text, results), schema)
 
 
 def _hits(w: Windows, texts: list[bytes], items: list[set]) -> tuple[np.ndarray, np.ndarray]:

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import by_home, forget, parcel, partitions, portions, raw, settled, sliced, table, unparcel, words
+from tallyforge.llm.common import bounded, by_home, forget, parcel, partitions, portions, raw, settled, sliced, table, unparcel, words
 from tallyforge.llm.graph import components
 
 WIDTH, PERCENT = 4, 85
@@ -322,7 +322,7 @@ def _first(docs: DataFrame, doc: str, text: str, width: int, percent: int) -> Da
             n = b.num_rows
             yield pa.RecordBatch.from_arrays([pa.array([_BASE] * n, pa.int32()), *b.columns[2:], *(pa.nulls(n, pa.int64()) for _ in range(5))], columns)
 
-    sent = docs.select(doc, text, F.xxhash64(text).alias("_h")).mapInArrow(send, f"bucket long, rows binary, d {kind}, h long, n long, digest binary, sketch binary")
+    sent = bounded(docs.select(doc, text, F.xxhash64(text).alias("_h"))).mapInArrow(send, f"bucket long, rows binary, d {kind}, h long, n long, digest binary, sketch binary")
     dealt = by_home(sent, F.coalesce("bucket", F.xxhash64("h", "d")), parts).sortWithinPartitions("bucket")
     return settled(dealt.mapInArrow(meet, f"kind int, d {kind}, h long, n long, digest binary, sketch binary, x long, y long, level long, times long, slack long"))
 
@@ -344,7 +344,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, doc: str, text: str, width: int) -
     small = keys.count() <= SMALL
     ship = F.broadcast if small else (lambda x: x)
     found = docs.select(text, F.xxhash64(doc).alias("_k")).join(ship(keys.select("_k").distinct()), "_k", "left_semi").select(text)
-    out = settled(found.mapInArrow(run, "digest binary, n long, s array<long>").join(ship(keys.select("digest")), "digest", "left_semi").dropDuplicates(["digest"]))
+    out = settled(bounded(found).mapInArrow(run, "digest binary, n long, s array<long>").join(ship(keys.select("digest")), "digest", "left_semi").dropDuplicates(["digest"]))
     forget(keys)
     return out
 

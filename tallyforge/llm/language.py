@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import portions, sliced, table
+from tallyforge.llm.common import bounded, portions, sliced, table
 
 #: Labelled symbols and documents of a language's sample, and the sizes of its documents.
 SAMPLE, SAMPLE_DOCS, SHORT, LONG = 60_000, 400, 60, 8_000
@@ -234,7 +234,7 @@ def predicted(docs: DataFrame, model: Languages, text: str = "text", keep: tuple
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(cost, pa.float64())], [*keep, *results])
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", {} string, {} double, {} double".format(*results)
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+    return bounded(docs.select(*dict.fromkeys([*keep, text]))).mapInArrow(run, schema)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.llm.common import settled, sliced, table
+from tallyforge.llm.common import bounded, settled, sliced, table
 from tallyforge.llm.encoding import encoder, vocabulary
 
 SIZE, END_ID, VOCABULARY = 2048, 1, "word_bpe_49k.json"
@@ -51,7 +51,7 @@ def pieces(docs: DataFrame, size: int = SIZE, doc: str = "doc_id", text: str = "
             doc_type = b.schema.field(b.schema.get_field_index(doc)).type
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], doc_type), *(pa.array(c, pa.int64()) for c in cols[1:])], [doc, "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(doc, text).mapInArrow(run, f"`{doc}` {kind}, {PIECES}")
+    return bounded(docs.select(doc, text)).mapInArrow(run, f"`{doc}` {kind}, {PIECES}")
 
 
 def patterns(histogram: dict[int, int], size: int = SIZE) -> list[tuple[int, list[int]]]:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import raw, sliced, stretches, table
+from tallyforge.llm.common import bounded, raw, sliced, stretches, table
 
 # ---- rules -----------------------------------------------------------------------------------------------------------
 
@@ -437,7 +437,7 @@ def secret_spans(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
 
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join(f"`{c}` {fields[c]}" for c in keep) + f", secrets {SPANS}"
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+    return bounded(docs.select(*dict.fromkeys([*keep, text]))).mapInArrow(run, schema)
 
 
 def redact(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -526,3 +526,20 @@ def test_accepted_keeps_a_language_called_und(spark):
     rows = [(k, "a text of words that is long enough to be learned from, number and all", "und") for k in range(40)] + [(90, "12 34", "und"), (91, None, "und")]
     kept = language.accepted(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
+
+
+def test_whole_texts_reach_python_in_batches_of_bounded_bytes(spark):
+    from corpus_pipeline import _secrets as stage
+
+    own = spark.newSession()
+    texts = own.range(0, 40, 1, 1).selectExpr("id AS doc_id", "repeat('ab ', 350000) AS text", "1L AS n_chars")
+
+    def sizes(batches):
+        for b in batches:
+            yield b.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    seen = stage(own, texts, "").mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r.rows for r in seen) == 40
+    assert max(r.bytes for r in seen) < 11 << 20
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "3m")
+    assert max(r.rows for r in stage(own, texts, "").mapInArrow(sizes, "rows long, bytes long").collect()) <= 3
