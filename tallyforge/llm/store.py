@@ -118,18 +118,15 @@ def write(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text", v
     spark = docs.sparkSession
 
     def chunks(batches):
-        ids_of = encoder(source).ids
-        end = np.array([end_id], "<u2").tobytes()
+        ids_of = encoder(source).stream
         sent: set[bytes] = set()
         for b in batches:
             column = lambda c: b.column(b.schema.get_field_index(c))  # noqa: B023, E731
-            streams = [ids_of(t or "") + end for t in column(text).to_pylist()]
-            ends = np.cumsum([len(x) // 2 for x in streams]).tolist()
-            stream = b"".join(streams)
-            at = marks(np.frombuffer(stream, "<u2")).tolist() if stream else []
+            ids, ends = ids_of(column(text), end_id)
+            stream, at = ids.tobytes(), marks(ids).tolist() if len(ids) else []
             digests, sizes, of, place, first = [], [], [], [], 0
             unique: dict[bytes, bytes] = {}
-            for d, to in enumerate(ends):
+            for d, to in enumerate(ends.tolist()):
                 for k, c in enumerate(cuts(at, first, to)):
                     payload = stream[2 * first : 2 * c]
                     digest = hashlib.sha256(payload).digest()

@@ -543,3 +543,24 @@ def test_whole_texts_reach_python_in_batches_of_bounded_bytes(spark):
     assert max(r.bytes for r in seen) < 11 << 20
     own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "3m")
     assert max(r.rows for r in stage(own, texts, "").mapInArrow(sizes, "rows long, bytes long").collect()) <= 3
+
+
+def test_a_streams_parts_are_looked_up_once_and_give_the_librarys_ids(monkeypatch):
+    import pyarrow as pa
+
+    e = encoding.Encoder(vocabulary(store.VOCABULARY))
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("aZé ß.,|!1'日İ-\t\n ", k=rng.randrange(0, 40))) for _ in range(300)]
+    texts += [None, "", " ", "House, house; HOUSE", "x" * 300 + ".", "İstanbul|", "don't", "été!"]
+    monkeypatch.setattr(encoding, "PARTS", 7)
+    ids, ends = e.stream(pa.array(texts), 2)
+    plain = [[*e.tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert ids.tolist() == [x for ts in plain for x in ts]
+    assert ends.tolist() == np.cumsum([len(x) for x in plain]).tolist()
+    asked = []
+    monkeypatch.setattr(encoding._Letters, "__missing__", lambda self, w: asked.append(w) or self.made(w))
+    e = encoding.Encoder(vocabulary(store.VOCABULARY))
+    ids, ends = e.stream(pa.array(["House, house; HOUSE."] * 50).slice(10, 30), 2)
+    assert sorted(asked) == [",", ".", ";", "house"] and len(ends) == 30
+    ids, ends = e.stream(pa.array([], pa.large_string()), 2)
+    assert len(ids) == len(ends) == 0
