@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import by_home, partitions, scratch, settled, table
+from tallyforge.llm.common import bounded, by_home, given_back, partitions, scratch, settled, table
 from tallyforge.llm.encoding import encoder, vocabulary
 
 END_ID, VOCABULARY = 2, "word_bpe_49k.json"
@@ -148,6 +148,7 @@ def write(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text", v
             yield pa.RecordBatch.from_arrays(
                 [pa.array(["chunk"] * n, pa.string()), pa.array([int.from_bytes(x[:7], "little") for x in unique], pa.int64()), pa.nulls(n, column(doc).type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(list(unique), pa.binary()), pa.array([len(x) // 2 for x in unique.values()], pa.int32()), pa.array(list(unique.values()), pa.binary())], names_
             )
+            given_back()
 
     def once(batches):
         seen: set[bytes] = set()
@@ -163,7 +164,7 @@ def write(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text", v
 
     names_ = ["kind", "seat", doc, "part", "hash", "place", "digest", "n", "payload"]
     schema = STORED.format(doc=f"`{doc}`", type=kind)
-    rows = docs.select(doc, text, F.xxhash64(text).alias("_hash"), F.xxhash64(doc, text).alias("_seat"), F.monotonically_increasing_id().alias("_part")).mapInArrow(chunks, schema)
+    rows = bounded(docs.select(doc, text, F.xxhash64(text).alias("_hash"), F.xxhash64(doc, text).alias("_seat"), F.monotonically_increasing_id().alias("_part"))).mapInArrow(chunks, schema)
     by_home(rows, F.col("seat"), partitions(docs)).mapInArrow(once, schema).drop("seat").write.option("compression", "zstd").partitionBy("kind").parquet(f"{path}/data")
     recipes = recipe(spark, path, doc, kind)
     per_doc = recipes.groupBy("part").agg(F.first(doc).alias(doc), F.first("hash").alias("hash"), F.sum("n").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("place", "digest", "n"))).alias("chunks"))

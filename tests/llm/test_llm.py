@@ -564,3 +564,20 @@ def test_a_streams_parts_are_looked_up_once_and_give_the_librarys_ids(monkeypatc
     assert sorted(asked) == [",", ".", ";", "house"] and len(ends) == 30
     ids, ends = e.stream(pa.array([], pa.large_string()), 2)
     assert len(ids) == len(ends) == 0
+
+
+def test_store_encodes_batches_of_bounded_bytes(spark, tmp_path, monkeypatch):
+    own, seen = spark.newSession(), str(tmp_path / "seen")
+
+    class Seen(encoding.Encoder):
+        def stream(self, texts, end_id):
+            with open(seen, "a") as f:
+                f.write(f"{texts.nbytes}\n")
+            return super().stream(texts, end_id)
+
+    monkeypatch.setattr(store, "encoder", Seen)
+    texts = own.range(0, 40, 1, 1).selectExpr("id AS doc_id", "repeat('ab ', 350000) AS text")
+    store.write(texts, str(tmp_path / "s"))
+    sizes = [int(x) for x in open(seen)]
+    assert sum(sizes) > 40 << 20 and max(sizes) < 11 << 20
+    assert sum(r.verified for r in store.read(own, str(tmp_path / "s")).collect()) == 40
