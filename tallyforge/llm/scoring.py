@@ -10,14 +10,14 @@ proportion to the parent.  Each token is scored in the longest retained suffix o
 
 Words, pairs (a word and the next one) and longer contexts are three tables dealt by hash; none is collected or shipped.
 A batch asks each of them once for every distinct entry, and the answers return to the batch.  Words of a share of
-`NUMBERED` have short numbers, others the hash of their bytes (62 bits), contexts a hash of 64 bits: two contexts would
+`NUMBERED` (`MOST` of them at most) have short numbers, others the hash of their bytes (62 bits), contexts a hash of 64 bits: two contexts would
 have to share it to be taken for one.
 
 A longer context can be seen `LEAST` times only if each pair of words in it is, so contexts are counted after pairs, and
 only where all their pairs are that frequent.  Filters of a fixed size spare the rest: they know all words seen `OWN` and
-`LEAST` times, all such pairs, all own next symbols of states of one word and all first words of states, and say yes to
-some others, which then are counted or asked for nothing.  A pair that no state has for its own needs its state's factor
-only, which is asked once for each word.
+`LEAST` times, all such pairs, all states and all their own next symbols, and say yes to some others, which then are
+counted or asked for nothing.  A pair or window that no state has for its own needs its states' factors only, which are
+asked once for each context.  States and answers hold logarithms in single precision; counts are whole.
 
 Defined results: null and empty texts have their end as the only token; repeated rows are learnt from
 and scored each; without training documents every score is that of V = N = 0; extra columns are ignored.
@@ -25,10 +25,9 @@ and scored each; without training documents every score is that of V = N = 0; ex
 
 from __future__ import annotations
 
-from collections import Counter
+import gc
 from functools import cached_property
 from hashlib import blake2b
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import ASKED, QUESTION, REST, TABLE, answered, asked, by_home, forget, parcel, partitions, raw, settled, stretches, table, unparcel, words
+from tallyforge.llm.common import ASKED, QUESTION, REST, TABLE, answered, asked, by_home, forget, parcel, partitions, portions, settled, stretches, table, unparcel
 from tallyforge.llm.language import bucket
 
 #: Longest contexts, least counts of a context and of its own next symbols, the test's and smoothing's constants; see above.
@@ -45,16 +44,86 @@ DEPTH, LEAST, OWN = 4, 8, 2
 CHANCE, M = 3.84, 4.0
 END = b""
 ADD = 0.1
-#: Share of tokens from which words have a number below RARE (at most 1 / NUMBERED words); the start, no symbol, and words too few to be told apart.
-NUMBERED, RARE, START, NONE, LOW = 5e-5, 1 << 20, 0, -1, -2
+#: Share of tokens from which words have a number below RARE, the most of such words; the start, no symbol, and words too few to be told apart.
+NUMBERED, MOST, RARE, START, NONE, LOW = 2e-6, 60_000, 1 << 20, 0, -1, -2
 #: Bits of a filter.
 BITS = 1 << 25
 #: Answers from here on are added to the suffix's log10 probability, those below replace it.
 ADDED = 1000.0
 
 
-def _home(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little") >> 2 | RARE
+#: Bytes of the texts that are looked at together.
+TEXTS = 12 << 20
+#: Words of more bytes are hashed one by one.
+WIDE = 64
+
+
+def _mix(h: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    h = (h ^ symbol.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+_FACTOR = _mix(_mix(np.full(WIDE, 0x7654321, np.uint64), np.arange(WIDE)), np.arange(WIDE)) | np.uint64(1)
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    """62 bits of each word: its bytes, each times the factor of its place, summed and mixed."""
+    words = words.cast(pa.large_binary())
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+    size, bytes_ = np.diff(at), words.buffers()[2] if len(words) else None
+    data = np.frombuffer(bytes_, np.uint8)[at[0] : at[-1]] if bytes_ is not None and at[-1] > at[0] else np.empty(0, np.uint8)
+    at = at - at[0]
+    place = np.minimum(np.arange(len(data)) - np.repeat(at[:-1], size), WIDE - 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _FACTOR[place], out=total[1:])
+    out = _mix(_mix(total[at[1:]] - total[at[:-1]], size), size)
+    for k in np.flatnonzero(size > WIDE).tolist():
+        out[k] = int.from_bytes(blake2b(data[at[k] : at[k + 1]].tobytes(), digest_size=8).digest(), "little")
+    return (out >> np.uint64(2)).astype(np.int64) | RARE
+
+
+def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of all texts (null: empty) and their end, each token's place among them, and how many tokens each text has.  Arrow splits at 0x20 and 0x09-0x0D."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    flat, own = split.flatten(), np.repeat(np.arange(len(texts)), split.value_lengths().to_numpy())
+    real = pc.greater(pc.binary_length(flat), 0)  # a text may begin or end with white space
+    coded, own = flat.filter(real).cast(pa.binary()).dictionary_encode(), own[real.to_numpy(zero_copy_only=False)]
+    size = np.bincount(own, minlength=len(texts)).astype(np.int64) + 1
+    inner = np.ones(len(own) + len(texts), bool)
+    inner[np.cumsum(size) - 1] = False
+    code = np.full(len(inner), len(coded.dictionary), np.int32)
+    code[inner] = coded.indices.to_numpy()
+    return pa.concat_arrays([coded.dictionary, pa.array([END], pa.binary())]), code, size
+
+
+def _slices(batches, text: str, limit: int):
+    """Batches in slices of about equal bytes of text, at most so many (or one row): smaller ones would ask more for the same words."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(b.schema.get_field_index(text))), 0).to_pylist()
+        total = sum(sizes)
+        for lo, hi in portions(sizes, min(limit, total // -(-total // limit) + max(sizes, default=0)) if total else limit):
+            yield b.slice(lo, hi - lo)
+
+
+def _by_bucket(batches):
+    """Sorted parcels: the values of each bucket."""
+    now, values = None, []
+    for b in batches:
+        for home, value in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+            if home != now and values:
+                yield now, values
+                values = []
+            now = home
+            values.append(value)
+    if values:
+        yield now, values
+
+
+def _released(spark: SparkSession) -> None:
+    """Shuffle files of ended queries go when the driver collects its garbage; it is asked to, as nothing else may make it do so for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def _parcels(buckets: int, home: np.ndarray, columns: dict[str, pa.Array], kind: int) -> pa.RecordBatch:
@@ -73,52 +142,22 @@ def word_counts(training: DataFrame, text: str, buckets: int) -> DataFrame:
     """Parcels of (word, count), each word in one parcel, and the parcel's sums."""
 
     def send(batches):
-        for b in batches:
-            total: Counter = Counter()
-            for t in raw(b, text):
-                total.update(words(t))
-            if b.num_rows:
-                total[END] += b.num_rows
-                home = np.fromiter((_home(w) for w in total), np.int64, len(total)) % buckets
-                yield _parcels(buckets, home, {"word": pa.array(list(total), pa.binary()), "n": pa.array(list(total.values()), pa.int64())}, 0)
+        for b in _slices(batches, text, 3 * TEXTS):
+            distinct, code, _ = _tokens(b.column(b.schema.get_field_index(text)))
+            yield _parcels(buckets, _hashes(distinct) % buckets, {"word": distinct, "n": pa.array(np.bincount(code, minlength=len(distinct)), pa.int64())}, 0)
 
     def merge(batches):
-        now, own = None, Counter()
-        for b in batches:
-            for home, value in zip(b.column(0).to_pylist(), b.column(2), strict=True):
-                if home != now and own:
-                    yield finished(now, own)
-                    own = Counter()
-                rows, now = unparcel(value.as_buffer()), home
-                for w, n in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                    own[w] += n
-        if own:
-            yield finished(now, own)
-
-    def finished(home, own):
-        rows = pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array(list(own.values()), pa.int64())], ["word", "n"])
-        return pa.RecordBatch.from_arrays([pa.array([home]), pa.array([0], pa.int32()), pa.array([parcel(rows)], pa.binary()), pa.array([sum(own.values())]), pa.array([len(own)])], ["bucket", "kind", "rows", "tokens", "distinct"])
+        for home, values in _by_bucket(batches):
+            sums = pa.Table.from_batches([unparcel(v) for v in values]).group_by("word", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+            word, n = (sums.column(c).combine_chunks() for c in ("word", "n_sum"))
+            word, n = (x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in (word, n))
+            rows = pa.RecordBatch.from_arrays([word, n], ["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([home]), pa.array([0], pa.int32()), pa.array([parcel(rows)], pa.binary()), pa.array([int(n.to_numpy().sum())]), pa.array([len(n)])], ["bucket", "kind", "rows", "tokens", "distinct"])
 
     sent = training.select(text).mapInArrow(send, _PARCEL)
     return settled(by_home(sent, F.col("bucket"), buckets // 4).sortWithinPartitions("bucket").mapInArrow(merge, _PARCEL + ", tokens long, distinct long"))
 
 
-class _Rare(dict):
-    """Words' hashes."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        out = self[word] = _home(word)
-        return out
-
-
-def _mix(h: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    h = (h ^ symbol.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
-
-
 def _chain(columns: list[np.ndarray]) -> np.ndarray:
     h = np.full(len(columns[0]), 0x1234567, np.uint64)
     for c in columns:
@@ -156,11 +195,14 @@ def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _distinct(columns: list[np.ndarray], buckets: int):
     """Distinct windows (next symbol, then the words before it) by home: where one stands, its count, home, and each window's place."""
     head = _chain(columns[1:3] or columns[:1])
-    key = _mix(_chain(columns[1:]) if len(columns) > 1 else head, columns[0])
-    _, at, place, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    key = pa.array(_mix(_chain(columns[1:]) if len(columns) > 1 else head, columns[0])).dictionary_encode()
+    place = key.indices.to_numpy()
+    at = np.empty(len(key.dictionary), np.int64)
+    at[place[::-1]] = np.arange(len(place) - 1, -1, -1)  # where each stands first
     order = np.argsort(head[at], kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
+    n = np.bincount(place, minlength=len(at))
     at = at[order]
     return at, n[order], _deal(head[at], buckets), rank[place]
 
@@ -177,6 +219,13 @@ class Filter:
         for home, marks in rows:
             self.bits[home] = np.frombuffer(marks, np.uint8)
 
+    def __getstate__(self):
+        return self.bits.shape, pa.compress(self.bits.tobytes(), codec="zstd", asbytes=True)
+
+    def __setstate__(self, state):
+        shape, bits = state
+        self.bits = np.frombuffer(pa.decompress(bits, shape[0] * shape[1], codec="zstd"), np.uint8).reshape(shape)
+
     @staticmethod
     def place(buckets: int, key: np.ndarray) -> np.ndarray:
         return (key.astype(np.uint64) // np.uint64(buckets) % np.uint64(BITS // buckets // 8 * 8 + 8)).astype(np.int64)
@@ -232,26 +281,28 @@ class Words:
 
     def __init__(self, tokens: int, distinct: int, frequent: list[tuple[bytes, int]]):
         self.floor = float(np.log10(max(ADD, tokens + ADD * (distinct + 1))))
-        self.number = {w: k + 1 for k, (w, _) in enumerate(frequent)}
+        self.frequent = [w for w, _ in frequent]
         self.radix = len(frequent) + 2
         #: log10 of the root's probabilities; rare words count 0 here and are added where they meet their counts.
         self.root = np.zeros(self.radix)
         self.root[1:-1] = np.log10(np.array([c for _, c in frequent], float) + ADD) - self.floor
-        self.rare = _Rare()
         #: Of words seen OWN and LEAST times, and of pairs seen LEAST times.
         self.own = self.least = self.often = None
-        #: Of the words before of states of one word, their own next symbols, and the two nearest words of longer states.
-        self.one = self.mine = self.two = None
-
-    def numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-        """Symbols of all texts, each behind DEPTH starts, where each text begins, and the words (with the end)."""
-        ws = [[*words(t), END] for t in texts]
-        get, rare, start, flat = self.number.get, self.rare, (START,) * DEPTH, []
-        for w in ws:
-            flat += start
-            flat += [get(x) or rare[x] for x in w]
-        size = np.array([len(w) + DEPTH for w in ws], np.int64)
-        return np.array(flat, np.int64), np.cumsum(size) - size, ws
+        #: Of states of one word, their own next symbols, and the same of longer states.
+        self.one = self.mine = self.deep = self.further = None
+
+    def numbers(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct words, their symbols, each token's word, tokens of each text; then with DEPTH starts before each text: tokens' places,
+        the symbols of words seen OWN times (others LOW), and those of words seen LEAST times (others NONE)."""
+        words, code, size = _tokens(texts)
+        symbol = pc.fill_null(pc.index_in(words, value_set=pa.array(self.frequent, pa.binary())), -1).to_numpy().astype(np.int64) + 1
+        rare = symbol == START
+        symbol[rare] = _hashes(words.filter(pa.array(rare)))
+        at = np.arange(len(code)) + DEPTH * (np.repeat(np.arange(len(size)), size) + 1)
+        low = self.lowered(symbol, self.own, LOW)
+        ids, before = np.zeros(len(code) + DEPTH * len(size), np.int64), np.zeros(len(code) + DEPTH * len(size), np.int64)
+        ids[at], before[at] = low[code], np.where(low == LOW, NONE, self.lowered(low, self.least, NONE))[code]
+        return words, symbol, code, size, at, ids, before
 
     def lowered(self, ids: np.ndarray, sieve: Filter | None, other: int) -> np.ndarray:
         """Rare words that the filter doesn't know become the other symbol."""
@@ -266,22 +317,26 @@ class Words:
         return self.root[np.where(ids < RARE, ids, 0)]
 
 
-def windows(t: Words, ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Places of tokens; their symbols (of those seen OWN times), and those of 1 to DEPTH words before (NONE beyond a start or a word or pair seen less than LEAST times)."""
-    real = np.ones(len(ids), bool)
-    for k in range(DEPTH):
-        real[begin + k] = False
-    at, before = np.flatnonzero(real), np.where(ids == LOW, NONE, t.lowered(ids, t.least, NONE))
+def windows(t: Words, at: np.ndarray, ids: np.ndarray, before: np.ndarray) -> list[np.ndarray]:
+    """Of tokens at their places: their symbols, and those of 1 to DEPTH words before (NONE beyond a start or a word or pair seen less than LEAST times)."""
     out = [ids[at], before[at - 1]]
     if t.often is None:
-        return at, out
+        return out
     context = _chain([before[:-1]])
     both = np.flatnonzero((before[:-1] != NONE) & (before[1:] != NONE))
     often = np.zeros(len(ids), bool)
     often[both + 1] = t.often(_deal(context[both], len(t.often.bits)), _mix(context[both], before[1:][both]))
     for k in range(2, DEPTH + 1):
         out.append(np.where((out[-1] <= START) | ~often[at - k + 1], NONE, before[at - k]))
-    return at, out
+    return out
+
+
+def _ready(ship: list) -> Words:
+    """What is known of words, with the filters shipped since; each is shipped once."""
+    t, *more = (s.value for s in ship)
+    for m in more:
+        t.__dict__.update(m)
+    return t
 
 
 def _candidates(training: DataFrame, ship, text: str, buckets: int, kind: int) -> DataFrame:
@@ -289,33 +344,20 @@ def _candidates(training: DataFrame, ship, text: str, buckets: int, kind: int) -
     width = 2 if kind == 1 else DEPTH + 1
 
     def send(batches):
-        t = ship.value
-        for b in batches:
-            for lo in range(0, b.num_rows, 2000):
-                ids, begin, _ = t.numbers(raw(b.slice(lo, 2000), text))
-                every = windows(t, t.lowered(ids, t.own, LOW), begin)[1]
-                ok = every[kind] != NONE
-                cols = [c[ok] for c in every[:width]]
-                at, n, home, _ = _distinct(cols, buckets)
-                cols = [c[at] for c in cols]
-                runs = stretches(home)
-                values = [_pack([c[a:z] for c in cols], n[a:z].astype(np.int32)) for a, z in runs]
-                yield pa.RecordBatch.from_arrays([pa.array(home[[a for a, _ in runs]], pa.int64()), pa.array([kind] * len(runs), pa.int32()), pa.array(values, pa.binary())], ["bucket", "kind", "rows"])
-
-    def runs_of(batches):
-        now, values = None, []
-        for b in batches:
-            for home, value in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
-                if home != now and values:
-                    yield now, values
-                    values = []
-                now = home
-                values.append(value)
-        if values:
-            yield now, values
+        t = _ready(ship)
+        for b in _slices(batches, text, TEXTS):
+            _, _, _, _, at, ids, before = t.numbers(b.column(b.schema.get_field_index(text)))
+            every = windows(t, at, ids, before)
+            ok = every[kind] != NONE
+            cols = [c[ok] for c in every[:width]]
+            at, n, home, _ = _distinct(cols, buckets)
+            cols = [c[at] for c in cols]
+            runs = stretches(home)
+            values = [_pack([c[a:z] for c in cols], n[a:z].astype(np.int32)) for a, z in runs]
+            yield pa.RecordBatch.from_arrays([pa.array(home[[a for a, _ in runs]], pa.int64()), pa.array([kind] * len(runs), pa.int32()), pa.array(values, pa.binary())], ["bucket", "kind", "rows"])
 
     def merge(batches):
-        for home, values in runs_of(batches):
+        for home, values in _by_bucket(batches):
             parts = [_unpack(unparcel(v), width, np.int32) for v in values]
             *cols, n = [np.concatenate(x) for x in zip(*parts, strict=True)]
             out = []
@@ -351,47 +393,55 @@ def _levels(rows: pa.RecordBatch, kinds: int) -> list[tuple[np.ndarray, ...]]:
     return [(*got[2 * k : 2 * k + 2], *got[2 * kinds + 4 * k : 2 * kinds + 4 * k + 4]) for k in range(kinds)]
 
 
-def _states(heads: np.ndarray, buckets: int, key: np.ndarray, value: np.ndarray, state: np.ndarray, rest: np.ndarray, first: np.ndarray, mine: np.ndarray) -> pa.RecordBatch:
-    """A parcel of states, all of the heads' home: own entries and contexts, each by its hash, the contexts' nearest one or two words, and the entries of contexts that are states."""
+def _states(heads: np.ndarray, buckets: int, key: np.ndarray, value: np.ndarray, mine: np.ndarray, state: np.ndarray, rest: np.ndarray) -> pa.RecordBatch:
+    """A parcel of states, all of the heads' home: own entries and contexts, each by its hash; mine: the entries of contexts that are states."""
     a, b, home = np.argsort(key), np.argsort(state), int(_deal(heads[:1], buckets)[0]) if len(heads) else 0
-    packed = _pack([], key[a], value[a].astype(np.float64), state[b], rest[b].astype(np.float64), np.unique(first), np.unique(mine))
+    packed = _pack([], key[a], value[a].astype(np.float32), mine[a].astype(np.uint8), state[b], rest[b].astype(np.float32))
     return pa.RecordBatch.from_arrays([pa.array([home]), pa.array([0], pa.int32()), pa.array([packed], pa.binary())], ["bucket", "kind", "rows"])
 
 
-_STATE = (np.uint64, np.float64, np.uint64, np.float64, np.uint64, np.uint64)
+_STATE = (np.uint64, np.float32, np.uint8, np.uint64, np.float32)
 
 
 class _Tables:
     """Answers questions to word counts and states."""
 
     def __init__(self, tables):
-        self.count: dict[bytes, int] = {}
+        self.words: list[pa.RecordBatch] = []
         states: list = []
         for rows in tables:
             if rows.schema.names[0] == "word":
-                self.count.update(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True))
+                self.words.append(rows)
             else:
                 states.append(_unpack(rows, 0, *_STATE))
-        self.key, self.value, self.state, self.rest, _, _ = [np.concatenate(x) for x in zip(*states, strict=True)] if states else [np.empty(0, k) for k in _STATE]
+        self.key, self.value, _, self.state, self.rest = [np.concatenate(x) for x in zip(*states, strict=True)] if states else [np.empty(0, k) for k in _STATE]
         for key, value in (("key", "value"), ("state", "rest")):
             order = np.argsort(getattr(self, key))
             for name in (key, value):
                 setattr(self, name, getattr(self, name)[order])
-        self.hashed = None
+
+    @cached_property
+    def count(self) -> dict[bytes, int]:
+        return {w: n for rows in self.words for w, n in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True)}
+
+    @cached_property
+    def hashed(self) -> tuple[np.ndarray, np.ndarray]:
+        key = np.concatenate([np.empty(0, np.int64), *(_hashes(rows.column(0)) for rows in self.words)])
+        order = np.argsort(key, kind="stable")
+        return key[order], np.concatenate([np.empty(0, np.int64), *(rows.column(1).to_numpy() for rows in self.words)])[order]
 
     def __call__(self, rows: pa.RecordBatch) -> pa.Array:
         name = rows.schema.names[0]
         if name == "word":
-            return pa.array([self.count.get(w, 0) for w in rows.column(0).to_pylist()], pa.float64())
+            return pa.array([self.count.get(w, 0) for w in rows.column(0).to_pylist()], pa.int64())
         if name == "hash":
-            if self.hashed is None:
-                self.hashed = {_home(w): n for w, n in self.count.items()}
-            return pa.array([self.hashed.get(h, 0) for h in rows.column(0).to_pylist()], pa.float64())
+            k, there = _held(self.hashed[0], rows.column(0).to_numpy())
+            return pa.array(np.where(there, self.hashed[1][k], 0) if len(self.hashed[1]) else np.zeros(len(k), np.int64))
         width = len(rows.column(0)) // 2
         cols = _unpack(rows, width)
         if width == 1:  # the factors of states of one word
             k, is_state = _held(self.state, _chain(cols))
-            return pa.array(np.where(is_state, self.rest[k], 0.0) if len(self.rest) else np.zeros(len(k)))
+            return pa.array(np.where(is_state, self.rest[k].astype(float), 0.0) if len(self.rest) else np.zeros(len(k)))
         out = np.full(len(cols[0]), ADDED)
         context = _chain(cols[1:2])
         for depth in range(1, width):
@@ -408,6 +458,24 @@ class _Tables:
         return pa.array(out)
 
 
+class _Short(_Tables):
+    """Logarithms travel in single precision, beside whether they are added."""
+
+    def __call__(self, rows: pa.RecordBatch) -> pa.Array:
+        out = super().__call__(rows)
+        if not pa.types.is_floating(out.type):
+            return out
+        out = out.to_numpy()
+        added = out >= ADDED / 2
+        return pa.StructArray.from_arrays([pa.array((out - ADDED * added).astype(np.float32)), pa.array(added)], ["log10", "added"])
+
+    @staticmethod
+    def read(answer: pa.Array) -> np.ndarray:
+        if not pa.types.is_struct(answer.type):
+            return answer.to_numpy()
+        return answer.field(0).to_numpy().astype(np.float64) + ADDED * answer.field(1).to_numpy(zero_copy_only=False)
+
+
 def _asked_table(counts: DataFrame, shift: int) -> DataFrame:
     """A table's parcels as those who ask meet them."""
     return counts.select((F.col("bucket") + shift).alias("home"), F.lit(TABLE).alias("kind"), F.lit(0).cast("long").alias("batch"), F.col("bucket").cast("int").alias("bucket"), "rows")
@@ -429,7 +497,7 @@ def _pairs(candidates: DataFrame, counts: DataFrame, ship, buckets: int) -> Data
                 yield asked([home], REST, home, [value])
 
     def finish(rest, answers):
-        t = ship.value
+        t = _ready(ship)
         nxt, word, n, total, context, _ = _levels(rest, 1)[0]
         rare = np.unique(nxt[nxt >= RARE])
         rare = rare[np.argsort(rare % buckets, kind="stable")]
@@ -442,7 +510,7 @@ def _pairs(candidates: DataFrame, counts: DataFrame, ship, buckets: int) -> Data
         keep, own, share = retained(context, n, total, parent)
         first, _ = _runs(context)
         held = keep[first] if len(first) else np.empty(0, bool)
-        return _states(context, buckets, _mix(context, nxt), np.log10(np.where(keep, own, parent)), context[first][held], share[held], context[first][held], _mix(context, nxt)[keep])
+        return _states(context, buckets, _mix(context, nxt), np.log10(np.where(keep, own, parent)), keep, context[first][held], share[held])
 
     own = candidates.mapInArrow(ask, ASKED).unionAll(_asked_table(counts, 0))
     return settled(answered(own, _Tables, finish, _PARCEL, buckets // 4))
@@ -466,7 +534,7 @@ def _longer(candidates: DataFrame, pairs: DataFrame, buckets: int) -> DataFrame:
 
     def finish(rest, answers):
         levels = _levels(rest, DEPTH - 1)
-        key, value, state, shares, heads = [], [], [], [], []
+        key, value, state, shares = [], [], [], []
         before = None
         for nxt, word, n, total, context, parent in levels:
             if before is None:
@@ -477,12 +545,12 @@ def _longer(candidates: DataFrame, pairs: DataFrame, buckets: int) -> DataFrame:
             first, _ = _runs(context)
             held = keep[first] if len(first) else np.empty(0, bool)
             code = _mix(context, nxt)
-            head = context if before is None else before[3][_held(before[2], parent)[0]] if len(nxt) else context
-            for out, x in ((key, code[keep]), (value, np.log10(own[keep])), (state, context[first][held]), (shares, share[held]), (heads, head[first][held])):
+            for out, x in ((key, code[keep]), (value, np.log10(own[keep])), (state, context[first][held]), (shares, share[held])):
                 out.append(x)
             order = np.argsort(code)
-            before = code[order], np.where(keep, own, p)[order], context, head
-        return _states(levels[0][4], buckets, *map(np.concatenate, (key, value, state, shares, heads)), np.empty(0, np.uint64))
+            before = code[order], np.where(keep, own, p)[order]
+        key, value, state, shares = map(np.concatenate, (key, value, state, shares))
+        return _states(levels[0][4], buckets, key, value, np.ones(len(key), bool), state, shares)
 
     own = candidates.mapInArrow(ask, ASKED).unionAll(_asked_table(pairs, 0))
     return settled(answered(own, _Tables, finish, _PARCEL, buckets // 4))
@@ -491,8 +559,8 @@ def _longer(candidates: DataFrame, pairs: DataFrame, buckets: int) -> DataFrame:
 class Tree:
     """The root, the states of one word (`pairs`) and of more (`longer`)."""
 
-    def __init__(self, tokens: int, words: Words, pairs: DataFrame, longer: DataFrame, buckets: int):
-        self.tokens, self.words, self.pairs, self.longer, self.buckets = tokens, words, pairs, longer, buckets
+    def __init__(self, tokens: int, words: Words, ship: list, pairs: DataFrame, longer: DataFrame, buckets: int):
+        self.tokens, self.words, self.ship, self.pairs, self.longer, self.buckets = tokens, words, ship, pairs, longer, buckets
         self.radix, self.root = words.radix, words.root
 
     @cached_property
@@ -531,11 +599,13 @@ def fit(training: DataFrame, text: str = "text") -> tuple[Tree, DataFrame]:
                 yield rows.filter(pc.greater_equal(rows.column(1), pa.scalar(int(np.ceil(least)), pa.int64())))
 
     found = counts.select("rows").mapInArrow(often, "word binary, n long").collect()  # at most 1 / NUMBERED rows
-    words = Words(tokens, distinct, sorted(((bytes(r.word), r.n) for r in found), key=lambda x: (-x[1], x[0])))
-    hashes = lambda rows, least: np.array([_home(w) for w, n in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True) if n >= least], np.int64)
+    words = Words(tokens, distinct, sorted(((bytes(r.word), r.n) for r in found), key=lambda x: (-x[1], x[0]))[:MOST])
+    hashes = lambda rows, least: _hashes(rows.column(0).filter(pc.greater_equal(rows.column(1), least)))
     words.own, words.least = _filters(counts, buckets, lambda rows: [hashes(rows, OWN), hashes(rows, LEAST)]) or [Filter(buckets, [])] * 2
-    ship = spark.sparkContext.broadcast(words)
+    ship = [spark.sparkContext.broadcast(words)]
+    _released(spark)
     seconds = _candidates(training, ship, text, buckets, 1)
+    _released(spark)
 
     def frequent(rows):
         nxt, _, n, _, context, _ = _levels(rows, 1)[0]
@@ -544,96 +614,107 @@ def fit(training: DataFrame, text: str = "text") -> tuple[Tree, DataFrame]:
     words.often = (_filters(seconds, buckets, frequent) or [Filter(buckets, [])])[0]
     pairs = _pairs(seconds, counts, ship, buckets)
     forget(seconds)
-    ship = spark.sparkContext.broadcast(words)
+    _released(spark)
+    ship.append(spark.sparkContext.broadcast({"often": words.often}))
     further = _candidates(training, ship, text, buckets, 2)
+    _released(spark)
     longer = _longer(further, pairs, buckets)
     forget(further)
-    words.one, words.mine = _filters(pairs, buckets, lambda rows: _unpack(rows, 0, *_STATE)[4:6]) or [Filter(buckets, [])] * 2
-    words.two = (_filters(longer, buckets, lambda rows: [_unpack(rows, 0, *_STATE)[4]]) or [Filter(buckets, [])])[0]
-    return Tree(tokens, words, pairs, longer, buckets), counts
+    _released(spark)
+
+    def states(rows):
+        key, _, mine, state, _ = _unpack(rows, 0, *_STATE)
+        return [state, key[mine > 0]]
+
+    words.one, words.mine = _filters(pairs, buckets, states) or [Filter(buckets, [])] * 2
+    words.deep, words.further = _filters(longer, buckets, states) or [Filter(buckets, [])] * 2
+    ship.append(spark.sparkContext.broadcast({k: getattr(words, k) for k in ("one", "mine", "deep", "further")}))
+    return Tree(tokens, words, ship, pairs, longer, buckets), counts
 
 
 def scored(docs: DataFrame, tree: Tree, counts: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc, n_tokens, n_known, base_score, score."""
-    spark = docs.sparkSession
     kind = next(f.dataType.simpleString() for f in docs.schema if f.name == doc)
     buckets, parts = tree.buckets, tree.buckets // 4
-    ship, names = spark.sparkContext.broadcast(tree.words), [doc, "n_tokens", "n_known", "base_score", "score"]
+    ship, names = tree.ship, [doc, "n_tokens", "n_known", "base_score", "score"]
 
     def ask(batches):
-        t, own_part, serial = ship.value, TaskContext.get().partitionId(), 0
-        for b in batches:
-            for lo in range(0, b.num_rows, 2000):
-                part, batch = b.slice(lo, 2000), own_part << 32 | serial
-                serial += 1
-                ids, begin, ws = t.numbers(raw(part, text))
-                low = t.lowered(ids, t.own, LOW)
-                at, every = windows(t, low, begin)
-                rare = {_home(w): w for w in set(chain.from_iterable(ws)) - t.number.keys()}
-                number = np.array(sorted(rare, key=lambda h: (h % buckets, h)), np.int64)
-                home = number % buckets
-                runs = stretches(home)
-                rare_words = [rare[h] for h in number.tolist()]
-                yield asked([int(home[a]) for a, _ in runs], QUESTION, batch, [parcel(pa.RecordBatch.from_arrays([pa.array(rare_words[a:z], pa.binary())], ["word"])) for a, z in runs])
-                for kind, (cols, _) in enumerate(questions(t, every)):
-                    place, _, home, _ = _distinct(cols, buckets)
-                    cols, runs = [c[place] for c in cols], stretches(home)
-                    to = (max(1, kind)) * buckets  # the first two ask the pairs' table
-                    yield asked([int(home[a]) + to for a, _ in runs], QUESTION, batch, [_pack([c[a:z] for c in cols]) for a, z in runs], (kind + 1) * buckets - to)
-                size = np.diff(np.append(begin, len(ids))) - DEPTH
-                many, by = ids[at] >= RARE, np.argsort(number)
-                place = by[np.searchsorted(number[by], ids[at][many])].astype(np.int32)
-                packed = _pack([np.where(many, NONE, ids[at])], place, np.where(t.lowered(number, t.own, LOW) == LOW, LOW, number))
-                held = pa.array([packed, *[None] * (len(begin) - 1)], pa.binary())
-                rest = pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(doc)), pa.array(size), held], [doc, "n_tokens", "ids"])
-                yield asked([batch % buckets], REST, batch, [parcel(rest)])
+        t, own_part = _ready(ship), TaskContext.get().partitionId()
+        for serial, part in enumerate(_slices(batches, text, TEXTS)):
+            batch = own_part << 32 | serial
+            column = lambda c: part.column(part.schema.get_field_index(c))  # noqa: B023, E731
+            words, symbol, _, _, at, ids, before = t.numbers(column(text))
+            rare, home = rarest(symbol)
+            runs, asks = stretches(home), words.take(pa.array(rare))
+            yield asked([int(home[a]) for a, _ in runs], QUESTION, batch, [parcel(pa.RecordBatch.from_arrays([asks.slice(a, z - a)], ["word"])) for a, z in runs])
+            for kind, (cols, _) in enumerate(questions(t, windows(t, at, ids, before))):
+                place, _, home, _ = _distinct(cols, buckets)
+                cols, runs = [c[place] for c in cols], stretches(home)
+                to = (max(1, kind)) * buckets  # the first two ask the pairs' table
+                yield asked([int(home[a]) + to for a, _ in runs], QUESTION, batch, [_pack([c[a:z] for c in cols]) for a, z in runs], (kind + 1) * buckets - to)
+            yield asked([batch % buckets], REST, batch, [parcel(pa.RecordBatch.from_arrays([column(doc), column(text)], [doc, text]), 3)])
+
+    def rarest(symbol):
+        """Words without a number by home, and the homes."""
+        rare = np.flatnonzero(symbol >= RARE)
+        home = symbol[rare] % buckets
+        order = np.argsort(home, kind="stable")
+        return rare[order], home[order]
 
     def questions(t, every):
-        """Words before, pairs and windows that are asked for, and whose they are."""
+        """Words before, pairs and windows that are asked for, and whose they are.
+
+        A token asks its pair or, if no state has that for its own, its state's factor.  A window reaches as far as its longest
+        state, and has a next symbol only if a state may have that for its own; else its factors are all that is asked.
+        """
         word = _chain(every[1:2])
         home = _deal(word, buckets)
         state = (every[1] != NONE) & t.one(home, word)
-        yield [every[1][state]], state
         own = np.zeros(len(state), bool)
         own[state] = t.mine(home[state], _mix(word[state], every[0][state]))
+        yield [every[1][state & ~own]], state & ~own
         yield [c[own] for c in every[:2]], own
-        head = _chain(every[1:3])
-        ok = (every[2] != NONE) & t.two(_deal(head, buckets), head)
-        yield [c[ok] for c in every], ok
+        far = np.flatnonzero(every[2] != NONE)
+        cols = [c[far] for c in every]
+        context = _chain(cols[1:3])
+        home, reach, mine = _deal(context, buckets), np.zeros(len(far), np.int8), np.zeros(len(far), bool)
+        for depth in range(2, DEPTH + 1):
+            if depth > 2:
+                context = _mix(context, cols[depth])
+            there = (cols[depth] != NONE) & t.deep(home, context)
+            reach[there] = depth
+            mine |= there & t.further(home, _mix(context, cols[0]))
+        cols[0] = np.where(mine, cols[0], NONE)
+        ok = np.zeros(len(state), bool)
+        ok[far] = reach > 0
+        yield [c[reach > 0] if d < 3 else np.where(reach < d, NONE, c)[reach > 0] for d, c in enumerate(cols)], ok
 
     def finish(rest, answers):
-        t = ship.value
-        got = np.concatenate([np.empty(0), *(x.to_numpy() for x in answers)])
-        size = rest.column(1).to_numpy()
-        own = np.repeat(np.arange(len(size)), size)
-        begin = np.cumsum(size + DEPTH) - size - DEPTH
-        ids = np.full(len(own) + DEPTH * len(size), START, np.int64)
-        token, place, number = _unpack(unparcel(rest.column(2)[0].as_buffer()), 1, np.int32, np.int64)
-        many, root = token == NONE, t.known(token.clip(START))
-        count, lo, known = got[: len(number)][place], len(number), token != NONE
-        root[many], known[many] = np.log10(count + ADD) - t.floor, count > 0
-        token[many] = number[place]
-        ids[np.arange(len(own)) + DEPTH * (own + 1)] = token
-        _, every = windows(t, ids, begin)
+        t = _ready(ship)
+        got = np.concatenate([np.empty(0), *map(_Short.read, answers)])
+        _, symbol, code, size, at, ids, before = t.numbers(rest.column(1))
+        rare, _ = rarest(symbol)
+        lo, own = len(rare), np.repeat(np.arange(len(size)), size)
+        root, known = t.known(symbol), symbol < RARE
+        root[rare], known[rare] = np.log10(got[:lo] + ADD) - t.floor, got[:lo] > 0
+        root, known = root[code], known[code]
         out = root.copy()
-        for cols, ok in questions(t, every):
+        for cols, ok in questions(t, windows(t, at, ids, before)):
             place = _distinct(cols, buckets)[3]
             hi = lo + (int(place.max()) + 1 if len(place) else 0)
             reply = got[lo:hi][place]
             if len(cols) == 1:
                 out[ok] += reply
-            elif len(cols) == 2:  # what the filter took for an own symbol and isn't one has its factor already
-                out[ok] = np.where(reply >= ADDED / 2, out[ok], reply)
-            else:
+            else:  # what a filter took for an own symbol and isn't one gets its factors
                 out[ok] = np.where(reply >= ADDED / 2, out[ok] + (reply - ADDED), reply)
             lo = hi
         fold = lambda w: np.bincount(own, weights=w, minlength=len(size))
-        return pa.RecordBatch.from_arrays([rest.column(0), rest.column(1), pa.array(fold(known).astype(np.int64)), pa.array(fold(root)), pa.array(fold(out))], names)
+        return pa.RecordBatch.from_arrays([rest.column(0), pa.array(size), pa.array(fold(known).astype(np.int64)), pa.array(fold(root)), pa.array(fold(out))], names)
 
     sent = docs.select(doc, text).mapInArrow(ask, ASKED)
     for k, rows in enumerate((counts, tree.pairs, tree.longer)):
         sent = sent.unionAll(_asked_table(rows, k * buckets))
-    return answered(sent, _Tables, finish, f"`{doc}` {kind}, n_tokens long, n_known long, base_score double, score double", parts)
+    return answered(sent, _Short, finish, f"`{doc}` {kind}, n_tokens long, n_known long, base_score double, score double", parts)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

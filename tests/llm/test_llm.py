@@ -1,11 +1,13 @@
 """The corpus operators against brute force, round trips and edge cases on small tables."""
 
+import pickle
 import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -581,3 +583,33 @@ def test_store_encodes_batches_of_bounded_bytes(spark, tmp_path, monkeypatch):
     sizes = [int(x) for x in open(seen)]
     assert sum(sizes) > 40 << 20 and max(sizes) < 11 << 20
     assert sum(r.verified for r in store.read(own, str(tmp_path / "s")).collect()) == 40
+
+
+def test_scoring_numbers_frequent_words_and_ships_filters_small(spark, monkeypatch):
+    rng = random.Random(11)
+    names = [f"w{k}" for k in range(3000)]
+    rows = [" ".join(rng.sample(names, 60)) + " near by the old mill" for _ in range(2000)] + ["once", " Near\x0bBY \x85the\xa0old ", None]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(2)
+    tree, counts = scoring.fit(docs)
+    assert tree.radix > 3000  # each has a share of about 2.5e-4 / 8 tokens and more
+    rare = scoring.Filter(8, [(3, scoring.Filter.marks(8, np.arange(1000)))])
+    again = pickle.loads(pickle.dumps(rare))
+    assert len(pickle.dumps(rare)) < scoring.BITS // 80 and (again.bits == rare.bits).all()
+    got = {r.doc_id: (r.n_tokens, r.n_known, r.base_score, r.score) for r in scoring.scored(docs, tree, counts).collect()}
+    monkeypatch.setattr(scoring, "MOST", 5)  # all but five words go by their hashes
+    few, counts = scoring.fit(docs)
+    assert few.radix == 7
+    for r in scoring.scored(docs, few, counts).collect():
+        assert (r.n_tokens, r.n_known, r.base_score, r.score) == pytest.approx(got[r.doc_id], rel=1e-6)
+    assert got[2002][0] == 1 and got[2001][0] == 4
+
+
+def test_scoring_slices_are_even_and_words_split_as_bytes_do():
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 10] * 21 + [None]})
+    assert [b.num_rows for b in scoring._slices([batch], "text", 100)] == [8, 8, 6]
+    texts = ["A b\x0bC\x1cd  e\x85f\xa0", " ", None, "", "\tz" * 70, "y" * 500 + "\r" + "y" * 501]
+    words, code, size = scoring._tokens(pa.array(texts))
+    want = [[*(t or "").encode().lower().split(), b""] for t in texts]
+    assert [words[int(c)].as_py() for c in code] == [w for ws in want for w in ws] and size.tolist() == [len(ws) for ws in want]
+    hashes = scoring._hashes(words)
+    assert len(set(hashes.tolist())) == len(words) and (hashes[2:] == scoring._hashes(words.slice(2))).all()
