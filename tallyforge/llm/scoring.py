@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import ASKED, QUESTION, REST, TABLE, answered, asked, by_home, forget, parcel, partitions, portions, settled, stretches, table, unparcel
+from tallyforge.llm.common import ASKED, QUESTION, REST, TABLE, answered, asked, by_home, forget, given_back, parcel, partitions, portions, settled, stretches, table, unparcel
 from tallyforge.llm.language import bucket
 
 #: Longest contexts, least counts of a context and of its own next symbols, the test's and smoothing's constants; see above.
@@ -98,12 +98,13 @@ def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def _slices(batches, text: str, limit: int):
-    """Batches in slices of about equal bytes of text, at most so many (or one row): smaller ones would ask more for the same words."""
+    """Batches in slices of about equal bytes of text, at most so many (or one row): smaller ones would ask more for the same words.  Memory that nothing uses goes back after each."""
     for b in batches:
         sizes = pc.fill_null(pc.binary_length(b.column(b.schema.get_field_index(text))), 0).to_pylist()
         total = sum(sizes)
         for lo, hi in portions(sizes, min(limit, total // -(-total // limit) + max(sizes, default=0)) if total else limit):
             yield b.slice(lo, hi - lo)
+            given_back()
 
 
 def _by_bucket(batches):
