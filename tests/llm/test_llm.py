@@ -591,7 +591,7 @@ def test_scoring_numbers_frequent_words_and_ships_filters_small(spark, monkeypat
     rows = [" ".join(rng.sample(names, 60)) + " near by the old mill" for _ in range(2000)] + ["once", " Near\x0bBY \x85the\xa0old ", None]
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(2)
     tree, counts = scoring.fit(docs)
-    assert tree.radix > 3000  # each has a share of about 2.5e-4 / 8 tokens and more
+    assert tree.radix > 3000
     rare = scoring.Filter(8, [(3, scoring.Filter.marks(8, np.arange(1000)))])
     again = pickle.loads(pickle.dumps(rare))
     assert len(pickle.dumps(rare)) < scoring.BITS // 80 and (again.bits == rare.bits).all()
