@@ -9,7 +9,8 @@ distribution diverges from its parent's by more than chance explains: twice its
 proportion to the parent.  Each token is scored in the longest retained suffix of what stands before it.
 
 Words, pairs (a word and the next one) and longer contexts are three tables dealt by hash; none is collected or shipped.
-A batch asks each of them once for every distinct entry, and the answers return to the batch.  Words of a share of
+A batch asks each of them once for every distinct entry and says which of its texts hold it; what returns is the sum for
+each text, so neither texts nor answers to single entries travel.  Words of a share of
 `NUMBERED` (`MOST` of them at most) have short numbers, others the hash of their bytes (62 bits), contexts a hash of 64 bits: two contexts would
 have to share it to be taken for one.
 
@@ -17,7 +18,8 @@ A longer context can be seen `LEAST` times only if each pair of words in it is,
 only where all their pairs are that frequent.  Filters of a fixed size spare the rest: they know all words seen `OWN` and
 `LEAST` times, all such pairs, all states and all their own next symbols, and say yes to some others, which then are
 counted or asked for nothing.  A pair or window that no state has for its own needs its states' factors only, which are
-asked once for each context.  States and answers hold logarithms in single precision; counts are whole.
+asked once for each context.  A score is a sum: the base, what each pair's state adds to the root, and what each window's
+state adds to its pair's.  States hold logarithms in single precision; counts are whole.
 
 Defined results: null and empty texts have their end as the only token; repeated rows are learnt from
 and scored each; without training documents every score is that of V = N = 0; extra columns are ignored.
@@ -36,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import ASKED, QUESTION, REST, TABLE, answered, asked, by_home, forget, given_back, parcel, partitions, portions, settled, stretches, table, unparcel
+from tallyforge.llm.common import ASKED, QUESTION, REST, TABLE, answered, asked, bundle, by_home, each, forget, gathered, given_back, parcel, partitions, portions, settled, stretches, table, unparcel
 from tallyforge.llm.language import bucket
 
 #: Longest contexts, least counts of a context and of its own next symbols, the test's and smoothing's constants; see above.
@@ -48,12 +50,16 @@ ADD = 0.1
 NUMBERED, MOST, RARE, START, NONE, LOW = 2e-6, 60_000, 1 << 20, 0, -1, -2
 #: Bits of a filter.
 BITS = 1 << 25
-#: Answers from here on are added to the suffix's log10 probability, those below replace it.
+#: A pair's answers from here on are added to the root's log10 probability, those below replace it.
 ADDED = 1000.0
 
 
 #: Bytes of the texts that are looked at together.
 TEXTS = 12 << 20
+#: Bytes of texts' sums that a task holds before it sends them on.
+HELD = 32 << 20
+#: What single precision may cost a task's share of a text's sum; the rest of larger sums, most of which may cancel the base, goes beside.
+CLOSE = 1e-6
 #: Words of more bytes are hashed one by one.
 WIDE = 64
 
@@ -171,7 +177,7 @@ def _pack(columns: list[np.ndarray], *more: np.ndarray) -> bytes:
     parts = []
     for c in columns:
         parts += [np.where(c >= RARE, 65535, np.where(c < 0, c + 65535, c)).astype(np.uint16), c[c >= RARE]]
-    return parcel(pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in (*parts, *more)], pa.binary())], ["packed"]))
+    return bundle([x.tobytes() for x in (*parts, *more)])
 
 
 def _unpack(rows: pa.RecordBatch, columns: int, *kinds) -> list[np.ndarray]:
@@ -193,19 +199,18 @@ def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(key)))
 
 
-def _distinct(columns: list[np.ndarray], buckets: int):
-    """Distinct windows (next symbol, then the words before it) by home: where one stands, its count, home, and each window's place."""
-    head = _chain(columns[1:3] or columns[:1])
-    key = pa.array(_mix(_chain(columns[1:]) if len(columns) > 1 else head, columns[0])).dictionary_encode()
-    place = key.indices.to_numpy()
-    at = np.empty(len(key.dictionary), np.int64)
-    at[place[::-1]] = np.arange(len(place) - 1, -1, -1)  # where each stands first
-    order = np.argsort(head[at], kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    n = np.bincount(place, minlength=len(at))
-    at = at[order]
-    return at, n[order], _deal(head[at], buckets), rank[place]
+def _distinct(columns: list[np.ndarray], buckets: int, kind: str | None = None):
+    """Distinct windows (next symbol, then the words before it) by home: where one stands, its count, home; the windows' order, and where in it another begins.
+
+    Windows whose hashes agree in half may stand twice; a stable order is the same wherever it is made.
+    """
+    head = _chain(columns[1:3])
+    key = _mix(_chain(columns[1:]) if len(columns) > 3 else head, columns[0])
+    order = np.argsort(head >> np.uint64(32) << np.uint64(32) | key >> np.uint64(32), kind=kind)
+    key = key[order]
+    first = np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
+    at = order[first]
+    return at, np.diff(np.append(np.flatnonzero(first), len(key))), _deal(head[at], buckets), order, first
 
 
 def _deal(head: np.ndarray, buckets: int) -> np.ndarray:
@@ -351,7 +356,7 @@ def _candidates(training: DataFrame, ship, text: str, buckets: int, kind: int) -
             every = windows(t, at, ids, before)
             ok = every[kind] != NONE
             cols = [c[ok] for c in every[:width]]
-            at, n, home, _ = _distinct(cols, buckets)
+            at, n, home, _, _ = _distinct(cols, buckets)
             cols = [c[at] for c in cols]
             runs = stretches(home)
             values = [_pack([c[a:z] for c in cols], n[a:z].astype(np.int32)) for a, z in runs]
@@ -366,17 +371,18 @@ def _candidates(training: DataFrame, ship, text: str, buckets: int, kind: int) -
                 ok = cols[depth] != NONE
                 cols, n = [c[ok] for c in cols], n[ok]
                 context = _chain(cols[1 : depth + 1])
-                order = np.argsort(context, kind="stable")
+                order = np.argsort(context)
                 first, many = _runs(context[order])
                 total = np.repeat(np.add.reduceat(n[order].astype(np.int64), first) if len(first) else first, many)
                 order, total = order[total >= LEAST], total[total >= LEAST]  # longer contexts are seen no more often
                 cols, n, context = [c[order] for c in cols], n[order], context[order]
                 key = _mix(context, cols[0])
-                _, at, place = np.unique(key, return_index=True, return_inverse=True)
-                sums = np.bincount(place, weights=n, minlength=len(at)).astype(np.int64)
+                by = np.argsort(key)
+                first, _ = _runs(key[by])
+                at, sums = by[first], np.add.reduceat(n[by].astype(np.int64), first) if len(first) else first
                 apart = (sums >= OWN) & (cols[0][at] != LOW)
                 at, sums = at[apart], sums[apart]
-                by = np.argsort(context[at], kind="stable")
+                by = np.argsort(context[at])
                 at, sums = at[by], sums[by]
                 parent = _chain(cols[1:depth]) if depth > 1 else context
                 out += [cols[0][at], cols[1][at], sums, total[at], context[at], parent[at]]
@@ -394,14 +400,50 @@ def _levels(rows: pa.RecordBatch, kinds: int) -> list[tuple[np.ndarray, ...]]:
     return [(*got[2 * k : 2 * k + 2], *got[2 * kinds + 4 * k : 2 * kinds + 4 * k + 4]) for k in range(kinds)]
 
 
-def _states(heads: np.ndarray, buckets: int, key: np.ndarray, value: np.ndarray, mine: np.ndarray, state: np.ndarray, rest: np.ndarray) -> pa.RecordBatch:
-    """A parcel of states, all of the heads' home: own entries and contexts, each by its hash; mine: the entries of contexts that are states."""
+def _states(heads: np.ndarray, buckets: int, key: np.ndarray, gain: np.ndarray, mine: np.ndarray, state: np.ndarray, rest: np.ndarray, value: np.ndarray | None = None) -> pa.RecordBatch:
+    """A parcel of states, all of the heads' home: own entries and contexts, each by its hash; mine: the entries of contexts that are states; value: the log10 probabilities."""
     a, b, home = np.argsort(key), np.argsort(state), int(_deal(heads[:1], buckets)[0]) if len(heads) else 0
-    packed = _pack([], key[a], value[a].astype(np.float32), mine[a].astype(np.uint8), state[b], rest[b].astype(np.float32))
+    value = np.empty(0) if value is None else value[a]
+    packed = _pack([], key[a], gain[a].astype(np.float32), mine[a].astype(np.uint8), state[b], rest[b].astype(np.float32), value.astype(np.float32))
     return pa.RecordBatch.from_arrays([pa.array([home]), pa.array([0], pa.int32()), pa.array([packed], pa.binary())], ["bucket", "kind", "rows"])
 
 
-_STATE = (np.uint64, np.float32, np.uint8, np.uint64, np.float32)
+_STATE = (np.uint64, np.float32, np.uint8, np.uint64, np.float32, np.float32)
+
+
+def _sheaf(columns: list[np.ndarray], first: np.ndarray, text: np.ndarray, *more: np.ndarray) -> bytes:
+    """Distinct questions, and the texts that ask them in the same order; first: where another question begins."""
+    return _pack(columns, *more, np.packbits(first), text.astype(np.uint8), (text >> 8).astype(np.uint8), (text >> 16).astype(np.uint16))
+
+
+class _Sums:
+    """Sums of each text of a batch: of rare words' log10 probabilities, of those known, and of what states add."""
+
+    def __init__(self):
+        self.of = np.zeros((3, 0))
+
+    def add(self, row: int, text: np.ndarray, weight: np.ndarray) -> int:
+        """Bytes that this takes more."""
+        sums, had = np.bincount(text, weights=weight), self.of.shape[1]
+        if len(sums) > had:
+            self.of = np.pad(self.of, ((0, 0), (0, len(sums) - had)))
+        self.of[row, : len(sums)] += sums
+        return self.of.itemsize * 3 * (self.of.shape[1] - had)
+
+    def packed(self) -> bytes:
+        base, known, gain = self.of
+        off = gain - gain.astype(np.float32)
+        far = np.flatnonzero(np.abs(off) > CLOSE)
+        return _pack([], np.packbits(base != 0), base[base != 0], known[base != 0].astype(np.int32), np.packbits(gain != 0), gain[gain != 0].astype(np.float32), far, off[far])
+
+    @staticmethod
+    def unpacked(rows: pa.RecordBatch, texts: int) -> np.ndarray:
+        out = np.zeros((3, texts))
+        has, base, known, adds, gain, far, off = _unpack(rows, 0, np.uint8, np.float64, np.int32, np.uint8, np.float32, np.int64, np.float64)
+        has, adds = (np.flatnonzero(np.unpackbits(x)) for x in (has, adds))
+        out[0, has], out[1, has], out[2, adds] = base, known, gain
+        out[2, far] += off
+        return out
 
 
 class _Tables:
@@ -415,11 +457,12 @@ class _Tables:
                 self.words.append(rows)
             else:
                 states.append(_unpack(rows, 0, *_STATE))
-        self.key, self.value, _, self.state, self.rest = [np.concatenate(x) for x in zip(*states, strict=True)] if states else [np.empty(0, k) for k in _STATE]
-        for key, value in (("key", "value"), ("state", "rest")):
+        self.key, self.gain, _, self.state, self.rest, self.value = [np.concatenate(x) for x in zip(*states, strict=True)] if states else [np.empty(0, k) for k in _STATE]
+        for key, *values in (("key", "gain", "value"), ("state", "rest")):
             order = np.argsort(getattr(self, key))
-            for name in (key, value):
-                setattr(self, name, getattr(self, name)[order])
+            for name in (key, *values):
+                if len(getattr(self, name)):
+                    setattr(self, name, getattr(self, name)[order])
 
     @cached_property
     def count(self) -> dict[bytes, int]:
@@ -433,48 +476,45 @@ class _Tables:
 
     def __call__(self, rows: pa.RecordBatch) -> pa.Array:
         name = rows.schema.names[0]
-        if name == "word":
-            return pa.array([self.count.get(w, 0) for w in rows.column(0).to_pylist()], pa.int64())
         if name == "hash":
             k, there = _held(self.hashed[0], rows.column(0).to_numpy())
             return pa.array(np.where(there, self.hashed[1][k], 0) if len(self.hashed[1]) else np.zeros(len(k), np.int64))
-        width = len(rows.column(0)) // 2
-        cols = _unpack(rows, width)
-        if width == 1:  # the factors of states of one word
-            k, is_state = _held(self.state, _chain(cols))
-            return pa.array(np.where(is_state, self.rest[k].astype(float), 0.0) if len(self.rest) else np.zeros(len(k)))
-        out = np.full(len(cols[0]), ADDED)
-        context = _chain(cols[1:2])
-        for depth in range(1, width):
+        nxt, word = _unpack(rows, 2)
+        context = _chain([word])
+        out = np.full(len(nxt), ADDED)
+        k, is_state = _held(self.state, context)
+        out[is_state] += self.rest[k[is_state]]
+        k, own = _held(self.key, _mix(context, nxt))
+        out[own] = self.value[k[own]]
+        return pa.array(out)
+
+    def gains(self, cols: list[np.ndarray]) -> np.ndarray:
+        """What the longest state adds for each pair or window (next symbol, words before): to the root, or to the pair's state."""
+        out, at, context = np.zeros(len(cols[0])), np.arange(len(cols[0])), _chain(cols[1:2])
+        for depth in range(1, len(cols)):
             if depth > 1:
-                context = _mix(context, cols[depth])
-            if depth == 1 and width > 2:
+                there = cols[depth][at] != NONE
+                at = at[there]
+                context = _mix(context[there], cols[depth][at])
+            if depth == 1 and len(cols) > 2:
                 continue
             k, is_state = _held(self.state, context)
-            if len(self.rest):
-                out = np.where(is_state & (cols[depth] != NONE), out + self.rest[k], out)
-            k, own = _held(self.key, _mix(context, cols[0]))
-            if len(self.value):
-                out = np.where(own & (cols[depth] != NONE), self.value[k], out)
-        return pa.array(out)
-
-
-class _Short(_Tables):
-    """Logarithms travel in single precision, beside whether they are added."""
+            out[at[is_state]] += self.rest[k[is_state]]
+            asks = np.flatnonzero(cols[0][at] != NONE)
+            k, own = _held(self.key, _mix(context[asks], cols[0][at[asks]]))
+            out[at[asks[own]]] = self.gain[k[own]]
+        return out
 
-    def __call__(self, rows: pa.RecordBatch) -> pa.Array:
-        out = super().__call__(rows)
-        if not pa.types.is_floating(out.type):
-            return out
-        out = out.to_numpy()
-        added = out >= ADDED / 2
-        return pa.StructArray.from_arrays([pa.array((out - ADDED * added).astype(np.float32)), pa.array(added)], ["log10", "added"])
-
-    @staticmethod
-    def read(answer: pa.Array) -> np.ndarray:
-        if not pa.types.is_struct(answer.type):
-            return answer.to_numpy()
-        return answer.field(0).to_numpy().astype(np.float64) + ADDED * answer.field(1).to_numpy(zero_copy_only=False)
+    def sums(self, rows: pa.RecordBatch, floor: float, to: _Sums) -> int:
+        """Adds the answers to a batch's questions to its texts' sums; bytes that these take more."""
+        width, words = divmod(len(rows.column(0)) - 4, 2)
+        *asked, first, low, mid, high = _unpack(rows, width, *[np.uint8] * (words + 3), np.uint16)
+        text = low + (mid.astype(np.int64) << 8) + (high.astype(np.int64) << 16)
+        nth = np.cumsum(np.unpackbits(first, count=len(text)), dtype=np.int64) - 1
+        if not words:
+            return to.add(2, text, self.gains(asked)[nth])
+        count = np.array([self.count.get(w, 0) for w in asked[0].tobytes().split(b" ")])[nth]
+        return to.add(0, text, np.log10(count + ADD) - floor) + to.add(1, text, count > 0)
 
 
 def _asked_table(counts: DataFrame, shift: int) -> DataFrame:
@@ -511,7 +551,8 @@ def _pairs(candidates: DataFrame, counts: DataFrame, ship, buckets: int) -> Data
         keep, own, share = retained(context, n, total, parent)
         first, _ = _runs(context)
         held = keep[first] if len(first) else np.empty(0, bool)
-        return _states(context, buckets, _mix(context, nxt), np.log10(np.where(keep, own, parent)), keep, context[first][held], share[held])
+        value = np.log10(np.where(keep, own, parent))
+        return _states(context, buckets, _mix(context, nxt), value - root, keep, context[first][held], share[held], value)
 
     own = candidates.mapInArrow(ask, ASKED).unionAll(_asked_table(counts, 0))
     return settled(answered(own, _Tables, finish, _PARCEL, buckets // 4))
@@ -521,7 +562,9 @@ def _longer(candidates: DataFrame, pairs: DataFrame, buckets: int) -> DataFrame:
     """States of two words and more."""
 
     def questions(nxt, word):
-        at, _, home, place = _distinct([nxt, word], buckets)
+        at, _, home, order, first = _distinct([nxt, word], buckets, "stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(first) - 1
         return at, home, place
 
     def ask(batches):
@@ -535,23 +578,24 @@ def _longer(candidates: DataFrame, pairs: DataFrame, buckets: int) -> DataFrame:
 
     def finish(rest, answers):
         levels = _levels(rest, DEPTH - 1)
-        key, value, state, shares = [], [], [], []
+        key, gain, state, shares = [], [], [], []
         before = None
         for nxt, word, n, total, context, parent in levels:
             if before is None:
-                p = 10 ** np.concatenate([np.empty(0), *(x.to_numpy() for x in answers)])[questions(nxt, word)[2]]
+                pair = np.concatenate([np.empty(0), *(x.to_numpy() for x in answers)])[questions(nxt, word)[2]]
+                p = 10**pair
             else:
-                p = before[1][_held(before[0], _mix(parent, nxt))[0]] if len(nxt) else np.empty(0)
+                p, pair = (x[_held(before[0], _mix(parent, nxt))[0]] if len(nxt) else np.empty(0) for x in before[1:])
             keep, own, share = retained(context, n, total, p)
             first, _ = _runs(context)
             held = keep[first] if len(first) else np.empty(0, bool)
             code = _mix(context, nxt)
-            for out, x in ((key, code[keep]), (value, np.log10(own[keep])), (state, context[first][held]), (shares, share[held])):
+            for out, x in ((key, code[keep]), (gain, (np.log10(own) - pair)[keep]), (state, context[first][held]), (shares, share[held])):
                 out.append(x)
             order = np.argsort(code)
-            before = code[order], np.where(keep, own, p)[order]
-        key, value, state, shares = map(np.concatenate, (key, value, state, shares))
-        return _states(levels[0][4], buckets, key, value, np.ones(len(key), bool), state, shares)
+            before = code[order], np.where(keep, own, p)[order], pair[order]
+        key, gain, state, shares = map(np.concatenate, (key, gain, state, shares))
+        return _states(levels[0][4], buckets, key, gain, np.ones(len(key), bool), state, shares)
 
     own = candidates.mapInArrow(ask, ASKED).unionAll(_asked_table(pairs, 0))
     return settled(answered(own, _Tables, finish, _PARCEL, buckets // 4))
@@ -624,7 +668,7 @@ def fit(training: DataFrame, text: str = "text") -> tuple[Tree, DataFrame]:
     _released(spark)
 
     def states(rows):
-        key, _, mine, state, _ = _unpack(rows, 0, *_STATE)
+        key, _, mine, state, _, _ = _unpack(rows, 0, *_STATE)
         return [state, key[mine > 0]]
 
     words.one, words.mine = _filters(pairs, buckets, states) or [Filter(buckets, [])] * 2
@@ -636,7 +680,7 @@ def fit(training: DataFrame, text: str = "text") -> tuple[Tree, DataFrame]:
 def scored(docs: DataFrame, tree: Tree, counts: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc, n_tokens, n_known, base_score, score."""
     kind = next(f.dataType.simpleString() for f in docs.schema if f.name == doc)
-    buckets, parts = tree.buckets, tree.buckets // 4
+    buckets, parts, floor = tree.buckets, tree.buckets // 4, tree.words.floor
     ship, names = tree.ship, [doc, "n_tokens", "n_known", "base_score", "score"]
 
     def ask(batches):
@@ -644,26 +688,35 @@ def scored(docs: DataFrame, tree: Tree, counts: DataFrame, doc: str = "doc_id",
         for serial, part in enumerate(_slices(batches, text, TEXTS)):
             batch = own_part << 32 | serial
             column = lambda c: part.column(part.schema.get_field_index(c))  # noqa: B023, E731
-            words, symbol, _, _, at, ids, before = t.numbers(column(text))
-            rare, home = rarest(symbol)
-            runs, asks = stretches(home), words.take(pa.array(rare))
-            yield asked([int(home[a]) for a, _ in runs], QUESTION, batch, [parcel(pa.RecordBatch.from_arrays([asks.slice(a, z - a)], ["word"])) for a, z in runs])
-            for kind, (cols, _) in enumerate(questions(t, windows(t, at, ids, before))):
-                place, _, home, _ = _distinct(cols, buckets)
-                cols, runs = [c[place] for c in cols], stretches(home)
-                to = (max(1, kind)) * buckets  # the first two ask the pairs' table
-                yield asked([int(home[a]) + to for a, _ in runs], QUESTION, batch, [_pack([c[a:z] for c in cols]) for a, z in runs], (kind + 1) * buckets - to)
-            yield asked([batch % buckets], REST, batch, [parcel(pa.RecordBatch.from_arrays([column(doc), column(text)], [doc, text]), 3)])
-
-    def rarest(symbol):
-        """Words without a number by home, and the homes."""
+            words, symbol, code, size, at, ids, before = t.numbers(column(text))
+            own = np.repeat(np.arange(len(size)), size)
+            yield rare_words(batch, words, symbol, code, own)
+            for shift, (cols, ok) in enumerate(questions(t, windows(t, at, ids, before)), 1):
+                place, _, home, order, first = _distinct(cols, buckets)
+                cols, asks, runs = [c[place] for c in cols], own[ok][order], stretches(home)
+                begin = np.append(np.flatnonzero(first), len(first))
+                values = [_sheaf([c[a:z] for c in cols], first[begin[a] : begin[z]], asks[begin[a] : begin[z]]) for a, z in runs]
+                yield asked([int(home[a]) + shift * buckets for a, _ in runs], QUESTION, batch, values)
+            sums = [np.bincount(own, weights=w[code], minlength=len(size)) for w in (symbol < RARE, t.known(symbol))]
+            yield asked([batch % buckets], REST, batch, [parcel(pa.RecordBatch.from_arrays([column(doc), pa.array(size), pa.array(sums[0].astype(np.int64)), pa.array(sums[1])], names[:4]))])
+
+    def rare_words(batch, words, symbol, code, own):
+        """Questions for words without a number."""
         rare = np.flatnonzero(symbol >= RARE)
-        home = symbol[rare] % buckets
-        order = np.argsort(home, kind="stable")
-        return rare[order], home[order]
+        rare = rare[np.argsort(symbol[rare] % buckets, kind="stable")]
+        rank = np.full(len(symbol), -1)
+        rank[rare] = np.arange(len(rare))
+        nth, runs = rank[code], stretches(symbol[rare] % buckets)
+        own, nth = own[nth >= 0], nth[nth >= 0]
+        order = np.argsort(nth)
+        own, nth, asks = own[order], nth[order], words.take(pa.array(rare)).to_pylist()
+        begin = np.searchsorted(nth, np.arange(len(rare) + 1))
+        first = np.concatenate([[True], nth[1:] != nth[:-1]])[: len(nth)]
+        values = [_sheaf([], first[begin[a] : begin[z]], own[begin[a] : begin[z]], np.frombuffer(b" ".join(asks[a:z]), np.uint8)) for a, z in runs]
+        return asked([int(symbol[rare[a]] % buckets) for a, _ in runs], QUESTION, batch, values)
 
     def questions(t, every):
-        """Words before, pairs and windows that are asked for, and whose they are.
+        """Pairs and windows that are asked for, and whose they are.
 
         A token asks its pair or, if no state has that for its own, its state's factor.  A window reaches as far as its longest
         state, and has a next symbol only if a state may have that for its own; else its factors are all that is asked.
@@ -673,8 +726,7 @@ def scored(docs: DataFrame, tree: Tree, counts: DataFrame, doc: str = "doc_id",
         state = (every[1] != NONE) & t.one(home, word)
         own = np.zeros(len(state), bool)
         own[state] = t.mine(home[state], _mix(word[state], every[0][state]))
-        yield [every[1][state & ~own]], state & ~own
-        yield [c[own] for c in every[:2]], own
+        yield [np.where(own, every[0], NONE)[state], every[1][state]], state
         far = np.flatnonzero(every[2] != NONE)
         cols = [c[far] for c in every]
         context = _chain(cols[1:3])
@@ -690,32 +742,47 @@ def scored(docs: DataFrame, tree: Tree, counts: DataFrame, doc: str = "doc_id",
         ok[far] = reach > 0
         yield [c[reach > 0] if d < 3 else np.where(reach < d, NONE, c)[reach > 0] for d, c in enumerate(cols)], ok
 
-    def finish(rest, answers):
-        t = _ready(ship)
-        got = np.concatenate([np.empty(0), *map(_Short.read, answers)])
-        _, symbol, code, size, at, ids, before = t.numbers(rest.column(1))
-        rare, _ = rarest(symbol)
-        lo, own = len(rare), np.repeat(np.arange(len(size)), size)
-        root, known = t.known(symbol), symbol < RARE
-        root[rare], known[rare] = np.log10(got[:lo] + ADD) - t.floor, got[:lo] > 0
-        root, known = root[code], known[code]
-        out = root.copy()
-        for cols, ok in questions(t, windows(t, at, ids, before)):
-            place = _distinct(cols, buckets)[3]
-            hi = lo + (int(place.max()) + 1 if len(place) else 0)
-            reply = got[lo:hi][place]
-            if len(cols) == 1:
-                out[ok] += reply
-            else:  # what a filter took for an own symbol and isn't one gets its factors
-                out[ok] = np.where(reply >= ADDED / 2, out[ok] + (reply - ADDED), reply)
-            lo = hi
-        fold = lambda w: np.bincount(own, weights=w, minlength=len(size))
-        return pa.RecordBatch.from_arrays([rest.column(0), pa.array(size), pa.array(fold(known).astype(np.int64)), pa.array(fold(root)), pa.array(fold(out))], names)
+    def replies(batches):
+        now, tables, table, held, size = None, [], None, {}, 0
+        for home, kind, batch, bucket, value in each(batches):
+            if kind == REST:
+                yield bucket, REST, batch, bucket, value
+                continue
+            if home != now:
+                now, tables, table = home, [], None
+            if kind == TABLE:
+                tables.append(value)
+                continue
+            if table is None:
+                table, tables = _Tables(unparcel(v) for v in tables), []
+            size += table.sums(unparcel(value), floor, held.setdefault(batch, _Sums()))
+            if size > HELD:
+                yield from ((0, QUESTION, b, 0, sums.packed()) for b, sums in held.items())
+                held, size = {}, 0
+        yield from ((0, QUESTION, b, 0, sums.packed()) for b, sums in held.items())
+
+    def add(batches):
+        yield from gathered(replies(batches))
+
+    def finish(batches):
+        now, sums = None, []
+        for _, kind, batch, _, value in each(batches):
+            if batch != now:
+                now, sums = batch, []
+            if kind == QUESTION:
+                sums.append(value)
+                continue
+            own, size, known, base = unparcel(value).columns
+            more = sum((_Sums.unpacked(unparcel(v), len(size)) for v in sums), np.zeros((3, len(size))))
+            base = base.to_numpy() + more[0]
+            yield pa.RecordBatch.from_arrays([own, size, pa.array(known.to_numpy() + more[1].astype(np.int64)), pa.array(base), pa.array(base + more[2])], names)
 
     sent = docs.select(doc, text).mapInArrow(ask, ASKED)
     for k, rows in enumerate((counts, tree.pairs, tree.longer)):
         sent = sent.unionAll(_asked_table(rows, k * buckets))
-    return answered(sent, _Short, finish, f"`{doc}` {kind}, n_tokens long, n_known long, base_score double, score double", parts)
+    met = by_home(sent, F.col("home"), parts).sortWithinPartitions("home", "kind").mapInArrow(add, ASKED)
+    schema = f"`{doc}` {kind}, n_tokens long, n_known long, base_score double, score double"
+    return by_home(met, F.col("batch"), parts).sortWithinPartitions("batch", "kind").mapInArrow(finish, schema)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.llm import counts, decontam, embeddings, encoding, jaccard, language, packing, scoring, secrets, store, toxicity
+from tallyforge.llm import common, counts, decontam, embeddings, encoding, jaccard, language, packing, scoring, secrets, store, toxicity
 from tallyforge.llm.encoding import vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, extra string"
@@ -613,3 +613,39 @@ def test_scoring_slices_are_even_and_words_split_as_bytes_do():
     assert [words[int(c)].as_py() for c in code] == [w for ws in want for w in ws] and size.tolist() == [len(ws) for ws in want]
     hashes = scoring._hashes(words)
     assert len(set(hashes.tolist())) == len(words) and (hashes[2:] == scoring._hashes(words.slice(2))).all()
+
+
+def test_scoring_sends_sums_not_texts(spark, monkeypatch):
+    """Each time that rows are dealt while documents are scored: what returns to the batches is small beside the texts."""
+    rng = random.Random(12)
+    names = [f"w{rng.randrange(1 << 40):x}" for _ in range(2000)]
+    rows = [" ".join(rng.choices(names, k=400)) + " near by the old mill" for _ in range(300)] + ["the " * 100_000, None, ""]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(2)
+    tree, counts = scoring.fit(docs)
+    dealt, plain = [], common.by_home
+    for module in (common, scoring):
+        monkeypatch.setattr(module, "by_home", lambda df, home, parts: dealt.append(df) or plain(df, home, parts))
+    got = {r.doc_id: (r.n_tokens, r.n_known, r.base_score, r.score) for r in scoring.scored(docs, tree, counts).collect()}
+    asks, returns = (df.where(f"kind <> {common.TABLE}").selectExpr("sum(length(rows))").first()[0] for df in dealt)
+    assert returns < sum(len(t or "") for t in rows) / 25 and asks < sum(len(t or "") for t in rows)
+    monkeypatch.setattr(scoring, "HELD", 0)  # a task sends sums on after each question
+    monkeypatch.setattr(scoring, "CLOSE", 0.0)
+    for r in scoring.scored(docs, tree, counts).collect():
+        assert (r.n_tokens, r.n_known, r.base_score, r.score) == pytest.approx(got[r.doc_id], rel=1e-6)
+
+
+def test_scoring_sheaves_and_sums_come_back_whole():
+    text = np.array([5, 70_000, 17_000_000, 5])
+    rare, first = np.array([scoring.NONE, scoring.RARE + 9, scoring.LOW]), np.array([True, True, False, True])
+    rows = common.unparcel(scoring._sheaf([rare, np.arange(3)], first, text))
+    *cols, marks, low, mid, high = scoring._unpack(rows, 2, np.uint8, np.uint8, np.uint8, np.uint16)
+    assert cols[0].tolist() == rare.tolist() and cols[1].tolist() == [0, 1, 2] and np.unpackbits(marks, count=4).tolist() == [1, 1, 0, 1]
+    assert (low + (mid.astype(np.int64) << 8) + (high.astype(np.int64) << 16)).tolist() == text.tolist()
+    sums = scoring._Sums()
+    sums.add(2, np.array([3, 1, 3]), np.array([0.1, -2.5, 400_000.03]))
+    sums.add(0, np.array([6]), np.array([-7.25]))
+    sums.add(1, np.array([6]), np.array([1]))
+    base, known, gain = scoring._Sums.unpacked(common.unparcel(sums.packed()), 9)
+    assert base[6] == -7.25 and known.tolist() == [0] * 6 + [1, 0, 0] and gain[[1, 3]] == pytest.approx([-2.5, 400_000.13], abs=1e-5) and not gain[[0, 2, 4, 5, 6, 7, 8]].any()
+    order = scoring._distinct([np.array([7, 8, 7, 7]), np.array([1, 1, 1, 2])], 4)
+    assert sorted(zip(order[0].tolist(), order[1].tolist(), strict=True), key=lambda x: -x[1])[0][1] == 2 and order[1].sum() == 4 and (np.diff(order[2]) >= 0).all()
