@@ -31,6 +31,7 @@ def over_range(queries: DataFrame, pool: DataFrame, keys: list[str], low: str, h
     """id, n and least for each query (id, keys, low, high): how many rows of pool (keys, v, rid) have low <= v <= high, and their least rid.
 
     low and high must lie in different ranges (2 % apart is enough), or be the same value 0.  Queries that nothing meets are left out.
+    Blocks meet their queries sorted, never broadcast: a file of many rows that repeat looks small, and the driver would hold them all.
     """
     pool = with_range(pool.where("v IS NOT NULL"), "v")
     ends = queries.where(F.col(low).isNotNull() & F.col(high).isNotNull())
@@ -39,20 +40,19 @@ def over_range(queries: DataFrame, pool: DataFrame, keys: list[str], low: str, h
     ranges = pool.groupBy(*keys, "_p").agg(F.count("*").alias("n"), F.min("rid").alias("least"))
     whole = ranges.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))).withColumn("block", F.expr("shiftright(_p, level)"))
     blocks = whole.groupBy(*keys, "level", "block").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
-    inner = asked.join(blocks, [*keys, "level", "block"]).select("id", "n", "least")
+    inner = asked.join(blocks.hint("merge"), [*keys, "level", "block"]).select("id", "n", "least")
 
-    def end(c: str, upward: bool) -> DataFrame:
+    def end(c: str, upward: bool, queries: DataFrame) -> DataFrame:
         """What of pool lies in the range of a query's end, on its side."""
-        q = with_range(ends.select(*keys, F.col(c).alias("v"), F.lit(None).cast("long").alias("rid"), "id", F.lit(1).alias("_q")), "v")
-        p = pool.select(*keys, "v", "rid", F.lit(None).cast(dict(queries.dtypes)["id"]).alias("id"), F.lit(0).alias("_q"), "_p")
+        q = with_range(queries.select(*keys, F.col(c).alias("v"), F.lit(None).cast("long").alias("rid"), "id", F.lit(1).alias("_q")), "v")
+        p = pool.select(*keys, "v", "rid", F.lit(None).cast(dict(ends.dtypes)["id"]).alias("id"), F.lit(0).alias("_q"), "_p")
         order = [F.col("v").asc() if upward else F.col("v").desc(), F.col("_q")]
         w = Window.partitionBy(*keys, "_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         both = p.unionByName(q.select(*p.columns))
         return both.withColumns({"n": F.count("rid").over(w), "least": F.min("rid").over(w)}).where("_q = 1").select("id", "n", "least")
 
-    point = (F.col(low) == F.col(high)).alias("_point")
-    low_end = end(low, False).where("n > 0")
-    high_end = end(high, True).join(ends.where(~point).select("id"), "id", "left_semi").where("n > 0")  # a single value is counted once
+    low_end = end(low, False, ends).where("n > 0")
+    high_end = end(high, True, ends.where(F.col(low) != F.col(high))).where("n > 0")  # a single value is counted once
     return inner.unionByName(low_end).unionByName(high_end).groupBy("id").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
 
 

@@ -102,3 +102,12 @@ def test_over_range(spark):
         if met:
             want[i] = (len(met), min(met))
     assert got == want
+
+
+def test_over_range_broadcasts_nothing(spark, tmp_path):
+    """A small file may hold a million rows that repeat; the driver must not gather them."""
+    path = f"file://{tmp_path}/t"
+    spark.createDataFrame([(1, "a", 0.5, 2.0)], "id long, k string, low double, high double").write.parquet(path)
+    q = spark.read.parquet(path)
+    p = q.select(F.col("id").alias("rid"), "k", F.col("low").alias("v"))
+    assert "Broadcast" not in neighbours.over_range(q, p, ["k"], "low", "high")._jdf.queryExecution().executedPlan().toString()
