@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import text as X
 from tallyforge.operators import joins as J
+from tallyforge.operators import matching as M
 from tallyforge.plans.catalog import query
 from tallyforge.sources.tables import tables
 
@@ -97,20 +98,9 @@ def entity_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH t AS (SELECT p_partkey k, list_distinct(list_filter({_TOK.format(c='p_name')}, lambda x: length(x) >= 3)) w, p_brand b FROM part), e AS (SELECT DISTINCT k, b, unnest(w) x, len(w) n FROM t)
 SELECT a.b brand, count(*) pairs FROM (SELECT l.k, r.k k2, l.b, count(*) hits, any_value(l.n) n FROM e l JOIN e r ON l.b = r.b AND l.x = r.x AND l.k < r.k GROUP BY ALL HAVING count(*) >= 2 AND count(*) / any_value(l.n) >= 0.5) a GROUP BY 1""")
 def token_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of one brand whose names share two words and half of the first's.
-
-    A name of n words that shares h = max(2, n / 2) must share one of its n - h + 1 rarest, so pairs meet by these only.
-    """
+    """Pairs of one brand whose names share two words and half of the first's."""
     t = tables(spark, sf_dir).part.select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("brand"), X.distinctive("p_name").alias("w"))
-    e = t.select("k", "brand", "w", F.explode("w").alias("x"))
-    often = e.groupBy("brand", "x").agg(F.count("*").alias("n"))
-    n = F.size("w")
-    rare = F.slice(F.array_sort(F.collect_list(F.struct("n", "x"))), 1, F.greatest(F.lit(0), n - F.greatest(F.lit(2), F.ceil(n / 2)) + 1).cast("int"))
-    asked = e.join(often, ["brand", "x"]).groupBy("k", "brand", "w").agg(rare.alias("p")).select("k", "brand", "w", F.explode("p.x").alias("x"))  # a name's words are few
-    other = e.select(F.col("k").alias("k2"), "brand", F.col("w").alias("w2"), "x")
-    pairs = asked.join(other, ["brand", "x"]).where("k < k2").dropDuplicates(["k", "k2"])
-    hits = F.size(F.array_intersect("w", "w2"))
-    return pairs.where((hits >= 2) & (hits / n >= 0.5)).groupBy("brand").agg(F.count("*").alias("pairs"))
+    return M.overlap_counts(t, "brand", "k", "w")
 
 
 @query("text_fields", r"""

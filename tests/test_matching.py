@@ -111,3 +111,19 @@ def test_over_range_broadcasts_nothing(spark, tmp_path):
     q = spark.read.parquet(path)
     p = q.select(F.col("id").alias("rid"), "k", F.col("low").alias("v"))
     assert "Broadcast" not in neighbours.over_range(q, p, ["k"], "low", "high")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_overlap_counts(spark):
+    """Pairs by sets of words against pairs by keys, and 200 million pairs that no one makes."""
+    rng = random.Random(4)
+    rows = [(k - 150, rng.choice(["a", "b", None]), sorted({rng.choice("pqrstu") for _ in range(rng.randrange(9))})) for k in range(300)]
+    df = spark.createDataFrame([*rows, *rows[:20], (None, "a", ["p", "q"]), (900, "a", None)], "k long, g string, w array<string>")
+    want = {}
+    for k, g, w in rows:
+        for k2, g2, w2 in rows:
+            hits = len({*w} & {*w2})
+            if g and g == g2 and k < k2 and hits >= 2 and hits / len(w) >= 0.5:
+                want[g] = want.get(g, 0) + 1
+    assert {r.g: r.pairs for r in matching.overlap_counts(df, "g", "k", "w").collect()} == want
+    many = spark.range(20_000).select("id", F.lit("a").alias("g"), F.array(F.lit("p"), F.lit("q")).alias("w"))
+    assert [tuple(r) for r in matching.overlap_counts(many, "g", "id", "w").collect()] == [("a", 20_000 * 19_999 // 2)]
