@@ -1,5 +1,7 @@
 """Ratios and candidate scores against brute force, and the pieces without SQL twins."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from tallyforge.operators import outcomes as O
@@ -111,3 +113,27 @@ def test_publish_lots(spark):
     sent = publish.staged(want, live, "id", ["v"], "stamp").where("lot IN ('canary', 'remaining')")
     got = {r.id: r.error for r in publish.ledger(sent, sent.where("id > 10").withColumn("v", F.expr("CASE WHEN id = 20 THEN 'z' ELSE v END")), "id", ["v"]).collect()}
     assert got[5] == "missing" and got[20] == "mismatch:v" and got[30] == ""
+
+
+def test_best_of_many(spark, monkeypatch):
+    """Slices of a block, names that come again, long and missing names, and texts within texts against brute force; pairs don't pass Python one by one."""
+    monkeypatch.setattr(O, "SAMPLES", 7)
+    monkeypatch.setattr(O, "RECORDS", 5)
+    rng = random.Random(2)
+    name = lambda: rng.choice([None, "", *(" ".join("".join(rng.choices("abé", k=rng.randrange(1, n))) for _ in range(rng.randrange(1, 4))) for n in (3, 6, 40))])
+    city, flag = (lambda: rng.choice([None, "", "reno", "elko"])), lambda: rng.choice([None, True, False])
+    s = [(k, name(), city(), rng.choice([1, 1, 2, None])) for k in range(60)]
+    r = [(k, n, c, flag(), flag(), b) for k, n, c, b in ((k, name(), city(), rng.choice([1, 1, 3, None])) for k in range(40))]
+    r += [(100 + k, *x[1:]) for k, x in enumerate(r[:10])]
+    monkeypatch.setattr(O, "indel_ratio", None)  # what took each pair through Python
+    got = O.candidate_scores(spark.createDataFrame(s, "id int, name string, city string, block int"), spark.createDataFrame(r, "rid int, rname string, rcity string, rstate boolean, rtype boolean, block int"), "block").collect()
+    want = {}
+    for i, n, c, b in s:
+        for j, m, d, st, ty, e in r:
+            if b is not None and b == e:
+                sim = ratio(*(" ".join(sorted((x or "").split())) for x in (n, m)))
+                inside = None if n is None or m is None else n in m or m in n
+                score = sim + (12 * bool(inside) + 15 * bool(c and c == d) + 10 * bool(st) + 4 * bool(ty))
+                if i not in want or (score, -j) > (want[i][0], -want[i][1]):
+                    want[i] = (score, j, sim, inside, True if sim >= 84 else inside)
+    assert {x.id: (x.score, x.rid, x.similarity, x.contains, x.plausible) for x in got} == want
