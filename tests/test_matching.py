@@ -2,12 +2,13 @@
 
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 from test_outcomes import ratio
 
-from tallyforge.operators import matching, neighbours
+from tallyforge.operators import matching, neighbours, outcomes
 
 
 def chosen(account, candidates):
@@ -127,3 +128,28 @@ def test_overlap_counts(spark):
     assert {r.g: r.pairs for r in matching.overlap_counts(df, "g", "k", "w").collect()} == want
     many = spark.range(20_000).select("id", F.lit("a").alias("g"), F.array(F.lit("p"), F.lit("q")).alias("w"))
     assert [tuple(r) for r in matching.overlap_counts(many, "g", "id", "w").collect()] == [("a", 20_000 * 19_999 // 2)]
+
+
+@pytest.mark.parametrize("direct", [0, 25, 1 << 15])
+def test_close_names_in_slices(spark, monkeypatch, direct):
+    """Blocks with grams and without, in slices, long names and names of any letters; no pair that isn't close becomes a row."""
+    monkeypatch.setattr(matching, "DIRECT", direct)
+    monkeypatch.setattr(outcomes, "SAMPLES", 16)
+    monkeypatch.setattr(outcomes, "RECORDS", 12)
+    monkeypatch.setattr(matching, "PAIRS", 40)
+    rng = random.Random(5)
+    blocks = ["x"] * 6 + ["y", None, "z"]
+    names = sorted({("".join(rng.choices("abé ", k=rng.choice([1, 3, 12, 13, 64, 65, 70]))), rng.choice(blocks)) for _ in range(120)}, key=str)
+    spoilt = sorted({(n[:k] + n[k + 1 :], b) for n, b in names if len(n) > 1 for k in (len(n) // 2,)}, key=str)
+    a, b = (spark.createDataFrame(x, "name string, s string") for x in (spoilt, [x for x in names if x[1] != "z"]))
+    got = [(r.name, r.s, r.other, r.score) for r in matching.close_names(a, b, 90.0, ["s"]).collect()]
+    assert sorted(got) == sorted((x, s, y, ratio(x, y)) for x, s in spoilt for y, t in names if s == t and s not in (None, "z") and ratio(x, y) >= 90.0)
+
+
+def test_close_names_walk():
+    """Beginnings that have lost too much are left: ten million pairs take no time."""
+    digits = "zero one two three four five six seven eight nine".split()
+    others = [" ".join(digits[int(c)] for c in f"{k:04d}") for k in range(5000)]
+    began = time.monotonic()
+    found = {(x, y) for x, y, _ in matching.near([y[:2] + y[3:] for y in others[:2000]], others, 95.0)}
+    assert time.monotonic() - began < 30 and all((y[:2] + y[3:], y) in found for y in others[:2000])
