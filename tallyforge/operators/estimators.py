@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -108,13 +108,27 @@ QUANTILES, LEAST, LEAF, CLIP, HALF_LIFE = (0.1, 0.5, 0.9), 24, 5, (0.01, 0.99),
 #: Bins of a feature (0 is for missing values), of residuals, and categories that have a bin of their own.
 BINS, RESIDUALS, CATEGORIES = 33, 1024, 31
 MODES = ("external", "history")
+#: Rows that are summed together, at least.
+TOGETHER = 1 << 16
 #: Boosters: a mode and a quantile each.
 BOOSTERS = [(m, q) for m in range(len(MODES)) for q in range(len(QUANTILES))]
 
 
-def _below(cuts: list[float], x: Column) -> Column:
-    """How many of the cuts (BINS at most) lie below x."""
-    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda b: b < x)) if cuts else F.lit(0)
+def _bins(lane: pa.Array, numeric: list[pa.Array], categories: list[pa.Array], cuts: dict[str, list[list[float]]]) -> tuple[list[tuple[str, np.ndarray]], np.ndarray]:
+    """The rows of each lane, and the bins of all features, a line for each: 0 for a missing value, then how many of the lane's cuts lie below; categories by their numbers."""
+    lane = lane.dictionary_encode()
+    code = lane.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    groups = [(name, np.flatnonzero(code == k)) for k, name in enumerate(lane.dictionary.to_pylist())]
+    out = np.ones((len(numeric) + len(categories), len(lane)), np.uint8)
+    for k, x in enumerate(numeric):
+        v = x.to_numpy(zero_copy_only=False)
+        for name, at in groups:
+            if name in cuts:
+                out[k, at] = np.searchsorted(np.array(cuts[name][k], float), v[at]) + 1
+        out[k, x.is_null().to_numpy(zero_copy_only=False)] = 0
+    for k, x in enumerate(categories):
+        out[len(numeric) + k] = x.to_numpy(zero_copy_only=False)
+    return groups, out
 
 
 class _BoostParams(HasLabelCol):
@@ -143,43 +157,38 @@ class _BoostParams(HasLabelCol):
         weight = F.exp(-F.log1p(F.lit(1.0)) * age / HALF_LIFE)
         return [*out, F.when(valid, F.log1p(prior.cast("double"))), F.when(valid, age), F.when(valid, weight)], valid
 
-    def _binned(self, dataset: DataFrame, cuts: dict[str, list[list[float]]], names: list[dict[str, int]]) -> Column:
-        """The bins of all features as bytes: 0 for a missing value, then by the lane's cuts; categories by the order of their labels."""
-        numeric, _ = self._features()
-        lane = F.col(self.getOrDefault("laneCol")).cast("string")
-        parts = []
-        for k, x in enumerate(numeric):
-            own = F.lit(None)
-            for name, c in cuts.items():
-                own = F.when(lane == name, _below(c[k], x) + 1).otherwise(own)
-            parts.append(F.when(x.isNotNull(), F.coalesce(own, F.lit(1))).otherwise(0))
+    def _categories(self, names: list[dict[str, int]]) -> list[Column]:
+        """The numbers of the category features: the order of their labels, 0 for others."""
+        out = []
         for c, known in zip(self.getOrDefault("categoryCols"), names, strict=True):
             table = F.create_map(*(F.lit(v) for kv in known.items() for v in kv)) if known else None
-            parts.append(F.coalesce(F.element_at(table, F.lower(F.trim(F.col(c).cast("string")))), F.lit(0)) if known else F.lit(0))
-        return F.array(*(p.cast("tinyint") for p in parts))
+            out.append((F.coalesce(F.element_at(table, F.lower(F.trim(F.col(c).cast("string")))), F.lit(0)) if known else F.lit(0)).cast("tinyint"))
+        return out
 
 
-def _walk(tree: dict, lane: np.ndarray, bins: np.ndarray, depth: int) -> np.ndarray:
-    """The node of each row after `depth` splits; a lane without a split keeps its rows to the left."""
-    at, rows = np.zeros(len(lane), np.int64), np.arange(len(lane))
-    for d in range(depth):
-        f, c = tree["feature"][d][lane, at], tree["cut"][d][lane, at]
-        at = 2 * at + (bins[rows, f] > c)
-    return at
+def _node(tree: dict, i: int, bins: np.ndarray, depth: int) -> np.ndarray:
+    """The node of each of a lane's rows after `depth` splits, two at most; a lane without a split keeps its rows to the left."""
+    over = lambda d, k: bins[int(tree["feature"][d][i, k])] > int(tree["cut"][d][i, k])
+    if not depth:
+        return np.zeros(bins.shape[1], np.uint8)
+    right = over(0, 0)
+    if depth == 1:
+        return right.view(np.uint8)
+    return right.view(np.uint8) * np.uint8(2) + np.where(right, over(1, 1), over(1, 0)).view(np.uint8)
 
 
-def _raised(trees: list[dict], lane: np.ndarray, bins: np.ndarray, base: np.ndarray) -> np.ndarray:
-    out = base[lane].astype(float)
+def _raised(trees: list[dict], i: int, bins: np.ndarray, base: np.ndarray) -> np.ndarray:
+    out = np.full(bins.shape[1], float(base[i]))
     for t in trees:
-        out += t["leaf"][lane, _walk(t, lane, bins, 2)]
+        out += t["leaf"][i].take(_node(t, i, bins, 2))
     return out
 
 
 class QuantileBoost(Estimator, _BoostParams, DefaultParamsReadable, DefaultParamsWritable):
     """p10, p50 and p90 of a lane's label by trees of depth two on log1p, without and with an earlier figure.
 
-    All rows count.  Each level of each tree is one job for all lanes, modes and quantiles: tasks sum gradients by bin
-    over their rows, Spark adds the sums, and the driver, which gets a figure for each lane, booster, node, feature and
+    All rows count.  Rows are binned once, by numpy.  Each level of each tree is one job for all lanes, modes and quantiles:
+    tasks count gradients by bin over a lane's rows at a time, whose splits are the same, Spark adds the counts, and the driver, which gets a figure for each lane, booster, node, feature and
     bin (however many rows there are), picks the splits.  A lane with few rows has its empirical quantiles.
     """
 
@@ -192,6 +201,7 @@ class QuantileBoost(Estimator, _BoostParams, DefaultParamsReadable, DefaultParam
         known = dataset.where(lane.isNotNull() & (label >= 0))
         numeric, _ = self._features()
         ends = exact_quantiles(known.select(lane.alias("lane"), label.alias("y")), ["lane"], F.col("y"), list(CLIP), "clip")
+        ends = written(ends)  # a row for each lane, asked for twice
         clipped = known.withColumn("_lane", lane).join(ends.select(F.col("lane").alias("_lane"), "clip"), "_lane")
         clipped = clipped.withColumn("_y", F.least(F.greatest(label, F.get("clip", F.lit(0))), F.get("clip", F.lit(1))))
         empirical = {r["_lane"]: (r["n"], list(r["q"])) for r in exact_quantiles(clipped, ["_lane"], F.col("_y"), list(QUANTILES), "q").collect()}  # a row for each lane
@@ -207,30 +217,68 @@ class QuantileBoost(Estimator, _BoostParams, DefaultParamsReadable, DefaultParam
         model: dict = {"lanes": lanes, "cuts": cuts, "names": names, "empirical": {k: q for k, (_, q) in empirical.items()}, "boosters": None}
         if lanes:
             index = F.create_map(*(F.lit(v) for k, x in enumerate(lanes) for v in (x, k)))
-            table = written(clipped.where(F.col("_lane").isin(*lanes)).select(F.element_at(index, F.col("_lane")).alias("lane"), F.log1p("_y").alias("y"), self._binned(clipped, cuts, names).alias("bins")))
+            table = written(_table(clipped.select("_lane", F.log1p("_y").alias("y"), *(x.alias(f"x{k}") for k, x in enumerate(numeric)), *(x.alias(f"c{k}") for k, x in enumerate(self._categories(names)))), lanes, cuts, len(numeric)))
             model["boosters"] = _boost(table, [empirical[k] for k in lanes], len(self.getOrDefault("featureCols")), len(numeric), len(names), self.getOrDefault("trees"), self.getOrDefault("rate"))
             forget(table)
+        forget(ends)
         text = json.dumps(model, sort_keys=True)
         return self._copyValues(QuantileBoostModel(dataset.sparkSession.createDataFrame([(text,)], "model string")))
 
 
-def _sums(table: DataFrame, work, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and counts of each key below size, summed over all rows: each task sends a row for each key that it met."""
+def _table(rows: DataFrame, lanes: list[str], cuts: dict[str, list[list[float]]], numeric: int) -> DataFrame:
+    """lane (its number), y and bins (a byte for each feature) of rows (_lane, y, numeric features, categories) of these lanes."""
 
     def run(batches):
-        weight, count = np.zeros(size), np.zeros(size, np.int64)
         for b in batches:
-            if b.num_rows:
-                bins = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-                for keys, w in work(b.column(0).to_numpy(), b.column(1).to_numpy(), bins):
-                    weight += np.bincount(keys, w, size)
-                    count += np.bincount(keys, minlength=size)
+            groups, bins = _bins(b.column(0), b.columns[2 : 2 + numeric], b.columns[2 + numeric :], cuts)
+            lane = np.full(b.num_rows, -1, np.int32)
+            for name, at in groups:
+                lane[at] = lanes.index(name) if name in lanes else -1
+            kept, width = np.flatnonzero(lane >= 0), len(bins)
+            own = np.ascontiguousarray(bins[:, kept].T)
+            packed = pa.Array.from_buffers(pa.binary(), kept.size, [None, pa.py_buffer(np.arange(kept.size + 1, dtype=np.int32) * np.int32(width)), pa.py_buffer(own)])
+            yield pa.RecordBatch.from_arrays([pa.array(lane[kept]), b.column(1).take(pa.array(kept)), packed], ["lane", "y", "bins"])
+
+    return rows.mapInArrow(run, "lane int, y double, bins binary")
+
+
+def _by_lane(batches) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """lane, y and bins (a line for each feature) of the rows of a lane, some batches together."""
+
+    def parts(held):
+        t = pa.Table.from_batches(held).combine_chunks()
+        lane, y, bins = t["lane"].to_numpy(), t["y"].to_numpy(), t["bins"].combine_chunks()
+        width = len(bins[0].as_py())
+        flat = np.frombuffer(bins.buffers()[2], np.uint8)[bins.offset * width : (bins.offset + len(bins)) * width].reshape(len(bins), width)
+        for i in np.unique(lane):
+            at = np.flatnonzero(lane == i)
+            yield int(i), y[at], np.ascontiguousarray(flat[at].T)
+
+    held, n = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            n += b.num_rows
+        if n >= TOGETHER:
+            yield from parts(held)
+            held, n = [], 0
+    if held:
+        yield from parts(held)
+
+
+def _sums(table: DataFrame, work, shape: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and counts of this shape, summed over all rows: work adds a lane's rows to both, and each task sends a row for each figure that it met."""
+
+    def run(batches):
+        weight, count = np.zeros(shape), np.zeros(shape, np.int64)
+        for lane, y, bins in _by_lane(batches):
+            work(lane, y, bins, weight, count)
         at = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(weight[at]), pa.array(count[at])], ["key", "weight", "count"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(weight.ravel()[at]), pa.array(count.ravel()[at])], ["key", "weight", "count"])
 
     rows = table.mapInArrow(run, "key long, weight double, count long").groupBy("key").agg(F.sum("weight").alias("w"), F.sum("count").alias("n")).toPandas()
-    weight, count = np.zeros(size), np.zeros(size, np.int64)
-    weight[rows["key"]], count[rows["key"]] = rows["w"], rows["n"]
+    weight, count = np.zeros(shape), np.zeros(shape, np.int64)
+    weight.ravel()[rows["key"]], count.ravel()[rows["key"]] = rows["w"], rows["n"]
     return weight, count
 
 
@@ -260,27 +308,33 @@ def _boost(table: DataFrame, lanes: list[tuple[int, list[float]]], plain: int, n
         for depth in range(2):
             nodes = 2**depth
 
-            def gradients(lane, y, bins, depth=depth, nodes=nodes, new=new):
-                for b, (_, k) in enumerate(BOOSTERS):
-                    g = np.where(y > _raised(grown[b], lane, bins, base[b]), QUANTILES[k], QUANTILES[k] - 1)
-                    at = ((b * many + lane.astype(np.int64)) * nodes + _walk(new[b], lane, bins, depth)) * width
-                    for f in range(width):
-                        yield (at + f) * BINS + bins[:, f], g
-
-            w, n = (x.reshape(len(BOOSTERS), many, nodes, width, BINS) for x in _sums(table, gradients, len(BOOSTERS) * many * nodes * width * BINS))
+            def gradients(i, y, bins, above, count, depth=depth, nodes=nodes, new=new):
+                wide = bins.astype(np.int64)
+                for b, (m, _) in enumerate(BOOSTERS):
+                    over = y > _raised(grown[b], i, bins, base[b])
+                    at = (_node(new[b], i, bins, depth).astype(np.int64) * 2 + over) * BINS
+                    for f in seen[m]:
+                        n = np.bincount(at + wide[f], minlength=nodes * 2 * BINS).reshape(nodes, 2, BINS)
+                        above[b, i, :, f] += n[:, 1]
+                        count[b, i, :, f] += n.sum(1)
+
+            w, n = _sums(table, gradients, (len(BOOSTERS), many, nodes, width, BINS))
+            for b, (_, k) in enumerate(BOOSTERS):
+                w[b] -= (1 - QUANTILES[k]) * n[b]  # a row above counts q, one below q - 1
             for b, (m, _) in enumerate(BOOSTERS):
                 for i in range(many):
                     for node in range(nodes):
                         f, c = _split(w[b, i, node, seen[m]], n[b, i, node, seen[m]], least[i])
                         new[b]["feature"][depth][i, node], new[b]["cut"][depth][i, node] = seen[m][f], c
 
-        def residuals(lane, y, bins, new=new):
+        def residuals(i, y, bins, weight, count, new=new):
             for b in range(len(BOOSTERS)):
-                r = y - _raised(grown[b], lane, bins, base[b])
-                at = np.clip(((r + reach) / (2 * reach) * RESIDUALS).astype(np.int64), 0, RESIDUALS - 1)
-                yield ((b * many + lane.astype(np.int64)) * 4 + _walk(new[b], lane, bins, 2)) * RESIDUALS + at, r
+                r = y - _raised(grown[b], i, bins, base[b])
+                at = np.clip(((r + reach) / (2 * reach) * RESIDUALS).astype(np.int64), 0, RESIDUALS - 1) + _node(new[b], i, bins, 2).astype(np.int64) * RESIDUALS
+                weight[b, i] += np.bincount(at, r, 4 * RESIDUALS).reshape(4, RESIDUALS)
+                count[b, i] += np.bincount(at, minlength=4 * RESIDUALS).reshape(4, RESIDUALS)
 
-        w, n = (x.reshape(len(BOOSTERS), many, 4, RESIDUALS) for x in _sums(table, residuals, len(BOOSTERS) * many * 4 * RESIDUALS))
+        w, n = _sums(table, residuals, (len(BOOSTERS), many, 4, RESIDUALS))
         for b, (_, k) in enumerate(BOOSTERS):
             leaf = np.zeros((many, 4))
             for i in range(many):
@@ -307,26 +361,31 @@ class QuantileBoostModel(Model, _BoostParams, _Stored):
         index = {x: k for k, x in enumerate(model["lanes"])}
         ship = dataset.sparkSession.sparkContext.broadcast((boosters, index, model["empirical"]))
 
-        @F.pandas_udf("struct<p10: double, p50: double, p90: double, kind: string, mode: string>")
-        def run(lane: pd.Series, prior: pd.Series, bins: pd.Series) -> pd.DataFrame:
+        cuts, wide = model["cuts"], len(self._features()[0])
+
+        @F.arrow_udf("struct<p10: double, p50: double, p90: double, kind: string, mode: string>")
+        def run(lane: pa.Array, prior: pa.Array, *features: pa.Array) -> pa.Array:
             own, known, flat = ship.value
-            out = pd.DataFrame(np.nan, index=range(len(lane)), columns=["p10", "p50", "p90"])
-            kind, mode = np.full(len(lane), "none", object), np.where(prior.to_numpy(bool), MODES[1], MODES[0]).astype(object)
-            for name, q in flat.items():
-                if name not in known and (at := np.flatnonzero(lane.to_numpy() == name)).size:
-                    out.loc[at, :] = np.tile(q, (len(at), 1))
-                    kind[at] = "empirical"
-            number = lane.map(known).to_numpy(float)
-            for m in range(len(MODES)):
-                at = np.flatnonzero(~np.isnan(number) & (mode == MODES[m]))
-                if at.size:
-                    x, i = np.stack(bins.iloc[at].to_numpy()).astype(np.int64), number[at].astype(np.int64)
-                    raw = np.column_stack([_raised(own[b][1], i, x, own[b][0]) for b, (mm, _) in enumerate(BOOSTERS) if mm == m])
-                    out.loc[at, :] = np.sort(np.maximum(0.0, np.expm1(raw)), axis=1)
+            groups, bins = _bins(lane, list(features[:wide]), list(features[wide:]), cuts)
+            out, there = np.zeros((3, len(lane))), np.zeros(len(lane), bool)
+            history = prior.to_numpy(zero_copy_only=False).astype(bool)
+            kind, mode = np.full(len(lane), "none", object), np.full(len(lane), "unavailable", object)
+            for name, at in groups:
+                if name in known:
+                    for m in range(len(MODES)):
+                        rows = at[history[at] == bool(m)]
+                        x = np.ascontiguousarray(bins[:, rows])
+                        raw = [_raised(own[b][1], known[name], x, own[b][0]) for b, (mm, _) in enumerate(BOOSTERS) if mm == m]
+                        out[:, rows] = np.sort(np.maximum(0.0, np.expm1(raw)), axis=0)
                     kind[at] = "boosted"
-            mode[kind == "none"] = "unavailable"
-            return out.assign(kind=kind, mode=mode)
+                elif name in flat:
+                    out[:, at] = np.array(flat[name], float)[:, None]
+                    kind[at] = "empirical"
+                else:
+                    continue
+                mode[at], there[at] = np.where(history[at], MODES[1], MODES[0]), True
+            return pa.StructArray.from_arrays([*(pa.array(x, pa.float64(), mask=~there) for x in out), pa.array(kind, pa.string()), pa.array(mode, pa.string())], ["p10", "p50", "p90", "kind", "mode"])
 
         lane = F.col(self.getOrDefault("laneCol")).cast("string")
-        _, valid = self._features()
-        return dataset.withColumn(self.getOrDefault("estimateCol"), run(lane, valid, self._binned(dataset, model["cuts"], model["names"])))
+        numeric, valid = self._features()
+        return dataset.withColumn(self.getOrDefault("estimateCol"), run(lane, valid, *numeric, *self._categories(model["names"])))

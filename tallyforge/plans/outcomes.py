@@ -9,6 +9,7 @@ from tallyforge.operators import joins as J
 from tallyforge.operators import outcomes as O
 from tallyforge.operators.estimators import QuantileBoost, SparseMedian
 from tallyforge.plans.catalog import query
+from tallyforge.sources.scratch import written
 from tallyforge.sources.tables import tables
 
 
@@ -174,6 +175,7 @@ def quantile_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("lines"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("listed"))
     before = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     o = t.orders.select("*", F.lag("o_totalprice").over(before).alias("prior"), F.lag("o_orderdate").over(before).alias("prior_at")).join(lines, "o_orderkey", "left")
+    o = written(o.select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus", "prior", "prior_at", "lines", "quantity", "listed"))  # read by each step of the fit
     model = QuantileBoost(laneCol="o_orderpriority", labelCol="o_totalprice", featureCols=["lines", "quantity", "listed"], categoryCols=["o_orderstatus"], priorCol="prior", priorAtCol="prior_at", asOfCol="o_orderdate", trees=12, rate=0.3).fit(o.where("o_orderdate < timestamp'1999-01-01'"))
     return model.transform(o).select("o_orderkey", "o_totalprice", "estimate.*")
 

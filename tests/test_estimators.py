@@ -1,11 +1,14 @@
 """Estimators in a pipeline: medians against brute force, quantiles by coverage and loss, both saved and loaded."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from tallyforge.operators import estimators as E
+from tallyforge.plans import outcomes  # noqa: F401  registers the query
+from tallyforge.plans.catalog import QUERIES
 
 
 def test_sparse_median(spark, tmp_path):
@@ -63,3 +66,19 @@ def test_quantile_boost(spark, tmp_path):
     assert np.allclose(a, b, rtol=1e-6)
     assert test.where("id < 0").count() == 0 and model.transform(test.where("id < 0")).count() == 0
     assert boost.fit(train.limit(0)).transform(test).where(F.col("estimate.kind") == "none").count() == test.count()
+
+
+def test_bins():
+    """Missing values, NaN, values at a cut, lanes without cuts and rows without a lane."""
+    lane = pa.array(["a", None, "b", "a", "a", "new", "a", "a"])
+    x = pa.array([1.0, 1.0, 5.0, None, float("nan"), 9.0, 2.0, 2.5])
+    groups, bins = E._bins(lane, [x], [pa.array([0, 1, 2, 3, 4, 5, 6, 7], pa.int8())], {"a": [[1.0, 2.0]], "b": [[]]})
+    assert bins.tolist() == [[1, 1, 1, 0, 3, 1, 2, 3], [0, 1, 2, 3, 4, 5, 6, 7]]
+    assert {k: v.tolist() for k, v in groups} == {"a": [0, 3, 4, 6, 7], "b": [2], "new": [5]}
+
+
+def test_lineitem_is_read_once(spark):
+    """Trees grow over a written table; before, each step of the fit and the result joined orders and lineitem again."""
+    got = QUERIES["quantile_boost"](spark, "/root/testdata/sf0.001")
+    assert "lineitem" not in got._jdf.queryExecution().optimizedPlan().toString() and "FileScan" in got._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in str(got.inputFiles()) and got.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
